@@ -186,6 +186,17 @@ FROM (SELECT unnest({feats}) AS term FROM lw)
 GROUP BY term HAVING count(*) >= 10""")
 
 
+def _preview() -> str:
+    w = "words"
+    feats = f"list_concat({w}, {grams(w, 2)}, {grams(w, 3)})"
+    ctes = COMMENTS + """,
+first AS (SELECT * FROM comments ORDER BY CAST(id AS BIGINT) LIMIT 99)""" + ",\n" \
+        + words_cte("fw", "first", "id", "body")
+    return with_(ctes, f"""SELECT f.id, f.author, CAST(length(f.body) AS INTEGER) AS body_length,
+       array_to_string({feats}, ' ') AS ngrams
+FROM first f JOIN fw ON fw.id = f.id""")
+
+
 def _term_counts(n: int) -> str:
     return with_(words_cte("words", "documents", "doc_id", "text"),
                  f"SELECT term, count(*) AS n FROM (SELECT unnest({grams('words', n)}) AS term FROM words) GROUP BY term")
@@ -304,5 +315,14 @@ WHERE l."Input_id" IS NOT NULL AND NOT EXISTS (SELECT 1 FROM comments c WHERE c.
        CAST(max(length({c})) AS BIGINT) AS longest FROM {src}"""
             for t, c, n, src in [("artist", "artist_name", 255, "artist"), ("song", "song_name", 255, "song"),
                                  ("song", "page_link", 1000, "song"), ("token", "token", 255, "tok")])),
+        "src_csv_catalog": with_(INDEX, "SELECT song_id, token, count FROM tok"),
+        "src_csv_labels": with_(LABELED, 'SELECT "Input_id", labeldjt FROM labeled_data'),
+        "src_json_comments": with_(COMMENTS, """SELECT id, author, author_flair_text, created_utc, link_id, score,
+       CAST(length(body) AS INTEGER) AS body_length FROM comments"""),
+        "sink_csv_report": with_(SENT, share_sql(DAY_EXPR, "date")),
+        "materialize_stage": with_(SENT, """SELECT l."Input_id", l.labeldjt, c.id, c.author, c.author_flair_text,
+       c.created_utc, c.link_id, c.score, CAST(length(c.body) AS INTEGER) AS body_length
+FROM labeled_data l JOIN comments c ON c.id = l."Input_id\""""),
+        "preview_ngrams": _preview(),
     }
     return sql

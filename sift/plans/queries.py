@@ -299,6 +299,159 @@ def q_dq_lengths(spark, sf):
         quality.length_violations(frames[t], t, c, n) for (t, c), n in MAX_LENGTH.items()])
 
 
+# --- sources and sinks (write a scratch file, read it back) ---------------------
+
+def q_src_csv_catalog(spark, sf):
+    """The token table through headerless, double-quoted CSV."""
+    from ..session import new_scratch_path
+    from ..sources import files
+    path = new_scratch_path(spark, "token-csv")
+    toks = index.token_counts(tables.song_texts(spark, sf))
+    files.write_catalog_table(toks.select("song_id", "token", "count"), path)
+    return files.read_catalog_table(spark, path, "token")
+
+
+def q_src_csv_labels(spark, sf):
+    """Labelled comments through CSV with a header (strings only)."""
+    from ..session import new_scratch_path
+    from ..sources import files
+    path = new_scratch_path(spark, "labels-csv")
+    files.write_labeled(tables.labeled_data(spark, sf), path)
+    return files.read_labeled(spark, path)
+
+
+def _comments_json(spark, sf) -> str:
+    from ..session import new_scratch_path
+    from ..sources import files
+    path = new_scratch_path(spark, "comments-json")
+    files.write_json_lines(tables.comments(spark, sf), path, compression="bzip2")
+    return path
+
+
+def q_src_json_comments(spark, sf):
+    """S3: comments through bz2 JSON lines with a declared schema."""
+    from ..sources import files
+    c = files.read_comments(spark, _comments_json(spark, sf))
+    return c.select("id", "author", "author_flair_text", "created_utc", "link_id", "score",
+                    F.length("body").alias("body_length"))
+
+
+def q_sink_csv_report(spark, sf):
+    """The day share table written as CSV by executors, read back."""
+    from ..session import new_scratch_path
+    from ..sources import files, schemas
+    path = new_scratch_path(spark, "days-csv")
+    files.write_report(sentiment.share_by_day(label_scored(spark, sf)), path)
+    return files.read_report(spark, path, schemas.DAYS_REPORT)
+
+
+def q_materialize_stage(spark, sf):
+    """Labelled comments as a parquet stage (built once, then read)."""
+    from ..session import new_scratch_path
+    from ..sources import files
+    path = new_scratch_path(spark, "labeled-comments")
+
+    def build():
+        return sentiment.labeled_comments(tables.labeled_data(spark, sf),
+                                          tables.comments(spark, sf))
+    first = files.stage(spark, path, build)
+    again = files.stage(spark, path, build)  # second call only reads
+    assert first.columns == again.columns
+    return again.select("Input_id", "labeldjt", "id", "author", "author_flair_text",
+                        "created_utc", "link_id", "score", F.length("body").alias("body_length"))
+
+
+def q_preview_ngrams(spark, sf):
+    """The first 99 comments (by id) of a JSON dump with their n-grams."""
+    from ..sources import files
+    c = files.read_comments(spark, _comments_json(spark, sf))
+    first = c.orderBy(F.col("id").cast("long")).limit(99)
+    feats = T.with_features(first, "body")
+    return feats.select("id", "author", F.length("body").alias("body_length"),
+                        F.array_join("features", " ").alias("ngrams"))
+
+
+# --- machine learning (rows-only checks) ------------------------------------------
+
+_MODELS: dict = {}
+
+
+def _labeled(spark, sf):
+    return sentiment.labeled_comments(tables.labeled_data(spark, sf), tables.comments(spark, sf))
+
+
+def trained(spark, sf):
+    """Train once per (application, scale); later ML queries reuse the models."""
+    from ..operators import ml
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _MODELS:
+        _MODELS[key] = ml.train(_labeled(spark, sf))
+    return _MODELS[key]
+
+
+def q_split_train_test(spark, sf):
+    from ..operators import ml
+    feats = ml.labeled_features(_labeled(spark, sf))
+    a, b = ml.split(feats, seed=42)
+    return (a.select("Input_id", F.lit("train").alias("split"))
+            .unionByName(b.select("Input_id", F.lit("test").alias("split"))))
+
+
+def q_ml_features(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+    models, _ = trained(spark, sf)
+    from ..operators import ml
+    vectors = models.vectorizer.transform(ml.labeled_features(_labeled(spark, sf)))
+    active = F.size(F.filter(vector_to_array("counts"), lambda v: v != 0))
+    return vectors.select("Input_id", "positive", "negative", active.alias("n_active"))
+
+
+def q_ml_train(spark, sf):
+    models, _ = trained(spark, sf)
+    rows = []
+    for side in ("pos", "neg"):
+        cvm = getattr(models, side)
+        best = cvm.bestModel
+        rows.append((side, float(max(cvm.avgMetrics)), int(best.numFeatures),
+                     float(best.getRegParam()), int(best.getMaxIter())))
+    return spark.createDataFrame(
+        rows, "model string, cv_auc double, num_features int, reg_param double, max_iter int")
+
+
+def q_ml_evaluate(spark, sf):
+    from ..operators import ml
+    models, halves = trained(spark, sf)
+    auc = ml.evaluate(models, halves)
+    return spark.createDataFrame([(k, float(v)) for k, v in auc.items()],
+                                 "model string, test_auc double")
+
+
+def _scoring_input(spark, sf):
+    return sentiment.comments_with_title(tables.comments(spark, sf),
+                                         tables.submissions(spark, sf))
+
+
+def q_ml_score(spark, sf):
+    from ..operators import ml
+    models, _ = trained(spark, sf)
+    return ml.score(_scoring_input(spark, sf), models)
+
+
+def q_ml_save_load(spark, sf):
+    from ..operators import ml
+    from ..session import new_scratch_path
+    models, _ = trained(spark, sf)
+    path = new_scratch_path(spark, "models")
+    models.save(path)
+    loaded = ml.SentimentModels.load(path)
+    return ml.score(_scoring_input(spark, sf), loaded)
+
+
+def q_ml_share_by_day(spark, sf):
+    """The reference's end-to-end path: classifier flags -> daily shares."""
+    return sentiment.share_by_day(q_ml_score(spark, sf))
+
+
 QUERIES = {
     "doc_frequency": q_doc_frequency,
     "tfidf_scores": q_tfidf_scores,
@@ -337,4 +490,17 @@ QUERIES = {
     "dq_duplicate_keys": q_dq_duplicate_keys,
     "dq_orphans": q_dq_orphans,
     "dq_lengths": q_dq_lengths,
+    "src_csv_catalog": q_src_csv_catalog,
+    "src_csv_labels": q_src_csv_labels,
+    "src_json_comments": q_src_json_comments,
+    "sink_csv_report": q_sink_csv_report,
+    "materialize_stage": q_materialize_stage,
+    "preview_ngrams": q_preview_ngrams,
+    "split_train_test": q_split_train_test,
+    "ml_features": q_ml_features,
+    "ml_train": q_ml_train,
+    "ml_evaluate": q_ml_evaluate,
+    "ml_score": q_ml_score,
+    "ml_save_load": q_ml_save_load,
+    "ml_share_by_day": q_ml_share_by_day,
 }
