@@ -39,8 +39,11 @@ _P = r"!?.\-,';:"  # KEPT_PUNCTUATION, escaped for a character class
 
 _RE_URL = rf"(?U)http[^{_WS}]*"
 _RE_DISALLOWED = rf"(?U)[^{_WS}A-Za-z0-9{_P}]"
-_RE_TRAILING = rf"(?U)[{_P}]+(?=[{_WS}]|$)"
-_RE_SPLIT = rf"(?U)[{_WS}]+"
+# One pass for both deletions: a URL never starts with a deleted character,
+# so deleting URLs first and characters second gives the same text.
+_RE_URL_OR_DISALLOWED = rf"(?U)http[^{_WS}]*|[^{_WS}A-Za-z0-9{_P}]"
+# Word separator that also swallows a word's trailing punctuation run.
+_RE_WORD_END = rf"(?U)[{_P}]*+(?:[{_WS}]+|$)"
 _RE_ENDS_WS = rf"(?U)([^{_WS}{_P}]*)([{_P}]*)([{_WS}])"
 _RE_ENDS_EOL = rf"(?U)([^{_WS}{_P}]*)([{_P}]*)$"
 
@@ -83,19 +86,18 @@ def strip_links(text: Column) -> Column:
 def _clean_chars(text: Column) -> Column:
     """lower-case, links, bare URLs, disallowed characters."""
     t = strip_links(F.lower(text))
-    t = F.regexp_replace(t, _RE_URL, "")
-    return F.regexp_replace(t, _RE_DISALLOWED, "")
+    return F.regexp_replace(t, _RE_URL_OR_DISALLOWED, "")
 
 
 def clean_words(text: Column) -> Column:
     """The cleaned unigram array of a text.
 
     Splitting trailing punctuation off a word and then dropping
-    pure-punctuation words is the same as deleting each word's trailing run
-    of kept punctuation and dropping empty words.
+    pure-punctuation words is the same as cutting each word's trailing run
+    of kept punctuation and dropping empty words; the split pattern does the
+    cut, so the whole text is scanned twice (deletions, split).
     """
-    t = F.regexp_replace(_clean_chars(text), _RE_TRAILING, "")
-    return F.array_remove(F.split(t, _RE_SPLIT), "")
+    return F.array_remove(F.split(_clean_chars(text), _RE_WORD_END), "")
 
 
 def clean_text(text: Column) -> Column:

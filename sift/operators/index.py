@@ -19,6 +19,8 @@ Plan at scale:
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -69,3 +71,27 @@ def write_index(scores: DataFrame, path: str, partitions: int | None = None) ->
     (scores.repartitionByRange(n, "token", "song_id")
      .sortWithinPartitions("token", "song_id")
      .write.mode("overwrite").parquet(path))
+
+
+@dataclass
+class Index:
+    tokens: DataFrame   # token(song_id, token, count)
+    scores: DataFrame   # tfidf(song_id, token, score), clustered by token
+    totals: DataFrame   # (song_id, total)
+
+
+def build(texts: DataFrame, songs: DataFrame, path: str,
+          partitions: int | None = None) -> Index:
+    """Build and persist the index under ``path`` (a shared folder).
+
+    The token table is written once and read back, so the text cleaning runs
+    once even though counts and frequencies both read it, and later failures
+    recompute from the files rather than from raw text. The score table is
+    written clustered by token (see ``write_index``).
+    """
+    spark = texts.sparkSession
+    token_counts(texts).write.mode("overwrite").parquet(f"{path}/token")
+    tokens = spark.read.parquet(f"{path}/token")
+    write_index(tfidf(tokens, songs), f"{path}/tfidf", partitions)
+    scores = spark.read.parquet(f"{path}/tfidf")
+    return Index(tokens, scores, song_totals(scores))

@@ -6,7 +6,7 @@ tuned by 5-fold cross-validation over regParam [1.0], maxIter 10; then score
 comments with both models on one frame and threshold P(class 1) at 0.2 and
 0.25.
 
-Differences: splits and folds are seeded; each model writes its own
+Differences: splits and folds are seeded hashes of the row key; each model writes its own
 probability / prediction columns, so both score one frame without dropping
 columns in between; the vectorizer is saved with the models (the reference
 refits it on every run, which can shift feature indices under a loaded
@@ -88,20 +88,28 @@ def evaluator(side: str) -> BinaryClassificationEvaluator:
     return BinaryClassificationEvaluator(labelCol=SIDES[side], rawPredictionCol=f"{side}_raw")
 
 
+def _bucket(key: str, seed: int, buckets: int):
+    """A stable bucket of the row key: the same on any partition layout and
+    on every rerun (``randomSplit`` and CV's own folds depend on layout)."""
+    return F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(buckets)).cast("int")
+
+
 def train_side(vectors: DataFrame, side: str, reg_params=REG_PARAMS, max_iter: int = MAX_ITER,
-               folds: int = NUM_FOLDS, seed: int = 7, parallelism: int = 2) -> CrossValidatorModel:
-    """M3-M5, M7: cross-validated logistic regression for one side."""
+               folds: int = NUM_FOLDS, seed: int = 7, parallelism: int = 2,
+               key: str = "Input_id") -> CrossValidatorModel:
+    """M3-M5, M7: cross-validated logistic regression for one side; folds
+    come from a hash of the row key."""
     lr = _estimator(side, max_iter)
     grid = ParamGridBuilder().addGrid(lr.regParam, list(reg_params)).build()
     cv = CrossValidator(estimator=lr, evaluator=evaluator(side), estimatorParamMaps=grid,
-                        numFolds=folds, seed=seed, parallelism=parallelism)
-    return cv.fit(vectors)
+                        numFolds=folds, foldCol="fold", parallelism=parallelism)
+    return cv.fit(vectors.withColumn("fold", _bucket(key, seed, folds)))
 
 
-def split(vectors: DataFrame, seed: int) -> tuple[DataFrame, DataFrame]:
-    """50/50 split (seeded)."""
-    a, b = vectors.randomSplit([0.5, 0.5], seed=seed)
-    return a, b
+def split(vectors: DataFrame, seed: int, key: str = "Input_id") -> tuple[DataFrame, DataFrame]:
+    """50/50 split by a seeded hash of the row key."""
+    half = _bucket(key, seed, 2)
+    return vectors.where(half == 0), vectors.where(half == 1)
 
 
 def train(labeled_comments: DataFrame, seed: int = 42, **kw) -> tuple[SentimentModels, dict]:

@@ -22,13 +22,17 @@ PAGE_NUMBER = 2
 
 # --- shared builders -------------------------------------------------------
 
+def built_index(spark: SparkSession, sf: str) -> index.Index:
+    """The persisted index of the songs at ``sf`` (written to scratch)."""
+    from ..session import new_scratch_path
+    return index.build(tables.song_texts(spark, sf), tables.songs(spark, sf),
+                       new_scratch_path(spark, "index"))
+
+
 def catalog(spark: SparkSession, sf: str):
     """(scores, totals, songs, artists) of the search index."""
-    song = tables.songs(spark, sf)
-    art = tables.artists(spark, sf)
-    toks = index.token_counts(tables.song_texts(spark, sf))
-    scores = index.tfidf(toks, song)
-    return scores, index.song_totals(scores), song, art
+    idx = built_index(spark, sf)
+    return idx.scores, idx.totals, tables.songs(spark, sf), tables.artists(spark, sf)
 
 
 def batch_results(spark: SparkSession, sf: str) -> DataFrame:
@@ -76,8 +80,7 @@ def _term_counts(spark: SparkSession, sf: str, n: int) -> DataFrame:
 # --- search ------------------------------------------------------------------
 
 def q_doc_frequency(spark, sf):
-    toks = index.token_counts(tables.song_texts(spark, sf))
-    return index.doc_frequency(toks)
+    return index.doc_frequency(built_index(spark, sf).tokens)
 
 
 def q_tfidf_scores(spark, sf):
@@ -269,8 +272,9 @@ def q_report_scores(spark, sf):
 # --- data quality ----------------------------------------------------------------
 
 def q_dq_duplicate_keys(spark, sf):
-    scores, _, song, art = catalog(spark, sf)
-    toks = index.token_counts(tables.song_texts(spark, sf))
+    idx = built_index(spark, sf)
+    scores, toks = idx.scores, idx.tokens
+    song, art = tables.songs(spark, sf), tables.artists(spark, sf)
     return quality.union_all([
         quality.duplicate_keys(art, "artist", ["artist_id"]),
         quality.duplicate_keys(song, "song", ["song_id"]),
@@ -280,8 +284,8 @@ def q_dq_duplicate_keys(spark, sf):
 
 
 def q_dq_orphans(spark, sf):
-    _, _, song, art = catalog(spark, sf)
-    toks = index.token_counts(tables.song_texts(spark, sf))
+    toks = built_index(spark, sf).tokens
+    song, art = tables.songs(spark, sf), tables.artists(spark, sf)
     return quality.union_all([
         quality.orphans(song, art, "artist_id", "artist_id", "song.artist_id -> artist"),
         quality.orphans(toks, song, "song_id", "song_id", "token.song_id -> song"),
@@ -292,8 +296,8 @@ def q_dq_orphans(spark, sf):
 
 def q_dq_lengths(spark, sf):
     from ..sources.schemas import MAX_LENGTH
-    _, _, song, art = catalog(spark, sf)
-    toks = index.token_counts(tables.song_texts(spark, sf))
+    toks = built_index(spark, sf).tokens
+    song, art = tables.songs(spark, sf), tables.artists(spark, sf)
     frames = {"artist": art, "song": song, "token": toks}
     return quality.union_all([
         quality.length_violations(frames[t], t, c, n) for (t, c), n in MAX_LENGTH.items()])

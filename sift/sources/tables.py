@@ -51,8 +51,27 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders",
           "benchmark", "labels", "conversations"]
 
 
+# Tables whose rows carry long texts: the per-row work (regexes, n-grams)
+# dominates, so a scan with fewer splits than cores is spread out first.
+TEXT_TABLES = {"documents"}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Hash-spread a scan over the cluster's cores when it has fewer splits.
+
+    A large input already has far more splits than cores and is returned
+    unchanged (no shuffle); a small one (a single row group) would otherwise
+    clean all its text in one task.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *[c for c in df.columns[:1]])
 
 
 # --- search catalog --------------------------------------------------------
