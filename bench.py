@@ -4,6 +4,10 @@
 
 Each query is run to completion with the ``noop`` sink (full computation,
 no collection to the driver). Prints one JSON line.
+
+``tfidf_scores`` builds and stores the search index (token and score
+tables); the search queries after it read that stored index, as the
+reference's searches read its precomputed score table.
 """
 
 from __future__ import annotations

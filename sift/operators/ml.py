@@ -19,8 +19,11 @@ terms), and the model coefficients are one vector of that size.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
+
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
@@ -117,14 +120,15 @@ def train(labeled_comments: DataFrame, seed: int = 42, **kw) -> tuple[SentimentM
     as the reference does. Returns the models and the held-out halves."""
     feats = labeled_features(labeled_comments)
     vectorizer = fit_vectorizer(feats)
-    vectors = vectorizer.transform(feats).cache()
-    halves = {}
-    models = {}
-    for i, side in enumerate(SIDES):
-        train_half, test_half = split(vectors, seed + i)
-        models[side] = train_side(train_half, side, **kw)
-        halves[side] = test_half
-    return SentimentModels(vectorizer, models["pos"], models["neg"]), halves
+    vectors = vectorizer.transform(feats).persist(StorageLevel.MEMORY_AND_DISK)
+    halves = {side: split(vectors, seed + i) for i, side in enumerate(SIDES)}
+    # The two sides are independent: submit their jobs from two driver
+    # threads so the scheduler interleaves them on the executors.
+    with ThreadPoolExecutor(max_workers=len(SIDES)) as pool:
+        futures = {side: pool.submit(train_side, halves[side][0], side, **kw) for side in SIDES}
+        models = {side: f.result() for side, f in futures.items()}
+    held_out = {side: halves[side][1] for side in SIDES}
+    return SentimentModels(vectorizer, models["pos"], models["neg"]), held_out
 
 
 def evaluate(models: SentimentModels, halves: dict) -> dict[str, float]:
