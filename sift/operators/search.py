@@ -151,3 +151,23 @@ def ordered_page(results: DataFrame, page_num: int, size: int = paging.PAGE_SIZE
     """O2/O3 without a stored rank: top-k with offset (TakeOrderedAndProject)."""
     return (results.orderBy(F.desc("score"), F.asc("song_id"))
             .offset((page_num - 1) * size).limit(size))
+
+
+def write_snapshot(results: DataFrame, path: str) -> None:
+    """Store ranked results for paging.
+
+    ``rank_within`` leaves rows range-partitioned and sorted by (query, rank),
+    so each file covers a contiguous run of queries and ranks; parquet
+    min/max statistics then let a page read skip every other row group.
+    Unlike the reference's single global view, one snapshot holds many
+    queries and concurrent users do not overwrite each other.
+    """
+    results.write.mode("overwrite").parquet(path)
+
+
+def read_page(spark: SparkSession, path: str, query_id: int, page_num: int,
+              size: int = paging.PAGE_SIZE) -> DataFrame:
+    """O2/O3 on a snapshot: ``query_id = q AND rank IN (lo, hi]`` is pushed
+    to the parquet scan."""
+    snap = spark.read.parquet(path).where(F.col("query_id") == query_id)
+    return page(snap, page_num, size).orderBy("rank")

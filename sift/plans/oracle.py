@@ -324,5 +324,6 @@ WHERE l."Input_id" IS NOT NULL AND NOT EXISTS (SELECT 1 FROM comments c WHERE c.
        c.created_utc, c.link_id, c.score, CAST(length(c.body) AS INTEGER) AS body_length
 FROM labeled_data l JOIN comments c ON c.id = l."Input_id\""""),
         "preview_ngrams": _preview(),
+        "stream_share_by_day": with_(SENT, share_sql(DAY_EXPR, "date")),
     }
     return sql

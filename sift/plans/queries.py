@@ -123,7 +123,11 @@ def q_search_result_count(spark, sf):
 
 
 def q_search_page(spark, sf):
-    return search.page(batch_results(spark, sf), PAGE_NUMBER).select(
+    """Page 2 of every query, read from a stored result snapshot."""
+    from ..session import new_scratch_path
+    path = new_scratch_path(spark, "results")
+    search.write_snapshot(batch_results(spark, sf), path)
+    return search.page(spark.read.parquet(path), PAGE_NUMBER).select(
         "query_id", "rank", "song_id", "song", "artist_name", "page_link", "score")
 
 
@@ -470,6 +474,28 @@ def q_ml_share_by_day(spark, sf):
     return sentiment.share_by_day(q_ml_score(spark, sf))
 
 
+# --- streaming ----------------------------------------------------------------------
+
+def q_stream_share_by_day(spark, sf):
+    """The day share table kept by a streaming query: scored comments are
+    landed as files in two batches, the stream processes both, and the
+    result table equals the batch ``share_by_day``."""
+    from ..session import new_scratch_path
+    from ..streaming.shares import run_share_by_day
+    scored = label_scored(spark, sf).select("id", "created_utc", "pos", "neg")
+    src = new_scratch_path(spark, "stream-src")
+    half = F.pmod(F.xxhash64("id"), F.lit(2))
+    out = new_scratch_path(spark, "stream-out")
+    ckpt = new_scratch_path(spark, "stream-ckpt")
+    scored.where(half == 0).write.parquet(f"{src}/part=0")
+    run_share_by_day(spark, src, scored.schema, out, ckpt).awaitTermination()
+    # Second landing: the restarted query reads only the new files and
+    # carries the per-day state over from its checkpoint.
+    scored.where(half == 1).write.parquet(f"{src}/part=1")
+    run_share_by_day(spark, src, scored.schema, out, ckpt).awaitTermination()
+    return spark.read.parquet(out)
+
+
 QUERIES = {
     "doc_frequency": q_doc_frequency,
     "tfidf_scores": q_tfidf_scores,
@@ -521,4 +547,5 @@ QUERIES = {
     "ml_score": q_ml_score,
     "ml_save_load": q_ml_save_load,
     "ml_share_by_day": q_ml_share_by_day,
+    "stream_share_by_day": q_stream_share_by_day,
 }

@@ -83,3 +83,17 @@ def test_rank_within_matches_row_number_under_skew(spark):
     expected = df.withColumn("rank", F.row_number().over(w))
     assert ranked.select("g", "id", "rank").exceptAll(expected.select("g", "id", "rank")).count() == 0
     assert ranked.count() == df.count()
+
+
+def test_snapshot_page_read_pushes_filters(spark):
+    from sift.session import new_scratch_path
+    scores, totals, songs, artists = _catalog(spark)
+    q = spark.createDataFrame([(0, "love you me", "or"), (1, "hello", "or")],
+                              "query_id long, text string, mode string")
+    res = search.search_batch(scores, totals, songs, artists, q, num_queries=2)
+    path = new_scratch_path(spark, "snap-test")
+    search.write_snapshot(res, path)
+    page = search.read_page(spark, path, 0, 1, size=2)
+    assert [r["rank"] for r in page.collect()] == [1, 2]
+    plan = page._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan and "rank" in plan
