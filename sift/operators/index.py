@@ -77,21 +77,34 @@ def write_index(scores: DataFrame, path: str, partitions: int | None = None) ->
 class Index:
     tokens: DataFrame   # token(song_id, token, count)
     scores: DataFrame   # tfidf(song_id, token, score), clustered by token
-    totals: DataFrame   # (song_id, total)
+    totals: DataFrame   # (song_id, total), clustered by song
+    songs: DataFrame    # song(song_id, artist_id, song_name, page_link)
+    artists: DataFrame  # artist(artist_id, artist_name)
 
 
-def build(texts: DataFrame, songs: DataFrame, path: str,
+def build(texts: DataFrame, songs: DataFrame, artists: DataFrame, path: str,
           partitions: int | None = None) -> Index:
-    """Build and persist the index under ``path`` (a shared folder).
-
-    The token table is written once and read back, so the text cleaning runs
-    once even though counts and frequencies both read it, and later failures
-    recompute from the files rather than from raw text. The score table is
-    written clustered by token (see ``write_index``).
+    """Build and persist the search catalog and index under ``path`` (a
+    shared folder); every later search reads only these stored tables.
+
+    * token: written once and read back, so text cleaning runs once although
+      counts and frequencies both read it, and later failures recompute from
+      files rather than from raw text;
+    * tfidf: clustered by token (see ``write_index``);
+    * totals: the query-independent score of each song, aggregated once here
+      instead of in every search;
+    * song, artist: the catalog the results are named from.
     """
     spark = texts.sparkSession
-    token_counts(texts).write.mode("overwrite").parquet(f"{path}/token")
-    tokens = spark.read.parquet(f"{path}/token")
-    write_index(tfidf(tokens, songs), f"{path}/tfidf", partitions)
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{path}/{name}")
+        return spark.read.parquet(f"{path}/{name}")
+
+    song = stored(songs, "song")
+    artist = stored(artists, "artist")
+    tokens = stored(token_counts(texts), "token")
+    write_index(tfidf(tokens, song), f"{path}/tfidf", partitions)
     scores = spark.read.parquet(f"{path}/tfidf")
-    return Index(tokens, scores, song_totals(scores))
+    totals = stored(song_totals(scores), "totals")
+    return Index(tokens, scores, totals, song, artist)

@@ -38,7 +38,8 @@ def built_index(spark: SparkSession, sf: str, rebuild: bool = False) -> index.In
     cached = _INDEXES.get(key)
     if rebuild or cached is None or not path_exists(spark, cached[0] + "/tfidf/_SUCCESS"):
         path = new_scratch_path(spark, "index")
-        idx = index.build(tables.song_texts(spark, sf), tables.songs(spark, sf), path)
+        idx = index.build(tables.song_texts(spark, sf), tables.songs(spark, sf),
+                          tables.artists(spark, sf), path)
         _INDEXES[key] = (path, idx)
     return _INDEXES[key][1]
 
@@ -46,7 +47,7 @@ def built_index(spark: SparkSession, sf: str, rebuild: bool = False) -> index.In
 def catalog(spark: SparkSession, sf: str):
     """(scores, totals, songs, artists) of the search index."""
     idx = built_index(spark, sf)
-    return idx.scores, idx.totals, tables.songs(spark, sf), tables.artists(spark, sf)
+    return idx.scores, idx.totals, idx.songs, idx.artists
 
 
 def batch_results(spark: SparkSession, sf: str) -> DataFrame:
@@ -291,8 +292,7 @@ def q_report_scores(spark, sf):
 
 def q_dq_duplicate_keys(spark, sf):
     idx = built_index(spark, sf)
-    scores, toks = idx.scores, idx.tokens
-    song, art = tables.songs(spark, sf), tables.artists(spark, sf)
+    scores, toks, song, art = idx.scores, idx.tokens, idx.songs, idx.artists
     return quality.union_all([
         quality.duplicate_keys(art, "artist", ["artist_id"]),
         quality.duplicate_keys(song, "song", ["song_id"]),
@@ -302,8 +302,8 @@ def q_dq_duplicate_keys(spark, sf):
 
 
 def q_dq_orphans(spark, sf):
-    toks = built_index(spark, sf).tokens
-    song, art = tables.songs(spark, sf), tables.artists(spark, sf)
+    idx = built_index(spark, sf)
+    toks, song, art = idx.tokens, idx.songs, idx.artists
     return quality.union_all([
         quality.orphans(song, art, "artist_id", "artist_id", "song.artist_id -> artist"),
         quality.orphans(toks, song, "song_id", "song_id", "token.song_id -> song"),
@@ -314,8 +314,8 @@ def q_dq_orphans(spark, sf):
 
 def q_dq_lengths(spark, sf):
     from ..sources.schemas import MAX_LENGTH
-    toks = built_index(spark, sf).tokens
-    song, art = tables.songs(spark, sf), tables.artists(spark, sf)
+    idx = built_index(spark, sf)
+    toks, song, art = idx.tokens, idx.songs, idx.artists
     frames = {"artist": art, "song": song, "token": toks}
     return quality.union_all([
         quality.length_violations(frames[t], t, c, n) for (t, c), n in MAX_LENGTH.items()])
