@@ -50,8 +50,13 @@ def epoch_to_date(seconds: Column) -> Column:
 
 
 def ntz_to_epoch(ts: Column) -> Column:
-    """Whole epoch seconds of a timestamp without time zone (read as UTC)."""
-    return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
+    """Whole epoch seconds of a timestamp without time zone, read as UTC.
+
+    Built from the calendar fields, which a zone-less timestamp carries as
+    is; casting to a zoned timestamp would apply the session zone's offset
+    (and its daylight-saving jumps)."""
+    return (F.unix_date(F.to_date(ts)).cast("long") * SECONDS_PER_DAY
+            + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.floor(F.second(ts))).cast("long")
 
 
 def class_one_above(probability: Column, threshold: float) -> Column:

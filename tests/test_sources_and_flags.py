@@ -80,3 +80,17 @@ def test_report_roundtrip(spark):
     files.write_report(df, path)
     back = files.read_report(spark, path, schemas.DAYS_REPORT).first()
     assert back["pos_share"] == 1 / 3 and str(back["date"]) == "2024-01-02"
+
+
+def test_epoch_of_zoneless_timestamp_ignores_session_zone(spark):
+    import datetime
+    df = spark.createDataFrame([(datetime.datetime(2024, 7, 1, 12, 30, 5, 900000),)],
+                               "ts timestamp_ntz")
+    want = int(datetime.datetime(2024, 7, 1, 12, 30, 5, tzinfo=datetime.timezone.utc).timestamp())
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ["UTC", "America/Los_Angeles", "Asia/Kolkata"]:
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            assert df.select(flags.ntz_to_epoch(F.col("ts"))).first()[0] == want, zone
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
