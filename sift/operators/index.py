@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -107,7 +108,11 @@ def build(texts: DataFrame, songs: DataFrame, artists: DataFrame, path: str,
     song = stored(songs, "song")
     artist = stored(artists, "artist")
     tokens = stored(token_counts(texts), "token")
-    write_index(tfidf(tokens, song), f"{path}/tfidf", partitions)
+    # The range partitioner samples its input before the shuffle; keeping
+    # the scores (memory, spilling to disk) avoids computing them twice.
+    scored = tfidf(tokens, song).persist(StorageLevel.MEMORY_AND_DISK)
+    write_index(scored, f"{path}/tfidf", partitions)
+    scored.unpersist()
     scores = spark.read.parquet(f"{path}/tfidf")
     totals = stored(song_totals(scores), "totals")
     return Index(tokens, scores, totals, song, artist)

@@ -115,12 +115,32 @@ def split(vectors: DataFrame, seed: int, key: str = "Input_id") -> tuple[DataFra
     return vectors.where(half == 0), vectors.where(half == 1)
 
 
+ROWS_PER_TRAINING_PARTITION = 50_000
+
+
+def sized_for_training(vectors: DataFrame,
+                       rows_per_partition: int = ROWS_PER_TRAINING_PARTITION) -> DataFrame:
+    """Persist the training vectors in partitions sized by row count.
+
+    Every optimizer iteration is one distributed aggregation; on a small
+    labelled set, per-task overhead dominates (one fit: 5.0 s on 8
+    partitions, 1.4 s on 1, same model), while a large one keeps one
+    partition per ``rows_per_partition`` rows.
+    """
+    rows = vectors.count()
+    target = max(1, -(-rows // rows_per_partition))
+    if target < vectors.rdd.getNumPartitions():
+        vectors = vectors.coalesce(target)
+    return vectors.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def train(labeled_comments: DataFrame, seed: int = 42, **kw) -> tuple[SentimentModels, dict]:
     """Fit vectorizer and both classifiers; each side on its own random half,
     as the reference does. Returns the models and the held-out halves."""
-    feats = labeled_features(labeled_comments)
+    feats = labeled_features(labeled_comments).persist(StorageLevel.MEMORY_AND_DISK)
     vectorizer = fit_vectorizer(feats)
-    vectors = vectorizer.transform(feats).persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = sized_for_training(vectorizer.transform(feats))
+    feats.unpersist()
     halves = {side: split(vectors, seed + i) for i, side in enumerate(SIDES)}
     # The two sides are independent: submit their jobs from two driver
     # threads so the scheduler interleaves them on the executors.
