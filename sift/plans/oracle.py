@@ -9,6 +9,7 @@ here and covered by inline fixtures in ``tests/`` instead.
 
 from __future__ import annotations
 
+from ..functions.paging import SITE_PREFIX
 from ..sources.tables import STATES
 from . import queries as Q
 
@@ -229,6 +230,9 @@ info AS (SELECT query_id, page, num_results,
        least((page - 1) * 20 + 20, num_results) AS last_result,
        {PAGE_LIST} AS page_list
 FROM info"""),
+        "search_or_page": with_(single(Q.OR_QUERY, "or"), f"""SELECT song_id, song, artist_name,
+       {_sql_str(SITE_PREFIX)} || page_link AS url, score
+FROM results ORDER BY score DESC, song_id LIMIT 20 OFFSET ({Q.PAGE_NUMBER} - 1) * 20"""),
         "query_tokens": with_(BATCH, """SELECT query_id, CAST(unnest(range(0, len(toks))) AS INTEGER) AS position,
        unnest(toks) AS token FROM qtok"""),
         "clean_tokens": with_(words_cte("words", "documents", "doc_id", "text"),

@@ -14,7 +14,9 @@ from ..functions import text as T
 from ..operators import index, quality, reports, sampling, search, sentiment
 from ..sources import tables
 
-# Parameters of the single-query searches (the web form's inputs).
+# Parameters of the single-query searches (the web form's inputs). Queries
+# are not lower-cased (as in the reference), so "Thunder" matches nothing in
+# the lower-case index while "the" and "ocean" do.
 OR_QUERY = "Thunder, the ocean!"
 AND_QUERY = "of the"
 PAGE_NUMBER = 2
@@ -150,6 +152,16 @@ def q_search_page_info(spark, sf):
                        listed.alias("page_list"))
 
 
+def q_search_or_page(spark, sf):
+    """O3 without a stored rank: page 2 of the interactive OR query by
+    offset/limit (a bounded top-k, no full sort), with full links (F27)."""
+    from ..functions.paging import full_link
+    scores, totals, song, art = catalog(spark, sf)
+    found = search.search_one(spark, scores, totals, song, art, OR_QUERY, "or")
+    return search.ordered_page(found, PAGE_NUMBER).select(
+        "song_id", "song", "artist_name", full_link(F.col("page_link")).alias("url"), "score")
+
+
 def q_query_tokens(spark, sf):
     queries = tables.search_queries(spark, sf)
     return queries.select("query_id", F.posexplode(T.query_tokens(F.col("text")))
@@ -233,6 +245,13 @@ def q_story_scores(spark, sf):
     return label_scored(spark, sf).select("id", "pos", "neg", "cscore", "sscore", "sid")
 
 
+def q_sample_comments_bernoulli(spark, sf):
+    """P13 as the reference draws it: Bernoulli 2%, seed 0 (depends on the
+    partition layout, so checked by row count only)."""
+    c = tables.comments(spark, sf)
+    return sampling.random_sample(c).select("id", "created_utc", "link_id")
+
+
 def q_sample_comments(spark, sf):
     c = tables.comments(spark, sf)
     return sampling.hash_sample(c, "id").select("id", "created_utc", "link_id")
@@ -505,6 +524,7 @@ QUERIES = {
     "search_result_count": q_search_result_count,
     "search_page": q_search_page,
     "search_page_info": q_search_page_info,
+    "search_or_page": q_search_or_page,
     "query_tokens": q_query_tokens,
     "clean_tokens": q_clean_tokens,
     "unigram_counts": q_unigram_counts,
@@ -520,6 +540,7 @@ QUERIES = {
     "comments_with_title": q_comments_with_title,
     "story_scores": q_story_scores,
     "sample_comments": q_sample_comments,
+    "sample_comments_bernoulli": q_sample_comments_bernoulli,
     "share_overall": q_share_overall,
     "share_by_day": q_share_by_day,
     "share_by_state": q_share_by_state,
