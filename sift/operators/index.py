@@ -116,3 +116,9 @@ def build(texts: DataFrame, songs: DataFrame, artists: DataFrame, path: str,
     scores = spark.read.parquet(f"{path}/tfidf")
     totals = stored(song_totals(scores), "totals")
     return Index(tokens, scores, totals, song, artist)
+
+
+def open_index(spark, path: str) -> Index:
+    """Open an index stored by ``build`` (e.g. from another application)."""
+    read = lambda name: spark.read.parquet(f"{path}/{name}")
+    return Index(read("token"), read("tfidf"), read("totals"), read("song"), read("artist"))

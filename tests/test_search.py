@@ -112,3 +112,19 @@ def test_split_hot_join_equals_plain_join(spark):
     assert ours.exceptAll(plain.select(*ours.columns)).count() == 0
     plan = ours._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
+
+
+def test_index_build_and_open(spark):
+    from sift.session import new_scratch_path
+    texts = spark.createDataFrame([(1, "a b"), (2, "b c")], "song_id long, text string")
+    songs = spark.createDataFrame([(1, 1, "x", "/1"), (2, 1, "y", "/2")],
+                                  "song_id long, artist_id long, song_name string, page_link string")
+    artists = spark.createDataFrame([(1, "z")], "artist_id long, artist_name string")
+    path = new_scratch_path(spark, "index-test")
+    built = index.build(texts, songs, artists, path)
+    opened = index.open_index(spark, path)
+    assert opened.scores.count() == built.scores.count() == 4
+    df = {r["token"]: r for r in index.doc_frequency(opened.tokens).collect()}
+    assert df["b"]["df"] == 2 and df["a"]["df"] == 1
+    # "b" is in every song: log10(2/2) = 0
+    assert all(r["score"] == 0.0 for r in opened.scores.where("token = 'b'").collect())
