@@ -44,20 +44,27 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", app_name="sift-bench",
                           shuffle_partitions=max(8, 2 * cpus),
                           extra={"spark.driver.memory": "16g"})
-    timings = {}
+    timings, errors = {}, {}
     for name in HEADLINE:
         t0 = time.perf_counter()
-        df = Q.QUERIES[name](spark, sf_dir)
-        df.write.format("noop").mode("overwrite").save()
-        timings[name] = round(time.perf_counter() - t0, 3)
+        try:
+            df = Q.QUERIES[name](spark, sf_dir)
+            df.write.format("noop").mode("overwrite").save()
+            timings[name] = round(time.perf_counter() - t0, 3)
+        except Exception as e:  # noqa: BLE001 - report, keep measuring the rest
+            timings[name] = None
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
     m = re.search(r"sf([0-9.]+)", sf_dir)
-    print(json.dumps({
+    out = {
         "metric": "headline_total",
-        "value": round(sum(timings.values()), 3),
+        "value": round(sum(v for v in timings.values() if v is not None), 3),
         "unit": "sec",
         "queries": timings,
         "sf": float(m.group(1)) if m else sf_dir,
-    }))
+    }
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
     spark.stop()
 
 
