@@ -37,10 +37,10 @@ LINK_MARK = "](http"
 _WS = r"\s\x1c-\x1f"
 _P = r"!?.\-,';:"  # KEPT_PUNCTUATION, escaped for a character class
 
-_RE_URL = rf"(?U)http[^{_WS}]*"
-_RE_DISALLOWED = rf"(?U)[^{_WS}A-Za-z0-9{_P}]"
-# One pass for both deletions: a URL never starts with a deleted character,
-# so deleting URLs first and characters second gives the same text.
+# URLs (``http`` up to whitespace) and characters outside letters, digits,
+# whitespace and the kept punctuation are both deleted, in one pass: a URL
+# never starts with a deleted character, so deleting URLs first and
+# characters second gives the same text.
 _RE_URL_OR_DISALLOWED = rf"(?U)http[^{_WS}]*|[^{_WS}A-Za-z0-9{_P}]"
 # Word separator that also swallows a word's trailing punctuation run.
 _RE_WORD_END = rf"(?U)[{_P}]*+(?:[{_WS}]+|$)"

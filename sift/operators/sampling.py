@@ -1,4 +1,4 @@
-"""Sampling and splitting.
+"""Sampling (P13); the 50/50 split (P14) is ``ml.split``.
 
 ``df.sample`` draws per partition, so the same seed gives different rows
 after a repartition. ``hash_sample`` keeps a row when the md5 of its key
@@ -31,9 +31,3 @@ def random_sample(df: DataFrame, fraction: float = SAMPLE_FRACTION,
                   seed: int = SAMPLE_SEED) -> DataFrame:
     """The reference's Bernoulli sample without replacement."""
     return df.sample(withReplacement=False, fraction=fraction, seed=seed)
-
-
-def split_halves(df: DataFrame, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """50/50 random split, seeded (the reference leaves it unseeded)."""
-    first, second = df.randomSplit([0.5, 0.5], seed=seed)
-    return first, second
