@@ -43,13 +43,15 @@ def doc_frequency(tokens: DataFrame) -> DataFrame:
     return tokens.groupBy("token").agg(F.count("song_id").alias("df"))
 
 
-def tfidf(tokens: DataFrame, songs: DataFrame) -> DataFrame:
+def tfidf(tokens: DataFrame, songs: DataFrame, frequencies: DataFrame | None = None) -> DataFrame:
     """score = count * log10(N / df), N = number of songs.
 
-    ``log10`` because the reference's database ``LOG`` is base 10.
+    ``log10`` because the reference's database ``LOG`` is base 10. Pass a
+    stored ``doc_frequency`` table as ``frequencies`` when there is one: the
+    skew split reads it several times.
     """
     n_songs = songs.select(F.count("song_id")).scalar()
-    df = doc_frequency(tokens)
+    df = doc_frequency(tokens) if frequencies is None else frequencies
     # A token in most songs owns a large share of the postings; frequent
     # tokens join by bounded broadcast, the rest by a balanced shuffle.
     return (split_hot_join(tokens, df, "token", "df")
@@ -94,6 +96,8 @@ def build(texts: DataFrame, songs: DataFrame, artists: DataFrame, path: str,
     * token: written once and read back, so text cleaning runs once although
       counts and frequencies both read it, and later failures recompute from
       files rather than from raw text;
+    * dfreq: document frequency per token, aggregated once and read by each
+      branch of the hot/cold split;
     * tfidf: clustered by token (see ``write_index``);
     * totals: the query-independent score of each song, aggregated once here
       instead of in every search;
@@ -108,9 +112,10 @@ def build(texts: DataFrame, songs: DataFrame, artists: DataFrame, path: str,
     song = stored(songs, "song")
     artist = stored(artists, "artist")
     tokens = stored(token_counts(texts), "token")
+    frequencies = stored(doc_frequency(tokens), "dfreq")
     # The range partitioner samples its input before the shuffle; keeping
     # the scores (memory, spilling to disk) avoids computing them twice.
-    scored = tfidf(tokens, song).persist(StorageLevel.MEMORY_AND_DISK)
+    scored = tfidf(tokens, song, frequencies).persist(StorageLevel.MEMORY_AND_DISK)
     write_index(scored, f"{path}/tfidf", partitions)
     scored.unpersist()
     scores = spark.read.parquet(f"{path}/tfidf")

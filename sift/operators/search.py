@@ -78,11 +78,19 @@ def search_batch(scores: DataFrame, totals: DataFrame, songs: DataFrame,
     Scores are rounded to 6 digits before ranking, so ordering does not
     depend on the summation order of floating-point partial sums.
     """
+    return rank_within(batch_matches(scores, totals, songs, artists, queries, score_scope),
+                       "query_id", [F.desc("score"), F.asc("song_id")],
+                       num_groups=num_queries)
+
+
+def batch_matches(scores: DataFrame, totals: DataFrame, songs: DataFrame,
+                  artists: DataFrame, queries: DataFrame,
+                  score_scope: str = "document") -> DataFrame:
+    """Named, scored results of every query, not yet ranked (enough for
+    result counts, which need no order)."""
     matched = match(scores, query_terms(queries), totals, score_scope)
-    named = with_names(matched, songs, artists).withColumn(
+    return with_names(matched, songs, artists).withColumn(
         "score", F.round("score", SCORE_DIGITS))
-    return rank_within(named, "query_id", [F.desc("score"), F.asc("song_id")],
-                       num_groups=num_queries)
 
 
 def result_counts(results: DataFrame) -> DataFrame:
