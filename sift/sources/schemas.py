@@ -73,6 +73,7 @@ def share_report(key: str, key_type=StringType()) -> StructType:
     return StructType([StructField(key, key_type, True)] + SHARE_REPORT_VALUE)
 
 
+OVERALL_REPORT = StructType(list(SHARE_REPORT_VALUE))
 DAYS_REPORT = share_report("date", DateType())
 STATES_REPORT = share_report("flair", StringType())
 SSCORE_REPORT = share_report("sscore", LongType())
