@@ -13,13 +13,12 @@ reference's comment cleaner; query tokenisation follows its search box.
 
 from __future__ import annotations
 
-import re
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from . import links
+
 # --- fixed values (must equal the reference's for identical results) -------
 # Punctuation kept by the comment cleaner; every other non-space character
 # outside A-Z, a-z, 0-9 is deleted.
@@ -47,30 +46,8 @@ _RE_WORD_END = rf"(?U)[{_P}]*+(?:[{_WS}]+|$)"
 _RE_ENDS_WS = rf"(?U)([^{_WS}{_P}]*)([{_P}]*)([{_WS}])"
 _RE_ENDS_EOL = rf"(?U)([^{_WS}{_P}]*)([{_P}]*)$"
 
-# Python-side form of the link, used by the exact helper.
-_LINK = re.compile(r"\[((?:[^\]]|\](?!\(http))*+)\]\(http[^ )]*+\)")
-
-
-def _strip_links_exact(text: str) -> str:
-    """Replace ``[label](http...)`` by ``label`` until none is left.
-
-    Always rewrites the leftmost link first, like the reference. A "[" left of
-    a rewritten link cannot start a link afterwards (its closing "](http" and
-    the space that stopped it are unchanged), so the search resumes at the
-    start of the last rewrite instead of at 0.
-    """
-    pos = 0
-    while True:
-        m = _LINK.search(text, pos)
-        if m is None:
-            return text
-        text = text[: m.start()] + m.group(1) + text[m.end():]
-        pos = m.start()
-
-
-@F.pandas_udf(StringType())
-def _strip_links_batch(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: None if t is None else _strip_links_exact(t))
+# The wrapped function lives in ``links``, which is pickled by value.
+_strip_links_batch = F.pandas_udf(links.strip_links_series, StringType())
 
 
 def strip_links(text: Column) -> Column:
