@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_words, explode_terms
+from .search import name_table
 from .skew import split_hot_join
 
 
@@ -86,6 +87,7 @@ class Index:
     totals: DataFrame   # (song_id, total), clustered by song
     songs: DataFrame    # song(song_id, artist_id, song_name, page_link)
     artists: DataFrame  # artist(artist_id, artist_name)
+    names: DataFrame    # (song_id, song, artist_name, page_link)
 
 
 def build(texts: DataFrame, songs: DataFrame, artists: DataFrame, path: str,
@@ -101,7 +103,8 @@ def build(texts: DataFrame, songs: DataFrame, artists: DataFrame, path: str,
     * tfidf: clustered by token (see ``write_index``);
     * totals: the query-independent score of each song, aggregated once here
       instead of in every search;
-    * song, artist: the catalog the results are named from.
+    * song, artist: the catalog; names: both joined once, what results are
+      named from.
     """
     spark = texts.sparkSession
 
@@ -120,10 +123,12 @@ def build(texts: DataFrame, songs: DataFrame, artists: DataFrame, path: str,
     scored.unpersist()
     scores = spark.read.parquet(f"{path}/tfidf")
     totals = stored(song_totals(scores), "totals")
-    return Index(tokens, scores, totals, song, artist)
+    names = stored(name_table(song, artist), "names")
+    return Index(tokens, scores, totals, song, artist, names)
 
 
 def open_index(spark, path: str) -> Index:
     """Open an index stored by ``build`` (e.g. from another application)."""
     read = lambda name: spark.read.parquet(f"{path}/{name}")
-    return Index(read("token"), read("tfidf"), read("totals"), read("song"), read("artist"))
+    return Index(read("token"), read("tfidf"), read("totals"), read("song"), read("artist"),
+                 read("names"))

@@ -9,7 +9,7 @@ whole table of queries in one job:
        join index on token          (small query side: broadcast by AQE)
        group by (query_id, song)    (partial aggregate; count >= need)
        join song totals on song     (query-independent, precomputed)
-       join song, artist names      (after the aggregate, on the small result)
+       join names on song           (song + artist names, joined once at build)
        rank within query            (range-partitioned, skew-safe)
 
 Semantics kept from the reference: a song's score is the sum of *all* its
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from ..functions import paging
 from ..functions.text import explode_terms, query_tokens
 from .ranking import rank_within
+from .skew import split_hot_join
 
 SCORE_DIGITS = 6
 
@@ -61,16 +62,29 @@ def match(scores: DataFrame, terms: DataFrame, totals: DataFrame | None = None,
             .select("query_id", "song_id", F.col("total").alias("score")))
 
 
-def with_names(matched: DataFrame, songs: DataFrame, artists: DataFrame) -> DataFrame:
-    """Attach song name, artist name and link (inner joins)."""
-    return (matched.join(songs, "song_id")
-            .join(artists, "artist_id")
-            .select("query_id", "song_id", F.col("song_name").alias("song"),
-                    "artist_name", "page_link", "score"))
+def name_table(songs: DataFrame, artists: DataFrame) -> DataFrame:
+    """J3, J4 done once: (song_id, song, artist_name, page_link).
+
+    The song -> artist join is inner (songs without an artist row drop out,
+    as in the reference). One artist may own a large share of all songs, so
+    the join goes through ``split_hot_join`` weighted by songs per artist.
+    Built with the index, it leaves searches a single join on the unique
+    song id.
+    """
+    per_artist = songs.groupBy("artist_id").agg(F.count(F.lit(1)).alias("_n_songs"))
+    weighted = artists.join(per_artist, "artist_id")
+    return (split_hot_join(songs, weighted, "artist_id", "_n_songs")
+            .select("song_id", F.col("song_name").alias("song"), "artist_name", "page_link"))
+
+
+def with_names(matched: DataFrame, names: DataFrame) -> DataFrame:
+    """Attach song name, artist name and link to (query_id, song_id, score)."""
+    return (matched.join(names, "song_id")
+            .select("query_id", "song_id", "song", "artist_name", "page_link", "score"))
 
 
-def search_batch(scores: DataFrame, totals: DataFrame, songs: DataFrame,
-                 artists: DataFrame, queries: DataFrame,
+def search_batch(scores: DataFrame, totals: DataFrame, names: DataFrame,
+                 queries: DataFrame,
                  score_scope: str = "document",
                  num_queries: int | None = None) -> DataFrame:
     """Ranked results of every query in ``queries`` (query_id, text, mode).
@@ -78,18 +92,18 @@ def search_batch(scores: DataFrame, totals: DataFrame, songs: DataFrame,
     Scores are rounded to 6 digits before ranking, so ordering does not
     depend on the summation order of floating-point partial sums.
     """
-    return rank_within(batch_matches(scores, totals, songs, artists, queries, score_scope),
+    return rank_within(batch_matches(scores, totals, names, queries, score_scope),
                        "query_id", [F.desc("score"), F.asc("song_id")],
                        num_groups=num_queries)
 
 
-def batch_matches(scores: DataFrame, totals: DataFrame, songs: DataFrame,
-                  artists: DataFrame, queries: DataFrame,
+def batch_matches(scores: DataFrame, totals: DataFrame, names: DataFrame,
+                  queries: DataFrame,
                   score_scope: str = "document") -> DataFrame:
     """Named, scored results of every query, not yet ranked (enough for
     result counts, which need no order)."""
     matched = match(scores, query_terms(queries), totals, score_scope)
-    return with_names(matched, songs, artists).withColumn(
+    return with_names(matched, names).withColumn(
         "score", F.round("score", SCORE_DIGITS))
 
 
@@ -138,7 +152,7 @@ def single_query_terms(spark: SparkSession, query: str, mode: str) -> tuple[list
 
 
 def search_one(spark: SparkSession, scores: DataFrame, totals: DataFrame,
-               songs: DataFrame, artists: DataFrame, query: str, mode: str,
+               names: DataFrame, query: str, mode: str,
                score_scope: str = "document") -> DataFrame:
     """One query, as the web layer asks it: the token list is pushed into the
     index scan as ``token IN (...)`` (P4), so parquet skips row groups whose
@@ -150,7 +164,7 @@ def search_one(spark: SparkSession, scores: DataFrame, totals: DataFrame,
                                   "query_id long, need long, token string")
     pruned = scores.where(F.col("token").isin(tokens))
     matched = match(pruned, terms, totals, score_scope)
-    return (with_names(matched, songs, artists)
+    return (with_names(matched, names)
             .withColumn("score", F.round("score", SCORE_DIGITS))
             .drop("query_id"))
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.flags import epoch_to_date, strip_link_prefix
 from ..sources.tables import STATES
+from .skew import split_hot_join
 
 # --- fixed values (must equal the reference's for identical results) -------
 TOP_SHARE = 0.9   # stories whose share exceeds this are "top" stories
@@ -65,13 +66,18 @@ def share_by_state(scored: DataFrame, keep_all: bool = False) -> DataFrame:
 
 
 def comments_with_title(comments: DataFrame, submissions: DataFrame) -> DataFrame:
-    """Comments joined to their story on the stripped link id, carrying
-    both scores and the story id, so J7 needs no second pass."""
+    """Comments joined to their story on the stripped link id (inner),
+    carrying both scores and the story id, so J7 needs no second pass."""
     c = comments.select("id", F.col("author_flair_text").alias("flair"), "created_utc",
                         "body", F.col("score").alias("cscore"),
                         strip_link_prefix(F.col("link_id")).alias("sid"))
     s = submissions.select(F.col("id").alias("sid"), "title", F.col("score").alias("sscore"))
-    return c.join(s, "sid")
+    # One story may hold a large share of all comments: weigh stories by
+    # their comment count (a partial aggregate over the story id alone) and
+    # join the heavy ones by bounded broadcast.
+    per_story = c.groupBy("sid").agg(F.count(F.lit(1)).alias("_n_comments"))
+    weighted = s.join(per_story, "sid")
+    return split_hot_join(c, weighted, "sid", "_n_comments").drop("_n_comments")
 
 
 def labeled_comments(labeled: DataFrame, comments: DataFrame) -> DataFrame:

@@ -47,23 +47,23 @@ def built_index(spark: SparkSession, sf: str, rebuild: bool = False) -> index.In
 
 
 def catalog(spark: SparkSession, sf: str):
-    """(scores, totals, songs, artists) of the search index."""
+    """(scores, totals, names) of the search index."""
     idx = built_index(spark, sf)
-    return idx.scores, idx.totals, idx.songs, idx.artists
+    return idx.scores, idx.totals, idx.names
 
 
 def batch_results(spark: SparkSession, sf: str) -> DataFrame:
-    scores, totals, song, art = catalog(spark, sf)
+    scores, totals, names = catalog(spark, sf)
     queries = tables.search_queries(spark, sf)
-    return search.search_batch(scores, totals, song, art, queries,
+    return search.search_batch(scores, totals, names, queries,
                                num_queries=_query_bound(spark, sf))
 
 
 def batch_counts(spark: SparkSession, sf: str) -> DataFrame:
     """(query_id, num_results) of the batch; counting needs no rank."""
-    scores, totals, song, art = catalog(spark, sf)
+    scores, totals, names = catalog(spark, sf)
     queries = tables.search_queries(spark, sf)
-    return search.result_counts(search.batch_matches(scores, totals, song, art, queries))
+    return search.result_counts(search.batch_matches(scores, totals, names, queries))
 
 
 def _query_bound(spark: SparkSession, sf: str) -> int:
@@ -73,8 +73,8 @@ def _query_bound(spark: SparkSession, sf: str) -> int:
 
 
 def single_search(spark: SparkSession, sf: str, query: str, mode: str) -> DataFrame:
-    scores, totals, song, art = catalog(spark, sf)
-    found = search.search_one(spark, scores, totals, song, art, query, mode)
+    scores, totals, names = catalog(spark, sf)
+    found = search.search_one(spark, scores, totals, names, query, mode)
     ranked = search.rank_within(found.withColumn("query_id", F.lit(0)), "query_id",
                                 [F.desc("score"), F.asc("song_id")], num_groups=1)
     return ranked.select("rank", "song_id", "song", "artist_name", "page_link", "score")
@@ -163,8 +163,8 @@ def q_search_or_page(spark, sf):
     """O3 without a stored rank: page 2 of the interactive OR query by
     offset/limit (a bounded top-k, no full sort), with full links (F27)."""
     from ..functions.paging import full_link
-    scores, totals, song, art = catalog(spark, sf)
-    found = search.search_one(spark, scores, totals, song, art, OR_QUERY, "or")
+    scores, totals, names = catalog(spark, sf)
+    found = search.search_one(spark, scores, totals, names, OR_QUERY, "or")
     return search.ordered_page(found, PAGE_NUMBER).select(
         "song_id", "song", "artist_name", full_link(F.col("page_link")).alias("url"), "score")
 

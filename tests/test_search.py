@@ -17,13 +17,13 @@ def _catalog(spark):
     artists = spark.createDataFrame([(10, "a"), (11, "b")], "artist_id long, artist_name string")
     toks = index.token_counts(texts)
     scores = index.tfidf(toks, songs)
-    return scores, index.song_totals(scores), songs, artists
+    return scores, index.song_totals(scores), search.name_table(songs, artists)
 
 
 def _run(spark, query, mode):
-    scores, totals, songs, artists = _catalog(spark)
+    scores, totals, names = _catalog(spark)
     q = spark.createDataFrame([(0, query, mode)], "query_id long, text string, mode string")
-    res = search.search_batch(scores, totals, songs, artists, q, num_queries=1)
+    res = search.search_batch(scores, totals, names, q, num_queries=1)
     return [(r["rank"], r["song_id"]) for r in res.orderBy("rank").collect()]
 
 
@@ -44,10 +44,10 @@ def test_or_and_semantics(spark):
 
 
 def test_score_is_sum_of_all_document_tokens(spark):
-    scores, totals, songs, artists = _catalog(spark)
+    scores, totals, names = _catalog(spark)
     tot = {r["song_id"]: r["total"] for r in totals.collect()}
     q = spark.createDataFrame([(0, "love", "or")], "query_id long, text string, mode string")
-    res = search.search_batch(scores, totals, songs, artists, q, num_queries=1).collect()
+    res = search.search_batch(scores, totals, names, q, num_queries=1).collect()
     for r in res:
         assert abs(r["score"] - round(tot[r["song_id"]], 6)) < 1e-9
 
@@ -87,10 +87,10 @@ def test_rank_within_matches_row_number_under_skew(spark):
 
 def test_snapshot_page_read_pushes_filters(spark):
     from sift.session import new_scratch_path
-    scores, totals, songs, artists = _catalog(spark)
+    scores, totals, names = _catalog(spark)
     q = spark.createDataFrame([(0, "love you me", "or"), (1, "hello", "or")],
                               "query_id long, text string, mode string")
-    res = search.search_batch(scores, totals, songs, artists, q, num_queries=2)
+    res = search.search_batch(scores, totals, names, q, num_queries=2)
     path = new_scratch_path(spark, "snap-test")
     search.write_snapshot(res, path)
     page = search.read_page(spark, path, 0, 1, size=2)
