@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.flags import epoch_to_date, strip_link_prefix
 from ..sources.tables import STATES
-from .skew import split_hot_join
+from .skew import salted_join
 
 # --- fixed values (must equal the reference's for identical results) -------
 TOP_SHARE = 0.9   # stories whose share exceeds this are "top" stories
@@ -74,10 +74,11 @@ def comments_with_title(comments: DataFrame, submissions: DataFrame) -> DataFram
     s = submissions.select(F.col("id").alias("sid"), "title", F.col("score").alias("sscore"))
     # One story may hold a large share of all comments: weigh stories by
     # their comment count (a partial aggregate over the story id alone) and
-    # join the heavy ones by bounded broadcast.
+    # salt the heavy ones; the comment side, which carries the text, is read
+    # once.
     per_story = c.groupBy("sid").agg(F.count(F.lit(1)).alias("_n_comments"))
     weighted = s.join(per_story, "sid")
-    return split_hot_join(c, weighted, "sid", "_n_comments").drop("_n_comments")
+    return salted_join(c, weighted, "sid", "_n_comments", "id").drop("_n_comments")
 
 
 def labeled_comments(labeled: DataFrame, comments: DataFrame) -> DataFrame:

@@ -128,3 +128,14 @@ def test_index_build_and_open(spark):
     assert df["b"]["df"] == 2 and df["a"]["df"] == 1
     # "b" is in every song: log10(2/2) = 0
     assert all(r["score"] == 0.0 for r in opened.scores.where("token = 'b'").collect())
+
+
+def test_salted_join_equals_plain_join(spark):
+    from sift.operators.skew import salted_join
+    big = spark.createDataFrame([(i, "hot") for i in range(600)] + [(i, f"k{i % 40}") for i in range(600, 1000)],
+                                "id long, k string")
+    small = big.groupBy("k").agg(F.count("*").alias("w")).withColumn("v", F.length("k"))
+    ours = salted_join(big, small, "k", "w", "id", max_hot=4, salts=8)
+    plain = big.join(small, "k")
+    assert ours.count() == plain.count() == 1000
+    assert ours.exceptAll(plain.select(*ours.columns)).count() == 0
