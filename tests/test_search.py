@@ -139,3 +139,12 @@ def test_salted_join_equals_plain_join(spark):
     plain = big.join(small, "k")
     assert ours.count() == plain.count() == 1000
     assert ours.exceptAll(plain.select(*ours.columns)).count() == 0
+
+
+def test_query_score_scope_sums_matched_tokens_only(spark):
+    scores, totals, names = _catalog(spark)
+    q = spark.createDataFrame([(0, "love", "or")], "query_id long, text string, mode string")
+    terms = search.query_terms(q)
+    by_query = {r["song_id"]: r["score"] for r in search.match(scores, terms, score_scope="query").collect()}
+    love = {r["song_id"]: r["score"] for r in scores.where("token = 'love'").collect()}
+    assert by_query == love
