@@ -83,6 +83,7 @@ def write_index(scores: DataFrame, path: str, partitions: int | None = None) ->
 @dataclass
 class Index:
     tokens: DataFrame   # token(song_id, token, count)
+    frequencies: DataFrame  # (token, df)
     scores: DataFrame   # tfidf(song_id, token, score), clustered by token
     totals: DataFrame   # (song_id, total), clustered by song
     songs: DataFrame    # song(song_id, artist_id, song_name, page_link)
@@ -124,11 +125,11 @@ def build(texts: DataFrame, songs: DataFrame, artists: DataFrame, path: str,
     scores = spark.read.parquet(f"{path}/tfidf")
     totals = stored(song_totals(scores), "totals")
     names = stored(name_table(song, artist), "names")
-    return Index(tokens, scores, totals, song, artist, names)
+    return Index(tokens, frequencies, scores, totals, song, artist, names)
 
 
 def open_index(spark, path: str) -> Index:
     """Open an index stored by ``build`` (e.g. from another application)."""
     read = lambda name: spark.read.parquet(f"{path}/{name}")
-    return Index(read("token"), read("tfidf"), read("totals"), read("song"), read("artist"),
-                 read("names"))
+    return Index(read("token"), read("dfreq"), read("tfidf"), read("totals"), read("song"),
+                 read("artist"), read("names"))

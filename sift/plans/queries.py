@@ -104,7 +104,7 @@ def _term_counts(spark: SparkSession, sf: str, n: int) -> DataFrame:
 # --- search ------------------------------------------------------------------
 
 def q_doc_frequency(spark, sf):
-    return index.doc_frequency(built_index(spark, sf).tokens)
+    return built_index(spark, sf).frequencies
 
 
 def q_tfidf_scores(spark, sf):
