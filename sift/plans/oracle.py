@@ -280,12 +280,12 @@ FROM scored"""),
         "top_stories_pos": _top("pos_share"),
         "top_stories_neg": _top("neg_share"),
         "report_days": with_(SENT + f",\nd AS ({share_sql(DAY_EXPR, 'date')})",
-                             """SELECT date, pos_share AS positive, neg_share AS negative
+                             """SELECT date, pos_share AS "Positive", neg_share AS "Negative"
 FROM d WHERE date <> DATE '2018-12-31'"""),
         "report_states": with_(
             SENT + f",\nst AS ({share_sql('flair', 'flair', STATE_WHERE)}),\n"
             + "regions AS (SELECT unnest([" + ", ".join(_sql_str(s) for s in _MAPPED) + "]) AS state)",
-            f"""SELECT r.state, st.pos_share AS positive, st.neg_share AS negative,
+            f"""SELECT r.state, st.pos_share AS "Positive", st.neg_share AS "Negative",
        st.neg_share - st.pos_share AS diff,
        {_shade('st.pos_share', 0.3, 0.7)} AS pos_shade,
        {_shade('st.neg_share', 0.7, 1.0)} AS neg_shade,
@@ -293,9 +293,9 @@ FROM d WHERE date <> DATE '2018-12-31'"""),
 FROM regions r LEFT JOIN st ON st.flair = r.state"""),
         "report_scores": with_(
             SENT + f",\nss AS ({share_sql('sscore', 'sscore')}),\ncs AS ({share_sql('cscore', 'cscore')})",
-            """SELECT 'submission' AS kind, sscore AS score, pos_share AS positive, neg_share AS negative FROM ss
+            """SELECT 'submission' AS kind, sscore AS score, pos_share AS "Positive", neg_share AS "Negative" FROM ss
 UNION ALL
-SELECT 'comment' AS kind, cscore AS score, pos_share AS positive, neg_share AS negative FROM cs"""),
+SELECT 'comment' AS kind, cscore AS score, pos_share AS "Positive", neg_share AS "Negative" FROM cs"""),
         "dq_duplicate_keys": with_(INDEX, " UNION ALL ".join(
             f"""SELECT '{name}' AS table_name, CAST(coalesce(sum(n), 0) AS BIGINT) AS n_rows,
        count(*) AS n_keys, count(CASE WHEN n > 1 THEN 1 END) AS duplicate_keys,

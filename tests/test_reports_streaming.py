@@ -17,7 +17,7 @@ def test_state_shades_follow_numpy_rules(spark):
     tx = rows["Texas"]
     assert abs(tx["pos_shade"] - (1 - math.sqrt((0.5 - 0.3) / (0.7 - 0.3)))) < 1e-12
     assert math.isnan(rows["Ohio"]["pos_shade"])      # below the range: NaN, as numpy
-    assert rows["Utah"]["positive"] is None            # no share row: null
+    assert rows["Utah"]["Positive"] is None            # no share row: null
 
 
 def test_streaming_shares_resume_from_checkpoint(spark):
