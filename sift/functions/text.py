@@ -17,6 +17,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from ..session import spread
 from . import links
 
 # --- fixed values (must equal the reference's for identical results) -------
@@ -111,7 +112,7 @@ def with_features(df, text_col: str, words_col: str = "words",
 
     Two projections, because the link helper is a pandas UDF and may not sit
     inside the n-gram lambdas."""
-    return (df.withColumn(words_col, clean_words(F.col(text_col)))
+    return (spread(df).withColumn(words_col, clean_words(F.col(text_col)))
             .withColumn(features_col, ngram_features(F.col(words_col))))
 
 

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_words, explode_terms
+from ..session import spread
 from .search import name_table
 from .skew import split_hot_join
 
@@ -33,7 +34,7 @@ from .skew import split_hot_join
 def token_counts(texts: DataFrame, id_col: str = "song_id",
                  text_col: str = "text") -> DataFrame:
     """token(song_id, token, count) from raw texts."""
-    words = explode_terms(texts.select(F.col(id_col).alias("song_id"),
+    words = explode_terms(spread(texts).select(F.col(id_col).alias("song_id"),
                                        clean_words(F.col(text_col)).alias("w")),
                           F.col("w"), "token", "song_id")
     return words.groupBy("song_id", "token").agg(F.count(F.lit(1)).alias("count"))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import index, quality, reports, sampling, search, sentiment
+from ..session import spread
 from ..sources import tables
 
 # Parameters of the single-query searches (the web form's inputs). Queries
@@ -92,7 +93,7 @@ def label_scored(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _words(spark: SparkSession, sf: str) -> DataFrame:
-    docs = tables.load(spark, sf, "documents")
+    docs = spread(tables.load(spark, sf, "documents"))
     return docs.select("doc_id", T.clean_words(F.col("text")).alias("words"))
 
 
@@ -203,7 +204,7 @@ def q_ngram_vocabulary(spark, sf):
     """Terms in at least 10 labelled comments (CountVectorizer's minDF=10)."""
     labeled = sentiment.labeled_comments(tables.labeled_data(spark, sf),
                                          tables.comments(spark, sf))
-    words = labeled.select("Input_id", T.clean_words(F.col("body")).alias("words"))
+    words = spread(labeled).select("Input_id", T.clean_words(F.col("body")).alias("words"))
     feats = words.select("Input_id", F.array_distinct(T.ngram_features(F.col("words"))).alias("f"))
     df = T.explode_terms(feats, F.col("f"), "term").groupBy("term").agg(
         F.count(F.lit(1)).alias("df"))
@@ -211,12 +212,12 @@ def q_ngram_vocabulary(spark, sf):
 
 
 def q_strip_links(spark, sf):
-    docs = tables.load(spark, sf, "documents")
+    docs = spread(tables.load(spark, sf, "documents"))
     return docs.select("doc_id", T.strip_links(F.col("text")).alias("text"))
 
 
 def q_clean_text(spark, sf):
-    docs = tables.load(spark, sf, "documents")
+    docs = spread(tables.load(spark, sf, "documents"))
     return docs.select("doc_id", T.clean_text(F.col("text")).alias("parsed"))
 
 

@@ -84,3 +84,17 @@ def scratch_dir(spark: SparkSession) -> str:
 def new_scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused path under the scratch folder."""
     return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def spread(df):
+    """Hash-spread a frame over the cluster's cores when it has fewer
+    partitions, before per-row heavy work (text cleaning).
+
+    A large input already has far more splits than cores and is returned
+    unchanged (no shuffle); a small one (a single parquet row group) would
+    otherwise clean all its text in one task.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, df.columns[0])
