@@ -148,3 +148,17 @@ def test_query_score_scope_sums_matched_tokens_only(spark):
     by_query = {r["song_id"]: r["score"] for r in search.match(scores, terms, score_scope="query").collect()}
     love = {r["song_id"]: r["score"] for r in scores.where("token = 'love'").collect()}
     assert by_query == love
+
+
+def test_rank_within_balances_a_hot_group(spark):
+    # Group 0 holds ~80% of the rows; a window partitioned by group would put
+    # them in one task. The range-partitioned layout keeps partitions even.
+    rows = [(0, float(i % 997), i) for i in range(8000)] + \
+           [(g, float(i), i) for g in range(1, 101) for i in range(20)]
+    df = spark.createDataFrame(rows, "g long, score double, id long")
+    ranked = ranking.rank_within(df, "g", [F.desc("score"), F.asc("id")], partitions=8,
+                                 num_groups=101)
+    sizes = [r["n"] for r in ranked.groupBy(F.spark_partition_id().alias("p"))
+             .agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 10000
+    assert max(sizes) < 2 * (10000 / 8)      # no partition near 8000 rows
