@@ -23,7 +23,8 @@ def split_hot_join(big: DataFrame, small: DataFrame, key: str, weight: str,
                    max_hot: int = DEFAULT_MAX_HOT) -> DataFrame:
     """Inner join ``big`` and ``small`` on ``key`` (``small`` unique on key)."""
     total = small.select(F.sum(weight)).scalar()
-    is_hot = F.col(weight) * F.lit(max_hot) > total
+    # A null weight (or an empty side) counts as cold, so no row is lost.
+    is_hot = F.coalesce(F.col(weight) * F.lit(max_hot) > total, F.lit(False))
     hot = F.broadcast(small.where(is_hot))          # < max_hot rows by construction
     cold = small.where(~is_hot)
     hot_rows = big.join(hot, key)
@@ -51,7 +52,8 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, weight: str, salt_co
     ``big`` is shuffled.
     """
     total = small.select(F.sum(weight)).scalar()
-    is_hot = F.col(weight) * F.lit(max_hot) > total
+    # A null weight (or an empty side) counts as cold, so no row is lost.
+    is_hot = F.coalesce(F.col(weight) * F.lit(max_hot) > total, F.lit(False))
     hot_keys = F.broadcast(small.where(is_hot).select(key, F.lit(True).alias("_hot")))
     tagged = big.join(hot_keys, key, "left").withColumn(
         "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(F.col(salt_col)), F.lit(salts)))

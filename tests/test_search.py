@@ -162,3 +162,12 @@ def test_rank_within_balances_a_hot_group(spark):
              .agg(F.count("*").alias("n")).collect()]
     assert sum(sizes) == 10000
     assert max(sizes) < 2 * (10000 / 8)      # no partition near 8000 rows
+
+
+def test_skew_joins_keep_rows_with_null_weight(spark):
+    from sift.operators.skew import salted_join, split_hot_join
+    big = spark.createDataFrame([(i, "a" if i % 2 else "b") for i in range(40)], "id long, k string")
+    small = spark.createDataFrame([("a", 20, 1), ("b", None, 2)], "k string, w long, v long")
+    for joined in (split_hot_join(big, small, "k", "w", max_hot=4),
+                   salted_join(big, small, "k", "w", "id", max_hot=4, salts=4)):
+        assert joined.count() == 40
