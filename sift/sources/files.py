@@ -24,12 +24,17 @@ def _csv_reader(spark: SparkSession, schema: StructType, header: bool):
     # escape = quote makes a doubled quote ("") read as one quote, as in the
     # database's CSV format; multiLine keeps quoted newlines inside a field.
     # A multi-line CSV file cannot be split, so read it once and keep parquet.
+    # An unquoted empty field is NULL and a quoted one ("") an empty string,
+    # as in the database: the reader returns ``nullValue`` for the first and
+    # ``emptyValue`` for the second, so ``nullValue`` is set to a character
+    # such CSV cannot hold (NUL) and only the unquoted case maps to null.
     return (spark.read.schema(schema)
             .option("header", header)
             .option("sep", CSV_DELIMITER)
             .option("quote", CSV_QUOTE)
             .option("escape", CSV_QUOTE)
             .option("multiLine", True)
+            .option("nullValue", "\u0000")
             .option("mode", "PERMISSIVE"))
 
 

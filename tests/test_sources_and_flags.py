@@ -21,9 +21,9 @@ def test_csv_catalog_quoting(spark):
     rows = {r["song_id"]: r for r in files.read_catalog_table(spark, path, "song").collect()}
     assert rows[1]["song_name"] == 'say "hi", ok' and rows[1]["page_link"] is None
     assert rows[3]["song_name"] == "multi\nline"
-    # A quoted empty string comes back null in Spark (kept empty by the
-    # database); an open difference.
-    assert rows[2]["song_name"] is None
+    # A quoted empty field is an empty string, an unquoted one NULL (as in
+    # the database's CSV format).
+    assert rows[2]["song_name"] == ""
     assert len(rows) == 3
 
 
