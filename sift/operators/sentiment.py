@@ -77,8 +77,7 @@ def comments_with_title(comments: DataFrame, submissions: DataFrame) -> DataFram
     # salt the heavy ones; the comment side, which carries the text, is read
     # once.
     per_story = c.groupBy("sid").agg(F.count(F.lit(1)).alias("_n_comments"))
-    weighted = s.join(per_story, "sid")
-    return salted_join(c, weighted, "sid", "_n_comments", "id").drop("_n_comments")
+    return salted_join(c, s, "sid", per_story, "_n_comments", "id")
 
 
 def labeled_comments(labeled: DataFrame, comments: DataFrame) -> DataFrame:

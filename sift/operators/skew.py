@@ -36,28 +36,33 @@ def split_hot_join(big: DataFrame, small: DataFrame, key: str, weight: str,
 DEFAULT_SALTS = 64
 
 
-def salted_join(big: DataFrame, small: DataFrame, key: str, weight: str, salt_col: str,
-                max_hot: int = DEFAULT_MAX_HOT, salts: int = DEFAULT_SALTS) -> DataFrame:
-    """Inner join with hot keys salted, reading ``big`` once.
+def salted_join(big: DataFrame, small: DataFrame, key: str, weights: DataFrame, weight: str,
+                salt_col: str, max_hot: int = DEFAULT_MAX_HOT,
+                salts: int = DEFAULT_SALTS) -> DataFrame:
+    """Inner join of ``big`` and ``small`` (unique on ``key``) with hot keys
+    salted, reading ``big`` once.
 
+    ``weights`` holds ``(key, weight)``: the number of ``big`` rows per key.
     For a ``big`` side that is costly to produce (a join carrying text, say),
-    reading it twice as ``split_hot_join`` does costs more than the skew. Here
-    hot keys (at most ``max_hot``, as above) are tagged by a broadcast lookup
-    on the map side; their rows get a salt in ``[0, salts)`` from a hash of
-    ``salt_col`` (deterministic, so a retried task salts identically), and
-    only the hot keys of ``small`` are replicated ``salts`` times (at most
-    ``max_hot * salts`` extra rows). One join on (key, salt) follows, in
-    which a hot key is spread over ``salts`` partitions -- or, when the
-    salted small side is small enough, AQE broadcasts it and nothing of
-    ``big`` is shuffled.
+    reading it twice as ``split_hot_join`` does costs more than the skew.
+
+    The hot keys -- fewer than ``max_hot`` by construction, since each holds
+    more than ``1/max_hot`` of the total -- are fetched as a list and tag
+    both sides with an ``IN`` test (no join, so the size estimate of
+    ``small`` is unchanged and a small ``small`` is still broadcast). Hot
+    rows of ``big`` get a salt in ``[0, salts)`` from a hash of ``salt_col``
+    (deterministic, so a retried task salts identically); only hot keys of
+    ``small`` are replicated ``salts`` times. One join on (key, salt)
+    follows: a hot key is spread over ``salts`` partitions, or nothing of
+    ``big`` is shuffled when ``small`` is broadcast.
     """
-    total = small.select(F.sum(weight)).scalar()
-    # A null weight (or an empty side) counts as cold, so no row is lost.
-    is_hot = F.coalesce(F.col(weight) * F.lit(max_hot) > total, F.lit(False))
-    hot_keys = F.broadcast(small.where(is_hot).select(key, F.lit(True).alias("_hot")))
-    tagged = big.join(hot_keys, key, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(F.col(salt_col)), F.lit(salts)))
-                  .otherwise(F.lit(0)).cast("int")).drop("_hot")
-    fan = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    total = weights.select(F.sum(weight)).scalar()
+    is_hot = F.col(weight) * F.lit(max_hot) > total
+    hot = [r[0] for r in weights.where(is_hot).select(key).collect()]  # < max_hot keys
+    hot_test = F.col(key).isin(hot) if hot else F.lit(False)
+    tagged = big.withColumn(
+        "_salt", F.when(hot_test, F.pmod(F.xxhash64(F.col(salt_col)), F.lit(salts)))
+                  .otherwise(F.lit(0)).cast("int"))
+    fan = F.when(hot_test, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     replicated = small.withColumn("_salt", F.explode(fan))
     return tagged.join(replicated, [key, "_salt"]).drop("_salt")

@@ -134,8 +134,9 @@ def test_salted_join_equals_plain_join(spark):
     from sift.operators.skew import salted_join
     big = spark.createDataFrame([(i, "hot") for i in range(600)] + [(i, f"k{i % 40}") for i in range(600, 1000)],
                                 "id long, k string")
-    small = big.groupBy("k").agg(F.count("*").alias("w")).withColumn("v", F.length("k"))
-    ours = salted_join(big, small, "k", "w", "id", max_hot=4, salts=8)
+    weights = big.groupBy("k").agg(F.count("*").alias("w"))
+    small = weights.select("k", F.length("k").alias("v"))
+    ours = salted_join(big, small, "k", weights, "w", "id", max_hot=4, salts=8)
     plain = big.join(small, "k")
     assert ours.count() == plain.count() == 1000
     assert ours.exceptAll(plain.select(*ours.columns)).count() == 0
@@ -169,5 +170,6 @@ def test_skew_joins_keep_rows_with_null_weight(spark):
     big = spark.createDataFrame([(i, "a" if i % 2 else "b") for i in range(40)], "id long, k string")
     small = spark.createDataFrame([("a", 20, 1), ("b", None, 2)], "k string, w long, v long")
     for joined in (split_hot_join(big, small, "k", "w", max_hot=4),
-                   salted_join(big, small, "k", "w", "id", max_hot=4, salts=4)):
+                   salted_join(big, small.drop("w"), "k", small.select("k", "w"), "w", "id",
+                               max_hot=4, salts=4)):
         assert joined.count() == 40
