@@ -13,6 +13,7 @@ no task receives a hot key.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,9 +57,12 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, weights: DataFrame,
     follows: a hot key is spread over ``salts`` partitions, or nothing of
     ``big`` is shuffled when ``small`` is broadcast.
     """
-    total = weights.select(F.sum(weight)).scalar()
-    is_hot = F.col(weight) * F.lit(max_hot) > total
+    # One row per key, computed once for both the total and the hot list.
+    weights = weights.select(key, weight).persist(StorageLevel.MEMORY_AND_DISK)
+    total = weights.agg(F.sum(weight)).first()[0] or 0
+    is_hot = F.col(weight) * F.lit(max_hot) > F.lit(total)
     hot = [r[0] for r in weights.where(is_hot).select(key).collect()]  # < max_hot keys
+    weights.unpersist()
     hot_test = F.col(key).isin(hot) if hot else F.lit(False)
     tagged = big.withColumn(
         "_salt", F.when(hot_test, F.pmod(F.xxhash64(F.col(salt_col)), F.lit(salts)))
