@@ -1,6 +1,8 @@
 """Benchmark the headline queries.
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
+    BENCH_EVENT_LOG=/some/scratch/dir python bench.py   # also write an event log
+                                                        # (see tools/stages.py)
 
 Each query is run to completion with the ``noop`` sink (full computation,
 no collection to the driver). Prints one JSON line.
@@ -41,9 +43,12 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
+    extra = {"spark.driver.memory": "16g"}
+    event_dir = os.environ.get("BENCH_EVENT_LOG")  # optional: stage/task times
+    if event_dir:
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_dir})
     spark = build_session(f"local[{cpus}]", app_name="sift-bench",
-                          shuffle_partitions=max(8, 2 * cpus),
-                          extra={"spark.driver.memory": "16g"})
+                          shuffle_partitions=max(8, 2 * cpus), extra=extra)
     # Warm-up outside the timings: JVM class loading and code generation
     # start-up would otherwise be charged to whichever query runs first.
     spark.range(1000).selectExpr("sum(id)").collect()
