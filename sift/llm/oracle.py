@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from sift.llm import licenses
+from sift.llm.chat_format import Template
+
 _BLANK = r"[\x20\x09-\x0D]"
 
 OP1 = rf"""
@@ -88,7 +91,92 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
 FROM texts LEFT JOIN words_hit USING (doc_id) LEFT JOIN items_hit USING (doc_id)
 """
 
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _chat_sql(template: Template) -> str:
+    """Lengths of the frame from the template; texts are measured escaped."""
+    def escaped(column: str) -> str:
+        sql = f"replace({column}, chr(92), chr(92) || 'b')"
+        for c in template.control:
+            sql = f"replace({sql}, {_text(c)}, {_text(c[0])} || chr(92) || {_text('e' + c[1:])})"
+        return sql
+
+    frame = len(template.begin) + len(template.end)
+    per_turn = len(template.open) + len(template.after_role) + len(template.close)
+    moves = ", ".join(f"({_text(a)}, {_text(r)}, {_text(b)})" for (a, r), b in template.moves.items())
+    final = ", ".join(map(_text, template.final))
+    return f"""
+WITH RECURSIVE rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n FROM rows
+), moves(state, role, next_state) AS (VALUES {moves}),
+walk AS (
+  SELECT conv_id, 0 AS n, 'start' AS state FROM (SELECT DISTINCT conv_id FROM numbered)
+  UNION ALL
+  SELECT w.conv_id, x.n, coalesce(m.next_state, '') FROM walk w
+  JOIN numbered x ON x.conv_id IS NOT DISTINCT FROM w.conv_id AND x.n = w.n + 1
+  LEFT JOIN moves m ON m.state = w.state AND m.role = x.role
+), ended AS (
+  SELECT conv_id, state FROM walk QUALIFY n = max(n) OVER (PARTITION BY conv_id)
+)
+SELECT r.conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST({frame} + sum({per_turn} + length({escaped("role")}) + length({escaped("text")})) AS BIGINT)
+    AS formatted_chars,
+  any_value(e.state) IN ({final}) AS valid
+FROM numbered r JOIN ended e ON e.conv_id IS NOT DISTINCT FROM r.conv_id GROUP BY r.conv_id
+"""
+
+
+def _licence_sql() -> str:
+    known = ", ".join(f"({_text(s)}, {_text(i)})" for s, i in licenses.known_sentences().items())
+    rules = ", ".join(f"({k}, {_text(licence)}, {_text(''.join(f'<{i}>' for i in seq))})"
+                      for k, (licence, seq) in enumerate(licenses.licence_rules(), 1))
+    return rf"""
+WITH RECURSIVE known(plain, sid) AS (VALUES {known}),
+rules(k, licence, pattern) AS (VALUES {rules}),
+docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+readings AS (
+  SELECT rid, 1 AS reading, text FROM docs
+  UNION ALL
+  SELECT rid, 2, regexp_replace(text, '([^\n])\r?\n([^\r\n])', '\1 \2', 'g') FROM docs
+), sentences AS (
+  SELECT rid, reading, unnest(parts) AS sentence, generate_subscripts(parts, 1) AS n FROM (
+    SELECT rid, reading, string_split(regexp_replace(text, '([.!?;:])[ \t\r\x0B\f]+', '\1' || chr(10), 'g'),
+                                      chr(10)) AS parts FROM readings)
+), identified AS (
+  SELECT rid, reading, list(sid ORDER BY n) AS ids FROM sentences
+  JOIN known ON plain = trim(regexp_replace(lower(sentence), '[^a-z0-9]+', ' ', 'g'))
+  GROUP BY rid, reading
+), chosen AS (
+  SELECT rid, ids FROM identified QUALIFY row_number() OVER (PARTITION BY rid ORDER BY len(ids) DESC, reading) = 1
+), applied AS (
+  SELECT rid, 0 AS k, '<' || array_to_string(ids, '><') || '>' AS rest, CAST(NULL AS VARCHAR) AS licence FROM chosen
+  UNION ALL
+  SELECT rid, r.k, replace(rest, pattern, '<>'), CASE WHEN contains(rest, pattern) THEN r.licence END
+  FROM applied a JOIN rules r ON r.k = a.k + 1
+), found AS (
+  SELECT rid, string_agg(licence, ',' ORDER BY k) AS licences
+  FROM (SELECT rid, licence, min(k) AS k FROM applied WHERE licence IS NOT NULL GROUP BY rid, licence) GROUP BY rid
+)
+SELECT doc_id, CAST(coalesce(len(ids), 0) AS BIGINT) AS n_sentences,
+       coalesce(array_to_string(ids, ','), '') AS sentence_ids, coalesce(licences, '') AS licences
+FROM docs LEFT JOIN chosen USING (rid) LEFT JOIN found USING (rid)
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": OP1,
+    "op6_chat_format": _chat_sql(Template()),
+    "op7_licenses": _licence_sql(),
     "op10_decontaminate": OP10,
 }
