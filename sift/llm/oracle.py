@@ -57,6 +57,29 @@ SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
 FROM counted
 """
 
+OP9 = rf"""
+WITH texts AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         [w FOR w IN string_split_regex(coalesce(text, ''), '{_BLANK}+') IF w <> ''] AS words FROM documents
+), windows AS (
+  SELECT rid, doc_id, i, md5(array_to_string(words[i:i+49], ' ')) AS win FROM (
+    SELECT rid, doc_id, words, unnest(generate_series(1, len(words) - 49)) AS i FROM texts)
+), repeated AS (
+  SELECT rid, i FROM windows QUALIFY doc_id > min(doc_id) OVER (PARTITION BY win)
+), gone AS (
+  SELECT DISTINCT rid, p FROM (SELECT rid, unnest(generate_series(i, i + 49)) AS p FROM repeated)
+), placed AS (
+  SELECT rid, unnest(words) AS word, generate_subscripts(words, 1) AS p FROM texts
+), kept AS (
+  SELECT rid, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n
+  FROM placed ANTI JOIN gone USING (rid, p) GROUP BY rid
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
+       CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (rid)
+"""
+
 _NORMAL_WORDS = (r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
                  r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
 
@@ -178,5 +201,6 @@ ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": OP1,
     "op6_chat_format": _chat_sql(Template()),
     "op7_licenses": _licence_sql(),
+    "op9_substring_dedup": OP9,
     "op10_decontaminate": OP10,
 }

@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sift.llm import chat_format, decontaminate, language_id, licenses, quality_rules
+from sift.llm import (chat_format, decontaminate, language_id, licenses, near_dedup, quality_rules,
+                      substring_dedup)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +28,11 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", (F.col("key") == F.col("class_key")).alias("in_kept_text"))
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and conversation -7, whose texts hold control strings
     of another template; the digests are read back from the output."""
@@ -57,6 +63,11 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join("licences", ",").alias("licences"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = decontaminate.find_hits(table(spark, sf_dir, "documents"),
                                    table(spark, sf_dir, "benchmark"))
@@ -70,7 +81,9 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_language_id": op2_language_id,
+    "op3_near_dedup": op3_near_dedup,
     "op6_chat_format": op6_chat_format,
     "op7_licenses": op7_licenses,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_decontaminate": op10_decontaminate,
 }

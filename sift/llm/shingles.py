@@ -38,6 +38,31 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+def word_runs(texts: list[bytes | None], memo: WordHashes, limit: int = 200_000):
+    """Word hashes of consecutive texts in a row, about ``limit`` words at a
+    time (or one text): yields the place of the first text, the number of words
+    of each, and the hashes."""
+    first, counts, parts, total = 0, [], [], 0
+    for k, text in enumerate(texts):
+        hashes = memo.of(words_of(text))
+        counts.append(len(hashes))
+        parts.append(hashes)
+        total += len(hashes)
+        if total >= limit:
+            yield first, np.array(counts, np.int64), np.concatenate(parts)
+            first, counts, parts, total = k + 1, [], [], 0
+    if counts:
+        yield first, np.array(counts, np.int64), np.concatenate(parts)
+
+
+def whole_windows(counts: np.ndarray, n: int) -> np.ndarray:
+    """Mask over the starts of windows of ``n`` words in a run of texts: those
+    that end inside the text in which they start."""
+    ends = np.repeat(np.cumsum(counts), counts)
+    size = max(0, len(ends) - n + 1)
+    return np.arange(n, n + size) <= ends[:size]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Bijective 64-bit finaliser: spreads every input bit over the output."""
     x = (x ^ (x >> _S30)) * _MIX2
