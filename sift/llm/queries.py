@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sift.llm import (chat_format, decontaminate, language_id, licenses, near_dedup, quality_rules,
-                      substring_dedup)
+from sift.llm import (chat_format, decontaminate, language_id, licenses, near_dedup, pii, quality_mil,
+                      quality_rules, substring_dedup)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,15 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "class_id", (F.col("key") == F.col("class_key")).alias("in_kept_text"))
 
 
+def op5_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = language_id.held_out("doc_id", 3, 1)
+    model = quality_mil.learn(docs, labels.where(~held_out))
+    return quality_mil.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and conversation -7, whose texts hold control strings
     of another template; the digests are read back from the output."""
@@ -63,6 +72,21 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join("licences", ",").alias("licences"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.scan(docs, pii.learn(docs))
+
+    def listed(spans: str):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+            ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    return found.select(
+        "doc_id",
+        *[F.size(F.filter("base_spans", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}")
+          for kind in ("email", "ip", "card", "phone")],
+        F.sha2(listed("base_spans"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -82,8 +106,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_language_id": op2_language_id,
     "op3_near_dedup": op3_near_dedup,
+    "op5_quality_mil": op5_quality_mil,
     "op6_chat_format": op6_chat_format,
     "op7_licenses": op7_licenses,
+    "op8_pii": op8_pii,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_decontaminate": op10_decontaminate,
 }
