@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sift.llm import (chat_format, decontaminate, language_id, licenses, near_dedup, pii, quality_mil,
-                      quality_rules, substring_dedup)
+from sift.llm import (chat_format, decontaminate, language_id, licenses, mixing, near_dedup, pii,
+                      quality_mil, quality_rules, substring_dedup)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,16 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "class_id", (F.col("key") == F.col("class_key")).alias("in_kept_text"))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = mixing.learn(docs, mixing.label_domains(table(spark, sf_dir, "labels")))
+    mixed = mixing.mix(docs, model, mixing.TARGETS)
+    return mixed.select(
+        F.col("doc.doc_id").alias("doc_id"), "tokens",
+        *[(F.element_at("posterior", k + 1) / float(mixing.STEP)).alias(f"p_{d}")
+          for k, d in enumerate(model.domains)], "rate", "copies")
+
+
 def op5_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     held_out = language_id.held_out("doc_id", 3, 1)
@@ -82,7 +92,7 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return found.select(
         "doc_id",
-        *[F.size(F.filter("base_spans", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}")
+        *[F.size(F.filter(F.col("base_spans.kind"), F.lit(kind).eqNullSafe)).cast("long").alias(f"n_{kind}")
           for kind in ("email", "ip", "card", "phone")],
         F.sha2(listed("base_spans"), 256).alias("base_sha256"), listed("spans").alias("spans"))
 
@@ -106,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_language_id": op2_language_id,
     "op3_near_dedup": op3_near_dedup,
+    "op4_mixing": op4_mixing,
     "op5_quality_mil": op5_quality_mil,
     "op6_chat_format": op6_chat_format,
     "op7_licenses": op7_licenses,
