@@ -120,7 +120,7 @@ def licence_rules() -> list[tuple[str, tuple[str, ...]]]:
 
 
 def _sentences(text: Column) -> Column:
-    marked = F.regexp_replace(text, F.lit("([.!?;:])[ \\t\\r\\x0B\\f]+"), F.lit("$1\n"))
+    marked = F.regexp_replace(text, F.lit("([.!?;])[ \\t\\r\\x0B\\f]+"), F.lit("$1\n"))
     return F.split(marked, F.lit("\n"))
 
 

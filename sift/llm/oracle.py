@@ -174,7 +174,7 @@ readings AS (
   SELECT rid, 2, regexp_replace(text, '([^\n])\r?\n([^\r\n])', '\1 \2', 'g') FROM docs
 ), sentences AS (
   SELECT rid, reading, unnest(parts) AS sentence, generate_subscripts(parts, 1) AS n FROM (
-    SELECT rid, reading, string_split(regexp_replace(text, '([.!?;:])[ \t\r\x0B\f]+', '\1' || chr(10), 'g'),
+    SELECT rid, reading, string_split(regexp_replace(text, '([.!?;])[ \t\r\x0B\f]+', '\1' || chr(10), 'g'),
                                       chr(10)) AS parts FROM readings)
 ), identified AS (
   SELECT rid, reading, list(sid ORDER BY n) AS ids FROM sentences

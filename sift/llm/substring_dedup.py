@@ -15,11 +15,11 @@ at least twice travel as bitmaps of at most ``max_cells`` / 4 bytes. Above that
 bound the filter lets more windows through, and the result stays the same.
 
 Second pass: windows with all cells counted twice are grouped exactly, by 96
-bits of two hashes of their words, to find the smallest id. Windows whose key
-is estimated in fewer than ``hot_texts`` texts make groups below that size and
-are judged within their group after one shuffle. Windows of hotter keys are
-first reduced per task to their smallest id, and joined back, which Spark can
-split; so no group of copies meets in one task.
+bits of two hashes of their words, to find the smallest id. Keys estimated to
+have fewer than ``hot_windows`` windows make groups below that size, which are
+judged within the group after one shuffle. Windows of hotter keys are first
+reduced per task to their smallest id, and joined back, which Spark can split;
+so no group of copies, and no passage repeated within texts, meets in one task.
 
 Defined results: null and empty texts, and texts shorter than a window, lose
 nothing; rows with a null id keep all words and remove none elsewhere; rows
@@ -55,10 +55,11 @@ def _cells(keys: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _sketcher(window: int, width: int):
-    """Counts of the cells, once per text and key, summed per task."""
+    """Per cell: the texts (once per text and key) and the windows of its keys,
+    summed per task."""
 
     def run(batches):
-        memo, pending = WordHashes(), []
+        memo, cells, windows = WordHashes(), [], []
         for batch in batches:
             for _, counts, hashes in word_runs(batch.column(0).to_pylist(), memo):
                 whole = whole_windows(counts, window)
@@ -66,30 +67,39 @@ def _sketcher(window: int, width: int):
                     continue
                 text = np.repeat(np.arange(len(counts)), counts)[:len(whole)]
                 keys = _keys(hashes, window)
-                new = whole.copy()  # where the key differs from the one before it
-                new[1:] &= (keys[1:] != keys[:-1]) | (text[1:] != text[:-1]) | ~whole[:-1]
-                keys, text = keys[new], text[new]
+                keys, text = keys[whole], text[whole]
+                new = np.ones(len(keys), np.bool_)  # where a run of one key begins
+                new[1:] = (keys[1:] != keys[:-1]) | (text[1:] != text[:-1])
+                at = np.flatnonzero(new)
+                sizes = np.diff(np.append(at, len(keys)))
+                keys, text = keys[at], text[at]
                 order = np.lexsort((keys, text))
-                keys, text = keys[order], text[order]
+                keys, text, sizes = keys[order], text[order], sizes[order]
                 once = np.ones(len(keys), np.bool_)
                 once[1:] = (keys[1:] != keys[:-1]) | (text[1:] != text[:-1])
-                pending.extend(_cells(keys[once], width))
-            if sum(map(len, pending)) > 2_000_000:
-                yield _summed(pending)
-                pending = []
-        yield _summed(pending)
+                at = np.flatnonzero(once)
+                sizes = np.add.reduceat(sizes, at)
+                for row in _cells(keys[at], width):
+                    cells.append(row)
+                    windows.append(sizes)
+            if sum(map(len, cells)) > 2_000_000:
+                yield _summed(cells, windows)
+                cells, windows = [], []
+        yield _summed(cells, windows)
 
     return run
 
 
-def _summed(pending: list[np.ndarray]) -> pa.RecordBatch:
-    cells, counts = np.unique(np.concatenate([*pending, np.empty(0, np.int64)]), return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(cells), pa.array(counts, pa.int64())],
-                                      names=["cell", "n"])
+def _summed(cells: list[np.ndarray], windows: list[np.ndarray]) -> pa.RecordBatch:
+    none = np.empty(0, np.int64)
+    found, at, texts = np.unique(np.concatenate([*cells, none]), return_inverse=True, return_counts=True)
+    sums = np.bincount(at, np.concatenate([*windows, none]), len(found)).astype(np.int64)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(found), pa.array(texts, pa.int64()), pa.array(sums)], names=["cell", "n", "windows"])
 
 
 class _Sketch:
-    """Bitmaps of the cells counted at least twice, and at least ``hot``."""
+    """Bitmaps of the cells with two texts at least, and of those that are hot."""
 
     def __init__(self, window: int, width: int, repeated: np.ndarray, hot: np.ndarray | None):
         self.window, self.width, self.repeated, self.hot = window, width, repeated, hot
@@ -107,9 +117,8 @@ class _Sketch:
         return repeated, self._set(self.hot, first) & self._set(self.hot, second)
 
 
-def _bitmap(cells: DataFrame, at_least: int, width: int) -> np.ndarray | None:
-    rows = (cells.where(F.col("n") >= at_least)
-            .groupBy(F.bitmap_bucket_number(F.col("cell") + 1).alias("bucket"))
+def _bitmap(cells: DataFrame, width: int) -> np.ndarray | None:
+    rows = (cells.groupBy(F.bitmap_bucket_number(F.col("cell") + 1).alias("bucket"))
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("cell") + 1)).alias("bits"))
             .toArrow())
     if not rows.num_rows:
@@ -121,17 +130,18 @@ def _bitmap(cells: DataFrame, at_least: int, width: int) -> np.ndarray | None:
     return bitmap
 
 
-def _sketch(texts: DataFrame, window: int, hot_texts: int, max_cells: int) -> _Sketch | None:
+def _sketch(texts: DataFrame, window: int, hot_windows: int, max_cells: int) -> _Sketch | None:
     """None if no window is estimated repeated."""
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     keys = max(1, size // 6 // (window // 2))  # about 6 bytes a word, 2 keys a window
     width = min(max_cells, 1 << max(15, (4 * keys - 1).bit_length()))
     cells = (texts.select(F.col("text").cast("binary")).mapInArrow(_sketcher(window, width),
-                                                                   "cell long, n long")
-             .groupBy("cell").agg(F.sum("n").alias("n")).where("n > 1").persist())
+                                                                   "cell long, n long, windows long")
+             .groupBy("cell").agg(F.sum("n").alias("n"), F.sum("windows").alias("windows"))
+             .where("n > 1").persist())
     try:
-        repeated = _bitmap(cells, 2, width)
-        hot = None if repeated is None else _bitmap(cells, hot_texts, width)
+        repeated = _bitmap(cells, width)
+        hot = None if repeated is None else _bitmap(cells.where(F.col("windows") >= hot_windows), width)
     finally:
         cells.unpersist()
     return None if repeated is None else _Sketch(window, width, repeated, hot)
@@ -203,7 +213,7 @@ def _remover(window: int):
     return run
 
 
-def dedup_substrings(docs: DataFrame, *, window: int = 50, hot_texts: int = 1000,
+def dedup_substrings(docs: DataFrame, *, window: int = 50, hot_windows: int = 10_000,
                      max_cells: int = 1 << 29, id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: ``doc_id``, ``n_words``, ``n_removed`` and
@@ -211,7 +221,7 @@ def dedup_substrings(docs: DataFrame, *, window: int = 50, hot_texts: int = 1000
     id_type = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     tag: Column = F.hash("text").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))
-    sketch = _sketch(texts.where(F.col("doc_id").isNotNull()), window, hot_texts, max_cells)
+    sketch = _sketch(texts.where(F.col("doc_id").isNotNull()), window, hot_windows, max_cells)
     starts = F.array().cast("array<int>")
     if sketch is None:
         joined = texts.select("doc_id", "text", starts.alias("starts"))

@@ -27,7 +27,7 @@ def _rows(seed):
 def test_matches_brute_force(spark, seed, hot):
     rows = _rows(seed)
     df = spark.createDataFrame(rows, SCHEMA).repartition(5)
-    got = [tuple(r) for r in dedup_substrings(df, window=10, hot_texts=hot).collect()]
+    got = [tuple(r) for r in dedup_substrings(df, window=10, hot_windows=hot).collect()]
     want = substring_dedup([r[:2] for r in rows], 10)
     order = lambda r: (r[0] is None, r[0] or 0, r)
     assert sorted(got, key=order) == sorted(want, key=order)
