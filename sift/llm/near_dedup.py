@@ -19,8 +19,12 @@ of near copies are common, and would otherwise weigh less than the edits.
 Classes are the connected components of the verified pairs. Exact copies are
 one node (a digest of the text), so copies are never expanded into pairs. In a
 bucket, members are first compared with one hub, in ``hub_rounds`` rounds with
-another hub each, which is linear in the bucket; members that are still in
-different components after that are compared in full, so no pair is left out.
+another hub each (the text of the commonest shingles first: the original of a
+group of near copies), which is linear in the bucket. What is still apart then
+is compared exactly: the members outside the bucket's largest component, in
+blocks, with all members, in blocks. A block pair is one matrix product, and
+only links that join components are given out, so no pair is left out and no
+list of pairs is made.
 
 Defined results: null texts and texts without a word are alone in their class,
 unless the text is an exact copy (null equals null only in being alone);
@@ -90,11 +94,20 @@ class Weights:
         at = np.flatnonzero(new)
         return text[at], shingle[at], np.diff(np.append(at, len(text)))
 
-    def of(self, shingles: np.ndarray, tf: np.ndarray) -> np.ndarray:
+    def idf(self, shingles: np.ndarray) -> np.ndarray:
         first, second = self.cells(shingles)
         df = np.maximum(np.minimum(self.counts[first], self.counts[second]), 1)
         share = np.clip(df / max(1, self.docs), self.rare, 1.0)
-        return (1 + np.log(tf)) * (1 + np.log(share) / math.log(self.rare))
+        return 1 + np.log(share) / math.log(self.rare)
+
+    def of(self, shingles: np.ndarray, tf: np.ndarray) -> np.ndarray:
+        return (1 + np.log(tf)) * self.idf(shingles)
+
+    def of_text(self, text: bytes, memo: WordHashes) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct shingles of one text, and their weights."""
+        words = memo.of(text.split())
+        _, shingles, tf = self.sets(np.array([len(words)]), words)
+        return shingles, self.of(shingles, tf)
 
 
 def _frequencies(weights: Weights):
@@ -151,7 +164,8 @@ def draw(text: np.ndarray, shingles: np.ndarray, weights: np.ndarray, samples: i
 
 
 def _signer(weights: Weights, bands: int, rows: int):
-    """Buckets of each text, one per band."""
+    """Of each text its buckets, one per band, and the mean idf of its
+    shingles."""
     table = _gamma_table()
 
     def run(batches):
@@ -169,15 +183,26 @@ def _signer(weights: Weights, bands: int, rows: int):
                     for r in range(rows):
                         value = mix(value * _STEP ^ samples[:, b * rows + r])
                     buckets[:, b] = value
+                starts = np.flatnonzero(np.concatenate(([True], text[1:] != text[:-1])))
+                share = np.add.reduceat(weights.idf(shingles), starts) / np.diff(np.append(starts, len(text)))
                 flat = pa.array(buckets.reshape(-1).view(np.int64))
                 offsets = pa.array(np.arange(0, buckets.size + 1, bands, dtype=np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [keys.take(pa.array(first + np.unique(text))), pa.ListArray.from_arrays(offsets, flat)],
-                    names=["key", "buckets"])
+                    [keys.take(pa.array(first + text[starts])), pa.array(np.round(share, 6)),
+                     pa.ListArray.from_arrays(offsets, flat)], names=["key", "rarity", "buckets"])
 
     return run
 
 
+def similar(a: tuple, b: tuple, threshold: float) -> bool:
+    """Whether two weighted sets reach the threshold, weighted or plain."""
+    (sa, wa), (sb, wb) = a, b
+    _, at, bt = np.intersect1d(sa, sb, assume_unique=True, return_indices=True)
+    shared = np.minimum(wa[at], wb[bt]).sum()
+    return bool(shared >= threshold * (wa.sum() + wb.sum() - shared) - 1e-9
+                or len(at) >= threshold * (len(sa) + len(sb) - len(at)) - 1e-9)
+
+
 def _verifier(weights: Weights, threshold: float):
     """Of candidate pairs with both texts, the similar ones."""
 
@@ -191,24 +216,119 @@ def _verifier(weights: Weights, threshold: float):
                 if text not in cache:
                     if len(cache) >= 64:
                         cache.clear()
-                    words = memo.of(text.split())
-                    _, shingles, tf = weights.sets(np.array([len(words)]), words)
-                    cache[text] = shingles, weights.of(shingles, tf)
+                    cache[text] = weights.of_text(text, memo)
                 return cache[text]
 
             for k, (a, b) in enumerate(zip(left, right)):
-                (sa, wa), (sb, wb) = weighted(a), weighted(b)
-                _, at, bt = np.intersect1d(sa, sb, assume_unique=True, return_indices=True)
-                shared = np.minimum(wa[at], wb[bt]).sum()
-                union = wa.sum() + wb.sum() - shared
-                if (shared >= threshold * union - 1e-9
-                        or len(at) >= threshold * (len(sa) + len(sb) - len(at)) - 1e-9):
+                if similar(weighted(a), weighted(b), threshold):
                     take.append(k)
             yield batch.select(["a", "b"]).take(pa.array(take, pa.int64()))
 
     return run
 
 
+def may_reach(left: list[tuple], right: list[tuple], threshold: float) -> np.ndarray:
+    """Mask (left, right) of the pairs that can be ``similar``. Shared counts are
+    exact; shared weights are bounded by the root of the product of the two.
+    Only shingles of both sides are columns, in slices, so memory is bounded."""
+    both = np.intersect1d(np.concatenate([x for x, _ in left]), np.concatenate([x for x, _ in right]))
+    count = np.zeros((len(left), len(right)), np.float32)
+    weight = np.zeros_like(count)
+    for at in range(0, len(both), 4096):
+        columns = both[at:at + 4096]
+
+        def rows(side):
+            out = np.zeros((len(side), len(columns)), np.float32)
+            for k, (shingles, w) in enumerate(side):
+                place = np.minimum(np.searchsorted(columns, shingles), len(columns) - 1)
+                here = columns[place] == shingles
+                out[k, place[here]] = np.sqrt(w[here])
+            return out
+
+        x, y = rows(left), rows(right)
+        weight += x @ y.T
+        count += (x > 0).astype(np.float32) @ (y > 0).astype(np.float32).T
+    mask = np.zeros(count.shape, np.bool_)
+    for shared, size in ((count, lambda s: len(s[0])), (weight, lambda s: s[1].sum())):
+        total = np.array([size(s) for s in left])[:, None] + np.array([size(s) for s in right])[None, :]
+        mask |= shared >= (threshold - 1e-4) * (total - shared)
+    return mask
+
+
+def _rest_verifier(weights: Weights, threshold: float):
+    """Links that join components, of block pairs whose rows follow each other."""
+
+    def links(rows: list[tuple]) -> list[tuple]:
+        memo_label: dict[bytes, bytes] = {}
+
+        def root(label):
+            while (up := memo_label.get(label, label)) != label:
+                label = up
+            return label
+
+        sets = [weights.of_text(text, memo) for *_, text in rows]
+        left = [k for k, row in enumerate(rows) if row[0] != "right"]
+        right = [k for k, row in enumerate(rows) if row[0] != "left"]
+        if not left or not right:
+            return []
+        mask = may_reach([sets[k] for k in left], [sets[k] for k in right], threshold)
+        out = []
+        for i, j in np.argwhere(mask).tolist():
+            (_, a, la, _), (_, b, lb, _) = rows[left[i]], rows[right[j]]
+            if root(la) != root(lb) and similar(sets[left[i]], sets[right[j]], threshold):
+                memo_label[root(la)] = root(lb)
+                out.append((a, b))
+        return out
+
+    memo = WordHashes()
+
+    def run(batches):
+        unit, rows = None, []
+        for batch in batches:
+            found = []
+            columns = [batch.column(n).to_pylist() for n in ("bucket", "i", "j", "side", "key", "label", "text")]
+            for *here, side, key, label, text in zip(*columns):
+                if here != unit:
+                    if rows:
+                        found += links(rows)
+                    unit, rows = here, []
+                rows.append((side, key, label, text))
+            yield _edge_batch(found)
+        yield _edge_batch(links(rows) if rows else [])
+
+    return run
+
+
+def _edge_batch(edges: list[tuple]) -> pa.RecordBatch:
+    a, b = zip(*edges) if edges else ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+
+
+def _rest_blocks(opened: DataFrame, block: int) -> DataFrame:
+    """Rows (bucket, i, j, side, key, label): which members meet in which block
+    pair. Buckets of two have met their hub; of buckets with equal members one
+    is enough."""
+    by_label = opened.groupBy("bucket", "label").agg(
+        F.count("*").alias("n"), F.sum(F.xxhash64("key").cast("decimal(38,0)")).alias("digest"))
+    info = by_label.groupBy("bucket").agg(
+        F.sum("n").alias("total"), F.max(F.struct("n", "label")).alias("main"),
+        F.sum("digest").alias("digest")).where("total > 2")
+    info = (info.groupBy("total", "digest").agg(F.min(F.struct("bucket", "main")).alias("one"))
+            .select("one.bucket", F.col("one.main.label").alias("main"),
+                    F.ceil((F.col("total") - F.col("one.main.n")) / block).cast("int").alias("lefts"),
+                    F.ceil(F.col("total") / block).cast("int").alias("rights")))
+    met = opened.select("bucket", "key", "label").join(info, "bucket")
+    one, minor = F.expr("lefts * rights = 1"), F.col("label") != F.col("main")
+    right = met.select("bucket", F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)).alias("i"),
+                       F.pmod(F.xxhash64("key"), "rights").cast("int").alias("j"),
+                       F.when(one & minor, "both").otherwise("right").alias("side"), "key", "label")
+    left = met.where(~one & minor).select(
+        "bucket", F.pmod(F.xxhash64("key", F.lit(1)), "lefts").cast("int").alias("i"),
+        F.explode(F.sequence(F.lit(0), F.col("rights") - 1)).alias("j"),
+        F.lit("left").alias("side"), "key", "label")
+    return right.unionByName(left)
+
+
 def _distinct_pairs(pairs: DataFrame, tested: DataFrame | None) -> DataFrame:
     pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     return pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
@@ -230,7 +350,7 @@ def _open_buckets(members: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 
 def classes(docs: DataFrame, *, shingle: int = 5, threshold: float = 0.8, bands: int = 10,
-            rows: int = 3, rare: float = 0.01, hub_rounds: int = 2, id_col: str = "doc_id",
+            rows: int = 3, rare: float = 0.01, hub_rounds: int = 2, block: int = 256, id_col: str = "doc_id",
             text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: ``doc_id``, ``key`` (digest of the text, null for
     null), ``class_id`` and ``class_key``, the key of the text with that id
@@ -240,8 +360,8 @@ def classes(docs: DataFrame, *, shingle: int = 5, threshold: float = 0.8, bands:
                         lowered)
     weights = _count_frequencies(named.select("text"), shingle, rare)
     signed = named.where("key is not null").select("key", "text").mapInArrow(
-        _signer(weights, bands, rows), "key binary, buckets array<long>")
-    every = signed.select("key", F.explode("buckets").alias("bucket")).distinct()
+        _signer(weights, bands, rows), "key binary, rarity double, buckets array<long>")
+    every = signed.select("key", "rarity", F.explode("buckets").alias("bucket")).distinct()
     shared = written(every, "buckets")
     many = shared.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
     members = written(shared.join(many, "bucket", "left_semi"), "members")
@@ -250,29 +370,28 @@ def classes(docs: DataFrame, *, shingle: int = 5, threshold: float = 0.8, bands:
                     .groupBy("key").agg(F.first("text").alias("text")), "texts")
 
     edges, tested, labels = None, None, None
-    for step in range(hub_rounds + 1):
+    for step in range(max(1, hub_rounds)):  # every member against one hub
         opened = _open_buckets(members, labels)
-        if step < hub_rounds:  # every member against one hub
-            order = F.struct(F.xxhash64(F.lit(step), "key").alias("rank"), "key", "label")
-            hubs = opened.groupBy("bucket").agg(F.min(order).alias("hub"))
-            pairs = (opened.join(hubs, "bucket").where("label != hub.label")
-                     .select(F.col("hub.key").alias("a"), F.col("key").alias("b")))
-        else:  # the exact way for the rest
-            other = opened.select("bucket", F.col("key").alias("b"), F.col("label").alias("other"))
-            pairs = (opened.withColumnRenamed("key", "a").join(other, "bucket")
-                     .where("label != other and a > b").select("a", "b"))
+        first = F.col("rarity") if step == 0 else F.lit(0.0)
+        order = F.struct(first.alias("first"), F.xxhash64(F.lit(step), "key").alias("rank"), "key", "label")
+        hubs = opened.groupBy("bucket").agg(F.min(order).alias("hub"))
+        pairs = (opened.join(hubs, "bucket").where("label != hub.label")
+                 .select(F.col("hub.key").alias("a"), F.col("key").alias("b")))
         pairs = written(_distinct_pairs(pairs, tested), "pairs")
-        if pairs.isEmpty():
-            if step < hub_rounds:
-                continue
-            break
         both = (pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("ta")), "a")
                 .join(texts.select(F.col("key").alias("b"), F.col("text").alias("tb")), "b")
                 .select("a", "b", "ta", "tb"))
-        similar = written(both.mapInArrow(_verifier(weights, threshold), "a binary, b binary"), "edges")
+        linked = written(both.mapInArrow(_verifier(weights, threshold), "a binary, b binary"), "edges")
         tested = pairs if tested is None else tested.unionByName(pairs)
-        edges = similar if edges is None else edges.unionByName(similar)
+        edges = linked if edges is None else edges.unionByName(linked)
         labels = components(edges)
+    opened = _open_buckets(members, labels)
+    met = _rest_blocks(opened, block).join(texts, "key").select(
+        "bucket", "i", "j", "side", "key", "label", "text")
+    linked = written(met.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+                     .mapInArrow(_rest_verifier(weights, threshold), "a binary, b binary"), "edges")
+    if not linked.isEmpty():
+        labels = components(linked if edges is None else edges.unionByName(linked))
 
     keyed = named.select("doc_id", "key")
     if labels is None:

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from sift.llm.components import components
-from sift.llm.near_dedup import _gamma_table, classes, draw, keep_one
+from sift.llm.near_dedup import _gamma_table, classes, draw, keep_one, may_reach, similar
 from tests.llm.brute import jaccard, shingle_set
 
 SCHEMA = "doc_id long, text string, key string"  # key: a clashing extra column
@@ -73,10 +73,32 @@ def test_keep_one_keeps_a_row_of_each_class(spark):
     assert ids == [0, 2, 5] + list(range(45, 85)) + [501, 502, 503, 504]
 
 
-def test_hub_rounds_do_not_change_the_classes(spark):
-    df = spark.createDataFrame(_corpus(5), SCHEMA)
-    a = sorted(map(str, classes(df).collect()))
-    assert a == sorted(map(str, classes(df, hub_rounds=0).collect()))
+@pytest.mark.parametrize("options", [{"hub_rounds": 1}, {"hub_rounds": 1, "block": 4}])
+def test_rounds_and_blocks_do_not_change_the_classes(spark, options):
+    rnd = random.Random(9)
+    base = _text(rnd, 60)
+    rows = []
+    for k in range(60):  # near copies of a text that is not there, about the threshold apart
+        copy = list(base)
+        for _ in range(rnd.randint(0, 2)):
+            copy[rnd.randrange(len(copy))] = f"e{rnd.random()}"
+        rows.append((k, " ".join(copy), "x"))
+    got = {r.doc_id: r.class_id for r in classes(spark.createDataFrame(rows, SCHEMA), **options).collect()}
+    roots = _components(rows, 0.8)
+    assert len(set(roots)) > 1
+    assert all((got[i] == got[j]) == (roots[i] == roots[j]) for i in range(60) for j in range(i))
+
+
+def test_block_mask_leaves_no_similar_pair_out():
+    rnd = np.random.default_rng(4)
+    pool = np.sort(rnd.integers(0, 2 ** 63, 60).astype(np.uint64))
+    sets = []
+    for _ in range(80):
+        take = np.sort(rnd.choice(60, rnd.integers(1, 60), replace=False))
+        sets.append((pool[take], rnd.uniform(1, 3, len(take))))
+    mask = may_reach(sets[:30], sets[30:], 0.6)
+    exact = np.array([[similar(a, b, 0.6) for b in sets[30:]] for a in sets[:30]])
+    assert exact.any() and not (exact & ~mask).any() and mask.mean() < 0.5
 
 
 def test_samples_agree_with_weighted_jaccard():
