@@ -36,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sift.llm.components import written
 from sift.llm.decontaminate import normal_words
 from sift.llm.learning import adam, labelled_texts
 from sift.llm.passages import FEATURES, passage_features
@@ -221,7 +222,8 @@ def mix(docs: DataFrame, model: DomainModel, targets: dict[str, float], *, id_co
         text_col: str = "text", **options) -> DataFrame:
     """All columns of ``docs`` in a struct ``doc``, with ``tokens``,
     ``posterior`` (hundredths), ``rate`` and ``copies``, for every row."""
-    known = posteriors(docs, model, text_col=text_col)
+    # Written once: the fit and the result read the same posteriors.
+    known = written(posteriors(docs, model, text_col=text_col), "posteriors")
     cells = known.groupBy("posterior").agg(F.sum("tokens").alias("tokens")).persist()
     try:
         rate = fit_rates(cells, [targets.get(d, 0.0) for d in model.domains], **options)
