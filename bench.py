@@ -29,13 +29,16 @@ HEADLINE = [
     "tfidf_scores",          # index build: clean, count, df, scores
     "search_batch",          # batch AND/OR search, ranked
     "search_or",             # one interactive query with scan pruning
+    "search_page",           # one page of every query of the batch
     "search_page_info",      # paging over the batch
     "bigram_counts",         # n-gram extraction over all texts
+    "trigram_counts",
     "ngram_vocabulary",      # vocabulary of the labelled comments
     "share_by_day",          # comment binding + conditional aggregate
     "share_by_story",
     "report_states",
     "top_stories_pos",
+    "stream_share_by_day",   # the day table kept by a stream, two landings
     "ml_score",              # train both classifiers and score all comments
 ]
 

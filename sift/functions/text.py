@@ -17,7 +17,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from ..session import spread
 from . import links
 
 # --- fixed values (must equal the reference's for identical results) -------
@@ -44,8 +43,6 @@ _P = r"!?.\-,';:"  # KEPT_PUNCTUATION, escaped for a character class
 _RE_URL_OR_DISALLOWED = rf"(?U)http[^{_WS}]*|[^{_WS}A-Za-z0-9{_P}]"
 # Word separator that also swallows a word's trailing punctuation run.
 _RE_WORD_END = rf"(?U)[{_P}]*+(?:[{_WS}]+|$)"
-_RE_ENDS_WS = rf"(?U)([^{_WS}{_P}]*)([{_P}]*)([{_WS}])"
-_RE_ENDS_EOL = rf"(?U)([^{_WS}{_P}]*)([{_P}]*)$"
 
 # The wrapped function lives in ``links``, which is pickled by value.
 _strip_links_batch = F.pandas_udf(links.strip_links_series, StringType())
@@ -79,13 +76,15 @@ def clean_words(text: Column) -> Column:
 
 
 def clean_text(text: Column) -> Column:
-    """The parsed text (punctuation split off, spaces collapsed)."""
-    t = _clean_chars(text)
-    t = F.regexp_replace(t, _RE_ENDS_WS, "$1 $2 ")
-    t = F.regexp_replace(t, _RE_ENDS_EOL, "$1 $2")
-    t = F.regexp_replace(t, "[\\r\\n\\t]", " ")
-    t = F.regexp_replace(t, " +", " ")
-    return F.regexp_replace(t, "^ | $", "")
+    """The parsed text. Every word is followed by its trailing run of
+    kept punctuation as a word of its own, and all are joined by one space."""
+    words = F.split(_clean_chars(text), rf"(?U)[{_WS}]+")
+
+    def halves(word: Column) -> Column:
+        body = F.rtrim(word, F.lit(KEPT_PUNCTUATION))
+        return F.array(body, F.substr(word, F.length(body) + 1))
+
+    return F.array_join(F.array_remove(F.flatten(F.transform(words, halves)), ""), " ")
 
 
 def ngrams(words: Column, n: int) -> Column:
@@ -112,7 +111,7 @@ def with_features(df, text_col: str, words_col: str = "words",
 
     Two projections, because the link helper is a pandas UDF and may not sit
     inside the n-gram lambdas."""
-    return (spread(df).withColumn(words_col, clean_words(F.col(text_col)))
+    return (df.withColumn(words_col, clean_words(F.col(text_col)))
             .withColumn(features_col, ngram_features(F.col(words_col))))
 
 

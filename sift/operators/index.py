@@ -21,12 +21,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_words, explode_terms
-from ..session import spread
+from ..session import delete_path, partitions_for
 from .search import name_table
 from .skew import split_hot_join
 
@@ -34,7 +33,7 @@ from .skew import split_hot_join
 def token_counts(texts: DataFrame, id_col: str = "song_id",
                  text_col: str = "text") -> DataFrame:
     """token(song_id, token, count) from raw texts."""
-    words = explode_terms(spread(texts).select(F.col(id_col).alias("song_id"),
+    words = explode_terms(texts.select(F.col(id_col).alias("song_id"),
                                        clean_words(F.col(text_col)).alias("w")),
                           F.col("w"), "token", "song_id")
     return words.groupBy("song_id", "token").agg(F.count(F.lit(1)).alias("count"))
@@ -67,16 +66,16 @@ def song_totals(scores: DataFrame) -> DataFrame:
     return scores.groupBy("song_id").agg(F.sum("score").alias("total"))
 
 
-def write_index(scores: DataFrame, path: str, partitions: int | None = None) -> None:
+def write_index(scores: DataFrame, path: str, partitions: int) -> None:
     """Persist the score table clustered by token.
 
     Range-partitioning and sorting by token gives each parquet row group a
     narrow token range, so a search's ``token IN (...)`` filter skips most
     row groups from the footer statistics alone. Range bounds come from a
     sample, so a hot token spreads over neighbouring files rather than one.
+    ``scores`` is read twice (sample, shuffle): pass a stored table.
     """
-    n = partitions or int(scores.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (scores.repartitionByRange(n, "token", "song_id")
+    (scores.repartitionByRange(partitions, "token", "song_id")
      .sortWithinPartitions("token", "song_id")
      .write.mode("overwrite").parquet(path))
 
@@ -92,23 +91,28 @@ class Index:
     names: DataFrame    # (song_id, song, artist_name, page_link)
 
 
-def build(texts: DataFrame, songs: DataFrame, artists: DataFrame, path: str,
-          partitions: int | None = None) -> Index:
+def build(texts: DataFrame | None, songs: DataFrame, artists: DataFrame, path: str,
+          partitions: int | None = None, tokens: DataFrame | None = None) -> Index:
     """Build and persist the search catalog and index under ``path`` (a
-    shared folder); every later search reads only these stored tables.
+    shared folder); every later search reads only these stored tables. The
+    token table is counted from ``texts``, or given as ``tokens``
+    (song_id, token, count), as when it is loaded from a file.
 
     * token: written once and read back, so text cleaning runs once although
       counts and frequencies both read it, and later failures recompute from
       files rather than from raw text;
     * dfreq: document frequency per token, aggregated once and read by each
       branch of the hot/cold split;
-    * tfidf: clustered by token (see ``write_index``);
+    * tfidf: written as it is joined, then clustered by token from the file
+      (see ``write_index``) into partitions sized by its bytes;
     * totals: the query-independent score of each song, aggregated once here
       instead of in every search;
     * song, artist: the catalog; names: both joined once, what results are
       named from.
     """
-    spark = texts.sparkSession
+    spark = songs.sparkSession
+    if (texts is None) == (tokens is None):
+        raise ValueError("give either texts or tokens")
 
     def stored(df: DataFrame, name: str) -> DataFrame:
         df.write.mode("overwrite").parquet(f"{path}/{name}")
@@ -116,17 +120,17 @@ def build(texts: DataFrame, songs: DataFrame, artists: DataFrame, path: str,
 
     song = stored(songs, "song")
     artist = stored(artists, "artist")
-    tokens = stored(token_counts(texts), "token")
-    frequencies = stored(doc_frequency(tokens), "dfreq")
-    # The range partitioner samples its input before the shuffle; keeping
-    # the scores (memory, spilling to disk) avoids computing them twice.
-    scored = tfidf(tokens, song, frequencies).persist(StorageLevel.MEMORY_AND_DISK)
-    write_index(scored, f"{path}/tfidf", partitions)
-    scored.unpersist()
+    token = stored(token_counts(texts) if tokens is None
+                   else tokens.select("song_id", "token", "count"), "token")
+    frequencies = stored(doc_frequency(token), "dfreq")
+    unsorted = stored(tfidf(token, song, frequencies), "tfidf-unsorted")
+    n = partitions or partitions_for(spark, f"{path}/tfidf-unsorted")
+    write_index(unsorted, f"{path}/tfidf", n)
+    delete_path(spark, f"{path}/tfidf-unsorted")
     scores = spark.read.parquet(f"{path}/tfidf")
     totals = stored(song_totals(scores), "totals")
     names = stored(name_table(song, artist), "names")
-    return Index(tokens, frequencies, scores, totals, song, artist, names)
+    return Index(token, frequencies, scores, totals, song, artist, names)
 
 
 def open_index(spark, path: str) -> Index:

@@ -13,8 +13,9 @@ refits it on every run, which can shift feature indices under a loaded
 model); the held-out half is actually evaluated.
 
 Scale: spark.ml trains with distributed aggregation (treeAggregate); the
-vocabulary held by the driver is capped by ``vocabSize`` (default 262,144
-terms), and the model coefficients are one vector of that size.
+vocabulary held by the driver, and with it the coefficient vectors, is bounded
+by ``vocab_size``; training stops with an error if more terms qualify, so no
+term is dropped unseen. Folds and the final fit run concurrently.
 """
 
 from __future__ import annotations
@@ -42,6 +43,8 @@ REG_PARAMS = [1.0]
 NUM_FOLDS = 5
 # ---------------------------------------------------------------------------
 
+VOCAB_SIZE = 1 << 18
+
 SIDES = {"pos": "positive", "neg": "negative"}
 
 
@@ -73,10 +76,17 @@ def labeled_features(labeled_comments: DataFrame) -> DataFrame:
     return with_features(usable, "body").drop("body", "words")
 
 
-def fit_vectorizer(features: DataFrame, min_df: float = MIN_DF) -> CountVectorizerModel:
-    """M1: binary bag of n-grams, terms in at least ``min_df`` documents."""
-    cv = CountVectorizer(inputCol="features", outputCol="counts", minDF=min_df, binary=True)
-    return cv.fit(features)
+def fit_vectorizer(features: DataFrame, min_df: float = MIN_DF,
+                   vocab_size: int = VOCAB_SIZE) -> CountVectorizerModel:
+    """M1: binary bag of n-grams, terms in at least ``min_df`` documents;
+    an error if more than ``vocab_size`` terms qualify."""
+    cv = CountVectorizer(inputCol="features", outputCol="counts", minDF=min_df, binary=True,
+                         vocabSize=vocab_size + 1)
+    model = cv.fit(features)
+    if len(model.vocabulary) > vocab_size:
+        raise ValueError(f"more than {vocab_size} terms are in at least {min_df} comments; "
+                         "raise vocab_size or min_df")
+    return model
 
 
 def _estimator(side: str, max_iter: int) -> LogisticRegression:
@@ -92,21 +102,39 @@ def evaluator(side: str) -> BinaryClassificationEvaluator:
 
 
 def _bucket(key: str, seed: int, buckets: int):
-    """A stable bucket of the row key: the same on any partition layout and
-    on every rerun (``randomSplit`` and CV's own folds depend on layout)."""
-    return F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(buckets)).cast("int")
+    """A stable bucket of the row key, from 32 bits of an md5: the same on any
+    partition layout and on every rerun (``randomSplit`` and CV's own folds
+    depend on layout)."""
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
+    number = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
+    return F.pmod(number, F.lit(buckets)).cast("int")
 
 
 def train_side(vectors: DataFrame, side: str, reg_params=REG_PARAMS, max_iter: int = MAX_ITER,
-               folds: int = NUM_FOLDS, seed: int = 7, parallelism: int = 2,
+               folds: int = NUM_FOLDS, seed: int = 7, parallelism: int = 6,
                key: str = "Input_id") -> CrossValidatorModel:
     """M3-M5, M7: cross-validated logistic regression for one side; folds
-    come from a hash of the row key."""
+    come from a hash of the row key. ``CrossValidator`` runs one fold after
+    the other and only its grid concurrently; here every fit of fold x grid is
+    a task of one thread pool, and with a grid of one entry the final fit
+    joins them."""
     lr = _estimator(side, max_iter)
     grid = ParamGridBuilder().addGrid(lr.regParam, list(reg_params)).build()
-    cv = CrossValidator(estimator=lr, evaluator=evaluator(side), estimatorParamMaps=grid,
-                        numFolds=folds, foldCol="fold", parallelism=parallelism)
-    return cv.fit(vectors.withColumn("fold", _bucket(key, seed, folds)))
+    judge = evaluator(side)
+    folded = vectors.withColumn("fold", _bucket(key, seed, folds))
+
+    def fold_metric(fold: int, params: dict) -> float:
+        model = lr.fit(folded.where(F.col("fold") != fold), params)
+        return judge.evaluate(model.transform(folded.where(F.col("fold") == fold)))
+
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        metrics = [[pool.submit(fold_metric, k, params) for k in range(folds)] for params in grid]
+        early = pool.submit(lr.fit, vectors, grid[0]) if len(grid) == 1 else None
+        averages = [sum(f.result() for f in row) / folds for row in metrics]
+        best = max(range(len(grid)), key=averages.__getitem__)
+        model = early.result() if early else lr.fit(vectors, grid[best])
+    cv = CrossValidator(estimator=lr, evaluator=judge, estimatorParamMaps=grid, numFolds=folds)
+    return cv._copyValues(CrossValidatorModel(model, avgMetrics=averages))
 
 
 def split(vectors: DataFrame, seed: int, key: str = "Input_id") -> tuple[DataFrame, DataFrame]:
@@ -115,39 +143,15 @@ def split(vectors: DataFrame, seed: int, key: str = "Input_id") -> tuple[DataFra
     return vectors.where(half == 0), vectors.where(half == 1)
 
 
-ROWS_PER_TRAINING_PARTITION = 50_000
-
-
-def sized_for_training(vectors: DataFrame,
-                       rows_per_partition: int = ROWS_PER_TRAINING_PARTITION) -> DataFrame:
-    """Persist the training vectors in partitions sized by row count.
-
-    Every optimizer iteration is one distributed aggregation; on a small
-    labelled set, per-task overhead dominates (one fit at sf0.1, warm JVM:
-    about 1.9 s on 8 partitions, 1.1-1.5 s on 1, same model), while a large one keeps one
-    partition per ``rows_per_partition`` rows.
-    """
-    # Vectorize in parallel first; the coalesced copy then reads this cache.
-    # Both are materialized here, while the inputs are still cached: otherwise
-    # the first action of each cross-validation (run concurrently) would
-    # recompute the features inside the coalesced partition, one task each.
-    wide = vectors.persist(StorageLevel.MEMORY_AND_DISK)
-    rows = wide.count()
-    target = max(1, -(-rows // rows_per_partition))
-    if target >= wide.rdd.getNumPartitions():
-        return wide
-    narrow = wide.coalesce(target).persist(StorageLevel.MEMORY_AND_DISK)
-    narrow.count()
-    wide.unpersist()
-    return narrow
-
-
 def train(labeled_comments: DataFrame, seed: int = 42, **kw) -> tuple[SentimentModels, dict]:
     """Fit vectorizer and both classifiers; each side on its own random half,
     as the reference does. Returns the models and the held-out halves."""
     feats = labeled_features(labeled_comments).persist(StorageLevel.MEMORY_AND_DISK)
     vectorizer = fit_vectorizer(feats)
-    vectors = sized_for_training(vectorizer.transform(feats))
+    # Vectors are computed once, in the partitions the join left, before the
+    # concurrent fits ask for them; adaptive execution sizes these by bytes.
+    vectors = vectorizer.transform(feats).persist(StorageLevel.MEMORY_AND_DISK)
+    vectors.count()
     feats.unpersist()
     halves = {side: split(vectors, seed + i) for i, side in enumerate(SIDES)}
     # The two sides are independent: submit their jobs from two driver
@@ -171,7 +175,8 @@ def evaluate(models: SentimentModels, halves: dict) -> dict[str, float]:
 def score(comments_with_title: DataFrame, models: SentimentModels,
           pos_threshold: float = POSITIVE_THRESHOLD,
           neg_threshold: float = NEGATIVE_THRESHOLD) -> DataFrame:
-    """(id, flair, created_utc, title, pos, neg) per comment.
+    """(id, flair, created_utc, title, sid, cscore, sscore,
+    pos, neg) per comment.
 
     Both models read one vectorized frame; their output columns differ, so no
     intermediate projection or second join is needed.
@@ -180,6 +185,6 @@ def score(comments_with_title: DataFrame, models: SentimentModels,
     vectors = models.vectorizer.transform(feats)
     both = models.neg.transform(models.pos.transform(vectors))
     return both.select(
-        "id", "flair", "created_utc", "title",
+        "id", "flair", "created_utc", "title", "sid", "cscore", "sscore",
         class_one_above(F.col("pos_probability"), pos_threshold).alias("pos"),
         class_one_above(F.col("neg_probability"), neg_threshold).alias("neg"))

@@ -14,8 +14,9 @@ all songs, so that task would sort a third of the corpus alone. Instead:
    in earlier partitions.
 4. rank = position in partition - first position + rows before + 1.
 
-The numbered, range-partitioned rows are checkpointed once, so steps 3 and 4
-read the same layout.
+The rows are written to the shared scratch folder twice: as they come, so that
+sampling the range bounds does not compute them again, and range-partitioned
+and numbered, so that steps 3 and 4 read one layout and a lost task repeats it.
 
 The offsets table is joined back by broadcast only when its row bound
 (partitions + groups) is under ``broadcast_rows``; otherwise a shuffled join
@@ -24,11 +25,10 @@ on (partition, group), which is balanced because partitions are.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_dir
+from ..session import delete_path, new_scratch_path, partitions_for
 
 _PID_SHIFT = 33  # monotonically_increasing_id: partition index << 33 | row
 
@@ -41,22 +41,18 @@ def rank_within(df: DataFrame, group: str, order: list[Column],
     ``order``. ``order`` must be a total order within a group (end it with a
     unique key) for the rank to be deterministic."""
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    raw = new_scratch_path(spark, "rank-raw")
+    df.write.parquet(raw)
+    n = partitions or partitions_for(spark, raw)
     keys = [F.col(group)] + list(order)
-    ordered = (df.repartitionByRange(n, *keys)
-               .sortWithinPartitions(*keys)
-               .withColumn("_rid", F.monotonically_increasing_id())
-               .withColumn("_pid", F.shiftright("_rid", _PID_SHIFT)))
-    # Range bounds come from a sample whose rows depend on shuffle fetch
-    # order, so two evaluations may cut partitions differently. Both the
-    # offsets and the rows must see one layout: write it once to the shared
-    # checkpoint folder (this also makes a lost task recompute identically).
-    # Persisting first lets the checkpoint write reuse the computed rows
-    # instead of recomputing the sorted partitions a second time.
-    scratch_dir(spark)
-    cached = ordered.persist(StorageLevel.MEMORY_AND_DISK)
-    ordered = cached.checkpoint(eager=True)
-    cached.unpersist()
+    numbered = (spark.read.parquet(raw).repartitionByRange(n, *keys)
+                .sortWithinPartitions(*keys)
+                .withColumn("_rid", F.monotonically_increasing_id())
+                .withColumn("_pid", F.shiftright("_rid", _PID_SHIFT)))
+    path = new_scratch_path(spark, "rank")
+    numbered.write.parquet(path)
+    delete_path(spark, raw)
+    ordered = spark.read.parquet(path)
     before = Window.partitionBy(group).orderBy("_pid").rowsBetween(
         Window.unboundedPreceding, -1)
     offsets = (ordered.groupBy("_pid", group)

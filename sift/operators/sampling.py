@@ -7,6 +7,8 @@ falls under a threshold: the same rows on any layout, any engine, any rerun.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,14 +19,18 @@ SAMPLE_SEED = 0
 
 
 def hash_threshold(fraction: float) -> str:
-    """Two-hex-digit threshold: keep md5 prefixes below it (1/256 steps)."""
-    return format(max(0, min(255, round(fraction * 256))), "02x")
+    """Eight-hex-digit bound: md5 prefixes below it are ``fraction`` of all."""
+    return format(math.ceil(fraction * 2 ** 32), "08x")
 
 
 def hash_sample(df: DataFrame, key: str, fraction: float = SAMPLE_FRACTION) -> DataFrame:
-    """Rows whose ``md5(key)`` starts below ``fraction * 256`` (no shuffle)."""
-    prefix = F.substring(F.md5(F.col(key).cast("string")), 1, 2)
-    return df.where(prefix < F.lit(hash_threshold(fraction)))
+    """Rows whose md5 of ``key``, read as a number of 32 bits, is below
+    ``fraction`` of the range (no shuffle): all rows at 1, none at 0. A null
+    key counts as an empty one."""
+    if fraction >= 1:
+        return df
+    prefix = F.substring(F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))), 1, 8)
+    return df.where(prefix < F.lit(hash_threshold(max(0.0, fraction))))
 
 
 def random_sample(df: DataFrame, fraction: float = SAMPLE_FRACTION,

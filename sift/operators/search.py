@@ -6,11 +6,12 @@ song -> names -> ordered view -> pages of 20. Here the same plan runs for a
 whole table of queries in one job:
 
     queries --tokens--> (query_id, token, need)
-       join index on token          (small query side: broadcast by AQE)
+       join index on token          (frequent tokens salted; small query side broadcast by AQE)
        group by (query_id, song)    (partial aggregate; count >= need)
        join song totals on song     (query-independent, precomputed)
-       join names on song           (song + artist names, joined once at build)
-       rank within query            (range-partitioned, skew-safe)
+       keep songs that have names   (semi-join on the id)
+       rank within query            (range-partitioned, skew-safe; a page: top k per query)
+       join names on song           (last, for the rows shown; joined once at build)
 
 Semantics kept from the reference: a song's score is the sum of *all* its
 token scores (``score_scope='document'``); any mode other than ``and`` is OR;
@@ -22,17 +23,22 @@ result, and ties are broken by song id.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import paging
 from ..functions.text import explode_terms, query_tokens
 from .ranking import rank_within
-from .skew import split_hot_join
+from .skew import salted_join, split_hot_join
 
 SCORE_DIGITS = 6
 
 
+def result_order() -> list[Column]:
+    """O1: best score first, ties by song id."""
+    return [F.desc("score"), F.asc("song_id")]
+
+
 def query_terms(queries: DataFrame) -> DataFrame:
     """(query_id, need, token) from (query_id, text, mode)."""
     toks = queries.select("query_id", "mode",
@@ -43,13 +49,20 @@ def query_terms(queries: DataFrame) -> DataFrame:
 
 
 def match(scores: DataFrame, terms: DataFrame, totals: DataFrame | None = None,
-          score_scope: str = "document") -> DataFrame:
+          score_scope: str = "document", frequencies: DataFrame | None = None) -> DataFrame:
     """(query_id, song_id, score) for songs holding >= need query tokens.
 
     ``score_scope='document'`` scores a song by all its tokens (the
-    reference); ``'query'`` by the matched tokens only.
+    reference); ``'query'`` by the matched tokens only. With the stored
+    ``frequencies`` the postings of frequent tokens are salted, so a token in
+    most songs does not meet in one task when the terms are too many to
+    broadcast.
     """
-    hits = scores.join(terms, "token")
+    if frequencies is None:
+        hits = scores.join(terms, "token")
+    else:
+        hits = salted_join(scores, terms, "token", frequencies, "df", "song_id",
+                           max_hot=1000, salts=16)
     grouped = (hits.groupBy("query_id", "song_id", "need")
                .agg(F.count(F.lit(1)).alias("matched"), F.sum("score").alias("qscore"))
                .where(F.col("matched") >= F.col("need")))
@@ -78,38 +91,53 @@ def name_table(songs: DataFrame, artists: DataFrame) -> DataFrame:
 
 
 def with_names(matched: DataFrame, names: DataFrame) -> DataFrame:
-    """Attach song name, artist name and link to (query_id, song_id, score)."""
-    return (matched.join(names, "song_id")
-            .select("query_id", "song_id", "song", "artist_name", "page_link", "score"))
+    """Attach song name, artist name and link to rows with a song id."""
+    return matched.join(names, "song_id").select(
+        "query_id", "song_id", "song", "artist_name", "page_link",
+        *[c for c in matched.columns if c not in ("query_id", "song_id")])
 
 
 def search_batch(scores: DataFrame, totals: DataFrame, names: DataFrame,
                  queries: DataFrame,
                  score_scope: str = "document",
-                 num_queries: int | None = None) -> DataFrame:
+                 num_queries: int | None = None,
+                 frequencies: DataFrame | None = None) -> DataFrame:
     """Ranked results of every query in ``queries`` (query_id, text, mode).
 
     Scores are rounded to 6 digits before ranking, so ordering does not
-    depend on the summation order of floating-point partial sums.
+    depend on the summation order of floating-point partial sums. Only ids
+    and scores are ranked; the names follow.
     """
-    return rank_within(batch_matches(scores, totals, names, queries, score_scope),
-                       "query_id", [F.desc("score"), F.asc("song_id")],
-                       num_groups=num_queries)
+    ranked = rank_within(batch_matches(scores, totals, names, queries, score_scope, frequencies),
+                         "query_id", result_order(), num_groups=num_queries)
+    return with_names(ranked, names)
 
 
 def batch_matches(scores: DataFrame, totals: DataFrame, names: DataFrame,
-                  queries: DataFrame,
-                  score_scope: str = "document") -> DataFrame:
-    """Named, scored results of every query, not yet ranked (enough for
-    result counts, which need no order)."""
-    matched = match(scores, query_terms(queries), totals, score_scope)
-    return with_names(matched, names).withColumn(
-        "score", F.round("score", SCORE_DIGITS))
-
-
-def result_counts(results: DataFrame) -> DataFrame:
-    """A5: (query_id, num_results), counting non-null song names."""
-    return results.groupBy("query_id").agg(F.count("song").alias("num_results"))
+                  queries: DataFrame, score_scope: str = "document",
+                  frequencies: DataFrame | None = None) -> DataFrame:
+    """(query_id, song_id, score) of every query, of songs that have names;
+    not yet ranked or named (enough for result counts)."""
+    matched = match(scores, query_terms(queries), totals, score_scope, frequencies)
+    return (matched.join(names.select("song_id"), "song_id", "left_semi")
+            .select("query_id", "song_id", F.round("score", SCORE_DIGITS).alias("score")))
+
+
+def batch_page(matches: DataFrame, names: DataFrame, page_num: int,
+               size: int = paging.PAGE_SIZE) -> DataFrame:
+    """O2, O3, R2 for a batch: one page of every query, without ranking the
+    rest. Spark cuts each task's rows to the first ``page_num * size`` of a
+    query before the shuffle, so a query that matches everything is safe."""
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy(*result_order()))
+    ranked = matches.withColumn("rank", place).where(F.col("rank") <= page_num * size)
+    return with_names(page(ranked, page_num, size), names)
+
+
+def result_counts(matches: DataFrame, names: DataFrame) -> DataFrame:
+    """A5: (query_id, num_results), counting songs with a non-null name."""
+    named = names.where(F.col("song").isNotNull()).select("song_id")
+    return (matches.join(named, "song_id", "left_semi")
+            .groupBy("query_id").agg(F.count(F.lit(1)).alias("num_results")))
 
 
 def page(results: DataFrame, page_num: Column | int, size: int = paging.PAGE_SIZE) -> DataFrame:

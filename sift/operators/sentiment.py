@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from ..functions.flags import epoch_to_date, strip_link_prefix
 from ..sources.tables import STATES
-from .skew import salted_join
 
 # --- fixed values (must equal the reference's for identical results) -------
 TOP_SHARE = 0.9   # stories whose share exceeds this are "top" stories
@@ -72,12 +71,10 @@ def comments_with_title(comments: DataFrame, submissions: DataFrame) -> DataFram
                         "body", F.col("score").alias("cscore"),
                         strip_link_prefix(F.col("link_id")).alias("sid"))
     s = submissions.select(F.col("id").alias("sid"), "title", F.col("score").alias("sscore"))
-    # One story may hold a large share of all comments: weigh stories by
-    # their comment count (a partial aggregate over the story id alone) and
-    # salt the heavy ones; the comment side, which carries the text, is read
-    # once.
-    per_story = c.groupBy("sid").agg(F.count(F.lit(1)).alias("_n_comments"))
-    return salted_join(c, s, "sid", per_story, "_n_comments", "id")
+    # One story may hold a large share of all comments. The join is inner and
+    # neither side is aggregated before it, so adaptive skew splitting cuts
+    # such a story; a small submission side is broadcast at run time.
+    return c.join(s, "sid")
 
 
 def labeled_comments(labeled: DataFrame, comments: DataFrame) -> DataFrame:

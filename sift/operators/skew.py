@@ -13,7 +13,6 @@ no task receives a hot key.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,33 +39,25 @@ DEFAULT_SALTS = 64
 def salted_join(big: DataFrame, small: DataFrame, key: str, weights: DataFrame, weight: str,
                 salt_col: str, max_hot: int = DEFAULT_MAX_HOT,
                 salts: int = DEFAULT_SALTS) -> DataFrame:
-    """Inner join of ``big`` and ``small`` (unique on ``key``) with hot keys
-    salted, reading ``big`` once.
-
-    ``weights`` holds ``(key, weight)``: the number of ``big`` rows per key.
-    For a ``big`` side that is costly to produce (a join carrying text, say),
-    reading it twice as ``split_hot_join`` does costs more than the skew.
-
-    The hot keys -- fewer than ``max_hot`` by construction, since each holds
-    more than ``1/max_hot`` of the total -- are fetched as a list and tag
-    both sides with an ``IN`` test (no join, so the size estimate of
-    ``small`` is unchanged and a small ``small`` is still broadcast). Hot
-    rows of ``big`` get a salt in ``[0, salts)`` from a hash of ``salt_col``
-    (deterministic, so a retried task salts identically); only hot keys of
-    ``small`` are replicated ``salts`` times. One join on (key, salt)
-    follows: a hot key is spread over ``salts`` partitions, or nothing of
-    ``big`` is shuffled when ``small`` is broadcast.
+    """Inner join of ``big`` and ``small`` with hot keys salted, reading
+    ``big`` once; ``small`` may hold a key more than once.
+
+    ``weights`` is a stored table of one row per key with its number of
+    ``big`` rows. The hot keys -- fewer than ``max_hot`` by construction,
+    since each holds more than ``1/max_hot`` of the total -- are broadcast and
+    tag both sides. Hot rows of ``big`` get a salt in ``[0, salts)`` from a
+    hash of ``salt_col`` (deterministic, so a retried task salts identically);
+    only hot rows of ``small`` are replicated ``salts`` times. One join on
+    (key, salt) follows: a hot key is spread over ``salts`` partitions, or
+    nothing of ``big`` is shuffled when ``small`` is broadcast. Nothing runs
+    while the plan is built.
     """
-    # One row per key, computed once for both the total and the hot list.
-    weights = weights.select(key, weight).persist(StorageLevel.MEMORY_AND_DISK)
-    total = weights.agg(F.sum(weight)).first()[0] or 0
-    is_hot = F.col(weight) * F.lit(max_hot) > F.lit(total)
-    hot = [r[0] for r in weights.where(is_hot).select(key).collect()]  # < max_hot keys
-    weights.unpersist()
-    hot_test = F.col(key).isin(hot) if hot else F.lit(False)
-    tagged = big.withColumn(
-        "_salt", F.when(hot_test, F.pmod(F.xxhash64(F.col(salt_col)), F.lit(salts)))
-                  .otherwise(F.lit(0)).cast("int"))
-    fan = F.when(hot_test, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    replicated = small.withColumn("_salt", F.explode(fan))
+    total = weights.select(F.sum(weight)).scalar()
+    is_hot = F.coalesce(F.col(weight) * F.lit(max_hot) > total, F.lit(False))
+    hot = F.broadcast(weights.where(is_hot).select(key, F.lit(True).alias("_hot")))
+    tagged = big.join(hot, key, "left").withColumn(
+        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(F.col(salt_col)), F.lit(salts)))
+                  .otherwise(F.lit(0)).cast("int")).drop("_hot")
+    fan = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    replicated = small.join(hot, key, "left").withColumn("_salt", F.explode(fan)).drop("_hot")
     return tagged.join(replicated, [key, "_salt"]).drop("_salt")

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.flags import NEGATIVE_THRESHOLD, POSITIVE_THRESHOLD
 from ..operators import index, ml, sampling, sentiment
 from ..sources import files
 
@@ -33,32 +34,34 @@ def sentiment_job(spark: SparkSession, comments: DataFrame, submissions: DataFra
                                    lambda: sentiment.labeled_comments(labeled, comments))
 
     model_dir = f"{out}/models"
-    if files.path_exists(spark, f"{model_dir}/neg.model/metadata/_SUCCESS"):
+    # A marker of our own, written after all three models, tells a complete save.
+    if files.path_exists(spark, f"{model_dir}/complete/_SUCCESS"):
         models = ml.SentimentModels.load(model_dir)
     else:
         models, _ = ml.train(labeled_comments)
         models.save(model_dir)
+        spark.range(1).write.mode("overwrite").parquet(f"{model_dir}/complete")
 
     to_score = comments if sample_fraction is None else \
         sampling.hash_sample(comments, "id", sample_fraction)
     with_title = sentiment.comments_with_title(to_score, submissions)
-    scored = files.stage(spark, f"{out}/stage/scored", lambda: ml.score(with_title, models))
+    # What the scores depend on is part of the stage's name.
+    scope = (f"sample={'all' if sample_fraction is None else sample_fraction}"
+             f"-pos={POSITIVE_THRESHOLD}-neg={NEGATIVE_THRESHOLD}")
+    scored = files.stage(spark, f"{out}/stage/scored-{scope}", lambda: ml.score(with_title, models))
 
-    # Scores of each comment and its story, carried from the join above.
-    stories = with_title.select("id", "cscore", "sscore", "sid").join(
-        scored.select("id", "pos", "neg"), "id")
     tables = {
         "count_all": sentiment.share_overall(scored),
         "count_days": sentiment.share_by_day(scored, keep_all),
         "count_states": sentiment.share_by_state(scored, keep_all),
-        "count_cscore": sentiment.share_by(stories, "cscore", keep_all),
-        "count_sscore": sentiment.share_by(stories, "sscore", keep_all),
+        "count_cscore": sentiment.share_by(scored, "cscore", keep_all),
+        "count_sscore": sentiment.share_by(scored, "sscore", keep_all),
     }
     written = {}
     for name, df in tables.items():
         files.write_report(df, f"{out}/{name}")
         written[name] = f"{out}/{name}"
-    by_story = sentiment.share_by(stories, "sid", keep_all)
+    by_story = sentiment.share_by(scored, "sid", keep_all)
     by_story.write.mode("overwrite").parquet(f"{out}/count_story")
     written["count_story"] = f"{out}/count_story"
     story_table = spark.read.parquet(f"{out}/count_story")
@@ -68,7 +71,8 @@ def sentiment_job(spark: SparkSession, comments: DataFrame, submissions: DataFra
     return written
 
 
-def search_index_job(texts: DataFrame, songs: DataFrame, artists: DataFrame,
-                     out_dir: str) -> index.Index:
-    """Build and store the search catalog and TF-IDF index under ``out_dir``."""
-    return index.build(texts, songs, artists, out_dir.rstrip("/"))
+def search_index_job(texts: DataFrame | None, songs: DataFrame, artists: DataFrame,
+                     out_dir: str, tokens: DataFrame | None = None) -> index.Index:
+    """Build and store the search catalog and TF-IDF index under ``out_dir``,
+    from texts or from a given token table."""
+    return index.build(texts, songs, artists, out_dir.rstrip("/"), tokens=tokens)

@@ -1,14 +1,17 @@
 """DuckDB SQL for each contract query, over the generated tables.
 
 Written independently of the Spark code: the same binding (see
-``sources.tables``) and the same semantics, in plain SQL. DuckDB's regex
-engine (RE2) has no look-ahead and an ASCII ``\\s``; the generated texts hold
-no links, URLs or non-ASCII whitespace, so those cleaning steps are absent
-here and covered by inline fixtures in ``tests/`` instead.
+``sources.tables``) and the same semantics, in plain SQL. Links, page
+addresses and comment marks are put into the texts by a rule on the id
+(``tables.marked_texts``); the SQL states what must remain of them by the same
+rule, without searching for them. Other whitespace than ASCII and nested links
+do not occur in the generated texts and are covered by ``tests/``.
 """
 
 from __future__ import annotations
 
+import string
+
 from ..functions.paging import SITE_PREFIX
 from ..sources.tables import STATES
 from . import queries as Q
@@ -16,6 +19,10 @@ from . import queries as Q
 _STATE_LIST = "[" + ", ".join("'" + s.replace("'", "''") + "'" for s in STATES) + "]"
 
 
+_KEPT = "!?.-,';:"
+_DELETED = "".join(c for c in string.punctuation if c not in _KEPT)
+
+
 def _sql_str(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -122,6 +129,19 @@ COMMENTS = f"""comments AS (
   FROM documents d
   JOIN events e ON e.event_id = (d.doc_id * 7919) % (SELECT count(*) FROM events))"""
 
+# What ``marked_texts`` puts around a text, and what stripping links or
+# addresses must leave of it.
+MARKED = """marked AS (
+  SELECT d.doc_id, d.text AS plain, d.source, d.doc_id % 4 AS rule,
+         CASE d.doc_id % 4 WHEN 0 THEN '[' || d.source || '](' || p.url || ') ' || d.text
+              WHEN 1 THEN d.text || ' ' || p.url WHEN 2 THEN d.text || ' /s'
+              ELSE '&gt; ' || d.text END AS text
+  FROM documents d JOIN pages p ON p.page_id = d.doc_id % (SELECT count(*) FROM pages)),
+left_over AS (
+  SELECT doc_id, CASE rule WHEN 0 THEN source || ' ' || plain ELSE text END AS no_links,
+         CASE rule WHEN 0 THEN source || ' ' || plain WHEN 1 THEN plain ELSE text END AS no_urls
+  FROM marked)"""
+
 SUBMISSIONS = """submissions AS (
   SELECT CAST(conv_id AS VARCHAR) AS id, max(CASE WHEN turn = 0 THEN text END) AS title,
          count(*) AS score
@@ -187,6 +207,31 @@ FROM (SELECT unnest({feats}) AS term FROM lw)
 GROUP BY term HAVING count(*) >= 10""")
 
 
+def _usable() -> str:
+    """Distinct features of every labelled comment, and the vocabulary."""
+    w = "words"
+    feats = f"list_distinct(list_concat({w}, {grams(w, 2)}, {grams(w, 3)}))"
+    return SENT + """,
+lab AS (SELECT c.id, c.body, CAST(l.labeldjt AS INTEGER) AS label
+        FROM labeled_data l JOIN comments c ON c.id = l."Input_id"),
+""" + words_cte("lw", "lab", "id", "body") + f""",
+feats AS (SELECT id, unnest({feats}) AS term FROM lw),
+vocab AS (SELECT term FROM feats GROUP BY term HAVING count(*) >= 10)"""
+
+
+def _ml_features() -> str:
+    return with_(_usable(), """SELECT lab.id AS "Input_id", CAST(lab.label = 1 AS INTEGER) AS positive,
+       CAST(lab.label = -1 AS INTEGER) AS negative, CAST(coalesce(n, 0) AS INTEGER) AS n_active
+FROM lab LEFT JOIN (SELECT id, count(*) AS n FROM feats JOIN vocab USING (term) GROUP BY id) f
+  ON f.id = lab.id""")
+
+
+def _ml_train() -> str:
+    return with_(_usable(), """SELECT model, (SELECT CAST(count(*) AS INTEGER) FROM vocab) AS num_features,
+       CAST(1.0 AS DOUBLE) AS reg_param, CAST(10 AS INTEGER) AS max_iter
+FROM (VALUES ('pos'), ('neg')) m(model)""")
+
+
 def _preview() -> str:
     w = "words"
     feats = f"list_concat({w}, {grams(w, 2)}, {grams(w, 3)})"
@@ -217,6 +262,12 @@ FROM queries q LEFT JOIN (SELECT query_id, count(song) AS n FROM ranked GROUP BY
   ON c.query_id = q.query_id"""),
         "search_page": with_(BATCH, f"""SELECT {rank_cols} FROM ranked
 WHERE rank > ({Q.PAGE_NUMBER} - 1) * 20 AND rank <= {Q.PAGE_NUMBER} * 20"""),
+        "search_first_page": with_(BATCH, f"SELECT {rank_cols} FROM ranked WHERE rank <= 20"),
+        "search_snapshot_page": with_(BATCH, f"""SELECT {rank_cols} FROM ranked
+WHERE rank > ({Q.PAGE_NUMBER} - 1) * 20 AND rank <= {Q.PAGE_NUMBER} * 20"""),
+        "search_or_first_page": with_(single(Q.OR_QUERY, "or"), f"""SELECT song_id, song, artist_name,
+       {_sql_str(SITE_PREFIX)} || page_link AS url, score
+FROM results ORDER BY score DESC, song_id LIMIT 20"""),
         "search_page_info": with_(BATCH + """,
 counts AS (SELECT query_id, count(song) AS num_results FROM ranked GROUP BY query_id),
 perq AS (SELECT q.query_id, coalesce(c.num_results, 0) AS n
@@ -243,30 +294,37 @@ FROM results ORDER BY score DESC, song_id LIMIT 20 OFFSET ({Q.PAGE_NUMBER} - 1)
         "trigram_counts": _term_counts(3),
         "ngram_features": with_(words_cte("words", "documents", "doc_id", "text"),
                                 f"""SELECT id AS doc_id,
-       CAST(len(words) + len({grams('words', 2)}) + len({grams('words', 3)}) AS INTEGER) AS n_features
+       CAST(len(words) + len({grams('words', 2)}) + len({grams('words', 3)}) AS INTEGER) AS n_features,
+       md5(array_to_string(list_concat(words, {grams('words', 2)}, {grams('words', 3)}), ' '))
+         AS features_md5
 FROM words"""),
         "ngram_vocabulary": _vocab(),
-        "strip_links": "SELECT doc_id, text FROM documents",
-        "clean_text": with_("""c AS (SELECT doc_id, regexp_replace(lower(text), '[^\\sA-Za-z0-9!?.\\-,'';:]', '', 'g') AS t
-      FROM documents)""", """SELECT doc_id,
-  regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(t,
-    '([^\\s!?.\\-,'';:]*)([!?.\\-,'';:]*)(\\s)', '\\1 \\2 ', 'g'),
-    '([^\\s!?.\\-,'';:]*)([!?.\\-,'';:]*)$', '\\1 \\2', 'g'),
-    '[\\r\\n\\t]', ' ', 'g'), ' +', ' ', 'g'), '^ | $', '', 'g') AS parsed
-FROM c"""),
-        "filter_sarcasm_quote": with_(COMMENTS, """SELECT id FROM comments
-WHERE NOT (starts_with(body, '&gt;') OR regexp_matches(body, '(^|\\s)/s(\\s|$)'))"""),
+        "strip_links": with_(MARKED, "SELECT doc_id, no_links AS text FROM left_over"),
+        "clean_marked_tokens": with_(MARKED + ",\n" + words_cte("words", "left_over", "doc_id", "no_urls"),
+                                     "SELECT id AS doc_id, array_to_string(words, ' ') AS words FROM words"),
+        "clean_text": with_(f"""tokens AS (
+  SELECT doc_id, unnest(toks) AS tok, generate_subscripts(toks, 1) AS n FROM (
+    SELECT doc_id, string_split_regex(translate(regexp_replace(lower(text),
+             '[^a-z0-9\\s[:punct:]]', '', 'g'), {_sql_str(_DELETED)}, ''), '\\s+') AS toks
+    FROM documents)),
+halves AS (SELECT doc_id, n, tok, rtrim(tok, {_sql_str(_KEPT)}) AS body FROM tokens)""",
+                            """SELECT d.doc_id, coalesce(string_agg(
+         CASE WHEN body = '' OR body = tok THEN tok
+              ELSE body || ' ' || substr(tok, length(body) + 1) END, ' ' ORDER BY n)
+         FILTER (tok <> ''), '') AS parsed
+FROM documents d LEFT JOIN halves h ON h.doc_id = d.doc_id GROUP BY d.doc_id"""),
+        "filter_sarcasm_quote": with_(MARKED, "SELECT doc_id, text FROM marked WHERE rule IN (0, 1)"),
         "label_flags": with_(LABELED, """SELECT "Input_id", labeldjt,
        CASE WHEN TRY_CAST(labeldjt AS INTEGER) = 1 THEN 1 ELSE 0 END AS positive,
        CASE WHEN TRY_CAST(labeldjt AS INTEGER) = -1 THEN 1 ELSE 0 END AS negative
 FROM labeled_data WHERE TRY_CAST(labeldjt AS INTEGER) IS NOT NULL"""),
         "labeled_comments": with_(SENT, """SELECT l."Input_id", l.labeldjt, c.id, c.author, c.author_flair_text,
-       c.created_utc, c.link_id, c.score, CAST(length(c.body) AS INTEGER) AS body_length
+       c.created_utc, c.link_id, c.score, c.body
 FROM labeled_data l JOIN comments c ON c.id = l."Input_id\""""),
-        "comments_with_title": with_(SENT, "SELECT id, sid, title, flair, created_utc, cscore, sscore FROM cwt"),
+        "comments_with_title": with_(SENT, "SELECT id, sid, title, flair, created_utc, body, cscore, sscore FROM cwt"),
         "story_scores": with_(SENT, "SELECT id, pos, neg, cscore, sscore, sid FROM scored"),
         "sample_comments": with_(COMMENTS, """SELECT id, created_utc, link_id FROM comments
-WHERE substr(md5(id), 1, 2) < '05'"""),
+WHERE CAST('0x' || substr(md5(id), 1, 8) AS UBIGINT) < 0.02 * 4294967296"""),
         "share_overall": with_(SENT, """SELECT count(*) AS count, CAST(sum(pos) AS BIGINT) AS pos_count,
        CAST(sum(neg) AS BIGINT) AS neg_count,
        CAST(sum(pos) AS DOUBLE) / count(*) AS pos_share,
@@ -279,7 +337,10 @@ FROM scored"""),
         "share_by_story": with_(SENT, share_sql("sid", "sid")),
         "top_stories_pos": _top("pos_share"),
         "top_stories_neg": _top("neg_share"),
-        "report_days": with_(SENT + f",\nd AS ({share_sql(DAY_EXPR, 'date')})",
+        "report_days": with_(SENT + f""",
+moved AS (SELECT DATE '{Q.REPORT_START}' + CAST(date - (SELECT min({DAY_EXPR}) FROM scored) AS INTEGER) AS date,
+                 pos_share, neg_share FROM ({share_sql(DAY_EXPR, 'date')})),
+d AS (SELECT CAST(date AS DATE) AS date, pos_share, neg_share FROM moved)""",
                              """SELECT date, pos_share AS "Positive", neg_share AS "Negative"
 FROM d WHERE date <> DATE '2018-12-31'"""),
         "report_states": with_(
@@ -320,12 +381,31 @@ WHERE l."Input_id" IS NOT NULL AND NOT EXISTS (SELECT 1 FROM comments c WHERE c.
             for t, c, n, src in [("artist", "artist_name", 255, "artist"), ("song", "song_name", 255, "song"),
                                  ("song", "page_link", 1000, "song"), ("token", "token", 255, "tok")])),
         "src_csv_catalog": with_(INDEX, "SELECT song_id, token, count FROM tok"),
+        "src_csv_artist": with_(ARTIST, "SELECT artist_id, artist_name FROM artist"),
+        "src_csv_song": with_(ARTIST + ",\n" + SONG,
+                              "SELECT song_id, artist_id, song_name, page_link FROM song"),
+        "tfidf_from_token_csv": with_(INDEX, "SELECT song_id, token, round(score, 6) AS score FROM scores"),
         "src_csv_labels": with_(LABELED, 'SELECT "Input_id", labeldjt FROM labeled_data'),
         "src_json_comments": with_(COMMENTS, """SELECT id, author, author_flair_text, created_utc, link_id, score,
-       CAST(length(body) AS INTEGER) AS body_length FROM comments"""),
+       body FROM comments"""),
+        "src_json_submissions": with_(SUBMISSIONS, "SELECT id, title, score FROM submissions"),
         "sink_csv_report": with_(SENT, share_sql(DAY_EXPR, "date")),
+        "sink_csv_overall": with_(SENT, """SELECT count(*) AS count, CAST(sum(pos) AS BIGINT) AS pos_count,
+       CAST(sum(neg) AS BIGINT) AS neg_count,
+       CAST(sum(pos) AS DOUBLE) / count(*) AS pos_share,
+       CAST(sum(neg) AS DOUBLE) / count(*) AS neg_share
+FROM scored"""),
+        "sink_csv_states": with_(SENT, share_sql("flair", "flair", STATE_WHERE)),
+        "sink_csv_submission_scores": with_(SENT, share_sql("sscore", "sscore")),
+        "sink_csv_comment_scores": with_(SENT, share_sql("cscore", "cscore")),
+        "split_train_test": with_(SENT, """SELECT l."Input_id",
+       CASE WHEN CAST('0x' || substr(md5('42:' || l."Input_id"), 1, 8) AS UBIGINT) % 2 = 0
+            THEN 'train' ELSE 'test' END AS split
+FROM labeled_data l JOIN comments c ON c.id = l."Input_id\""""),
+        "ml_features": _ml_features(),
+        "ml_train": _ml_train(),
         "materialize_stage": with_(SENT, """SELECT l."Input_id", l.labeldjt, c.id, c.author, c.author_flair_text,
-       c.created_utc, c.link_id, c.score, CAST(length(c.body) AS INTEGER) AS body_length
+       c.created_utc, c.link_id, c.score, c.body
 FROM labeled_data l JOIN comments c ON c.id = l."Input_id\""""),
         "preview_ngrams": _preview(),
         "stream_share_by_day": with_(SENT, share_sql(DAY_EXPR, "date")),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import index, quality, reports, sampling, search, sentiment
-from ..session import spread
+from ..session import new_scratch_path
 from ..sources import tables
 
 # Parameters of the single-query searches (the web form's inputs). Queries
@@ -35,7 +35,6 @@ def built_index(spark: SparkSession, sf: str, rebuild: bool = False) -> index.In
     score table that is loaded once and then serves every search; later
     queries read the stored parquet. ``rebuild=True`` forces a fresh build.
     """
-    from ..session import new_scratch_path
     from ..sources.files import path_exists
     key = (spark.sparkContext.applicationId, sf)
     cached = _INDEXES.get(key)
@@ -54,17 +53,21 @@ def catalog(spark: SparkSession, sf: str):
 
 
 def batch_results(spark: SparkSession, sf: str) -> DataFrame:
-    scores, totals, names = catalog(spark, sf)
-    queries = tables.search_queries(spark, sf)
-    return search.search_batch(scores, totals, names, queries,
-                               num_queries=_query_bound(spark, sf))
+    idx = built_index(spark, sf)
+    return search.search_batch(idx.scores, idx.totals, idx.names, tables.search_queries(spark, sf),
+                               num_queries=_query_bound(spark, sf), frequencies=idx.frequencies)
+
+
+def batch_matches(spark: SparkSession, sf: str) -> DataFrame:
+    """(query_id, song_id, score) of the batch, not ranked or named."""
+    idx = built_index(spark, sf)
+    return search.batch_matches(idx.scores, idx.totals, idx.names,
+                                tables.search_queries(spark, sf), frequencies=idx.frequencies)
 
 
 def batch_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """(query_id, num_results) of the batch; counting needs no rank."""
-    scores, totals, names = catalog(spark, sf)
-    queries = tables.search_queries(spark, sf)
-    return search.result_counts(search.batch_matches(scores, totals, names, queries))
+    """(query_id, num_results) of the batch; counting needs no rank or name."""
+    return search.result_counts(batch_matches(spark, sf), built_index(spark, sf).names)
 
 
 def _query_bound(spark: SparkSession, sf: str) -> int:
@@ -93,7 +96,7 @@ def label_scored(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _words(spark: SparkSession, sf: str) -> DataFrame:
-    docs = spread(tables.load(spark, sf, "documents"))
+    docs = tables.texts(spark, sf)
     return docs.select("doc_id", T.clean_words(F.col("text")).alias("words"))
 
 
@@ -133,13 +136,31 @@ def q_search_result_count(spark, sf):
             .select("query_id", F.coalesce("num_results", F.lit(0)).alias("num_results")))
 
 
+RESULT_COLUMNS = ["query_id", "rank", "song_id", "song", "artist_name", "page_link", "score"]
+
+
 def q_search_page(spark, sf):
-    """Page 2 of every query, read from a stored result snapshot."""
-    from ..session import new_scratch_path
+    """Page 2 of every query of the batch (O3): a top-k per query."""
+    return search.batch_page(batch_matches(spark, sf), built_index(spark, sf).names,
+                             PAGE_NUMBER).select(*RESULT_COLUMNS)
+
+
+def q_search_first_page(spark, sf):
+    """Page 1 of every query of the batch (O2)."""
+    return search.batch_page(batch_matches(spark, sf), built_index(spark, sf).names,
+                             1).select(*RESULT_COLUMNS)
+
+
+def q_search_snapshot_page(spark, sf):
+    """The ranked results of all queries stored once, page 2 read back."""
     path = new_scratch_path(spark, "results")
     search.write_snapshot(batch_results(spark, sf), path)
-    return search.page(spark.read.parquet(path), PAGE_NUMBER).select(
-        "query_id", "rank", "song_id", "song", "artist_name", "page_link", "score")
+    return search.page(spark.read.parquet(path), PAGE_NUMBER).select(*RESULT_COLUMNS)
+
+
+def q_search_or_first_page(spark, sf):
+    """O2: page 1 of the interactive OR query."""
+    return _or_page(spark, sf, 1)
 
 
 def q_search_page_info(spark, sf):
@@ -160,16 +181,21 @@ def q_search_page_info(spark, sf):
                        listed.alias("page_list"))
 
 
-def q_search_or_page(spark, sf):
-    """O3 without a stored rank: page 2 of the interactive OR query by
-    offset/limit (a bounded top-k, no full sort), with full links (F27)."""
+def _or_page(spark, sf, page: int) -> DataFrame:
+    """One page of the interactive OR query by offset/limit (a bounded top-k,
+    no full sort), with full links (F27)."""
     from ..functions.paging import full_link
     scores, totals, names = catalog(spark, sf)
     found = search.search_one(spark, scores, totals, names, OR_QUERY, "or")
-    return search.ordered_page(found, PAGE_NUMBER).select(
+    return search.ordered_page(found, page).select(
         "song_id", "song", "artist_name", full_link(F.col("page_link")).alias("url"), "score")
 
 
+def q_search_or_page(spark, sf):
+    """O3 without a stored rank: page 2 of the interactive OR query."""
+    return _or_page(spark, sf, PAGE_NUMBER)
+
+
 def q_query_tokens(spark, sf):
     queries = tables.search_queries(spark, sf)
     return queries.select("query_id", F.posexplode(T.query_tokens(F.col("text")))
@@ -197,14 +223,16 @@ def q_trigram_counts(spark, sf):
 
 def q_ngram_features(spark, sf):
     w = _words(spark, sf)
-    return w.select("doc_id", F.size(T.ngram_features(F.col("words"))).alias("n_features"))
+    features = w.select("doc_id", T.ngram_features(F.col("words")).alias("features"))
+    return features.select("doc_id", F.size("features").alias("n_features"),
+                           F.md5(F.array_join("features", " ")).alias("features_md5"))
 
 
 def q_ngram_vocabulary(spark, sf):
     """Terms in at least 10 labelled comments (CountVectorizer's minDF=10)."""
     labeled = sentiment.labeled_comments(tables.labeled_data(spark, sf),
                                          tables.comments(spark, sf))
-    words = spread(labeled).select("Input_id", T.clean_words(F.col("body")).alias("words"))
+    words = labeled.select("Input_id", T.clean_words(F.col("body")).alias("words"))
     feats = words.select("Input_id", F.array_distinct(T.ngram_features(F.col("words"))).alias("f"))
     df = T.explode_terms(feats, F.col("f"), "term").groupBy("term").agg(
         F.count(F.lit(1)).alias("df"))
@@ -212,18 +240,24 @@ def q_ngram_vocabulary(spark, sf):
 
 
 def q_strip_links(spark, sf):
-    docs = spread(tables.load(spark, sf, "documents"))
-    return docs.select("doc_id", T.strip_links(F.col("text")).alias("text"))
+    """F5 over texts of which every fourth opens with a link."""
+    return tables.marked_texts(spark, sf).select("doc_id", T.strip_links(F.col("text")).alias("text"))
+
+
+def q_clean_marked_tokens(spark, sf):
+    """words of texts with links and page addresses."""
+    words = tables.marked_texts(spark, sf).select("doc_id", T.clean_words(F.col("text")).alias("words"))
+    return words.select("doc_id", F.array_join("words", " ").alias("words"))
 
 
 def q_clean_text(spark, sf):
-    docs = spread(tables.load(spark, sf, "documents"))
-    return docs.select("doc_id", T.clean_text(F.col("text")).alias("parsed"))
+    return tables.texts(spark, sf).select("doc_id", T.clean_text(F.col("text")).alias("parsed"))
 
 
 def q_filter_sarcasm_quote(spark, sf):
-    c = tables.comments(spark, sf)
-    return c.where(~T.is_sarcasm_or_quote(F.col("body"))).select("id")
+    """P12, U4 over texts of which half carry one of the marks."""
+    marked = tables.marked_texts(spark, sf)
+    return marked.where(~T.is_sarcasm_or_quote(F.col("text"))).select("doc_id", "text")
 
 
 # --- labels, joins, sampling -------------------------------------------------
@@ -240,13 +274,12 @@ def q_label_flags(spark, sf):
 def q_labeled_comments(spark, sf):
     j = sentiment.labeled_comments(tables.labeled_data(spark, sf), tables.comments(spark, sf))
     return j.select("Input_id", "labeldjt", "id", "author", "author_flair_text",
-                    "created_utc", "link_id", "score",
-                    F.length("body").alias("body_length"))
+                    "created_utc", "link_id", "score", "body")
 
 
 def q_comments_with_title(spark, sf):
     j = sentiment.comments_with_title(tables.comments(spark, sf), tables.submissions(spark, sf))
-    return j.select("id", "sid", "title", "flair", "created_utc", "cscore", "sscore")
+    return j.select("id", "sid", "title", "flair", "created_utc", "body", "cscore", "sscore")
 
 
 def q_story_scores(spark, sf):
@@ -301,18 +334,45 @@ def q_top_stories_neg(spark, sf):
     return sentiment.top_stories(by_story, "neg_share")
 
 
+def _through_csv(spark, df: DataFrame, schema) -> DataFrame:
+    """A share table written as CSV by the executors, read back."""
+    from ..sources import files
+    path = new_scratch_path(spark, "report-csv")
+    files.write_report(df, path)
+    return files.read_report(spark, path, schema)
+
+
+# The event times are moved so that the first day is this one; the date that
+# the report drops then lies among them.
+REPORT_START = "2018-12-26"
+
+
+def _moved(scored: DataFrame) -> DataFrame:
+    from ..functions.flags import SECONDS_PER_DAY
+    first = F.floor(scored.select(F.min("created_utc")).scalar() / SECONDS_PER_DAY)
+    start = F.unix_date(F.lit(REPORT_START).cast("date"))
+    return scored.withColumn("created_utc", (F.col("created_utc") + (start - first) * SECONDS_PER_DAY)
+                             .cast("long"))
+
+
 def q_report_days(spark, sf):
-    return reports.report_days(sentiment.share_by_day(label_scored(spark, sf)))
+    from ..sources import schemas
+    by_day = sentiment.share_by_day(_moved(label_scored(spark, sf)))
+    return reports.report_days(_through_csv(spark, by_day, schemas.DAYS_REPORT))
 
 
 def q_report_states(spark, sf):
-    return reports.report_states(spark, sentiment.share_by_state(label_scored(spark, sf)))
+    from ..sources import schemas
+    by_state = sentiment.share_by_state(label_scored(spark, sf))
+    return reports.report_states(spark, _through_csv(spark, by_state, schemas.STATES_REPORT))
 
 
 def q_report_scores(spark, sf):
+    from ..sources import schemas
     scored = label_scored(spark, sf)
-    return reports.report_scores(sentiment.share_by(scored, "sscore"),
-                                 sentiment.share_by(scored, "cscore"))
+    return reports.report_scores(
+        _through_csv(spark, sentiment.share_by(scored, "sscore"), schemas.SSCORE_REPORT),
+        _through_csv(spark, sentiment.share_by(scored, "cscore"), schemas.CSCORE_REPORT))
 
 
 # --- data quality ----------------------------------------------------------------
@@ -350,19 +410,42 @@ def q_dq_lengths(spark, sf):
 
 # --- sources and sinks (write a scratch file, read it back) ---------------------
 
-def q_src_csv_catalog(spark, sf):
-    """The token table through headerless, double-quoted CSV."""
-    from ..session import new_scratch_path
+def _catalog_csv(spark, sf, table: str, df: DataFrame) -> DataFrame:
     from ..sources import files
-    path = new_scratch_path(spark, "token-csv")
+    path = new_scratch_path(spark, f"{table}-csv")
+    files.write_catalog_table(df, path)
+    return files.read_catalog_table(spark, path, table)
+
+
+def _tokens_csv(spark, sf) -> DataFrame:
     toks = index.token_counts(tables.song_texts(spark, sf))
-    files.write_catalog_table(toks.select("song_id", "token", "count"), path)
-    return files.read_catalog_table(spark, path, "token")
+    return _catalog_csv(spark, sf, "token", toks.select("song_id", "token", "count"))
+
+
+def q_src_csv_catalog(spark, sf):
+    """The token table through headerless, double-quoted CSV."""
+    return _tokens_csv(spark, sf)
+
+
+def q_src_csv_artist(spark, sf):
+    """The artist table through CSV."""
+    return _catalog_csv(spark, sf, "artist", tables.artists(spark, sf).select("artist_id", "artist_name"))
+
+
+def q_src_csv_song(spark, sf):
+    """The song table through CSV."""
+    return _catalog_csv(spark, sf, "song", tables.songs(spark, sf))
+
+
+def q_tfidf_from_token_csv(spark, sf):
+    """The index built from a loaded token table, scored."""
+    idx = index.build(None, tables.songs(spark, sf), tables.artists(spark, sf),
+                      new_scratch_path(spark, "index"), tokens=_tokens_csv(spark, sf))
+    return idx.scores.select("song_id", "token", F.round("score", 6).alias("score"))
 
 
 def q_src_csv_labels(spark, sf):
     """Labelled comments through CSV with a header (strings only)."""
-    from ..session import new_scratch_path
     from ..sources import files
     path = new_scratch_path(spark, "labels-csv")
     files.write_labeled(tables.labeled_data(spark, sf), path)
@@ -370,7 +453,6 @@ def q_src_csv_labels(spark, sf):
 
 
 def _comments_json(spark, sf) -> str:
-    from ..session import new_scratch_path
     from ..sources import files
     path = new_scratch_path(spark, "comments-json")
     files.write_json_lines(tables.comments(spark, sf), path, compression="bzip2")
@@ -381,22 +463,45 @@ def q_src_json_comments(spark, sf):
     """S3: comments through bz2 JSON lines with a declared schema."""
     from ..sources import files
     c = files.read_comments(spark, _comments_json(spark, sf))
-    return c.select("id", "author", "author_flair_text", "created_utc", "link_id", "score",
-                    F.length("body").alias("body_length"))
+    return c.select("id", "author", "author_flair_text", "created_utc", "link_id", "score", "body")
+
+
+def q_src_json_submissions(spark, sf):
+    """S3: submissions through bz2 JSON lines with a declared schema."""
+    from ..sources import files
+    path = new_scratch_path(spark, "submissions-json")
+    files.write_json_lines(tables.submissions(spark, sf), path, compression="bzip2")
+    return files.read_submissions(spark, path)
 
 
 def q_sink_csv_report(spark, sf):
-    """The day share table written as CSV by executors, read back."""
-    from ..session import new_scratch_path
-    from ..sources import files, schemas
-    path = new_scratch_path(spark, "days-csv")
-    files.write_report(sentiment.share_by_day(label_scored(spark, sf)), path)
-    return files.read_report(spark, path, schemas.DAYS_REPORT)
+    """The day share table through CSV."""
+    from ..sources import schemas
+    return _through_csv(spark, sentiment.share_by_day(label_scored(spark, sf)), schemas.DAYS_REPORT)
+
+
+def q_sink_csv_overall(spark, sf):
+    from ..sources import schemas
+    return _through_csv(spark, sentiment.share_overall(label_scored(spark, sf)), schemas.OVERALL_REPORT)
+
+
+def q_sink_csv_states(spark, sf):
+    from ..sources import schemas
+    return _through_csv(spark, sentiment.share_by_state(label_scored(spark, sf)), schemas.STATES_REPORT)
+
+
+def q_sink_csv_submission_scores(spark, sf):
+    from ..sources import schemas
+    return _through_csv(spark, sentiment.share_by(label_scored(spark, sf), "sscore"), schemas.SSCORE_REPORT)
+
+
+def q_sink_csv_comment_scores(spark, sf):
+    from ..sources import schemas
+    return _through_csv(spark, sentiment.share_by(label_scored(spark, sf), "cscore"), schemas.CSCORE_REPORT)
 
 
 def q_materialize_stage(spark, sf):
     """Labelled comments as a parquet stage (built once, then read)."""
-    from ..session import new_scratch_path
     from ..sources import files
     path = new_scratch_path(spark, "labeled-comments")
 
@@ -407,7 +512,7 @@ def q_materialize_stage(spark, sf):
     again = files.stage(spark, path, build)  # second call only reads
     assert first.columns == again.columns
     return again.select("Input_id", "labeldjt", "id", "author", "author_flair_text",
-                        "created_utc", "link_id", "score", F.length("body").alias("body_length"))
+                        "created_utc", "link_id", "score", "body")
 
 
 def q_preview_ngrams(spark, sf):
@@ -461,10 +566,15 @@ def q_ml_train(spark, sf):
     for side in ("pos", "neg"):
         cvm = getattr(models, side)
         best = cvm.bestModel
-        rows.append((side, float(max(cvm.avgMetrics)), int(best.numFeatures),
-                     float(best.getRegParam()), int(best.getMaxIter())))
-    return spark.createDataFrame(
-        rows, "model string, cv_auc double, num_features int, reg_param double, max_iter int")
+        rows.append((side, int(best.numFeatures), float(best.getRegParam()), int(best.getMaxIter())))
+    return spark.createDataFrame(rows, "model string, num_features int, reg_param double, max_iter int")
+
+
+def q_ml_cv_auc(spark, sf):
+    """M5, M6: the mean area under ROC over the folds, of each side."""
+    models, _ = trained(spark, sf)
+    return spark.createDataFrame([(side, float(max(getattr(models, side).avgMetrics)))
+                                  for side in ("pos", "neg")], "model string, cv_auc double")
 
 
 def q_ml_evaluate(spark, sf):
@@ -475,6 +585,9 @@ def q_ml_evaluate(spark, sf):
                                  "model string, test_auc double")
 
 
+SCORED_COLUMNS = ["id", "flair", "created_utc", "title", "pos", "neg"]
+
+
 def _scoring_input(spark, sf):
     return sentiment.comments_with_title(tables.comments(spark, sf),
                                          tables.submissions(spark, sf))
@@ -483,17 +596,16 @@ def _scoring_input(spark, sf):
 def q_ml_score(spark, sf):
     from ..operators import ml
     models, _ = trained(spark, sf)
-    return ml.score(_scoring_input(spark, sf), models)
+    return ml.score(_scoring_input(spark, sf), models).select(*SCORED_COLUMNS)
 
 
 def q_ml_save_load(spark, sf):
     from ..operators import ml
-    from ..session import new_scratch_path
     models, _ = trained(spark, sf)
     path = new_scratch_path(spark, "models")
     models.save(path)
     loaded = ml.SentimentModels.load(path)
-    return ml.score(_scoring_input(spark, sf), loaded)
+    return ml.score(_scoring_input(spark, sf), loaded).select(*SCORED_COLUMNS)
 
 
 def q_ml_share_by_day(spark, sf):
@@ -501,14 +613,36 @@ def q_ml_share_by_day(spark, sf):
     return sentiment.share_by_day(q_ml_score(spark, sf))
 
 
+def q_sentiment_job(spark, sf):
+    """The whole comment job from classifier to share tables, all tables in
+    one: (report, key, count, pos_count, neg_count, pos_share, neg_share)."""
+    from ..sources import files, schemas
+    from . import jobs
+    written = jobs.sentiment_job(spark, tables.comments(spark, sf), tables.submissions(spark, sf),
+                                 tables.labeled_data(spark, sf), new_scratch_path(spark, "job"))
+    parts = {"count_all": (schemas.OVERALL_REPORT, None), "count_days": (schemas.DAYS_REPORT, "date"),
+             "count_states": (schemas.STATES_REPORT, "flair"),
+             "count_cscore": (schemas.CSCORE_REPORT, "cscore"),
+             "count_sscore": (schemas.SSCORE_REPORT, "sscore")}
+    frames = [files.read_report(spark, written[name], schema).withColumn(
+        "key", F.col(key).cast("string") if key else F.lit(None).cast("string")).withColumn(
+        "report", F.lit(name)) for name, (schema, key) in parts.items()]
+    frames.append(spark.read.parquet(written["count_story"]).withColumn("key", F.col("sid"))
+                  .withColumn("report", F.lit("count_story")))
+    columns = ["report", "key", "count", "pos_count", "neg_count", "pos_share", "neg_share"]
+    out = frames[0].select(*columns)
+    for frame in frames[1:]:
+        out = out.unionByName(frame.select(*columns))
+    return out
+
+
 # --- streaming ----------------------------------------------------------------------
 
 def q_stream_share_by_day(spark, sf):
     """The day share table kept by a streaming query: scored comments are
     landed as files in two batches, the stream processes both, and the
     result table equals the batch ``share_by_day``."""
-    from ..session import new_scratch_path
-    from ..streaming.shares import run_share_by_day
+    from ..streaming.shares import read_shares, run_share_by_day
     scored = label_scored(spark, sf).select("id", "created_utc", "pos", "neg")
     src = new_scratch_path(spark, "stream-src")
     half = F.pmod(F.xxhash64("id"), F.lit(2))
@@ -520,7 +654,7 @@ def q_stream_share_by_day(spark, sf):
     # carries the per-day state over from its checkpoint.
     scored.where(half == 1).write.parquet(f"{src}/part=1")
     run_share_by_day(spark, src, scored.schema, out, ckpt).awaitTermination()
-    return spark.read.parquet(out)
+    return read_shares(spark, out)
 
 
 QUERIES = {
@@ -531,6 +665,9 @@ QUERIES = {
     "search_batch": q_search_batch,
     "search_result_count": q_search_result_count,
     "search_page": q_search_page,
+    "search_first_page": q_search_first_page,
+    "search_snapshot_page": q_search_snapshot_page,
+    "search_or_first_page": q_search_or_first_page,
     "search_page_info": q_search_page_info,
     "search_or_page": q_search_or_page,
     "query_tokens": q_query_tokens,
@@ -541,6 +678,7 @@ QUERIES = {
     "ngram_features": q_ngram_features,
     "ngram_vocabulary": q_ngram_vocabulary,
     "strip_links": q_strip_links,
+    "clean_marked_tokens": q_clean_marked_tokens,
     "clean_text": q_clean_text,
     "filter_sarcasm_quote": q_filter_sarcasm_quote,
     "label_flags": q_label_flags,
@@ -564,17 +702,27 @@ QUERIES = {
     "dq_orphans": q_dq_orphans,
     "dq_lengths": q_dq_lengths,
     "src_csv_catalog": q_src_csv_catalog,
+    "src_csv_artist": q_src_csv_artist,
+    "src_csv_song": q_src_csv_song,
+    "tfidf_from_token_csv": q_tfidf_from_token_csv,
     "src_csv_labels": q_src_csv_labels,
     "src_json_comments": q_src_json_comments,
+    "src_json_submissions": q_src_json_submissions,
     "sink_csv_report": q_sink_csv_report,
+    "sink_csv_overall": q_sink_csv_overall,
+    "sink_csv_states": q_sink_csv_states,
+    "sink_csv_submission_scores": q_sink_csv_submission_scores,
+    "sink_csv_comment_scores": q_sink_csv_comment_scores,
     "materialize_stage": q_materialize_stage,
     "preview_ngrams": q_preview_ngrams,
     "split_train_test": q_split_train_test,
     "ml_features": q_ml_features,
     "ml_train": q_ml_train,
+    "ml_cv_auc": q_ml_cv_auc,
     "ml_evaluate": q_ml_evaluate,
     "ml_score": q_ml_score,
     "ml_save_load": q_ml_save_load,
     "ml_share_by_day": q_ml_share_by_day,
+    "sentiment_job": q_sentiment_job,
     "stream_share_by_day": q_stream_share_by_day,
 }

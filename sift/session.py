@@ -14,7 +14,9 @@ settings that make Catalyst and AQE do the right thing at scale:
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -58,12 +60,16 @@ def build_session(master: str | None = None, app_name: str = "sift",
     return spark
 
 
+_CREATED: dict[str, list[str]] = {}  # scratch paths by application
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder for staged tables and checkpoints.
 
-    Read from ``spark.checkpoint.dir`` (the cluster names it); only when it is
-    unset, as in tests and local runs, a folder of our own is created and
-    registered as the checkpoint directory.
+    Read from ``spark.checkpoint.dir`` (the cluster names it). Where it is
+    unset, a folder of our own is made on a local master only, and removed
+    when the process ends; on a cluster each executor would write to its own
+    disk, so that is an error.
     """
     sc = spark.sparkContext
     configured = (spark.conf.get("spark.checkpoint.dir", None)
@@ -76,25 +82,59 @@ def scratch_dir(spark: SparkSession) -> str:
     if current:
         # getCheckpointDir() is a per-application subfolder; use its parent.
         return os.path.dirname(current.rstrip("/"))
+    if sc.master != "local" and not sc.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="sift-scratch-")
+    atexit.register(shutil.rmtree, local, ignore_errors=True)
     sc.setCheckpointDir(local)
     return local
 
 
 def new_scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused path under the scratch folder."""
-    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _CREATED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, Hadoop path): HDFS, object store or local."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, hpath = file_system(spark, path)
+    fs.delete(hpath, True)
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete every scratch path this application has made. Frames that still
+    read one of them must have been written elsewhere before."""
+    for path in _CREATED.pop(spark.sparkContext.applicationId, []):
+        delete_path(spark, path)
+
+
+def partitions_for(spark: SparkSession, path: str, target_bytes: int = 128 << 20) -> int:
+    """Partitions of about ``target_bytes`` for the files under ``path``, at
+    least one per core up to one per MB: grows with the data, not with a
+    setting."""
+    fs, hpath = file_system(spark, path)
+    size = fs.getContentSummary(hpath).getLength()
+    cores = spark.sparkContext.defaultParallelism
+    return max(1, -(-size // target_bytes), min(cores, -(-size // (1 << 20))))
 
 
-def spread(df):
-    """Hash-spread a frame over the cluster's cores when it has fewer
-    partitions, before per-row heavy work (text cleaning).
+def spread(scan, key: str):
+    """Hash-spread a file scan over the cluster's cores by its unique ``key``
+    when it has fewer splits, before per-row heavy work (text cleaning).
 
-    A large input already has far more splits than cores and is returned
-    unchanged (no shuffle); a small one (a single parquet row group) would
-    otherwise clean all its text in one task.
+    Only for the scan itself, before any join: its splits are known without
+    running anything. A large input has far more splits than cores and is
+    returned unchanged; a small one (one row group) would otherwise clean all
+    its text in one task.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, df.columns[0])
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores, key)

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from ..session import file_system
 from . import schemas
 
 # --- fixed values (must equal the reference's for identical results) -------
@@ -20,40 +21,42 @@ CSV_QUOTE = '"'
 # ---------------------------------------------------------------------------
 
 
-def _csv_reader(spark: SparkSession, schema: StructType, header: bool):
+def _csv_options(header: bool) -> dict[str, str]:
     # escape = quote makes a doubled quote ("") read as one quote, as in the
-    # database's CSV format; multiLine keeps quoted newlines inside a field.
-    # A multi-line CSV file cannot be split, so read it once and keep parquet.
+    # database's CSV format. Spaces belong to the field, and with one fixed
+    # line separator a carriage return inside quotes stays what it is.
+    return {"header": str(header).lower(), "sep": CSV_DELIMITER, "quote": CSV_QUOTE,
+            "escape": CSV_QUOTE, "lineSep": "\n", "ignoreLeadingWhiteSpace": "false",
+            "ignoreTrailingWhiteSpace": "false"}
+
+
+def _csv_reader(spark: SparkSession, schema: StructType, header: bool, multi_line: bool = False):
+    # ``multi_line`` keeps quoted newlines inside a field, but such a file
+    # cannot be split: only for tables whose fields can hold one.
     # An unquoted empty field is NULL and a quoted one ("") an empty string,
     # as in the database: the reader returns ``nullValue`` for the first and
     # ``emptyValue`` for the second, so ``nullValue`` is set to a character
     # such CSV cannot hold (NUL) and only the unquoted case maps to null.
-    return (spark.read.schema(schema)
-            .option("header", header)
-            .option("sep", CSV_DELIMITER)
-            .option("quote", CSV_QUOTE)
-            .option("escape", CSV_QUOTE)
-            .option("multiLine", True)
+    # A malformed row fails the read, as it fails the database's load.
+    return (spark.read.schema(schema).options(**_csv_options(header))
+            .option("multiLine", multi_line)
             .option("nullValue", "\u0000")
-            .option("mode", "PERMISSIVE"))
+            .option("mode", "FAILFAST"))
 
 
 def _csv_writer(df: DataFrame, header: bool):
-    return (df.write.mode("overwrite")
-            .option("header", header)
-            .option("sep", CSV_DELIMITER)
-            .option("quote", CSV_QUOTE)
-            .option("escape", CSV_QUOTE))
+    return df.write.mode("overwrite").options(**_csv_options(header))
 
 
 # --- S1: the search catalog ----------------------------------------------------
 
 CATALOG = {"artist": schemas.ARTIST, "song": schemas.SONG, "token": schemas.TOKEN}
+MULTI_LINE = {"artist", "song"}  # names may hold line breaks; tokens never do
 
 
 def read_catalog_table(spark: SparkSession, path: str, table: str) -> DataFrame:
     """One catalog table from headerless, double-quoted CSV."""
-    return _csv_reader(spark, CATALOG[table], header=False).csv(path)
+    return _csv_reader(spark, CATALOG[table], False, table in MULTI_LINE).csv(path)
 
 
 def write_catalog_table(df: DataFrame, path: str) -> None:
@@ -98,9 +101,7 @@ def write_labeled(df: DataFrame, path: str) -> None:
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the cluster's file system (HDFS, object store,
     local), not the driver's local disk."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hpath = file_system(spark, path)
     return fs.exists(hpath)
 
 

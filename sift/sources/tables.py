@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.flags import ntz_to_epoch
+from ..operators.skew import split_hot_join
+from ..session import spread
 
 # --- fixed values (must equal the reference's for identical results) -------
 # The 50 US states and the District of Columbia, as used for flair filtering.
@@ -66,10 +68,12 @@ def artists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def songs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """song(song_id, artist_id, song_name, page_link)."""
+    """song(song_id, artist_id, song_name, page_link). Twenty sources share
+    all documents, so the artist join goes through the hot/cold split."""
     docs = load(spark, sf_dir, "documents").select("doc_id", "source", "lang")
-    art = artists(spark, sf_dir).withColumnRenamed("artist_name", "source")
-    return (docs.join(art, "source")
+    art = docs.groupBy("source").agg(F.min("doc_id").alias("artist_id"),
+                                     F.count(F.lit(1)).alias("_n_songs"))
+    return (split_hot_join(docs, art, "source", "_n_songs")
             .select(F.col("doc_id").alias("song_id"), "artist_id",
                     F.concat_ws("-", "source", F.col("doc_id").cast("string"))
                     .alias("song_name"),
@@ -77,10 +81,32 @@ def songs(spark: SparkSession, sf_dir: str) -> DataFrame:
                              F.col("doc_id").cast("string")).alias("page_link")))
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``documents`` scan, spread over the cores by its unique id when the
+    files have fewer splits (see ``session.spread``)."""
+    return spread(load(spark, sf_dir, "documents"), "doc_id")
+
+
 def song_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(song_id, text): the lyrics the token table is built from."""
-    return load(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("song_id"), "text")
+    return texts(spark, sf_dir).select(F.col("doc_id").alias("song_id"), "text")
+
+
+def marked_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, text) with the marks that comments carry and the generated
+    texts lack, by a rule on the id: a markdown link to a page in front
+    (remainder 0 of 4), a page address behind (1), a sarcasm mark behind (2),
+    a quote mark in front (3). The page is ``doc_id % n_pages``."""
+    docs = texts(spark, sf_dir).select("doc_id", "text", "source")
+    pages = load(spark, sf_dir, "pages").select("page_id", "url")
+    n_pages = pages.select(F.count(F.lit(1))).scalar()
+    rule = F.pmod(F.col("doc_id"), F.lit(4))
+    marked = (F.when(rule == 0, F.concat(F.lit("["), "source", F.lit("]("), "url", F.lit(") "), "text"))
+              .when(rule == 1, F.concat("text", F.lit(" "), "url"))
+              .when(rule == 2, F.concat("text", F.lit(" /s")))
+              .otherwise(F.concat(F.lit("&gt; "), "text")))
+    return (docs.withColumn("page_id", F.pmod("doc_id", n_pages)).join(pages, "page_id")
+            .select("doc_id", marked.alias("text")))
 
 
 def search_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,7 +125,7 @@ def search_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """comments(id, body, author, author_flair_text, created_utc, link_id, score)."""
-    docs = load(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    docs = texts(spark, sf_dir).select("doc_id", "text", "source")
     events = load(spark, sf_dir, "events").select("event_id", "ts", "value")
     convs = load(spark, sf_dir, "conversations")
     # Scalar subqueries: evaluated once, inlined as constants.

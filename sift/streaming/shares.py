@@ -9,9 +9,10 @@ over a folder of scored comments (``id, created_utc, pos, neg``):
                         ->  complete output, each micro-batch written whole
 
 State holds one row per day, so it stays small however many comments
-arrive. Each micro-batch overwrites the result table with the full current
-table; replaying a batch after a failure rewrites the same content, so the
-sink is idempotent. The checkpoint lives in the shared checkpoint folder.
+arrive. Each micro-batch writes the full current table under its own id;
+replaying a batch after a failure rewrites the same folder. Readers take the
+latest complete batch (``read_shares``), so there is always a whole table to
+read. The checkpoint lives in the shared checkpoint folder.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.sentiment import _shares, with_date
+from ..session import delete_path, file_system
 
 
 def daily_counts(stream: DataFrame) -> DataFrame:
@@ -39,6 +41,21 @@ def finish(counts: DataFrame, keep_all: bool = False) -> DataFrame:
     return _shares(counts)
 
 
+def _batches(spark: SparkSession, output_path: str) -> list[int]:
+    """Ids of the completely written batches."""
+    fs, path = file_system(spark, output_path)
+    if not fs.exists(path):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(path)]
+    return sorted(int(n.split("=")[1]) for n in names if n.startswith("batch=")
+                  and fs.exists(file_system(spark, f"{output_path}/{n}/_SUCCESS")[1]))
+
+
+def read_shares(spark: SparkSession, output_path: str) -> DataFrame:
+    """The table of the latest complete batch."""
+    return spark.read.parquet(f"{output_path}/batch={_batches(spark, output_path)[-1]}")
+
+
 def run_share_by_day(spark: SparkSession, source_dir: str, schema: StructType,
                      output_path: str, checkpoint: str, keep_all: bool = False,
                      available_now: bool = True):
@@ -46,8 +63,12 @@ def run_share_by_day(spark: SparkSession, source_dir: str, schema: StructType,
     file present and stops. Returns the StreamingQuery."""
     stream = spark.readStream.schema(schema).parquet(source_dir)
 
-    def publish(batch: DataFrame, _epoch: int) -> None:
-        finish(batch, keep_all).write.mode("overwrite").parquet(output_path)
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        finish(batch, keep_all).write.mode("overwrite").parquet(f"{output_path}/batch={batch_id}")
+        # The table before this one stays for readers that have opened it.
+        for old in _batches(spark, output_path):
+            if old < batch_id - 1:
+                delete_path(spark, f"{output_path}/batch={old}")
 
     writer = (daily_counts(stream).writeStream
               .outputMode("complete")

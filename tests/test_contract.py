@@ -13,8 +13,8 @@ from sift.sources.tables import TABLES
 
 from .conftest import SF_SMALL
 
-ML = {"split_train_test", "ml_features", "ml_train", "ml_evaluate", "ml_score",
-      "ml_save_load", "ml_share_by_day", "sample_comments_bernoulli"}
+ML = {"ml_cv_auc", "ml_evaluate", "ml_score", "ml_save_load", "ml_share_by_day", "sentiment_job",
+      "sample_comments_bernoulli"}
 
 
 def _norm(v):

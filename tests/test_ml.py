@@ -42,3 +42,22 @@ def test_vocabulary_matches_count_vectorizer(spark):
     models, _ = Q.trained(spark, SF_SMALL)
     ours = {r["term"] for r in Q.q_ngram_vocabulary(spark, SF_SMALL).collect()}
     assert ours == set(models.vectorizer.vocabulary)
+
+
+def test_too_large_a_vocabulary_is_an_error(spark):
+    import pytest
+    df = spark.createDataFrame([(["a", "b", "c"],)] * 3, "features array<string>")
+    assert len(ml.fit_vectorizer(df, 2, vocab_size=3).vocabulary) == 3
+    with pytest.raises(ValueError, match="more than 2 terms"):
+        ml.fit_vectorizer(df, 2, vocab_size=2)
+
+
+def test_probability_is_the_sigmoid_of_the_margin(spark):
+    import math
+    models, _ = Q.trained(spark, SF_SMALL)
+    best = models.pos.bestModel
+    vectors = models.vectorizer.transform(ml.labeled_features(Q._labeled(spark, SF_SMALL)))
+    weights = best.coefficients.toArray()
+    for r in best.transform(vectors).limit(20).collect():
+        margin = best.intercept + sum(weights[i] * v for i, v in zip(r["counts"].indices, r["counts"].values))
+        assert abs(r["pos_probability"][1] - 1 / (1 + math.exp(-margin))) < 1e-9

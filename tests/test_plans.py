@@ -32,3 +32,40 @@ def test_exploding_words_does_not_re_run_cleaning(spark):
     # cleaning expression; explode_outer + not-null must not.
     assert "size(" not in plan
     assert sorted(r["token"] for r in words.collect()) == ["a", "b", "c"]
+
+
+def test_building_text_plans_runs_no_shuffle(spark):
+    from sift.plans import queries as Q
+    from .conftest import SF_SMALL
+    tracker = spark.sparkContext.statusTracker()
+    for build in (Q.q_ngram_vocabulary, Q._scoring_input, Q.q_clean_tokens, Q.q_comments_with_title):
+        spark.sparkContext.setJobGroup("plan-only", "")
+        df = build(spark, SF_SMALL)
+        stages = [len(tracker.getJobInfo(j).stageIds) for j in tracker.getJobIdsForGroup("plan-only")]
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        # Schema reads are single-stage jobs over file footers; a shuffle or a
+        # broadcast would show in the plan as a finished query stage.
+        assert all(n == 1 for n in stages)
+        assert "QueryStage" not in _plan(df)
+
+
+def test_scoring_never_shuffles_text_by_story(spark):
+    from sift.functions.text import with_features
+    from sift.plans import queries as Q
+    from .conftest import SF_SMALL
+    plan = with_features(Q._scoring_input(spark, SF_SMALL), "body")._jdf.queryExecution().toString()
+    exchanges = [line for line in plan.split("\n") if "REPARTITION" in line and "sid" in line]
+    assert not exchanges
+
+
+def test_batch_page_cuts_each_query_before_the_shuffle(spark):
+    matches = spark.createDataFrame([(q, s, float(s % 7)) for q in range(3) for s in range(100)],
+                                    "query_id long, song_id long, score double")
+    names = spark.createDataFrame([(s, f"n{s}", "a", "/l") for s in range(100)],
+                                  "song_id long, song string, artist_name string, page_link string")
+    page = search.batch_page(matches, names, 2)
+    assert "WindowGroupLimit" in _plan(page)
+    rows = page.where("query_id = 1").orderBy("rank").collect()
+    assert [r["rank"] for r in rows] == list(range(21, 41))
+    ordered = sorted(range(100), key=lambda s: (-(s % 7), s))
+    assert [r["song_id"] for r in rows] == ordered[20:40]

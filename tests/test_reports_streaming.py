@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sift.operators import reports
 from sift.session import new_scratch_path
-from sift.streaming.shares import run_share_by_day
+from sift.streaming.shares import read_shares, run_share_by_day
 
 
 def test_state_shades_follow_numpy_rules(spark):
@@ -27,9 +27,9 @@ def test_streaming_shares_resume_from_checkpoint(spark):
                                   "id string, created_utc long, pos int, neg int")
     first.write.parquet(f"{src}/b=0")
     run_share_by_day(spark, src, first.schema, out, ckpt).awaitTermination()
-    assert {str(r["date"]) for r in spark.read.parquet(out).collect()} == {"1970-01-01", "1970-01-02"}
+    assert {str(r["date"]) for r in read_shares(spark, out).collect()} == {"1970-01-01", "1970-01-02"}
     second = spark.createDataFrame([("d", 20, 1, 0)], first.schema)
     second.write.parquet(f"{src}/b=1")
     run_share_by_day(spark, src, first.schema, out, ckpt).awaitTermination()
-    day0 = spark.read.parquet(out).where(F.col("date") == "1970-01-01").first()
+    day0 = read_shares(spark, out).where(F.col("date") == "1970-01-01").first()
     assert (day0["count"], day0["pos_count"], day0["neg_count"]) == (3, 2, 1)

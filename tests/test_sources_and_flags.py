@@ -3,6 +3,7 @@
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from sift.functions import flags
@@ -27,6 +28,54 @@ def test_csv_catalog_quoting(spark):
     assert len(rows) == 3
 
 
+def test_csv_keeps_spaces_and_line_ends(spark):
+    names = ["  lead trail  ", "a\r\nb", "", None, 'q"q', "x,y", "\ttab"]
+    df = spark.createDataFrame([(i, 1, n, "/l") for i, n in enumerate(names)],
+                               "song_id long, artist_id long, song_name string, page_link string")
+    path = new_scratch_path(spark, "csv-spaces")
+    files.write_catalog_table(df, path)
+    back = {r["song_id"]: r["song_name"] for r in files.read_catalog_table(spark, path, "song").collect()}
+    assert back == dict(enumerate(names))
+
+
+def test_malformed_csv_row_fails(spark):
+    path = new_scratch_path(spark, "csv-bad")
+    spark.createDataFrame([("1,10,a,b",), ("x7,notanumber,c,d",)], "line string").coalesce(1).write.text(path)
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|malformed"):
+        files.read_catalog_table(spark, path, "song").collect()
+
+
+def test_hash_sample_fractions(spark):
+    from sift.operators.sampling import hash_sample
+    df = spark.range(40_000).selectExpr("if(id = 5, null, id) as id")
+    assert hash_sample(df, "id", 1.0).count() == 40_000
+    assert hash_sample(df, "id", 0.0).count() == 0
+    assert 5 <= hash_sample(df, "id", 0.0005).count() <= 45
+    assert abs(hash_sample(df, "id", 0.02).count() - 800) < 120
+    assert hash_sample(df.repartition(7), "id", 0.02).exceptAll(hash_sample(df, "id", 0.02)).count() == 0
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+    from sift.session import scratch_dir
+    unset = SimpleNamespace(get=lambda key, default=None: default)
+    context = SimpleNamespace(master="spark://m:7077", getConf=lambda: unset, getCheckpointDir=lambda: None)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(SimpleNamespace(conf=unset, sparkContext=context))
+
+
+def test_released_scratch_is_deleted(spark):
+    from sift import session
+    saved = session._CREATED.pop(spark.sparkContext.applicationId, [])
+    try:
+        path = new_scratch_path(spark, "gone")
+        spark.range(3).write.parquet(path)
+        session.release_scratch(spark)
+        assert not files.path_exists(spark, path)
+    finally:
+        session._CREATED[spark.sparkContext.applicationId] = saved
+
+
 def test_label_flags(spark):
     df = spark.createDataFrame([("1",), ("-1",), ("0",), (None,), ("abc",)], "l string")
     got = df.select(flags.positive_flag(F.col("l")).alias("p"),

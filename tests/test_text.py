@@ -1,7 +1,7 @@
-"""Cleaning, n-grams and query tokens against hand-derived fixtures and a
-plain-Python rendition of the rules (brute force on small inputs)."""
+"""Cleaning, n-grams and query tokens against hand-derived fixtures and texts
+generated together with their answers."""
 
-import re
+import string
 
 import pytest
 from hypothesis import given, settings
@@ -53,61 +53,42 @@ def test_sarcasm_quote_filter(spark):
     assert kept == ["a/s b", "fine"]
 
 
-# --- a plain-Python rendition of the cleaning rules, used as brute force ----
-
-_PUNCT = "!?.-,';:"
-
-
-def _py_strip_links(text):
-    # Leftmost "[" whose first "](http" is followed by a URL reaching ")"
-    # before any space; rewrite to the label; repeat from the start.
-    while True:
-        done = True
-        for i, ch in enumerate(text):
-            if ch != "[":
-                continue
-            j = text.find("](http", i + 1)
-            while j != -1:
-                k = j + 5
-                end = None
-                while k < len(text):
-                    if text[k] == " ":
-                        break
-                    if text[k] == ")":
-                        end = k
-                        break
-                    k += 1
-                if end is not None or (k < len(text) and text[k] == " "):
-                    break
-                j = text.find("](http", j + 1)
-            if j != -1 and end is not None:
-                text = text[:i] + text[i + 1:j] + text[end + 1:]
-                done = False
-                break
-        if done:
-            return text
-
-
-def _py_words(text):
-    t = _py_strip_links(text.lower())
-    t = re.sub(r"http[^\s]*", "", t)
-    t = re.sub(r"[^\sA-Za-z0-9!?\.\-,';:]", "", t)
-    out = []
-    for tok in t.split():
-        stripped = tok.rstrip(_PUNCT)
-        if stripped:
-            out.append(stripped)
-    return out
-
-
-ALPHABET = st.sampled_from(list("ab xyZ0.!?-,';:[]()/&\n\t \u001c\u001f éh") +
-                           ["http", "](http://q)", "](http", "[", "https://e.f"])
+# --- texts built from pieces whose cleaned words are known beforehand --------
+
+_KEEP = set(string.ascii_letters + string.digits + T.KEPT_PUNCTUATION)
+
+
+def _words_of(piece):
+    """Cleaned words of a piece without links or addresses: per character."""
+    kept = "".join(c if c.isspace() else c if c in _KEEP else "" for c in piece.lower())
+    bare = [w.rstrip(T.KEPT_PUNCTUATION) for w in kept.split()]
+    return [w for w in bare if w]
+
+
+_PLAIN = st.text(alphabet=st.sampled_from(list("ab xyZ0.!?-,';:/&\n\t \u001c\u001féh")), max_size=12)
+_LABEL = st.text(alphabet=st.sampled_from(list("ab Z0.,é")), max_size=6)
+_ADDRESS = st.sampled_from(["http://q", "https://e.f/g?h=1", "http", "http://x.y/(z"])
+# (text, words): plain text; a link, nested up to three deep; an address.
+_PIECES = st.one_of(
+    _PLAIN.map(lambda t: (t, _words_of(t))),
+    st.tuples(_LABEL, st.integers(1, 3)).map(lambda x: (
+        "[" * x[1] + x[0] + "](http://u)" * x[1], _words_of(x[0]))),
+    _ADDRESS.map(lambda a: (a, [])))
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.lists(ALPHABET, min_size=0, max_size=30).map("".join))
-def test_cleaning_matches_python_rules(spark, text):
-    assert _words(spark, [text])[0] == _py_words(text)
+@given(st.lists(_PIECES, max_size=8))
+def test_cleaning_matches_the_pieces(spark, pieces):
+    text = " ".join(t for t, _ in pieces)
+    assert _words(spark, [text])[0] == [w for _, words in pieces for w in words]
+
+
+def test_clean_text_splits_trailing_punctuation(spark):
+    cases = {"Hello, world!!  ok": "hello , world !! ok", "... a-b? 'c'": "... a-b ? 'c '", "": "", " \n": "",
+             "x.,;": "x .,;", "a\tb\u001cc.": "a b c .", "don't #stop": "don't stop"}
+    df = spark.createDataFrame([(k,) for k in cases], "t string")
+    got = {r[0]: r[1] for r in df.select("t", T.clean_text(F.col("t"))).collect()}
+    assert got == cases
 
 
 def test_whitespace_classes_agree_with_python(spark):
@@ -115,9 +96,7 @@ def test_whitespace_classes_agree_with_python(spark):
     # whitespace characters as separators.
     chars = [chr(c) for c in range(0x10000) if not (0xD800 <= c <= 0xDFFF)]
     text = "".join("a" + c for c in chars)
-    got = _words(spark, [text])[0]
-    want = _py_words(text)
-    assert got == want
+    assert _words(spark, [text])[0] == _words_of(text)
 
 
 def test_strip_links_exact_deep_nesting(spark):
@@ -125,7 +104,6 @@ def test_strip_links_exact_deep_nesting(spark):
     df = spark.createDataFrame([(deep,), ("no link [here]",)], "t string")
     out = [r[0] for r in df.select(T.strip_links(F.col("t"))).collect()]
     assert out == ["x", "no link [here]"]
-    assert _py_strip_links(deep) == "x"
 
 
 @pytest.mark.parametrize("query,want", [
