@@ -99,8 +99,7 @@ RULES = (
     ("MPL-2.0", ("mpl2-header",)), ("Unlicense", ("unlicense",)),
     ("All-Rights-Reserved", ("all-rights-reserved",)),
 )
-ANCHORS = ("licen", "rights reserved", "permission", "redistribut", "copyright", "warrant",
-           "public domain")
+ANCHORS = ("licen", "reserved", "permission", "redistribut", "warrant", "unencumbered", "cc")
 
 
 def known_sentences() -> dict[str, str]:

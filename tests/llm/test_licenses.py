@@ -27,7 +27,7 @@ def test_cases(spark):
             (6, "We talk about a license and copyright only.", "x"), (None, "SPDX-License-Identifier: Apache-2.0", None),
             (7, "SPDX-License-Identifier: Apache-2.0", "x"),
             (8, "This work is licensed under the GNU General Public License, version 3.", "x"),
-            (9, "word " * 100_000 + ".\nReleased under the MIT License.", "x"), (1, "All rights reserved", "x")]
+            (9, "word " * 100_000 + ".\nReleased under the MIT License.", "x"), (1, "All rights\nreserved", "x")]
     got = [(r.doc_id, r.sentence_ids, r.licences) for r in scan(spark.createDataFrame(rows, SCHEMA).coalesce(1)).collect()]
     assert [x[0] for x in got] == [r[0] for r in rows]
     assert [x[2] for x in got] == [
