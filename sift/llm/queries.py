@@ -30,7 +30,8 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup.classes(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "class_id", (F.col("key") == F.col("class_key")).alias("in_kept_text"))
+    kept = F.coalesce(F.col("key") == F.col("class_key"), F.lit(True))  # a null text is its own class
+    return found.select("doc_id", "class_id", kept.alias("in_kept_text"))
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
