@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sift.llm.batches import bounded, field_of, packed, with_field
+
 # Bytes of normalised words: A-Z become a-z, and all but digits, a-z and
 # non-ASCII characters separate.
 _NORMAL = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128
@@ -209,22 +211,22 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, *, window: int = 10,
     """Per row of ``docs``: its words, the merged spans of hit words (by word,
     end exclusive) and the ids of the items with occurring windows. With
     ``keep_columns`` all columns of ``docs`` come first, in a struct ``doc``."""
-    first = (F.struct(*docs.columns).alias("doc") if keep_columns
-             else F.col(id_col).alias("doc_id"))
-    df = docs.select(first, F.col(text_col).alias("text"), F.lit(0).cast("long").alias("n_words"),
+    kept = [packed(docs)] if keep_columns else [F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")]
+    df = bounded(docs).select(*kept, F.lit(0).cast("long").alias("n_words"),
                      F.array().cast("array<struct<start:int,end:int>>").alias("spans"),
                      F.array().cast("array<string>").alias("items"))
     for automaton in automata(benchmark, window=window, max_tokens=max_tokens, **item_cols):
-        df = df.mapInArrow(_scanner(automaton), df.schema)
+        df = df.mapInArrow(_scanner(automaton, text_col if keep_columns else None), df.schema)
     return df
 
 
-def _scanner(sam: SuffixAutomaton):
+def _scanner(sam: SuffixAutomaton, packed_text: str | None):
     def run(batches):
         for batch in batches:
             n_words, spans, items = [], [], []
             before = zip(batch.column("spans").to_pylist(), batch.column("items").to_pylist())
-            texts = batch.column("text").cast(pa.binary()).to_pylist()
+            column = field_of(batch.column("doc"), packed_text) if packed_text else batch.column("text")
+            texts = column.cast(pa.binary()).to_pylist()
             for text, (old_spans, old_items) in zip(texts, before):
                 words = normal_words(text)
                 got, found = sam.hits(words)
@@ -234,8 +236,8 @@ def _scanner(sam: SuffixAutomaton):
                 ids = {i for place in found for i in sam.items[place] if i is not None}
                 items.append(sorted(ids.union(old_items)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column("text"), pa.array(n_words, pa.int64()),
-                 pa.array(spans, _SPANS), pa.array(items, pa.list_(pa.string()))],
+                [*batch.columns[:-3], pa.array(n_words, pa.int64()), pa.array(spans, _SPANS),
+                 pa.array(items, pa.list_(pa.string()))],
                 names=batch.schema.names)
     return run
 
@@ -246,14 +248,18 @@ def hit_count() -> F.Column:
                                   lambda n, s: n + (s["end"] - s["start"])), F.lit(0).cast("long"))
 
 
-def _cutter(batches):
-    for batch in batches:
-        texts, spans = batch.column("text"), batch.column("spans")
-        if len(spans.values):
-            cut = [t if not s else without_spans(t, [(x["start"], x["end"]) for x in s])
-                   for t, s in zip(texts.to_pylist(), spans.to_pylist())]
-            texts = pa.array(cut, pa.string())
-        yield pa.RecordBatch.from_arrays([batch.column("doc"), texts], names=["doc", "text"])
+def _cutter(text_col: str):
+    def run(batches):
+        for batch in batches:
+            doc, spans = batch.column("doc"), batch.column("spans")
+            if len(spans.values):
+                texts = field_of(doc, text_col)
+                cut = [t if not s else without_spans(t, [(x["start"], x["end"]) for x in s])
+                       for t, s in zip(texts.to_pylist(), spans.to_pylist())]
+                doc = with_field(doc, text_col, pa.array(cut, texts.type))
+            yield pa.RecordBatch.from_arrays([doc], names=["doc"])
+
+    return run
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, window: int = 10,
@@ -261,7 +267,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, window: int = 10,
     """``docs`` with the hit spans cut out of the text, without the documents
     whose hit share exceeds ``max_coverage``. Other columns stay as they are."""
     hits = find_hits(docs, benchmark, window=window, text_col=text_col, keep_columns=True, **options)
-    kept = hits.where(hit_count() <= max_coverage * F.col("n_words")).select("doc", "text", "spans")
-    cut = kept.mapInArrow(_cutter, kept.select("doc", "text").schema)
-    return cut.select(*[F.col("text") if c == text_col else F.col("doc")[c].alias(c)
-                        for c in docs.columns])
+    kept = hits.where(hit_count() <= max_coverage * F.col("n_words")).select("doc", "spans")
+    return kept.mapInArrow(_cutter(text_col), kept.select("doc").schema).select("doc.*")

@@ -33,6 +33,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sift.llm.batches import bounded
+
 UNDETERMINED = "und"
 ORDERS = (4, 3, 2, 1)  # n-gram orders, longest first
 MEMO_LIMIT = 300_000
@@ -145,7 +147,7 @@ def learn(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang"
           max_docs: int = 20_000, max_words: int = 30_000, max_grams: int = 20_000,
           max_langs: int = 200, smoothing: float = 0.5) -> LanguageModel:
     """Learn from rows with a non-null label; see the module for the bounds."""
-    rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    rows = bounded(labelled).where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     n = rows.count()
     if n > max_docs:
         rows = rows.where(F.pmod(F.xxhash64(text_col), F.lit(1_000_000)) < 1e6 * max_docs / n)
@@ -192,7 +194,7 @@ def predict(docs: DataFrame, model: LanguageModel, *, id_col: str = "doc_id",
                 names=["doc_id", "lang_pred", "score"])
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    return (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return (bounded(docs).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
             .mapInArrow(run, f"doc_id {id_type}, lang_pred string, score double"))
 
 

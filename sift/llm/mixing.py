@@ -36,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sift.llm.batches import bounded, field_of, packed
 from sift.llm.components import written
 from sift.llm.decontaminate import normal_words
 from sift.llm.learning import adam, labelled_texts
@@ -113,7 +114,7 @@ def learn(docs: DataFrame, labelled: DataFrame, *, max_docs: int = 6000, max_wor
           steps: int = 200, rate: float = 0.03, decay: float = 1e-4, id_col: str = "doc_id",
           text_col: str = "text", domain_col: str = "domain") -> DomainModel:
     """Train from the texts of ``docs`` whose id has a domain in ``labelled``."""
-    rows = labelled_texts(docs, labelled.select(id_col, F.col(domain_col).cast("string").alias("label")),
+    rows = labelled_texts(bounded(docs), labelled.select(id_col, F.col(domain_col).cast("string").alias("label")),
                           max_docs, id_col=id_col, text_col=text_col)
     totals = {r.label: r.n for r in rows.groupBy("label").agg(F.count("*").alias("n"))
               .orderBy("label").collect()}
@@ -158,7 +159,7 @@ def posteriors(docs: DataFrame, model: DomainModel, *, text_col: str = "text") -
 
     def run(batches):
         for batch in batches:
-            texts = batch.column("text").cast(pa.binary()).to_pylist()
+            texts = field_of(batch.column("doc"), text_col).cast(pa.binary()).to_pylist()
             tokens = [len(t.split()) if t else 0 for t in texts]
             if model.domains and texts:
                 present = [list({model.words[w] for w in set(normal_words(t)) if w in model.words})
@@ -171,10 +172,10 @@ def posteriors(docs: DataFrame, model: DomainModel, *, text_col: str = "text") -
                 [batch.column("doc"), pa.array(tokens, pa.int64()), pa.array(parts, pa.list_(pa.int32()))],
                 names=["doc", "tokens", "posterior"])
 
-    packed = docs.select(F.struct(*docs.columns).alias("doc"), F.col(text_col).alias("text"))
-    shaped = packed.select("doc", F.lit(0).cast("long").alias("tokens"),
+    rows = bounded(docs).select(packed(docs))
+    shaped = rows.select("doc", F.lit(0).cast("long").alias("tokens"),
                            F.array().cast("array<int>").alias("posterior"))
-    return packed.mapInArrow(run, shaped.schema)
+    return rows.mapInArrow(run, shaped.schema)
 
 
 def _rate(history: list[list[float]], step: float, ridge: float) -> Column:

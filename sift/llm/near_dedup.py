@@ -42,6 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sift.llm.batches import bounded
 from sift.llm.components import components, written
 from sift.llm.shingles import WordHashes, mix, whole_windows, window_hashes, word_runs
 
@@ -356,7 +357,7 @@ def classes(docs: DataFrame, *, shingle: int = 5, threshold: float = 0.8, bands:
     null), ``class_id`` and ``class_key``, the key of the text with that id
     (the least key, if several texts have it)."""
     lowered = F.lower(F.col(text_col)).cast("binary").alias("text")
-    named = docs.select(F.col(id_col).alias("doc_id"), F.unhex(F.md5(F.col(text_col))).alias("key"),
+    named = bounded(docs).select(F.col(id_col).alias("doc_id"), F.unhex(F.md5(F.col(text_col))).alias("key"),
                         lowered)
     weights = _count_frequencies(named.select("text"), shingle, rare)
     signed = named.where("key is not null").select("key", "text").mapInArrow(

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sift.llm.batches import bounded, field_of, packed
 from sift.llm.learning import adam, labelled_texts, sigmoid
 from sift.llm.passages import FEATURES, passage_features
 
@@ -111,7 +112,7 @@ def learn(docs: DataFrame, labels: DataFrame, *, max_bags: int = 4000, id_col: s
     """Train from the texts of ``docs`` whose id has a label (1: good; other
     values: bad) in ``labels``."""
     marked = labels.select(id_col, (F.col(label_col) == 1).cast("int").alias("label"))
-    texts = labelled_texts(docs, marked, max_bags, id_col=id_col, text_col=text_col)
+    texts = labelled_texts(bounded(docs), marked, max_bags, id_col=id_col, text_col=text_col)
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = (texts.select("doc_id", "label", "text")
             .mapInArrow(_described, f"doc_id {id_type}, label int, passages binary").toArrow())
@@ -139,16 +140,16 @@ def score(docs: DataFrame, model: MilModel, *, id_col: str = "doc_id", text_col:
           keep_columns: bool = False) -> DataFrame:
     """``doc_id`` (with ``keep_columns`` instead all columns of ``docs`` in a
     struct ``doc``) and ``score`` per row of ``docs``."""
-    first = (F.struct(*docs.columns).alias("doc") if keep_columns
-             else F.col(id_col).alias("doc_id"))
+    kept = [packed(docs)] if keep_columns else [F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")]
 
     def run(batches):
         for batch in batches:
-            scores = score_texts(batch.column(1).cast(pa.binary()).to_pylist(), model)
+            texts = field_of(batch.column(0), text_col) if keep_columns else batch.column(1)
+            scores = score_texts(texts.cast(pa.binary()).to_pylist(), model)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)],
                                              names=[batch.schema.names[0], "score"])
 
-    df = docs.select(first, F.col(text_col).alias("text"))
+    df = bounded(docs).select(*kept)
     return df.mapInArrow(run, df.drop("text").withColumn("score", F.lit(0.0)).schema)
 
 

@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sift.llm.batches import bounded
+
 # Fixed values.
 SYMBOLS = "#*$%&|<>"
 CLOSING = ".!?:;…。！？"
@@ -134,5 +136,5 @@ def clean_lines(docs: DataFrame, rules: LineRules = LineRules(), *, id_col: str
     types = [None, long, long, long, long, long, flag, long, long, flag, pa.string()]
     names = [part.split()[0] for part in SCHEMA.split(", ")]
     out = [pa.field(n, t or pa.null()) for n, t in zip(names, types)]
-    return (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return (bounded(docs).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
             .mapInArrow(run, SCHEMA.format(id=id_type)))

@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sift.llm.batches import bounded
 from sift.llm.shingles import (WordHashes, covered_words, mix, sliding_min, whole_windows,
                                window_hashes, word_runs, words_of)
 
@@ -219,7 +220,7 @@ def dedup_substrings(docs: DataFrame, *, window: int = 50, hot_windows: int = 10
     """Per row of ``docs``: ``doc_id``, ``n_words``, ``n_removed`` and
     ``kept_text``, the kept words joined by one space."""
     id_type = docs.schema[id_col].dataType.simpleString()
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    texts = bounded(docs).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     tag: Column = F.hash("text").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))
     sketch = _sketch(texts.where(F.col("doc_id").isNotNull()), window, hot_windows, max_cells)
     starts = F.array().cast("array<int>")
