@@ -21,6 +21,8 @@ ids are scanned row by row; other columns are not read.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,45 +49,71 @@ REFERENCES = ("licensed under", "released under the terms of", "released under",
               "this file is licensed under", "this project is licensed under")
 TAG = "spdx license identifier"
 
-# Sentences of licence texts.
-SENTENCES = {
-    "all rights reserved": "all-rights-reserved",
-    "permission is hereby granted free of charge to any person obtaining a copy of this software and "
-    "associated documentation files the software to deal in the software without restriction including "
-    "without limitation the rights to use copy modify merge publish distribute sublicense and or sell "
-    "copies of the software and to permit persons to whom the software is furnished to do so subject to "
-    "the following conditions": "mit-grant",
-    "the above copyright notice and this permission notice shall be included in all copies or "
-    "substantial portions of the software": "mit-notice",
-    "the software is provided as is without warranty of any kind express or implied including but not "
-    "limited to the warranties of merchantability fitness for a particular purpose and "
-    "noninfringement": "mit-warranty",
-    "permission to use copy modify and or distribute this software for any purpose with or without fee "
-    "is hereby granted provided that the above copyright notice and this permission notice appear in "
-    "all copies": "isc-grant",
-    "you may not use this file except in compliance with the license": "apache-compliance",
-    "you may obtain a copy of the license at http www apache org licenses license 2 0": "apache-copy",
-    "licensed under the apache license version 2 0 the license": "apache-header",
-    "this program is free software you can redistribute it and or modify it under the terms of the gnu "
-    "general public license as published by the free software foundation either version 3 of the "
-    "license or at your option any later version": "gpl3-later",
-    "this program is free software you can redistribute it and or modify it under the terms of the gnu "
-    "general public license as published by the free software foundation either version 2 of the "
-    "license or at your option any later version": "gpl2-later",
-    "this program is distributed in the hope that it will be useful but without any warranty without "
-    "even the implied warranty of merchantability or fitness for a particular purpose": "gpl-warranty",
-    "redistributions of source code must retain the above copyright notice this list of conditions and "
-    "the following disclaimer": "bsd-source",
-    "redistributions in binary form must reproduce the above copyright notice this list of conditions "
-    "and the following disclaimer in the documentation and or other materials provided with the "
-    "distribution": "bsd-binary",
-    "neither the name of the copyright holder nor the names of its contributors may be used to endorse "
-    "or promote products derived from this software without specific prior written "
-    "permission": "bsd-endorse",
-    "this source code form is subject to the terms of the mozilla public license v 2 0": "mpl2-header",
-    "this is free and unencumbered software released into the public domain": "unlicense",
-}
+def sentences_of(wording: str) -> list[str]:
+    """The normalised sentences into which the scan cuts a text read by line."""
+    cut = re.sub("([.!?;])[ \\t\\r\\x0B\\f]+", "\\1\n", wording).split("\n")
+    return [p for p in (re.sub("[^a-z0-9]+", " ", c.lower()).strip() for c in cut) if p]
+
+
+# Wordings of licence texts, cut as the scan cuts them; of each
+# sentence its identifier, or None if it is too common to count. Where licences
+# are written with other marks, so that the cuts differ, each form is listed.
+_GPL_TERMS = ("you can redistribute it and/or modify it under the terms of the GNU General Public License "
+              "as published by the Free Software Foundation")
+_LATER = "either version {} of the License, or (at your option) any later version."
+WORDINGS = (
+    ("All rights reserved.", ("all-rights-reserved",)),
+    ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+     'associated documentation files (the "Software"), to deal in the Software without restriction, '
+     "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, "
+     "and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
+     "subject to the following conditions:", ("mit-grant",)),
+    ("The above copyright notice and this permission notice shall be included in all copies or substantial "
+     "portions of the Software.", ("mit-notice",)),
+    ('THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT '
+     "LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.",
+     ("mit-warranty",)),
+    ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee "
+     "is hereby granted, provided that the above copyright notice and this permission notice appear in all "
+     "copies.", ("isc-grant",)),
+    ('Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in '
+     "compliance with the License.", ("apache-header", "apache-compliance")),
+    ("You may obtain a copy of the License at\n\nhttp://www.apache.org/licenses/LICENSE-2.0",
+     ("apache-obtain", "apache-url")),
+    ("You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0", ("apache-copy",)),
+    *((f"This program is free software{a} {_GPL_TERMS}{b} {_LATER.format(n)}", ids)
+      for n in (2, 3) for a, b, ids in (
+          (":", ",", (f"gpl{n}-later",)), (";", ",", (None, f"gpl{n}-later")),
+          (":", ";", ("gpl-terms", f"gpl{n}-version")), (";", ";", (None, "gpl-terms", f"gpl{n}-version")))),
+    ("This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even "
+     "the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",
+     ("gpl-warranty", "gpl-implied")),
+    ("This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY, without even "
+     "the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.", ("gpl-warranty",)),
+    ("Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+     "following disclaimer.", ("bsd-source",)),
+    ("Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
+     "the following disclaimer in the documentation and/or other materials provided with the distribution.",
+     ("bsd-binary",)),
+    ("Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+     "promote products derived from this software without specific prior written permission.",
+     ("bsd-endorse",)),
+    # Only version 2.0 speaks of a Source Code Form.
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+     ("mpl2-header", None)),
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v.2.0.", ("mpl2-header",)),
+    ("This is free and unencumbered software released into the public domain.", ("unlicense",)),
+)
+SENTENCES = {sentence: i for wording, ids in WORDINGS
+             for sentence, i in zip(sentences_of(wording), ids, strict=True) if i}
 RULES = (
+    ("Apache-2.0", ("apache-header", "apache-compliance", "apache-obtain", "apache-url")),
+    ("GPL-3.0-or-later", ("gpl-terms", "gpl3-version", "gpl-warranty", "gpl-implied")),
+    ("GPL-2.0-or-later", ("gpl-terms", "gpl2-version", "gpl-warranty", "gpl-implied")),
+    ("GPL-3.0-or-later", ("gpl3-later", "gpl-warranty", "gpl-implied")),
+    ("GPL-2.0-or-later", ("gpl2-later", "gpl-warranty", "gpl-implied")),
+    ("GPL-3.0-or-later", ("gpl-terms", "gpl3-version", "gpl-warranty")),
+    ("GPL-2.0-or-later", ("gpl-terms", "gpl2-version", "gpl-warranty")),
     ("MIT", ("mit-grant", "mit-notice", "mit-warranty")),
     ("BSD-3-Clause", ("bsd-source", "bsd-binary", "bsd-endorse")),
     ("Apache-2.0", ("apache-header", "apache-compliance", "apache-copy")),
@@ -94,6 +122,8 @@ RULES = (
     ("Apache-2.0", ("apache-header", "apache-compliance")),
     ("GPL-3.0-or-later", ("gpl3-later", "gpl-warranty")),
     ("GPL-2.0-or-later", ("gpl2-later", "gpl-warranty")),
+    ("GPL-3.0-or-later", ("gpl-terms", "gpl3-version")),
+    ("GPL-2.0-or-later", ("gpl-terms", "gpl2-version")),
     ("MIT", ("mit-grant",)), ("ISC", ("isc-grant",)), ("Apache-2.0", ("apache-header",)),
     ("GPL-3.0-or-later", ("gpl3-later",)), ("GPL-2.0-or-later", ("gpl2-later",)),
     ("MPL-2.0", ("mpl2-header",)), ("Unlicense", ("unlicense",)),

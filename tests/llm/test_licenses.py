@@ -39,3 +39,91 @@ def test_cases(spark):
 
 def test_empty_table(spark):
     assert scan(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+# Licence headers and texts in their original wording, line by line.
+GPL_WARRANTY = """This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+"""
+GPL_2 = """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.
+
+""" + GPL_WARRANTY
+GPL_3 = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+""" + GPL_WARRANTY
+MPL_2 = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.
+"""
+APACHE_2 = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+"""
+BSD_2 = """1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD_3 = BSD_2 + """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+"""
+MIT_WHOLE = MIT + """
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE
+"""
+UNLICENSE = "This is free and unencumbered software released into the public domain.\n"
+ORIGINALS = [
+    (GPL_2, "GPL-2.0-or-later", ["gpl-terms", "gpl2-version", "gpl-warranty", "gpl-implied"]),
+    (GPL_3, "GPL-3.0-or-later", ["gpl3-later", "gpl-warranty", "gpl-implied"]),
+    (GPL_2.replace("version 2", "version 3"), "GPL-3.0-or-later",
+     ["gpl-terms", "gpl3-version", "gpl-warranty", "gpl-implied"]),
+    (GPL_3.replace("version 3", "version 2"), "GPL-2.0-or-later", ["gpl2-later", "gpl-warranty", "gpl-implied"]),
+    (GPL_2.split("\n\n")[0], "GPL-2.0-or-later", ["gpl-terms", "gpl2-version"]),
+    (MPL_2, "MPL-2.0", ["mpl2-header"]),
+    (APACHE_2, "Apache-2.0", ["apache-header", "apache-compliance", "apache-obtain", "apache-url"]),
+    (BSD_2, "BSD-2-Clause", ["bsd-source", "bsd-binary"]),
+    (BSD_3, "BSD-3-Clause", ["bsd-source", "bsd-binary", "bsd-endorse"]),
+    (ISC, "ISC", ["isc-grant"]), (MIT_WHOLE, "MIT", ["mit-grant", "mit-notice", "mit-warranty"]),
+    (UNLICENSE, "Unlicense", ["unlicense"]), ("All rights reserved.\n", "All-Rights-Reserved", ["all-rights-reserved"]),
+]
+
+
+def test_original_wordings_plain_on_one_line_and_as_comments(spark):
+    rows, expected = [], []
+    for text, licence, ids in ORIGINALS:
+        rows += [(len(rows), text, "x"), (len(rows) + 1, text.replace("\n", "\r\n"), "x")]
+        expected += [([licence], ids)] * 2
+        if text.startswith(("This program is free", "This Source")):
+            rows.append((len(rows), "".join(f" * {line}\n" if line else "\n" for line in text.split("\n")), "x"))
+            rows.append((len(rows), " ".join(text.split()), "x"))
+            expected += [([licence], ids)] * 2
+    got = {r.doc_id: (r.licences, r.sentence_ids) for r in scan(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert [got[k] for k in range(len(rows))] == expected
+
+
+def test_the_lesser_licence_is_not_taken_for_the_general_one(spark):
+    lesser = GPL_2.replace("GNU General", "GNU Lesser General").replace("version 2", "version 3")
+    assert [r.licences for r in scan(spark.createDataFrame([(1, lesser, "x")], SCHEMA)).collect()] == [[]]
