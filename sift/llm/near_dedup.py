@@ -14,7 +14,12 @@ similarity. The samples of a band make a bucket; texts in one bucket are
 candidates and are verified with the exact weighted Jaccard similarity of
 their shingles. A pair also counts as similar if the plain Jaccard similarity
 of the shingle sets reaches the threshold: the shingles of a very large group
-of near copies are common, and would otherwise weigh less than the edits.
+of near copies are common, and would otherwise weigh less than the edits. Such
+a pair can have a far lower weighted similarity (0.67 by idf alone, less if
+one text repeats the other), so each text also draws bands x rows samples with
+all weights equal (min-hashing), which two texts share with a probability
+equal to their plain similarity. A pair at the threshold of either rule is
+missed by its own bands with a probability of (1 - threshold^rows)^bands.
 
 Classes are the connected components of the verified pairs. Exact copies are
 one node (a digest of the text), so copies are never expanded into pairs. In a
@@ -164,9 +169,18 @@ def draw(text: np.ndarray, shingles: np.ndarray, weights: np.ndarray, samples: i
     return out
 
 
+def draw_plain(text: np.ndarray, shingles: np.ndarray, samples: int) -> np.ndarray:
+    """As ``draw``, with all weights equal."""
+    starts = np.flatnonzero(np.concatenate(([True], text[1:] != text[:-1])))
+    out = np.empty((len(starts), samples), np.uint64)
+    for k in range(samples):
+        out[:, k] = np.minimum.reduceat(mix((shingles ^ _SECOND) + np.uint64(_GOLDEN * (k + 1) % 2 ** 64)), starts)
+    return out
+
+
 def _signer(weights: Weights, bands: int, rows: int):
-    """Of each text its buckets, one per band, and the mean idf of its
-    shingles."""
+    """Of each text its buckets, one per band of weighted and of plain samples,
+    and the mean idf of its shingles."""
     table = _gamma_table()
 
     def run(batches):
@@ -177,9 +191,10 @@ def _signer(weights: Weights, bands: int, rows: int):
                 text, shingles, tf = weights.sets(counts, hashes)
                 if not len(text):
                     continue
-                samples = draw(text, shingles, weights.of(shingles, tf), bands * rows, table)
-                buckets = np.empty((len(samples), bands), np.uint64)
-                for b in range(bands):
+                samples = np.hstack([draw(text, shingles, weights.of(shingles, tf), bands * rows, table),
+                                     draw_plain(text, shingles, bands * rows)])
+                buckets = np.empty((len(samples), 2 * bands), np.uint64)
+                for b in range(2 * bands):
                     value = np.full(len(samples), b + 1, np.uint64)
                     for r in range(rows):
                         value = mix(value * _STEP ^ samples[:, b * rows + r])
@@ -187,7 +202,7 @@ def _signer(weights: Weights, bands: int, rows: int):
                 starts = np.flatnonzero(np.concatenate(([True], text[1:] != text[:-1])))
                 share = np.add.reduceat(weights.idf(shingles), starts) / np.diff(np.append(starts, len(text)))
                 flat = pa.array(buckets.reshape(-1).view(np.int64))
-                offsets = pa.array(np.arange(0, buckets.size + 1, bands, dtype=np.int32))
+                offsets = pa.array(np.arange(0, buckets.size + 1, 2 * bands, dtype=np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [keys.take(pa.array(first + text[starts])), pa.array(np.round(share, 6)),
                      pa.ListArray.from_arrays(offsets, flat)], names=["key", "rarity", "buckets"])

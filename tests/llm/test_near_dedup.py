@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from sift.llm.components import components
-from sift.llm.near_dedup import _gamma_table, classes, draw, keep_one, may_reach, similar
+from sift.llm.near_dedup import _gamma_table, classes, draw, draw_plain, keep_one, may_reach, similar
 from tests.llm.brute import jaccard, shingle_set
 
 SCHEMA = "doc_id long, text string, key string"  # key: a clashing extra column
@@ -131,3 +131,21 @@ def test_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert classes(empty).collect() == []
     assert keep_one(empty).collect() == []
+
+
+def test_plain_samples_agree_with_plain_jaccard():
+    rnd = np.random.default_rng(1)
+    shingles = rnd.integers(0, 2 ** 63, 400).astype(np.uint64)
+    zero = np.zeros(300, np.int64)
+    a, b = np.sort(shingles[:300]), np.sort(shingles[100:])
+    assert abs((draw_plain(zero, a, 3000) == draw_plain(zero, b, 3000)).mean() - 0.5) < 0.03
+
+
+def test_texts_and_the_same_texts_repeated_are_one_class(spark):
+    rnd = random.Random(11)  # plain similarity above 0.9, weighted about 0.6 and less
+    rows = []
+    for k in range(200):
+        words = _text(rnd, 100)
+        rows += [(2 * k, " ".join(words), "x"), (2 * k + 1, " ".join(words * (2 + k % 2)), "x")]
+    got = {r.doc_id: r.class_id for r in classes(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert [k for k in range(200) if got[2 * k + 1] != 2 * k] == []
