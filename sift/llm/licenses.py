@@ -13,7 +13,8 @@ as in wrapped texts) in the second; the reading with more known sentences
 counts, the first on a tie.
 
 Everything is DataFrame expressions on the row: nothing is shuffled, and only
-texts that hold an anchor word, which every known sentence has, are cut.
+texts that hold an anchor word, which every known sentence has, are cut; with
+sentences of the caller all texts are.
 
 Defined results: null and empty texts have no sentences; repeated rows and
 ids are scanned row by row; other columns are not read.
@@ -168,11 +169,12 @@ def scan(docs: DataFrame, *, known: dict[str, str] | None = None,
          text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``sentence_ids`` (array, in text
     order) and ``licences`` (array, in rule order, distinct)."""
+    anchors = () if known else ANCHORS  # these cover the fixed sentences only
     known, rules = known or known_sentences(), rules or licence_rules()
     text = F.col(text_col)
     lowered = F.lower(text)
-    anchored = F.lit(False)
-    for anchor in ANCHORS:
+    anchored = F.lit(not anchors)
+    for anchor in anchors:
         anchored = anchored | F.contains(lowered, F.lit(anchor))
     unwrapped = F.regexp_replace(text, F.lit("([^\\n])\\r?\\n(?=[^\\r\\n])"), F.lit("$1 "))
     none = F.array().cast("array<string>")

@@ -127,3 +127,9 @@ def test_original_wordings_plain_on_one_line_and_as_comments(spark):
 def test_the_lesser_licence_is_not_taken_for_the_general_one(spark):
     lesser = GPL_2.replace("GNU General", "GNU Lesser General").replace("version 2", "version 3")
     assert [r.licences for r in scan(spark.createDataFrame([(1, lesser, "x")], SCHEMA)).collect()] == [[]]
+
+
+def test_sentences_of_the_caller_need_no_anchor(spark):
+    df = spark.createDataFrame([(1, "Prose. Do as you please. More.", "x"), (2, "Prose.", "x")], SCHEMA)
+    found = scan(df, known={"do as you please": "please"}, rules=[("Free", ("please",))]).collect()
+    assert [(r.doc_id, r.sentence_ids, r.licences) for r in found] == [(1, ["please"], ["Free"]), (2, [], [])]
