@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sift.llm import (chat_format, decontaminate, language_id, licenses, mixing, near_dedup, pii,
-                      quality_mil, quality_rules, substring_dedup)
+                      quality_mil, quality_rules, substring_dedup, whitening)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -113,6 +113,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.size("spans") > 0).alias("contaminated"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_rows(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_language_id": op2_language_id,
@@ -124,4 +128,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_decontaminate": op10_decontaminate,
+    "op11_whitening": op11_whitening,
 }
