@@ -47,6 +47,7 @@ SCALE, OFFSET = 64.0, 1_000_000
 FAN_IN = 16
 LANES = 16
 _EPS = np.finfo(np.float64).eps
+_ROOT = 1e-13  # of the size of its terms, the secular function at a root
 _LARGEST = 2.0 ** 46
 _LONG = 2 ** 63 - 1
 
@@ -72,38 +73,43 @@ def _secular_roots(values: np.ndarray, z2: np.ndarray, active: np.ndarray):
     array lanes x i x j, accurate also next to a pole), and the roots."""
     d = values.shape[1]
     total = z2.sum(axis=1, keepdims=True)
-    above = np.where(active, values, np.inf)
-    above = np.minimum.accumulate(above[:, ::-1], axis=1)[:, ::-1]
-    above = np.concatenate([above[:, 1:], np.full((len(values), 1), np.inf)], axis=1)
-    last = np.isinf(above)
-    above = np.where(last, values + total, above)
+    following = np.where(active, np.arange(d), d)
+    following = np.minimum.accumulate(following[:, ::-1], axis=1)[:, ::-1]
+    following = np.concatenate([following[:, 1:], np.full((len(values), 1), d)], axis=1)
+    last, following = following == d, np.minimum(following, d - 1)
+    above = np.where(last, values + total, np.take_along_axis(values, following, axis=1))
     width = np.where(active, above - values, 1.0)
-    below = np.tri(d, dtype=bool)[None]
+    below = np.tri(d)
     weight = z2[:, None, :]
+    seen = np.where(active, values, np.inf)  # a deflated pole has no part
 
     def at(poles, mu):
         gap = poles - mu[:, :, None]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            part = np.where(weight > 0, weight / gap, 0.0)
-            slope = np.where(weight > 0, part / gap, 0.0)
-        return part.sum(axis=2) + 1.0, np.abs(part).sum(axis=2) + 1.0, slope
+        part = weight / gap
+        negative, total = np.einsum("gij,ij->gi", part, below), part.sum(axis=2)
+        return total + 1.0, total - 2 * negative + 1.0, np.divide(part, gap, out=part)
 
-    poles = values[:, None, :] - values[:, :, None]
-    middle, _, _ = at(poles, width / 2)
+    middle, _, _ = at(seen[:, None, :] - values[:, :, None], width / 2)
     from_above = (middle < 0) & ~last & active  # the root lies nearer to the pole above
     origin = np.where(from_above, above, values)
-    poles = values[:, None, :] - origin[:, :, None]
+    poles = seen[:, None, :] - origin[:, :, None]
     low = np.where(from_above, -width / 2, 0.0)
     high = np.where(from_above, 0.0, np.where(last, width, width / 2))
-    mu = (low + high) / 2
+    upper = np.take_along_axis(z2, following, axis=1)  # start: the two poles next to the root, the rest constant
+    with np.errstate(all="ignore"):
+        c = middle + 2 * (z2 - upper) / width
+        a, b = c * width + z2 + upper, z2 * width
+        root = np.sqrt(np.maximum(a * a - 4 * b * c, 0.0))
+        mu = np.where(a <= 0, (a - root) / (2 * c), 2 * b / (a + root)) - (origin - values)
+    mu = np.where(~last & (mu > low) & (mu < high), mu, (low + high) / 2)
     first, second = values - origin, above - origin
     for _ in range(60):
         f, size, slope = at(poles, mu)
-        open_ = active & (np.abs(f) > 4 * d * _EPS * size) & (high - low > 2 * _EPS * np.abs(mu))
+        open_ = active & (np.abs(f) > _ROOT * size) & (high - low > 2 * _EPS * np.abs(mu))
         if not open_.any():
             break
         low, high = np.where(f < 0, mu, low), np.where(f < 0, high, mu)
-        psi = (slope * below).sum(axis=2)
+        psi = np.einsum("gij,ij->gi", slope, below)
         phi = slope.sum(axis=2) - psi
         one, two = first - mu, second - mu
         with np.errstate(all="ignore"):
@@ -115,7 +121,7 @@ def _secular_roots(values: np.ndarray, z2: np.ndarray, active: np.ndarray):
             new = mu + step
         inside = (new > low) & (new < high)
         mu = np.where(open_, np.where(inside, new, (low + high) / 2), mu)
-    return mu[:, :, None] - poles, origin + mu
+    return mu[:, :, None] - poles, origin + mu  # the gap to a deflated pole is not used
 
 
 def rank_one(values: np.ndarray, vectors: np.ndarray, v: np.ndarray):
