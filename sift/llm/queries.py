@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sift.llm import (chat_format, decontaminate, language_id, licenses, mixing, near_dedup, pii,
-                      quality_mil, quality_rules, substring_dedup, whitening)
+                      prefix_trie, quality_mil, quality_rules, substring_dedup, whitening)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -117,6 +117,11 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened_rows(table(spark, sf_dir, "embeddings"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = prefix_trie.positions(table(spark, sf_dir, "conversations"))
+    return prefix_trie.nodes(*prefix_trie.with_shared_heads(placed))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_language_id": op2_language_id,
@@ -129,4 +134,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_decontaminate": op10_decontaminate,
     "op11_whitening": op11_whitening,
+    "op12_prefix_trie": op12_prefix_trie,
 }
