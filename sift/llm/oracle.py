@@ -197,10 +197,54 @@ FROM docs LEFT JOIN chosen USING (rid) LEFT JOIN found USING (rid)
 """
 
 
+OP12 = rf"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+           md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY place) AS turns FROM turns GROUP BY conv_id
+), hashed AS (
+  SELECT *, xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], [0, 0, 0, 0, 0, 0, 0, 0]),
+      lambda v, k: xor(v >> 1, 3988292384 * (v & 1)))), 4294967295) % 4 AS h
+  FROM own
+), rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(b.turns[1:c.h], []), c.turns[c.h + 1:]) AS turns
+  FROM hashed c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 20
+), members AS (
+  SELECT conv_id, turns, unnest(generate_series(0, len(turns))) AS depth FROM rebuilt
+), nodes AS (
+  SELECT depth, turns[1:depth] AS prefix, min(conv_id) AS conv_id, count(*) AS n_convs,
+         coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len(turns) = depth), '') AS ends
+  FROM members GROUP BY ALL
+), children AS (
+  SELECT depth - 1 AS depth, prefix[1:depth - 1] AS prefix, count(*) AS n_children
+  FROM nodes WHERE depth > 0 GROUP BY ALL
+), counted AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children,
+         CASE WHEN n.depth = 0 THEN 0 ELSE (n_convs - 1)
+           * len([w FOR w IN string_split_regex(n.prefix[n.depth].text, '{_BLANK}+') IF w <> '']) END AS saved
+  FROM nodes n LEFT JOIN children c ON c.depth = n.depth AND c.prefix = n.prefix
+), above AS (
+  SELECT prefix, saved, n_children, unnest(generate_series(0, depth)) AS depth FROM counted
+), sums AS (
+  SELECT depth, prefix[1:depth] AS prefix, sum(saved) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+  FROM above GROUP BY ALL
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves,
+       CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM counted n JOIN sums s ON s.depth = n.depth AND s.prefix = n.prefix
+LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.prefix = n.prefix[1:n.depth - 1] AND n.depth > 0
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": OP1,
     "op6_chat_format": _chat_sql(Template()),
     "op7_licenses": _licence_sql(),
     "op9_substring_dedup": OP9,
     "op10_decontaminate": OP10,
+    "op12_prefix_trie": OP12,
 }
