@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sift.llm import (chat_format, decontaminate, language_id, licenses, mixing, near_dedup, pii,
-                      prefix_trie, quality_mil, quality_rules, substring_dedup, whitening)
+from sift.llm import (chat_format, decontaminate, language_id, licenses, mixing, near_dedup, ngram_join,
+                      pii, prefix_trie, quality_mil, quality_rules, substring_dedup, whitening)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -122,6 +122,10 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.nodes(*prefix_trie.with_shared_heads(placed))
 
 
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_language_id": op2_language_id,
@@ -135,4 +139,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontaminate": op10_decontaminate,
     "op11_whitening": op11_whitening,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_ngram_join": op13_ngram_join,
 }

@@ -13,7 +13,7 @@ the covariance of all vectors come from three steps:
    formula), so they stay orthogonal.
 2. Lanes, then tasks, are combined by successive rank-one updates: one per
    eigenpair of the other spectrum, one for the difference of the means. Tasks
-   meet in a tree of ``FAN_IN`` spectra per group; a spectrum is d^2 numbers.
+   meet in a tree of ``trees.FAN_IN`` spectra per group; a spectrum is d^2 numbers.
 3. A distributed Rayleigh-Ritz step projects the exactly centred vectors on the
    basis found, sums the d x d matrix of products in the same tree, and turns
    the basis by its eigenvectors. A last pass measures the covariance of the
@@ -41,10 +41,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sift.llm.batches import bounded
-from sift.llm.components import written
+from sift.llm.trees import in_tree
 
 SCALE, OFFSET = 64.0, 1_000_000
-FAN_IN = 16
 LANES = 16
 _EPS = np.finfo(np.float64).eps
 _ROOT = 1e-13  # of the size of its terms, the secular function at a root
@@ -276,21 +275,6 @@ def _adder(key, table):
     return pa.Table.from_batches([_matrix_batch(key[0].as_py(), total)])
 
 
-def _in_tree(rows: DataFrame, merge, schema: str, name: str):
-    """The row of all tasks, combined ``FAN_IN`` at a time, or None."""
-    rows = written(rows, name)
-    slots = rows.agg(F.max("slot")).first()[0]
-    if slots is None:
-        return None
-    slots += 1
-    while True:
-        slots = -(-slots // FAN_IN)
-        rows = rows.withColumn("place", F.pmod("slot", F.lit(slots))).groupBy("place").applyInArrow(merge, schema)
-        if slots == 1:
-            return rows.first()
-        rows = written(rows, name)
-
-
 @dataclass
 class Whitening:
     """``components`` in columns, by falling ``eigenvalues`` (variances);
@@ -340,7 +324,7 @@ def fit(df: DataFrame, *, components: int = 32, vec_col: str = "embedding") -> W
         return None
     d = common["d"]
     vectors = _vectors(df, vec_col, d)
-    spectrum = _in_tree(vectors.mapInArrow(_updater(d), _SPECTRUM), _combiner(d), _SPECTRUM, "spectra")
+    spectrum = in_tree(vectors.mapInArrow(_updater(d), _SPECTRUM), _combiner(d), _SPECTRUM, "spectra")
     n, sums = spectrum["n"], np.array(spectrum["sums"], object)
     basis = np.array(spectrum["numbers"])[d:].reshape(d, d)
 
@@ -359,7 +343,7 @@ def fit(df: DataFrame, *, components: int = 32, vec_col: str = "embedding") -> W
         """Covariance, centred, of the vectors projected on the columns."""
         rows = vectors.mapInArrow(lambda batches: products(matrix, batches), _MATRIX)
         size = matrix.shape[1] + 1
-        total = np.array(_in_tree(rows, _adder, _MATRIX, "products")["numbers"]).reshape(size, size) / n
+        total = np.array(in_tree(rows, _adder, _MATRIX, "products")["numbers"]).reshape(size, size) / n
         return total[:-1, :-1] - np.outer(total[-1, :-1], total[-1, :-1])
 
     ritz = measured(basis)
