@@ -240,6 +240,37 @@ LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.prefix = n.prefix[1:n.depth - 1
 """
 
 
+OP13 = rf"""
+WITH RECURSIVE texts AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         [w FOR w IN string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_BLANK}+') IF w <> ''] AS words
+  FROM documents
+), sets AS (
+  SELECT rid, doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [md5(array_to_string(words, ' '))]
+    ELSE list_distinct([md5(array_to_string(words[i:i + 3], ' ')) FOR i IN generate_series(1, len(words) - 3)]) END AS grams
+  FROM texts
+), distinct_sets AS (
+  SELECT grams, min(rid) AS node, len(grams) AS n FROM (SELECT rid, list_sort(grams) AS grams FROM sets) WHERE len(grams) > 0 GROUP BY grams
+), items AS (
+  SELECT node, n, unnest(grams) AS gram FROM distinct_sets
+), near AS (
+  SELECT a.node AS a, b.node AS b FROM items a JOIN items b ON a.gram = b.gram AND a.node <> b.node
+  GROUP BY a.node, b.node, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reached AS (
+  SELECT node AS a, node AS b FROM distinct_sets
+  UNION
+  SELECT r.a, n.b FROM reached r JOIN near n ON n.a = r.b
+), least AS (
+  SELECT d.node, min(s.doc_id) AS doc_id FROM distinct_sets d JOIN sets s ON list_sort(s.grams) = d.grams GROUP BY d.node
+), classes AS (
+  SELECT r.a AS node, min(l.doc_id) AS component_id FROM reached r JOIN least l ON l.node = r.b GROUP BY r.a
+)
+SELECT s.doc_id, CAST(len(s.grams) AS BIGINT) AS n_shingles,
+       CASE WHEN len(s.grams) = 0 THEN s.doc_id ELSE c.component_id END AS component_id
+FROM sets s LEFT JOIN distinct_sets d ON d.grams = list_sort(s.grams) LEFT JOIN classes c ON c.node = d.node
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": OP1,
     "op6_chat_format": _chat_sql(Template()),
@@ -247,4 +278,5 @@ ORACLE_SQL: dict[str, str] = {
     "op9_substring_dedup": OP9,
     "op10_decontaminate": OP10,
     "op12_prefix_trie": OP12,
+    "op13_ngram_join": OP13,
 }
