@@ -362,12 +362,17 @@ def join(docs: DataFrame, *, shingle: int = 4, percent: int = 85, rare: float =
         return keyed.select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     index = Index(np.frombuffer(sketch["counts"], np.int64), width, max(16.0, rare * size["texts"]), percent)
 
-    indexed = known.select("key", "n", "grams").mapInArrow(
-        _indexer(index), "key binary, n long, common double, buckets array<long>")
-    every = written(indexed.select("key", "n", "common", F.explode("buckets").alias("bucket")).distinct(), "buckets")
-    sizes = every.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
-    members = written(every.join(sizes, "bucket"), "members")
-    grams = written(known.select("key", "grams").join(members.select("key").distinct(), "key", "left_semi")
+    indexed = written(known.select("key", "n", "grams").mapInArrow(
+        _indexer(index), "key binary, n long, common double, buckets array<long>"), "index")
+    rows = indexed.select("key", "n", F.explode("buckets").alias("bucket"))
+    # Only buckets of different sets go on; their count needs no set to travel.
+    mark = F.xxhash64("key")
+    repeated = (rows.groupBy("bucket").agg(F.min(mark).alias("low"), F.max(mark).alias("high"))
+                .where("low < high").select("bucket"))
+    shared = written(rows.join(repeated, "bucket", "left_semi").distinct(), "shared")
+    members = written(shared.join(shared.groupBy("bucket").agg(F.count("*").alias("members")), "bucket"), "members")
+    wanted = members.select("key").distinct()
+    grams = written(known.select("key", "grams").join(wanted, "key", "left_semi")
                     .groupBy("key").agg(F.first("grams").alias("grams")), "grams")
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -383,7 +388,8 @@ def join(docs: DataFrame, *, shingle: int = 4, percent: int = 85, rare: float =
                      .select(F.col("key").alias("a"), F.col("other").alias("b")).distinct(), "pairs")
     edges = verified(tested)
     labels = components(edges)
-    large = written(members.where(F.col("members") > small).select("bucket", "key", "n", "common"), "large")
+    common = indexed.groupBy("key").agg(F.max("common").alias("common"))
+    large = written(members.where(F.col("members") > small).select("bucket", "key", "n").join(common, "key"), "large")
     for step in range(hub_rounds):
         opened = _open(large, labels)
         first = -F.col("common") if step == 0 else F.lit(0.0)
