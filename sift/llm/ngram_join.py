@@ -19,8 +19,9 @@ A prefix is extended, rare shingles first, until its coverage, the sum of
 number of shingles that may miss. Whatever misses, one class then keeps enough
 shingles for a whole combination, so two texts that link share one. The number
 of classes depends on the level (power of two) of the larger size of a pair; a
-text is indexed at its own level and at that of the largest partner, and the
-order is only a matter of speed: the result does not depend on the estimates.
+text's pairs and triples are indexed at its own level and at that of the
+largest partner. The order is only a matter of speed: the result does not
+depend on the estimates.
 
 Buckets of up to ``small`` texts give all their pairs. In larger ones every
 text is compared with one hub per round (the text of the commonest shingles
@@ -165,7 +166,7 @@ class Index:
         order = np.lexsort((grams, estimate))
         grams, estimate = grams[order], estimate[order]
         may_miss = n - -(-self.percent * n // 100)
-        out = []
+        out, alone = [], grams[:0]
         for level in self.levels(n):
             salt = mix(np.array([level + 1], np.uint64) * _GOLDEN)[0]
             pairs, triples = self.classes(level)
@@ -188,8 +189,9 @@ class Index:
             stop = int(np.searchsorted(covers, may_miss + 1)) + 1
             if stop > n:
                 raise RuntimeError(f"a set of {n} shingles cannot cover {may_miss + 1} at level {level}")
-            # Rare shingles come alone, others with those after them in their class.
-            out.append(mix(grams[:stop][size[:stop] == 1] ^ salt))
+            # Rare shingles come alone, at any level; others with those after them in their class.
+            single = grams[:stop][size[:stop] == 1]
+            alone = single if len(single) > len(alone) else alone
             inside = grouped[(grouped < stop) & (ordered >= 0)]
             at, hashes, k = place[inside], mix(grams[inside] + salt), size[inside]
             most = int(rank[inside].max(initial=0))
@@ -208,7 +210,7 @@ class Index:
                     if not len(three):
                         break
                     out.append(mix(joined * _GOLDEN ^ hashes[three + far]))
-        return np.unique(np.concatenate(out))
+        return np.unique(np.concatenate([mix(alone ^ _SECOND), *out]))
 
     def commonness(self, grams: np.ndarray) -> float:
         return float(np.log(np.maximum(self.estimate(grams), 1)).mean())
@@ -229,6 +231,36 @@ def _indexer(index: Index):
     return run
 
 
+def _repeated(batches):
+    """Rows (bucket, mark), sorted, of buckets with two marks or more, and of
+    the first and the last bucket, which may go on in another task. Holds a
+    batch and one row."""
+    bucket = mark = np.empty(0, np.int64)
+    first, sure = True, False  # no bucket is over yet; the held row's bucket is repeated
+
+    def rows(take):
+        return pa.RecordBatch.from_arrays([pa.array(bucket[take]), pa.array(mark[take])], names=["bucket", "mark"])
+
+    for batch in batches:
+        bucket = np.concatenate([bucket, batch.column(0).to_numpy()])
+        mark = np.concatenate([mark, batch.column(1).to_numpy()])
+        if not len(bucket):
+            continue
+        new = np.ones(len(bucket), np.bool_)
+        new[1:] = (bucket[1:] != bucket[:-1]) | (mark[1:] != mark[:-1])
+        bucket, mark = bucket[new], mark[new]
+        start = np.ones(len(bucket), np.bool_)
+        start[1:] = bucket[1:] != bucket[:-1]
+        group = np.cumsum(start) - 1
+        keep = np.bincount(group) > 1
+        keep[0] |= first or sure
+        first, sure = first and len(keep) == 1, bool(keep[-1])
+        yield rows(keep[group])
+        held = slice(len(bucket) - 1, None)
+        bucket, mark = bucket[held], mark[held]
+    yield rows(slice(None))
+
+
 def links(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     """Whether two sorted sets link."""
     both = np.concatenate([a, b])
@@ -364,13 +396,15 @@ def join(docs: DataFrame, *, shingle: int = 4, percent: int = 85, rare: float =
 
     indexed = written(known.select("key", "n", "grams").mapInArrow(
         _indexer(index), "key binary, n long, common double, buckets array<long>"), "index")
-    rows = indexed.select("key", "n", F.explode("buckets").alias("bucket"))
-    # Only buckets of different sets go on; their count needs no set to travel.
-    mark = F.xxhash64("key")
-    repeated = (rows.groupBy("bucket").agg(F.min(mark).alias("low"), F.max(mark).alias("high"))
-                .where("low < high").select("bucket"))
-    shared = written(rows.join(repeated, "bucket", "left_semi").distinct(), "shared")
-    members = written(shared.join(shared.groupBy("bucket").agg(F.count("*").alias("members")), "bucket"), "members")
+    # Only buckets of different sets go on. Sorted ranges cut a bucket of any size; no set travels.
+    marks = (indexed.select(F.explode("buckets").alias("bucket"), F.xxhash64("key").alias("mark"))
+             .repartitionByRange("bucket", "mark").sortWithinPartitions("bucket", "mark")
+             .mapInArrow(_repeated, "bucket long, mark long"))
+    marks = written(marks.distinct(), "marks")
+    sizes = marks.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
+    keys = indexed.groupBy("key").agg(F.first("n").alias("n"), F.max("common").alias("common"))
+    members = written(marks.join(sizes, "bucket").join(keys.withColumn("mark", F.xxhash64("key")), "mark")
+                      .select("bucket", "members", "key", "n", "common"), "members")
     wanted = members.select("key").distinct()
     grams = written(known.select("key", "grams").join(wanted, "key", "left_semi")
                     .groupBy("key").agg(F.first("grams").alias("grams")), "grams")
@@ -388,8 +422,7 @@ def join(docs: DataFrame, *, shingle: int = 4, percent: int = 85, rare: float =
                      .select(F.col("key").alias("a"), F.col("other").alias("b")).distinct(), "pairs")
     edges = verified(tested)
     labels = components(edges)
-    common = indexed.groupBy("key").agg(F.max("common").alias("common"))
-    large = written(members.where(F.col("members") > small).select("bucket", "key", "n").join(common, "key"), "large")
+    large = members.where(F.col("members") > small).select("bucket", "key", "n", "common")
     for step in range(hub_rounds):
         opened = _open(large, labels)
         first = -F.col("common") if step == 0 else F.lit(0.0)
