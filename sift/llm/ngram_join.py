@@ -261,6 +261,28 @@ def _repeated(batches):
     yield rows(slice(None))
 
 
+def _likely(marks: DataFrame):
+    """Rows whose mark is likely among ``marks``, none of them missing, so that
+    few others are shuffled: a bitmap of at most 32 MB, eight bits a mark as
+    long as that suffices."""
+    width = 1 << min(28, max(15, (8 * marks.count()).bit_length()))
+    place = F.pmod("mark", F.lit(width)) + 1
+    rows = (marks.groupBy(F.bitmap_bucket_number(place).alias("part"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).toArrow())
+    bitmap = np.zeros((width // 32768, 4096), np.uint8)
+    for part, bits in zip(rows["part"].to_pylist(), rows["bits"].to_pylist()):
+        bitmap[part - 1] = np.frombuffer(bits, np.uint8)
+    bitmap = bitmap.reshape(-1)
+
+    def run(batches):
+        for batch in batches:
+            cell = batch.column(0).to_numpy() & (width - 1)
+            found = (bitmap[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1
+            yield batch.select(["key", "grams"]).filter(pa.array(found.astype(np.bool_)))
+
+    return run
+
+
 def links(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     """Whether two sorted sets link."""
     both = np.concatenate([a, b])
@@ -405,9 +427,17 @@ def join(docs: DataFrame, *, shingle: int = 4, percent: int = 85, rare: float =
     keys = indexed.groupBy("key").agg(F.first("n").alias("n"), F.max("common").alias("common"))
     members = written(marks.join(sizes, "bucket").join(keys.withColumn("mark", F.xxhash64("key")), "mark")
                       .select("bucket", "members", "key", "n", "common"), "members")
-    wanted = members.select("key").distinct()
-    grams = written(known.select("key", "grams").join(wanted, "key", "left_semi")
-                    .groupBy("key").agg(F.first("grams").alias("grams")), "grams")
+    fits = F.expr(f"100 * least(n, other_n) >= {percent} * greatest(n, other_n)")
+    few = members.where(F.col("members") <= small).select("bucket", "key", "n")
+    other = few.select("bucket", F.col("key").alias("other"), F.col("n").alias("other_n"))
+    tested = written(few.join(other, "bucket").where((F.col("key") > F.col("other")) & fits)
+                     .select(F.col("key").alias("a"), F.col("other").alias("b")).distinct(), "pairs")
+    large = written(members.where(F.col("members") > small).select("bucket", "key", "n", "common"), "large")
+    wanted = written(tested.select(F.col("a").alias("key")).unionByName(tested.select(F.col("b").alias("key")))
+                     .unionByName(large.select("key")).distinct(), "wanted")
+    grams = known.select(F.xxhash64("key").alias("mark"), "key", "grams").mapInArrow(
+        _likely(wanted.select(F.xxhash64("key").alias("mark"))), "key binary, grams array<long>")
+    grams = written(grams.join(wanted, "key", "left_semi").groupBy("key").agg(F.first("grams").alias("grams")), "grams")
 
     def verified(pairs: DataFrame) -> DataFrame:
         both = (pairs.join(grams.select(F.col("key").alias("a"), F.col("grams").alias("left")), "a")
@@ -415,14 +445,8 @@ def join(docs: DataFrame, *, shingle: int = 4, percent: int = 85, rare: float =
         return written(both.select("a", "b", "left", "right").mapInArrow(_verifier(percent), "a binary, b binary"),
                        "edges")
 
-    fits = F.expr(f"100 * least(n, other_n) >= {percent} * greatest(n, other_n)")
-    few = members.where(F.col("members") <= small).select("bucket", "key", "n")
-    other = few.select("bucket", F.col("key").alias("other"), F.col("n").alias("other_n"))
-    tested = written(few.join(other, "bucket").where((F.col("key") > F.col("other")) & fits)
-                     .select(F.col("key").alias("a"), F.col("other").alias("b")).distinct(), "pairs")
     edges = verified(tested)
     labels = components(edges)
-    large = members.where(F.col("members") > small).select("bucket", "key", "n", "common")
     for step in range(hub_rounds):
         opened = _open(large, labels)
         first = -F.col("common") if step == 0 else F.lit(0.0)
