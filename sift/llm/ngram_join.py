@@ -297,11 +297,21 @@ def _edge_batch(edges: list[tuple]) -> pa.RecordBatch:
 
 
 def _verifier(percent: int):
+    """The pairs that link, of rows (a, b, set), the two of a pair together."""
+
     def run(batches):
+        held = None
         for batch in batches:
-            pairs = zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(),
-                        _lists(batch.column("left")), _lists(batch.column("right")))
-            yield _edge_batch([(a, b) for a, b, left, right in pairs if links(left, right, percent)])
+            out = []
+            pairs = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            for pair, grams in zip(pairs, _lists(batch.column(2))):
+                if held is None:
+                    held = grams.copy()
+                else:
+                    if links(held, grams, percent):
+                        out.append(pair)
+                    held = None
+            yield _edge_batch(out)
 
     return run
 
@@ -433,17 +443,19 @@ def join(docs: DataFrame, *, shingle: int = 4, percent: int = 85, rare: float =
     tested = written(few.join(other, "bucket").where((F.col("key") > F.col("other")) & fits)
                      .select(F.col("key").alias("a"), F.col("other").alias("b")).distinct(), "pairs")
     large = written(members.where(F.col("members") > small).select("bucket", "key", "n", "common"), "large")
-    wanted = written(tested.select(F.col("a").alias("key")).unionByName(tested.select(F.col("b").alias("key")))
-                     .unionByName(large.select("key")).distinct(), "wanted")
-    grams = known.select(F.xxhash64("key").alias("mark"), "key", "grams").mapInArrow(
-        _likely(wanted.select(F.xxhash64("key").alias("mark"))), "key binary, grams array<long>")
-    grams = written(grams.join(wanted, "key", "left_semi").groupBy("key").agg(F.first("grams").alias("grams")), "grams")
+
+    def sets_of(keys: DataFrame) -> DataFrame:
+        """(key, grams) once per key."""
+        likely = known.select(F.xxhash64("key").alias("mark"), "key", "grams").mapInArrow(
+            _likely(keys.select(F.xxhash64("key").alias("mark"))), "key binary, grams array<long>")
+        return likely.groupBy("key").agg(F.first("grams").alias("grams"))
 
     def verified(pairs: DataFrame) -> DataFrame:
-        both = (pairs.join(grams.select(F.col("key").alias("a"), F.col("grams").alias("left")), "a")
-                .join(grams.select(F.col("key").alias("b"), F.col("grams").alias("right")), "b"))
-        return written(both.select("a", "b", "left", "right").mapInArrow(_verifier(percent), "a binary, b binary"),
-                       "edges")
+        sides = pairs.select("a", "b", F.col("a").alias("key")).unionByName(
+            pairs.select("a", "b", F.col("b").alias("key")))
+        rows = sets_of(sides.select("key").distinct()).join(sides, "key").select("a", "b", "grams")
+        return written(rows.repartition("a", "b").sortWithinPartitions("a", "b")
+                       .mapInArrow(_verifier(percent), "a binary, b binary"), "edges")
 
     edges = verified(tested)
     labels = components(edges)
@@ -460,7 +472,8 @@ def join(docs: DataFrame, *, shingle: int = 4, percent: int = 85, rare: float =
             continue
         edges, tested = edges.unionByName(verified(pairs)), tested.unionByName(pairs)
         labels = components(edges)
-    met = _blocks(_open(large, labels), block).join(grams, "key").select(
+    opened = written(_open(large, labels), "open")
+    met = _blocks(opened, block).join(sets_of(opened.select("key").distinct()), "key").select(
         "bucket", "i", "j", "side", "key", "label", "grams")
     found = written(met.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
                     .mapInArrow(_block_linker(percent), "a binary, b binary"), "edges")
