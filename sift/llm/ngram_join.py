@@ -28,7 +28,8 @@ text is compared with one hub per round (the text of the commonest shingles
 first), in ``hub_rounds`` rounds; what then still lies in different components
 is compared exactly, in blocks by matrix products that give out only links
 between components. Equal sets are one node throughout, known by a digest.
-Pairs are verified on the sets themselves (64-bit hashes of the shingles).
+Pairs are verified on the sets themselves (64-bit hashes of the shingles),
+after a test by small histograms that no linked pair fails.
 
 Defined results: null texts and texts without a word have no shingles and link
 with nothing, each its own component; equal sets link; repeated rows and ids
@@ -90,8 +91,9 @@ def _set_maker(shingle: int):
 
 
 def _lists(column: pa.ListArray) -> list[np.ndarray]:
-    """Views of the hashes of each row."""
-    flat = column.flatten().to_numpy().view(np.uint64)
+    """Views of the hashes, or counts, of each row."""
+    flat = column.flatten().to_numpy()
+    flat = flat.view(np.uint64) if flat.dtype == np.int64 else flat
     offsets = column.offsets.to_numpy()
     offsets = offsets - offsets[0]
     return [flat[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
@@ -212,6 +214,12 @@ class Index:
                     out.append(mix(joined * _GOLDEN ^ hashes[three + far]))
         return np.unique(np.concatenate([mix(alone ^ _SECOND), *out]))
 
+    @staticmethod
+    def histogram(grams: np.ndarray) -> np.ndarray:
+        """How many shingles fall in each of some n / 12 cells, by hash."""
+        cells = 1 << max(4, len(grams).bit_length() - 4)
+        return np.bincount((mix(grams) & np.uint64(cells - 1)).astype(np.int64), minlength=cells).astype(np.int32)
+
     def commonness(self, grams: np.ndarray) -> float:
         return float(np.log(np.maximum(self.estimate(grams), 1)).mean())
 
@@ -223,10 +231,11 @@ def _indexer(index: Index):
             found = [index.combinations(s) for s in sets]
             offsets = np.concatenate(([0], np.cumsum([len(f) for f in found]))).astype(np.int32)
             flat = np.concatenate([*found, np.empty(0, np.uint64)])
+            cells = pa.array([index.histogram(s) for s in sets], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([round(index.commonness(s), 3) for s in sets], pa.float64()),
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64)))],
-                names=["key", "n", "common", "buckets"])
+                 cells, pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64)))],
+                names=["key", "n", "common", "cells", "buckets"])
 
     return run
 
@@ -291,13 +300,24 @@ def links(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * shared >= percent * (len(both) - shared)
 
 
+def may_link(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether sets with these histograms can link: two sets share at most the
+    smaller count of every cell."""
+    if len(a) > len(b):
+        a, b = b, a
+    b = b.reshape(-1, len(a)).sum(axis=0)
+    shared = int(np.minimum(a, b).sum())
+    return 100 * shared >= percent * (int(a.sum() + b.sum()) - shared)
+
+
 def _edge_batch(edges: list[tuple]) -> pa.RecordBatch:
     a, b = zip(*edges) if edges else ((), ())
     return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
 
-def _verifier(percent: int):
-    """The pairs that link, of rows (a, b, set), the two of a pair together."""
+def _verifier(test, percent: int):
+    """The pairs that pass, of rows (a, b, set or histogram), the two of a pair
+    together."""
 
     def run(batches):
         held = None
@@ -308,7 +328,7 @@ def _verifier(percent: int):
                 if held is None:
                     held = grams.copy()
                 else:
-                    if links(held, grams, percent):
+                    if test(held, grams, percent):
                         out.append(pair)
                     held = None
             yield _edge_batch(out)
@@ -427,7 +447,7 @@ def join(docs: DataFrame, *, shingle: int = 4, percent: int = 85, rare: float =
     index = Index(np.frombuffer(sketch["counts"], np.int64), width, max(16.0, rare * size["texts"]), percent)
 
     indexed = written(known.select("key", "n", "grams").mapInArrow(
-        _indexer(index), "key binary, n long, common double, buckets array<long>"), "index")
+        _indexer(index), "key binary, n long, common double, cells array<int>, buckets array<long>"), "index")
     # Only buckets of different sets go on. Sorted ranges cut a bucket of any size; no set travels.
     marks = (indexed.select(F.explode("buckets").alias("bucket"), F.xxhash64("key").alias("mark"))
              .repartitionByRange("bucket", "mark").sortWithinPartitions("bucket", "mark")
@@ -450,12 +470,18 @@ def join(docs: DataFrame, *, shingle: int = 4, percent: int = 85, rare: float =
             _likely(keys.select(F.xxhash64("key").alias("mark"))), "key binary, grams array<long>")
         return likely.groupBy("key").agg(F.first("grams").alias("grams"))
 
-    def verified(pairs: DataFrame) -> DataFrame:
+    def passed(pairs: DataFrame, values: DataFrame, test) -> DataFrame:
+        """The pairs (a, b) whose values (key, value) pass."""
         sides = pairs.select("a", "b", F.col("a").alias("key")).unionByName(
             pairs.select("a", "b", F.col("b").alias("key")))
-        rows = sets_of(sides.select("key").distinct()).join(sides, "key").select("a", "b", "grams")
+        rows = values.join(sides, "key").drop("key").select("a", "b", values.columns[1])
         return written(rows.repartition("a", "b").sortWithinPartitions("a", "b")
-                       .mapInArrow(_verifier(percent), "a binary, b binary"), "edges")
+                       .mapInArrow(_verifier(test, percent), "a binary, b binary"), "edges")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        left = passed(pairs, indexed.groupBy("key").agg(F.first("cells").alias("cells")), may_link)
+        ends = left.select(F.col("a").alias("key")).unionByName(left.select(F.col("b").alias("key"))).distinct()
+        return passed(left, sets_of(ends), links)
 
     edges = verified(tested)
     labels = components(edges)

@@ -107,6 +107,7 @@ def test_linked_sets_share_a_combination(percent):
             b = more
         b = np.sort(b)
         assert ngram_join.links(a, b, percent)
+        assert ngram_join.may_link(ngram_join.Index.histogram(a), ngram_join.Index.histogram(b), percent)
         assert len(np.intersect1d(index.combinations(a), index.combinations(b))), (n, len(b), gone)
 
 
