@@ -26,8 +26,8 @@ depend on the estimates.
 Buckets of up to ``small`` texts give all their pairs. In larger ones every
 text is compared with one hub per round (the text of the commonest shingles
 first), in ``hub_rounds`` rounds; what then still lies in different components
-is compared exactly, in blocks by matrix products that give out only links
-between components. Equal sets are one node throughout, known by a digest.
+is compared exactly, in blocks: histograms first say which members can link at
+all, then matrix products of their sets give out only links between components. Equal sets are one node throughout, known by a digest.
 Pairs are verified on the sets themselves (64-bit hashes of the shingles),
 after a test by small histograms that no linked pair fails.
 
@@ -357,41 +357,79 @@ def linked(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> np.
     return 100 * shared >= percent * (total - shared)
 
 
-def _block_linker(percent: int):
-    """Links that join components, of block pairs whose rows follow each other."""
+def _exact_unit(rows: list[tuple], percent: int) -> pa.RecordBatch:
+    """Links of a block pair that join components."""
+    up: dict[bytes, bytes] = {}
 
-    def unit(rows: list[tuple]) -> list[tuple]:
-        up: dict[bytes, bytes] = {}
+    def root(label):
+        while (higher := up.get(label, label)) != label:
+            label = higher
+        return label
 
-        def root(label):
-            while (higher := up.get(label, label)) != label:
-                label = higher
-            return label
-
-        left = [r for r in rows if r[0] != "right"]
-        right = [r for r in rows if r[0] != "left"]
-        if not left or not right:
-            return []
-        out = []
-        for i, j in np.argwhere(linked([r[3] for r in left], [r[3] for r in right], percent)).tolist():
-            one, two = root(left[i][2]), root(right[j][2])
+    left = [r for r in rows if r[3] != "right"]
+    right = [r for r in rows if r[3] != "left"]
+    out = []
+    if left and right:
+        for i, j in np.argwhere(linked([r[6] for r in left], [r[6] for r in right], percent)).tolist():
+            one, two = root(left[i][5]), root(right[j][5])
             if one != two:
                 up[one] = two
-                out.append((left[i][1], right[j][1]))
-        return out
+                out.append((left[i][4], right[j][4]))
+    return _edge_batch(out)
+
+
+_UNIT = "bucket long, i int, j int, side string, key binary, label binary"
+
+
+def _likely_unit(rows: list[tuple], percent: int) -> pa.RecordBatch:
+    """Rows of a block pair that may link with one of another component, by the
+    histograms, as ``may_link``."""
+    right = [k for k, r in enumerate(rows) if r[3] != "left"]
+    labels = np.array([r[5] for r in rows], object)
+    stacks: dict[int, list] = {}  # by number of cells: the rows that have as many or, folded, twice as many
+    for k in right:
+        cells = rows[k][6]
+        stacks.setdefault(len(cells), []).append((k, cells))
+        stacks.setdefault(len(cells) // 2, []).append((k, cells.reshape(-1, len(cells) // 2).sum(axis=0)))
+    stacked = {c: (np.array([k for k, _ in part]), np.array([h for _, h in part])) for c, part in stacks.items()}
+    take = np.zeros(len(rows), np.bool_)
+    for k, row in enumerate(rows):
+        if row[3] == "right":
+            continue
+        cells, n = row[6], int(row[6].sum())
+        for folded in (cells, cells.reshape(-1, len(cells) // 2).sum(axis=0)):
+            others, table = stacked.get(len(folded), (right[:0], None))
+            if table is None:
+                continue
+            sizes = table.sum(axis=1)
+            fits = np.flatnonzero((100 * np.minimum(sizes, n) >= percent * np.maximum(sizes, n))
+                                  & (labels[others] != row[5]))
+            shared = np.minimum(table[fits], folded).sum(axis=1)
+            near = others[fits[100 * shared >= percent * (sizes[fits] + n - shared)]]
+            take[near] = True
+            take[k] |= len(near) > 0
+    chosen = [row[:6] for row, t in zip(rows, take) if t]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(c), t) for c, t in zip(zip(*chosen) if chosen else [()] * 6, (
+            pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.binary(), pa.binary()))],
+        names=[c.split()[0] for c in _UNIT.split(", ")])
+
+
+def _by_unit(work, percent: int):
+    """``work`` on the rows of each block pair, which follow each other; the
+    last column is a set or a histogram."""
 
     def run(batches):
-        now, rows = None, []
+        rows: list[tuple] = []
         for batch in batches:
-            found = []
-            heads = zip(*[batch.column(c).to_pylist() for c in ("bucket", "i", "j", "side", "key", "label")])
-            for (*here, side, key, label), grams in zip(heads, _lists(batch.column("grams"))):
-                if here != now:
-                    found += unit(rows) if rows else []
-                    now, rows = here, []
-                rows.append((side, key, label, grams))
-            yield _edge_batch(found)
-        yield _edge_batch(unit(rows) if rows else [])
+            heads = zip(*[batch.column(c).to_pylist() for c in range(6)])
+            for head, values in zip(heads, _lists(batch.column(6))):
+                if rows and head[:3] != rows[0][:3]:
+                    yield work(rows, percent)
+                    rows = []
+                rows.append((*head, values.copy()))
+        if rows:
+            yield work(rows, percent)
 
     return run
 
@@ -464,6 +502,8 @@ def join(docs: DataFrame, *, shingle: int = 4, percent: int = 85, rare: float =
                      .select(F.col("key").alias("a"), F.col("other").alias("b")).distinct(), "pairs")
     large = written(members.where(F.col("members") > small).select("bucket", "key", "n", "common"), "large")
 
+    cells = indexed.groupBy("key").agg(F.first("cells").alias("cells"))
+
     def sets_of(keys: DataFrame) -> DataFrame:
         """(key, grams) once per key."""
         likely = known.select(F.xxhash64("key").alias("mark"), "key", "grams").mapInArrow(
@@ -479,7 +519,7 @@ def join(docs: DataFrame, *, shingle: int = 4, percent: int = 85, rare: float =
                        .mapInArrow(_verifier(test, percent), "a binary, b binary"), "edges")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        left = passed(pairs, indexed.groupBy("key").agg(F.first("cells").alias("cells")), may_link)
+        left = passed(pairs, cells, may_link)
         ends = left.select(F.col("a").alias("key")).unionByName(left.select(F.col("b").alias("key"))).distinct()
         return passed(left, sets_of(ends), links)
 
@@ -498,11 +538,15 @@ def join(docs: DataFrame, *, shingle: int = 4, percent: int = 85, rare: float =
             continue
         edges, tested = edges.unionByName(verified(pairs)), tested.unionByName(pairs)
         labels = components(edges)
-    opened = written(_open(large, labels), "open")
-    met = _blocks(opened, block).join(sets_of(opened.select("key").distinct()), "key").select(
-        "bucket", "i", "j", "side", "key", "label", "grams")
-    found = written(met.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-                    .mapInArrow(_block_linker(percent), "a binary, b binary"), "edges")
+    def in_units(rows: DataFrame, work, schema: str) -> DataFrame:
+        return (rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+                .mapInArrow(_by_unit(work, percent), schema))
+
+    unit = [c.split()[0] for c in _UNIT.split(", ")]
+    blocks = _blocks(written(_open(large, labels), "open"), block).join(cells, "key").select(*unit, "cells")
+    likely = written(in_units(blocks, _likely_unit, _UNIT), "likely")
+    met = likely.join(sets_of(likely.select("key").distinct()), "key").select(*unit, "grams")
+    found = written(in_units(met, _exact_unit, "a binary, b binary"), "edges")
     if not found.isEmpty():
         labels = components(edges.unionByName(found))
 
