@@ -50,6 +50,40 @@ def share_by(scored: DataFrame, key: str, keep_all: bool = False) -> DataFrame:
     return _shares(grouped)
 
 
+#: The name of each share table and its key.
+SHARE_KEYS = {"overall": None, "day": "date", "state": "flair", "comment_score": "cscore",
+              "submission_score": "sscore", "story": "sid"}
+
+
+def share_all(scored: DataFrame) -> DataFrame:
+    """A7-A12 in one scan and one shuffle, by grouping sets: ``dimension`` (a
+    name of ``SHARE_KEYS``), its key column (the others null), count and
+    shares. All groups but those of null keys and of flairs that are no state;
+    ``share_table`` reads one table out of it."""
+    keys = [k for k in SHARE_KEYS.values() if k]
+    rows = with_date(scored).select(
+        "date", F.when(F.col("flair").isin(STATES), F.col("flair")).alias("flair"), "cscore", "sscore", "sid", "pos", "neg")
+    grouped = (rows.groupingSets([[F.col(k)] for k in keys] + [[]], *[F.col(k) for k in keys])
+               .agg(F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("count"),
+                    F.sum("pos").cast("long").alias("pos_count"), F.sum("neg").cast("long").alias("neg_count")))
+    whole = (1 << len(keys)) - 1  # the id has a bit for every key that is not grouped by
+    dimension = F.when(F.col("_set") == whole, "overall")
+    for at, (name, key) in enumerate((n, k) for n, k in SHARE_KEYS.items() if k):
+        dimension = dimension.when((F.col("_set") == whole - (1 << (len(keys) - 1 - at)))
+                                   & F.col(key).isNotNull(), name)
+    return _shares(grouped.withColumn("dimension", dimension).where(F.col("dimension").isNotNull())
+                   .select("dimension", *keys, "count", "pos_count", "neg_count"))
+
+
+def share_table(shares: DataFrame, dimension: str, keep_all: bool = False) -> DataFrame:
+    """One table of ``share_all``, as ``share_overall`` or ``share_by`` give it."""
+    key = SHARE_KEYS[dimension]
+    rows = shares.where(F.col("dimension") == dimension)
+    if key and not keep_all:
+        rows = rows.where((F.col("pos_count") > 0) & (F.col("neg_count") > 0))
+    return rows.select(*([key] if key else []), "count", "pos_count", "neg_count", "pos_share", "neg_share")
+
+
 def with_date(scored: DataFrame) -> DataFrame:
     """the UTC date of ``created_utc``."""
     return scored.withColumn("date", epoch_to_date(F.col("created_utc")))

@@ -50,18 +50,14 @@ def sentiment_job(spark: SparkSession, comments: DataFrame, submissions: DataFra
              f"-pos={POSITIVE_THRESHOLD}-neg={NEGATIVE_THRESHOLD}")
     scored = files.stage(spark, f"{out}/stage/scored-{scope}", lambda: ml.score(with_title, models))
 
-    tables = {
-        "count_all": sentiment.share_overall(scored),
-        "count_days": sentiment.share_by_day(scored, keep_all),
-        "count_states": sentiment.share_by_state(scored, keep_all),
-        "count_cscore": sentiment.share_by(scored, "cscore", keep_all),
-        "count_sscore": sentiment.share_by(scored, "sscore", keep_all),
-    }
+    # All tables come from one pass over the scored comments; they are small.
+    shares = files.stage(spark, f"{out}/stage/shares-{scope}", lambda: sentiment.share_all(scored))
     written = {}
-    for name, df in tables.items():
-        files.write_report(df, f"{out}/{name}")
+    for name, dimension in (("count_all", "overall"), ("count_days", "day"), ("count_states", "state"),
+                            ("count_cscore", "comment_score"), ("count_sscore", "submission_score")):
+        files.write_report(sentiment.share_table(shares, dimension, keep_all), f"{out}/{name}")
         written[name] = f"{out}/{name}"
-    by_story = sentiment.share_by(scored, "sid", keep_all)
+    by_story = sentiment.share_table(shares, "story", keep_all)
     by_story.write.mode("overwrite").parquet(f"{out}/count_story")
     written["count_story"] = f"{out}/count_story"
     story_table = spark.read.parquet(f"{out}/count_story")
