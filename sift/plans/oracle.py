@@ -12,7 +12,9 @@ from __future__ import annotations
 
 import string
 
+from ..functions.flags import NEGATIVE_THRESHOLD, POSITIVE_THRESHOLD
 from ..functions.paging import SITE_PREFIX
+from ..operators import term_fit
 from ..sources.tables import STATES
 from . import queries as Q
 
@@ -232,6 +234,32 @@ def _ml_train() -> str:
 FROM (VALUES ('pos'), ('neg')) m(model)""")
 
 
+def _term_fit(body: str) -> str:
+    """The fixed gradient steps of ``term_fit``, unrolled."""
+    rate, reg = term_fit.RATE, term_fit.REG
+    ctes = [_usable(), """ids AS MATERIALIZED (SELECT row_number() OVER (ORDER BY count(*) DESC, term) - 1 AS term_id,
+  term, count(*) AS df FROM feats GROUP BY term HAVING count(*) >= 10)""",
+            "enc AS MATERIALIZED (SELECT f.id, i.term_id FROM feats f JOIN ids i ON i.term = f.term)",
+            "n AS (SELECT count(*) AS n FROM lab)",
+            "w0 AS MATERIALIZED (SELECT term_id, CAST(0 AS DOUBLE) AS pos, CAST(0 AS DOUBLE) AS neg FROM ids)",
+            "b0 AS MATERIALIZED (SELECT CAST(0 AS DOUBLE) AS pos, CAST(0 AS DOUBLE) AS neg)"]
+    for k in range(term_fit.STEPS + 1):
+        ctes.append(f"""p{k} AS MATERIALIZED (SELECT l.id, 1 / (1 + exp(-(coalesce(m.pos, 0) + b.pos))) AS pos,
+  1 / (1 + exp(-(coalesce(m.neg, 0) + b.neg))) AS neg FROM lab l CROSS JOIN b{k} b
+  LEFT JOIN (SELECT id, sum(pos) AS pos, sum(neg) AS neg FROM enc JOIN w{k} USING (term_id) GROUP BY id) m ON m.id = l.id)""")
+        if k == term_fit.STEPS:
+            break
+        ctes += [f"""r{k} AS MATERIALIZED (SELECT l.id, p.pos - CAST(l.label = 1 AS INTEGER) AS pos,
+  p.neg - CAST(l.label = -1 AS INTEGER) AS neg FROM lab l JOIN p{k} p ON p.id = l.id)""",
+                 f"""w{k + 1} AS MATERIALIZED (SELECT w.term_id, w.pos - {rate} * (coalesce(g.pos, 0) + {reg} * w.pos) AS pos,
+  w.neg - {rate} * (coalesce(g.neg, 0) + {reg} * w.neg) AS neg FROM w{k} w LEFT JOIN
+  (SELECT term_id, sum(r.pos) / any_value(n) AS pos, sum(r.neg) / any_value(n) AS neg
+   FROM enc JOIN r{k} r ON r.id = enc.id CROSS JOIN n GROUP BY term_id) g ON g.term_id = w.term_id)""",
+                 f"""b{k + 1} AS MATERIALIZED (SELECT b.pos - {rate} * g.pos AS pos, b.neg - {rate} * g.neg AS neg FROM b{k} b
+  CROSS JOIN (SELECT sum(pos) / any_value(n) AS pos, sum(neg) / any_value(n) AS neg FROM r{k} CROSS JOIN n) g)"""]
+    return with_(",\n".join(ctes), body)
+
+
 def _preview() -> str:
     w = "words"
     feats = f"list_concat({w}, {grams(w, 2)}, {grams(w, 3)})"
@@ -260,6 +288,19 @@ def oracle_sql() -> dict[str, str]:
         "search_result_count": with_(BATCH, """SELECT q.query_id, coalesce(c.n, 0) AS num_results
 FROM queries q LEFT JOIN (SELECT query_id, count(song) AS n FROM ranked GROUP BY query_id) c
   ON c.query_id = q.query_id"""),
+        "search_matched_page": with_(BATCH + """,
+own AS (
+  SELECT q.query_id, s.song_id, round(sum(s.score), 6) AS score
+  FROM scores s JOIN terms q ON q.token = s.token
+  GROUP BY q.query_id, s.song_id, q.need HAVING count(*) >= q.need),
+own_ranked AS (
+  SELECT o.*, sg.song_name AS song, a.artist_name, sg.page_link,
+         row_number() OVER (PARTITION BY query_id ORDER BY score DESC, o.song_id) AS rank
+  FROM own o JOIN song sg ON sg.song_id = o.song_id JOIN artist a ON a.artist_id = sg.artist_id)""",
+                                     f"SELECT {rank_cols} FROM own_ranked WHERE rank <= 20"),
+        "tfidf_segments": with_(INDEX, "SELECT song_id, token, round(score, 6) AS score FROM scores"),
+        "ranked_postings": with_(INDEX, """SELECT t.token, count(*) AS n_songs
+FROM tok t JOIN song s ON s.song_id = t.song_id JOIN artist a ON a.artist_id = s.artist_id GROUP BY t.token"""),
         "search_page": with_(BATCH, f"""SELECT {rank_cols} FROM ranked
 WHERE rank > ({Q.PAGE_NUMBER} - 1) * 20 AND rank <= {Q.PAGE_NUMBER} * 20"""),
         "search_first_page": with_(BATCH, f"SELECT {rank_cols} FROM ranked WHERE rank <= 20"),
@@ -330,6 +371,21 @@ WHERE CAST('0x' || substr(md5(id), 1, 8) AS UBIGINT) < 0.02 * 4294967296"""),
        CAST(sum(pos) AS DOUBLE) / count(*) AS pos_share,
        CAST(sum(neg) AS DOUBLE) / count(*) AS neg_share
 FROM scored"""),
+        "share_all": with_(SENT, "\nUNION ALL\n".join(
+            f"""SELECT '{name}' AS dimension, CAST({key} AS VARCHAR) AS key, count(*) AS count,
+       CAST(sum(pos) AS BIGINT) AS pos_count, CAST(sum(neg) AS BIGINT) AS neg_count,
+       CAST(sum(pos) AS DOUBLE) / count(*) AS pos_share, CAST(sum(neg) AS DOUBLE) / count(*) AS neg_share
+FROM scored WHERE {where} GROUP BY {group}""" for name, key, where, group in (
+                ("overall", "NULL", "TRUE", "()"), ("day", DAY_EXPR, "created_utc IS NOT NULL", DAY_EXPR),
+                ("state", "flair", STATE_WHERE, "flair"), ("comment_score", "cscore", "cscore IS NOT NULL", "cscore"),
+                ("submission_score", "sscore", "sscore IS NOT NULL", "sscore"), ("story", "sid", "sid IS NOT NULL", "sid")))),
+        "roc_area": with_(SENT + """,
+sides AS (SELECT 'pos' AS side, cscore AS score, pos AS label FROM scored
+          UNION ALL SELECT 'neg', cscore, neg FROM scored),
+mid AS (SELECT side, label, rank() OVER (PARTITION BY side ORDER BY score)
+               + (count(*) OVER (PARTITION BY side, score) - 1) / 2.0 AS mid FROM sides),
+sums AS (SELECT side, sum(mid * label) AS ranks, CAST(sum(label) AS DOUBLE) AS ones, count(*) AS n FROM mid GROUP BY side)""",
+                          """SELECT side, round((ranks - ones * (ones + 1) / 2) / (ones * (n - ones)), 9) AS auc FROM sums"""),
         "share_by_day": with_(SENT, share_sql(DAY_EXPR, "date")),
         "share_by_state": with_(SENT, share_sql("flair", "flair", STATE_WHERE)),
         "share_by_comment_score": with_(SENT, share_sql("cscore", "cscore")),
@@ -402,6 +458,13 @@ FROM scored"""),
        CASE WHEN CAST('0x' || substr(md5('42:' || l."Input_id"), 1, 8) AS UBIGINT) % 2 = 0
             THEN 'train' ELSE 'test' END AS split
 FROM labeled_data l JOIN comments c ON c.id = l."Input_id\""""),
+        "ml_dictionary": _term_fit("SELECT term_id, term, df FROM ids"),
+        "ml_term_ids": _term_fit("SELECT id, term_id FROM enc"),
+        "ml_term_weights": _term_fit(f"""SELECT i.term, round(w.pos, 9) AS pos, round(w.neg, 9) AS neg
+FROM w{term_fit.STEPS} w JOIN ids i ON i.term_id = w.term_id"""),
+        "ml_term_flags": _term_fit(f"""SELECT id, round(pos, 8) AS p_pos, round(neg, 8) AS p_neg,
+       CAST(pos > {POSITIVE_THRESHOLD} AS INTEGER) AS pos, CAST(neg > {NEGATIVE_THRESHOLD} AS INTEGER) AS neg
+FROM p{term_fit.STEPS}"""),
         "ml_features": _ml_features(),
         "ml_train": _ml_train(),
         "materialize_stage": with_(SENT, """SELECT l."Input_id", l.labeldjt, c.id, c.author, c.author_flair_text,

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import index, quality, reports, sampling, search, sentiment
+from ..operators import blocks, index, quality, ranked, reports, sampling, search, segments, sentiment, term_fit
 from ..session import new_scratch_path
 from ..sources import tables
 
@@ -58,16 +58,34 @@ def batch_results(spark: SparkSession, sf: str) -> DataFrame:
                                num_queries=_query_bound(spark, sf), frequencies=idx.frequencies)
 
 
-def batch_matches(spark: SparkSession, sf: str) -> DataFrame:
-    """(query_id, song_id, score) of the batch, not ranked or named."""
+_RANKED: dict = {}
+
+
+def ranked_index(spark: SparkSession, sf: str, rebuild: bool = False) -> ranked.RankedIndex:
+    """The postings in rank order of the index at ``sf``, stored once per
+    application and index."""
     idx = built_index(spark, sf)
-    return search.batch_matches(idx.scores, idx.totals, idx.names,
-                                tables.search_queries(spark, sf), frequencies=idx.frequencies)
+    key = _INDEXES[(spark.sparkContext.applicationId, sf)][0]
+    if rebuild or key not in _RANKED:
+        _RANKED[key] = ranked.build(idx.tokens, idx.totals, idx.names, new_scratch_path(spark, "ranked"))
+    return _RANKED[key]
+
+
+_BLOCKS: dict = {}
+
+
+def block_index(spark: SparkSession, sf: str) -> blocks.BlockIndex:
+    """Scored postings by block of the index at ``sf``, stored once."""
+    places = ranked_index(spark, sf).places
+    key = _INDEXES[(spark.sparkContext.applicationId, sf)][0]
+    if key not in _BLOCKS:
+        _BLOCKS[key] = blocks.build(built_index(spark, sf).scores, places, new_scratch_path(spark, "blocks"))
+    return _BLOCKS[key]
 
 
 def batch_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """(query_id, num_results) of the batch; counting needs no rank or name."""
-    return search.result_counts(batch_matches(spark, sf), built_index(spark, sf).names)
+    """(query_id, num_results) of the batch, from bitmaps alone."""
+    return ranked.result_counts(ranked_index(spark, sf), tables.search_queries(spark, sf))
 
 
 def _query_bound(spark: SparkSession, sf: str) -> int:
@@ -139,16 +157,35 @@ def q_search_result_count(spark, sf):
 RESULT_COLUMNS = ["query_id", "rank", "song_id", "song", "artist_name", "page_link", "score"]
 
 
+def q_ranked_postings(spark, sf):
+    """Postings per token in the rank-ordered index, built anew."""
+    rows = ranked_index(spark, sf, rebuild=True).postings
+    return rows.groupBy("token").agg(F.sum("n").alias("n_songs"))
+
+
 def q_search_page(spark, sf):
-    """Page 2 of every query of the batch (O3): a top-k per query."""
-    return search.batch_page(batch_matches(spark, sf), built_index(spark, sf).names,
-                             PAGE_NUMBER).select(*RESULT_COLUMNS)
+    """Page 2 of every query of the batch (O3), read best tiers first."""
+    return ranked.page(ranked_index(spark, sf), tables.search_queries(spark, sf), PAGE_NUMBER).select(*RESULT_COLUMNS)
 
 
 def q_search_first_page(spark, sf):
     """Page 1 of every query of the batch (O2)."""
-    return search.batch_page(batch_matches(spark, sf), built_index(spark, sf).names,
-                             1).select(*RESULT_COLUMNS)
+    return ranked.page(ranked_index(spark, sf), tables.search_queries(spark, sf), 1).select(*RESULT_COLUMNS)
+
+
+def q_search_matched_page(spark, sf):
+    """Page 1 of every query when a song scores by its matched tokens alone."""
+    return blocks.page(block_index(spark, sf), tables.search_queries(spark, sf), 1).select(*RESULT_COLUMNS)
+
+
+def q_tfidf_segments(spark, sf):
+    """S8 for songs that come in two loads: one segment each, merged at read."""
+    path = new_scratch_path(spark, "segments")
+    songs, texts = tables.songs(spark, sf), tables.song_texts(spark, sf)
+    for half in (0, 1):
+        mine = F.pmod("song_id", F.lit(2)) == half
+        segments.add(path, f"load-{half}", songs.where(mine), texts.where(mine))
+    return segments.scores(spark, path).select("song_id", "token", F.round("score", 6).alias("score"))
 
 
 def q_search_snapshot_page(spark, sf):
@@ -324,6 +361,22 @@ def q_share_by_story(spark, sf):
     return sentiment.share_by(label_scored(spark, sf), "sid")
 
 
+def q_share_all(spark, sf):
+    """A7-A12 from one pass; keys as text."""
+    shares = sentiment.share_all(label_scored(spark, sf))
+    key = F.coalesce(*[F.col(k).cast("string") for k in sentiment.SHARE_KEYS.values() if k])
+    return shares.select("dimension", key.alias("key"), "count", "pos_count", "neg_count", "pos_share", "neg_share")
+
+
+def q_roc_area(spark, sf):
+    """M6, exact: how well a comment's score tells both labels, ties included."""
+    scored = label_scored(spark, sf)
+    sides = [scored.select(F.lit(s).alias("side"), F.col("cscore").alias("score"), F.col(s).alias("label"))
+             for s in ("pos", "neg")]
+    return (term_fit.area_under_roc(sides[0].unionByName(sides[1]), "side", "score", "label")
+            .select("side", F.round("auc", 9).alias("auc")))
+
+
 def q_top_stories_pos(spark, sf):
     by_story = sentiment.share_by(label_scored(spark, sf), "sid")
     return sentiment.top_stories(by_story, "pos_share")
@@ -543,6 +596,53 @@ def trained(spark, sf):
     return _MODELS[key]
 
 
+_TERM_FITS: dict = {}
+
+
+def term_fitted(spark, sf):
+    """(labelled comments, pairs, dictionary, encoded pairs, model), fitted once."""
+    from ..operators import ml
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _TERM_FITS:
+        path = new_scratch_path(spark, "term-fit")
+
+        def stored(df: DataFrame, name: str) -> DataFrame:
+            df.write.parquet(f"{path}/{name}")
+            return spark.read.parquet(f"{path}/{name}")
+
+        features = stored(ml.labeled_features(_labeled(spark, sf)), "features")
+        labels = features.select(F.col("Input_id").alias("id"), "positive", "negative")
+        pairs = stored(term_fit.postings(features), "pairs")
+        terms = stored(term_fit.dictionary(pairs, ml.MIN_DF), "terms")
+        encoded = stored(term_fit.encode(pairs, terms), "encoded")
+        _TERM_FITS[key] = labels, terms, encoded, term_fit.fit(encoded, labels, terms)
+    return _TERM_FITS[key]
+
+
+def q_ml_dictionary(spark, sf):
+    """M1 as a table."""
+    return term_fitted(spark, sf)[1].select("term_id", "term", "df")
+
+
+def q_ml_term_ids(spark, sf):
+    """M2 as (comment, term id) pairs."""
+    return term_fitted(spark, sf)[2].select("id", "term_id")
+
+
+def q_ml_term_weights(spark, sf):
+    """M3, M7: weights of both sides after the fixed steps."""
+    _, terms, _, model = term_fitted(spark, sf)
+    return model.weights.join(terms.select("term_id", "term"), "term_id").select(
+        "term", *[F.round(s, 9).alias(s) for s in ("pos", "neg")])
+
+
+def q_ml_term_flags(spark, sf):
+    """Probabilities and flags of both sides."""
+    labels, _, encoded, model = term_fitted(spark, sf)
+    return term_fit.score(labels.select("id"), encoded, model).select(
+        "id", *[F.round(f"p_{s}", 8).alias(f"p_{s}") for s in ("pos", "neg")], "pos", "neg")
+
+
 def q_split_train_test(spark, sf):
     from ..operators import ml
     feats = ml.labeled_features(_labeled(spark, sf))
@@ -664,8 +764,11 @@ QUERIES = {
     "search_and": q_search_and,
     "search_batch": q_search_batch,
     "search_result_count": q_search_result_count,
+    "ranked_postings": q_ranked_postings,
     "search_page": q_search_page,
     "search_first_page": q_search_first_page,
+    "search_matched_page": q_search_matched_page,
+    "tfidf_segments": q_tfidf_segments,
     "search_snapshot_page": q_search_snapshot_page,
     "search_or_first_page": q_search_or_first_page,
     "search_page_info": q_search_page_info,
@@ -688,6 +791,8 @@ QUERIES = {
     "sample_comments": q_sample_comments,
     "sample_comments_bernoulli": q_sample_comments_bernoulli,
     "share_overall": q_share_overall,
+    "share_all": q_share_all,
+    "roc_area": q_roc_area,
     "share_by_day": q_share_by_day,
     "share_by_state": q_share_by_state,
     "share_by_comment_score": q_share_by_comment_score,
@@ -716,6 +821,10 @@ QUERIES = {
     "materialize_stage": q_materialize_stage,
     "preview_ngrams": q_preview_ngrams,
     "split_train_test": q_split_train_test,
+    "ml_dictionary": q_ml_dictionary,
+    "ml_term_ids": q_ml_term_ids,
+    "ml_term_weights": q_ml_term_weights,
+    "ml_term_flags": q_ml_term_flags,
     "ml_features": q_ml_features,
     "ml_train": q_ml_train,
     "ml_cv_auc": q_ml_cv_auc,
