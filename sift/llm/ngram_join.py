@@ -27,8 +27,10 @@ Buckets of up to ``small`` texts give all their pairs. In larger ones every
 text is compared with one hub per round (the text of the commonest shingles
 first), in ``hub_rounds`` rounds; what then still lies in different components
 is compared exactly, in blocks: histograms first say which members can link at
-all, then matrix products of their sets give out only links between components. Equal sets are one node throughout, known by a digest.
-Pairs are verified on the sets themselves (64-bit hashes of the shingles),
+all. Where few pairs are left, these are compared once each, however many
+buckets share them; else matrix products of the sets give out only links
+between components. Equal sets are one node throughout, known by a digest.
+Pairs are verified on the sets themselves (48 bits of the shingles' hashes),
 after a test by small histograms that no linked pair fails.
 
 Defined results: null texts and texts without a word have no shingles and link
@@ -81,20 +83,34 @@ def _set_maker(shingle: int):
                 stops = np.cumsum(sizes)
                 keys = [hashlib.blake2b(grams[b - n:b].tobytes(), digest_size=16).digest() if n else None
                         for b, n in zip(stops.tolist(), sizes.tolist())]
-                offsets = pa.array(np.concatenate(([0], stops)).astype(np.int32))
+                packed = _pack(grams)
+                sets = [packed[_BYTES * (b - n):_BYTES * b] for b, n in zip(stops.tolist(), sizes.tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(first, len(counts)), pa.array(keys, pa.binary()), pa.array(sizes.astype(np.int64)),
-                     pa.ListArray.from_arrays(offsets, pa.array(grams.view(np.int64)))],
-                    names=["doc_id", "key", "n", "grams"])
+                     pa.array(sets, pa.binary())], names=["doc_id", "key", "n", "grams"])
 
     return run
 
 
-def _lists(column: pa.ListArray) -> list[np.ndarray]:
-    """Views of the hashes, or counts, of each row."""
-    flat = column.flatten().to_numpy()
-    flat = flat.view(np.uint64) if flat.dtype == np.int64 else flat
-    offsets = column.offsets.to_numpy()
+_BYTES = 6  # of a shingle's hash in a stored set
+
+
+def _pack(grams: np.ndarray) -> bytes:
+    """The upper 48 bits of sorted 64-bit hashes."""
+    return (grams >> np.uint64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_BYTES].tobytes()
+
+
+def unpack(packed: bytes) -> np.ndarray:
+    out = np.zeros((len(packed) // _BYTES, 8), np.uint8)
+    out[:, :_BYTES] = np.frombuffer(packed, np.uint8).reshape(-1, _BYTES)
+    return out.view("<u8").reshape(-1).astype(np.uint64, copy=False)
+
+
+def _lists(column: pa.Array) -> list[np.ndarray]:
+    """The sets (packed), or the histograms, of each row."""
+    if pa.types.is_binary(column.type):
+        return [unpack(b) for b in column.to_pylist()]
+    flat, offsets = column.flatten().to_numpy(), column.offsets.to_numpy()
     offsets = offsets - offsets[0]
     return [flat[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
 
@@ -123,7 +139,7 @@ def _sketcher(width: int):
             return part if total is None else total + part
 
         for batch in batches:
-            waiting.extend(_cells(batch.column(0).flatten().to_numpy().view(np.uint64), width))
+            waiting.extend(_cells(unpack(b"".join(batch.column(0).to_pylist())), width))
             if sum(map(len, waiting)) > 2_000_000:
                 total = summed(total)
         if waiting:
@@ -378,12 +394,14 @@ def _exact_unit(rows: list[tuple], percent: int) -> pa.RecordBatch:
     return _edge_batch(out)
 
 
+PAIRS = 8
 _UNIT = "bucket long, i int, j int, side string, key binary, label binary"
 
 
 def _likely_unit(rows: list[tuple], percent: int) -> pa.RecordBatch:
-    """Rows of a block pair that may link with one of another component, by the
-    histograms, as ``may_link``."""
+    """What may link across components in a block pair, by the histograms, as
+    ``may_link``: the pairs (side ``pair``, the two keys as key and label) if
+    there are at most ``PAIRS`` a row, else the rows."""
     right = [k for k, r in enumerate(rows) if r[3] != "left"]
     labels = np.array([r[5] for r in rows], object)
     stacks: dict[int, list] = {}  # by number of cells: the rows that have as many or, folded, twice as many
@@ -392,7 +410,7 @@ def _likely_unit(rows: list[tuple], percent: int) -> pa.RecordBatch:
         stacks.setdefault(len(cells), []).append((k, cells))
         stacks.setdefault(len(cells) // 2, []).append((k, cells.reshape(-1, len(cells) // 2).sum(axis=0)))
     stacked = {c: (np.array([k for k, _ in part]), np.array([h for _, h in part])) for c, part in stacks.items()}
-    take = np.zeros(len(rows), np.bool_)
+    pairs: list[tuple[int, int]] = []
     for k, row in enumerate(rows):
         if row[3] == "right":
             continue
@@ -406,9 +424,12 @@ def _likely_unit(rows: list[tuple], percent: int) -> pa.RecordBatch:
                                   & (labels[others] != row[5]))
             shared = np.minimum(table[fits], folded).sum(axis=1)
             near = others[fits[100 * shared >= percent * (sizes[fits] + n - shared)]]
-            take[near] = True
-            take[k] |= len(near) > 0
-    chosen = [row[:6] for row, t in zip(rows, take) if t]
+            pairs += [(k, j) for j in near.tolist()]
+    if len(pairs) <= PAIRS * len(rows):
+        ends = {tuple(sorted((rows[k][4], rows[j][4]))) for k, j in pairs}
+        chosen = [(*rows[0][:3], "pair", high, low) for low, high in ends]
+    else:
+        chosen = [rows[k][:6] for k in sorted({k for pair in pairs for k in pair})]
     return pa.RecordBatch.from_arrays(
         [pa.array(list(c), t) for c, t in zip(zip(*chosen) if chosen else [()] * 6, (
             pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.binary(), pa.binary()))],
@@ -434,6 +455,10 @@ def _by_unit(work, percent: int):
     return run
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
+
+
 def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of buckets that hold more than one component, with labels."""
     labelled = (members.join(labels.withColumnRenamed("node", "key"), "key", "left")
@@ -471,7 +496,7 @@ def join(docs: DataFrame, *, shingle: int = 4, percent: int = 85, rare: float =
     """Per row of ``docs``: ``doc_id``, ``n_shingles`` and ``component_id``."""
     id_type = docs.schema[id_col].dataType.simpleString()
     texts = bounded(docs).select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    sets = written(texts.mapInArrow(_set_maker(shingle), f"doc_id {id_type}, key binary, n long, grams array<long>"),
+    sets = written(texts.mapInArrow(_set_maker(shingle), f"doc_id {id_type}, key binary, n long, grams binary"),
                    "sets")
     known = sets.where("n > 0")
     size = known.agg(F.count("*").alias("texts"), F.sum("n").alias("grams")).first()
@@ -507,7 +532,7 @@ def join(docs: DataFrame, *, shingle: int = 4, percent: int = 85, rare: float =
     def sets_of(keys: DataFrame) -> DataFrame:
         """(key, grams) once per key."""
         likely = known.select(F.xxhash64("key").alias("mark"), "key", "grams").mapInArrow(
-            _likely(keys.select(F.xxhash64("key").alias("mark"))), "key binary, grams array<long>")
+            _likely(keys.select(F.xxhash64("key").alias("mark"))), "key binary, grams binary")
         return likely.groupBy("key").agg(F.first("grams").alias("grams"))
 
     def passed(pairs: DataFrame, values: DataFrame, test) -> DataFrame:
@@ -520,8 +545,7 @@ def join(docs: DataFrame, *, shingle: int = 4, percent: int = 85, rare: float =
 
     def verified(pairs: DataFrame) -> DataFrame:
         left = passed(pairs, cells, may_link)
-        ends = left.select(F.col("a").alias("key")).unionByName(left.select(F.col("b").alias("key"))).distinct()
-        return passed(left, sets_of(ends), links)
+        return passed(left, sets_of(_ends(left)), links)
 
     edges = verified(tested)
     labels = components(edges)
@@ -545,8 +569,12 @@ def join(docs: DataFrame, *, shingle: int = 4, percent: int = 85, rare: float =
     unit = [c.split()[0] for c in _UNIT.split(", ")]
     blocks = _blocks(written(_open(large, labels), "open"), block).join(cells, "key").select(*unit, "cells")
     likely = written(in_units(blocks, _likely_unit, _UNIT), "likely")
-    met = likely.join(sets_of(likely.select("key").distinct()), "key").select(*unit, "grams")
-    found = written(in_units(met, _exact_unit, "a binary, b binary"), "edges")
+    paired, blocked = likely.where("side = 'pair'"), likely.where("side <> 'pair'")
+    pairs = written(paired.select(F.col("key").alias("a"), F.col("label").alias("b")).distinct()
+                    .join(tested, ["a", "b"], "left_anti"), "pairs")
+    met = blocked.join(sets_of(blocked.select("key").distinct()), "key").select(*unit, "grams")
+    found = passed(pairs, sets_of(_ends(pairs)), links).unionByName(
+        written(in_units(met, _exact_unit, "a binary, b binary"), "edges"))
     if not found.isEmpty():
         labels = components(edges.unionByName(found))
 
