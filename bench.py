@@ -29,11 +29,14 @@ HEADLINE = [
     "tfidf_scores",          # index build: clean, count, df, scores
     "search_batch",          # batch AND/OR search, ranked
     "search_or",             # one interactive query with scan pruning
+    "ranked_postings",       # builds the rank-ordered postings that pages and counts read
     "search_page",           # one page of every query of the batch
+    "search_matched_page",   # the same by matched tokens alone (builds the block index)
     "search_page_info",      # paging over the batch
     "bigram_counts",         # n-gram extraction over all texts
     "trigram_counts",
     "ngram_vocabulary",      # vocabulary of the labelled comments
+    "share_all",             # all share tables in one pass
     "share_by_day",          # comment binding + conditional aggregate
     "share_by_story",
     "report_states",
