@@ -436,6 +436,13 @@ WHERE l."Input_id" IS NOT NULL AND NOT EXISTS (SELECT 1 FROM comments c WHERE c.
        CAST(max(length({c})) AS BIGINT) AS longest FROM {src}"""
             for t, c, n, src in [("artist", "artist_name", 255, "artist"), ("song", "song_name", 255, "song"),
                                  ("song", "page_link", 1000, "song"), ("token", "token", 255, "tok")])),
+        "load_rejects": with_(INDEX, """SELECT 'song' AS table_name,
+       CASE song_id % 50 WHEN 1 THEN 'x' || CAST(song_id AS VARCHAR) ELSE CAST(song_id AS VARCHAR) END AS key,
+       CASE song_id % 50 WHEN 1 THEN 'bad value' WHEN 2 THEN 'too long' WHEN 3 THEN 'duplicate key' ELSE 'orphan' END AS reason,
+       1 AS copies
+FROM song WHERE song_id % 50 IN (1, 2, 3, 4)"""),
+        "load_accepted": with_(INDEX, """SELECT song_id, artist_id, song_name, page_link
+FROM song WHERE song_id % 50 NOT IN (1, 2, 4)"""),
         "src_csv_catalog": with_(INDEX, "SELECT song_id, token, count FROM tok"),
         "src_csv_artist": with_(ARTIST, "SELECT artist_id, artist_name FROM artist"),
         "src_csv_song": with_(ARTIST + ",\n" + SONG,

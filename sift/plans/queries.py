@@ -461,6 +461,33 @@ def q_dq_lengths(spark, sf):
         quality.length_violations(frames[t], t, c, n) for (t, c), n in MAX_LENGTH.items()])
 
 
+def _loaded_with_violations(spark, sf):
+    """The song table from a CSV into which bad rows are put by a rule on the id."""
+    from ..operators import loading
+    from ..sources import files
+    songs, art = tables.songs(spark, sf), tables.artists(spark, sf)
+    rule, text = F.pmod("song_id", F.lit(50)), F.col("song_id").cast("string")
+    raw = songs.select(
+        F.when(rule == 1, F.concat(F.lit("x"), text)).otherwise(text).alias("song_id"),
+        F.when(rule == 4, F.lit("-1")).otherwise(F.col("artist_id").cast("string")).alias("artist_id"),
+        F.when(rule == 2, F.rpad("song_name", 300, "!")).otherwise(F.col("song_name")).alias("song_name"), "page_link")
+    again = songs.where(rule == 3).select(text.alias("song_id"), F.col("artist_id").cast("string").alias("artist_id"),
+                                          "song_name", F.concat(F.lit("~"), "page_link").alias("page_link"))
+    path = new_scratch_path(spark, "violations")
+    files.write_catalog_table(raw.unionByName(again), f"{path}/song.csv")
+    return loading.load(spark, f"{path}/song.csv", "song", path, art)
+
+
+def q_load_rejects(spark, sf):
+    """What does not load, and why."""
+    return _loaded_with_violations(spark, sf).rejects
+
+
+def q_load_accepted(spark, sf):
+    """The rest, typed."""
+    return _loaded_with_violations(spark, sf).accepted
+
+
 # --- sources and sinks (write a scratch file, read it back) ---------------------
 
 def _catalog_csv(spark, sf, table: str, df: DataFrame) -> DataFrame:
@@ -806,6 +833,8 @@ QUERIES = {
     "dq_duplicate_keys": q_dq_duplicate_keys,
     "dq_orphans": q_dq_orphans,
     "dq_lengths": q_dq_lengths,
+    "load_rejects": q_load_rejects,
+    "load_accepted": q_load_accepted,
     "src_csv_catalog": q_src_csv_catalog,
     "src_csv_artist": q_src_csv_artist,
     "src_csv_song": q_src_csv_song,

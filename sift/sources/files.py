@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..session import file_system
 from . import schemas
@@ -59,6 +59,15 @@ def read_catalog_table(spark: SparkSession, path: str, table: str) -> DataFrame:
     return _csv_reader(spark, CATALOG[table], False, table in MULTI_LINE).csv(path)
 
 
+def read_raw_table(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """The same file with all columns as text; a row with another number of
+    fields is kept whole in ``_corrupt_record``. No row ends the read."""
+    fields = [StructField(f.name, StringType()) for f in CATALOG[table].fields]
+    schema = StructType([*fields, StructField("_corrupt_record", StringType())])
+    return (_csv_reader(spark, schema, False, table in MULTI_LINE)
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").csv(path))
+
+
 def write_catalog_table(df: DataFrame, path: str) -> None:
     _csv_writer(df, header=False).csv(path)
 
