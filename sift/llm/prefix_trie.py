@@ -288,7 +288,7 @@ def _end_digests(members: DataFrame) -> DataFrame:
 _NODE = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens"]
 
 
-def nodes(rows: DataFrame, conversations: DataFrame, *, hot_turns: int = 1000,
+def nodes(rows: DataFrame, conversations: DataFrame, *, hot_turns: int = 256,
           shard_turns: int = 50_000) -> DataFrame:
     """The nodes of the trie of ``rows`` (conv_id, depth from 1 without gaps,
     digest, words) of the ``conversations`` (conv_id, each once)."""
