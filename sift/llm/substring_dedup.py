@@ -15,11 +15,13 @@ at least twice travel as bitmaps of at most ``max_cells`` / 4 bytes. Above that
 bound the filter lets more windows through, and the result stays the same.
 
 Second pass: windows with all cells counted twice are grouped exactly, by 96
-bits of two hashes of their words, to find the smallest id. Windows whose key
-is estimated in fewer than ``hot_texts`` texts make groups below that size and
-are judged within their group after one shuffle. Windows of hotter keys are
-first reduced per task to their smallest id, and joined back, which Spark can
-split; so no group of copies meets in one task.
+bits of two hashes of their words, to find the smallest id. A window that a
+text repeats is one row of that text, with all its places, so a group has at
+most one row per text. Windows whose key is estimated in fewer than
+``hot_texts`` texts (estimates are never too low) make groups below that size
+and are judged within their group after one shuffle. Windows of hotter keys
+are first reduced per task to their smallest id, and joined back, which Spark
+can split; so no group of copies meets in one task.
 
 Defined results: null and empty texts, and texts shorter than a window, lose
 nothing; rows with a null id keep all words and remove none elsewhere; rows
@@ -138,8 +140,27 @@ def _sketch(texts: DataFrame, window: int, hot_texts: int, max_cells: int) -> _S
     return None if repeated is None else _Sketch(window, width, repeated, hot)
 
 
+def _distinct(one: np.ndarray, two: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order of the windows by text and hashes, equal ones by place, and
+    where in it each distinct window of a text begins."""
+    order = np.lexsort((two, one, text))
+    new = np.zeros(len(order), np.bool_)
+    new[0] = True
+    for column in (one[order], two[order], text[order]):
+        new[1:] |= column[1:] != column[:-1]
+    return order, np.flatnonzero(new)
+
+
+def _later(starts: np.ndarray, heads: np.ndarray) -> list[bytes | None]:
+    """Of every distinct window, its starts but the first; null without any."""
+    ends = np.append(heads[1:], len(starts))
+    later = starts.astype(np.int32)
+    return [later[a + 1:b].tobytes() if b - a > 1 else None for a, b in zip(heads.tolist(), ends.tolist())]
+
+
 def _emitter(sketch: _Sketch, hot: bool):
-    """Rows of the flagged windows that are hot or not: two hashes, id, place."""
+    """Rows of the flagged windows that are hot or not, once per text: two
+    hashes, id, first place and tag, later places."""
 
     def run(batches):
         memo, window = WordHashes(), sketch.window
@@ -151,47 +172,51 @@ def _emitter(sketch: _Sketch, hot: bool):
                 if not len(take):
                     continue
                 one = window_hashes(hashes, window)[take]
-                two = window_hashes(mix(hashes ^ _SECOND), window)[take]
+                two = window_hashes(mix(hashes ^ _SECOND), window)[take] >> np.uint64(32)
                 ends = np.cumsum(counts)
                 text = np.searchsorted(ends, take, "right")
                 start = take - (ends - counts)[text]
-                place = (start << 32) | tags[first + text]
+                order, heads = _distinct(one, two, text)
+                top, first_of = order[heads], first + text[order[heads]]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(one.view(np.int64)), pa.array((two >> np.uint64(32)).astype(np.uint32).view(np.int32)),
-                     ids.take(pa.array(first + text)), pa.array(place)],
-                    names=["h1", "h2", "doc_id", "place"])
+                    [pa.array(one[top].view(np.int64)), pa.array(two[top].astype(np.uint32).view(np.int32)),
+                     ids.take(pa.array(first_of)), pa.array((start[top] << 32) | tags[first_of]),
+                     pa.array(_later(start[order], heads), pa.binary())],
+                    names=["h1", "h2", "doc_id", "place", "more"])
 
     return run
 
 
 def _covered(texts: DataFrame, sketch: _Sketch, id_type: str) -> DataFrame:
-    """(doc_id, place) of the windows that also start under a smaller id."""
-    schema = f"h1 long, h2 int, doc_id {id_type}, place long"
+    """(doc_id, place, more) of the windows that also start under a smaller id."""
+    schema = f"h1 long, h2 int, doc_id {id_type}, place long, more binary"
     known = texts.where(F.col("doc_id").isNotNull()).select(
         "doc_id", F.col("text").cast("binary").alias("text"), "tag")
     same = Window.partitionBy("h1", "h2")
     cold = (known.mapInArrow(_emitter(sketch, False), schema)
             .withColumn("least", F.min("doc_id").over(same)))
-    covered = cold.where("doc_id > least").select("doc_id", "place")
+    covered = cold.where("doc_id > least").select("doc_id", "place", "more")
     if sketch.hot is None:
         return covered
     hot = known.mapInArrow(_emitter(sketch, True), schema)
     least = (hot.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
              .where("least < most").select("h1", "h2", "least"))
     return covered.unionByName(
-        hot.join(least.hint("merge"), ["h1", "h2"]).where("doc_id > least").select("doc_id", "place"))
+        hot.join(least.hint("merge"), ["h1", "h2"]).where("doc_id > least")
+        .select("doc_id", "place", "more"))
 
 
 def _remover(window: int):
     def run(batches):
         for batch in batches:
             n_words, n_removed, kept = [], [], []
-            for text, starts in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            for text, starts, more in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3))):
                 words = words_of(text)
                 n_words.append(len(words))
                 gone = 0
                 if starts:
-                    mask = covered_words(np.array(starts, np.int64), window, len(words))
+                    places = [np.array(starts, np.int32), *(np.frombuffer(m, np.int32) for m in more)]
+                    mask = covered_words(np.concatenate(places).astype(np.int64), window, len(words))
                     gone = int(mask.sum())
                     words = [w for w, m in zip(words, mask.tolist()) if not m]
                 n_removed.append(gone)
@@ -213,14 +238,15 @@ def dedup_substrings(docs: DataFrame, *, window: int = 50, hot_texts: int = 1000
     texts = bounded(docs).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     tag: Column = F.hash("text").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))
     sketch = _sketch(texts.where(F.col("doc_id").isNotNull()), window, hot_texts, max_cells)
-    starts = F.array().cast("array<int>")
     if sketch is None:
-        joined = texts.select("doc_id", "text", starts.alias("starts"))
+        joined = texts.select("doc_id", "text", F.array().cast("array<int>").alias("starts"),
+                              F.array().cast("array<binary>").alias("more"))
     else:
         covered = _covered(texts.withColumn("tag", tag), sketch, id_type)
         by_text = covered.groupBy("doc_id", F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).alias("tag")).agg(
-            F.collect_list(F.shiftright("place", 32).cast("int")).alias("starts"))
+            F.collect_list(F.shiftright("place", 32).cast("int")).alias("starts"),
+            F.collect_list("more").alias("more"))
         joined = (texts.withColumn("tag", tag).join(by_text, ["doc_id", "tag"], "left")
-                  .select("doc_id", "text", "starts"))
-    return joined.select("doc_id", F.col("text").cast("binary").alias("text"), "starts").mapInArrow(
+                  .select("doc_id", "text", "starts", "more"))
+    return joined.select("doc_id", F.col("text").cast("binary").alias("text"), "starts", "more").mapInArrow(
         _remover(window), f"doc_id {id_type}, n_words long, n_removed long, kept_text string")

@@ -1,8 +1,9 @@
 import random
 
+import numpy as np
 import pytest
 
-from sift.llm.substring_dedup import dedup_substrings
+from sift.llm.substring_dedup import _distinct, _later, dedup_substrings
 from tests.llm.brute import substring_dedup
 
 SCHEMA = "doc_id long, text string, n_words string"  # n_words: a clashing extra column
@@ -42,5 +43,25 @@ def test_full_table_lets_more_through_with_the_same_result(spark):
     assert sorted(map(str, a)) == sorted(map(str, b))
 
 
+@pytest.mark.parametrize("hot", [2, 1000])
+def test_a_passage_repeated_ten_thousand_times_is_one_row_per_text(spark, hot):
+    passage = " ".join(f"p{i}" for i in range(12))
+    rows = [(1, passage, "x"), (2, " ".join([passage] * 10_000), "x"), (3, " ".join(["one"] * 120_000), "x"),
+            (4, "one " * 30 + "end", "x"), (5, f"before {passage} after", "x")]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    got = {r.doc_id: (r.n_words, r.n_removed) for r in dedup_substrings(df, window=10, hot_texts=hot).collect()}
+    # Of document 2, windows inside one copy of the passage repeat document 1;
+    # they cover every word. Those across copies are in no other text.
+    assert got == {1: (12, 0), 2: (120_000, 120_000), 3: (120_000, 0), 4: (31, 30), 5: (14, 12)}
+
+
+def test_repeated_windows_of_a_text_leave_a_task_once():
+    one, two = np.array([5, 5, 7, 5, 5], np.uint64), np.array([1, 1, 1, 2, 1], np.uint64)
+    order, heads = _distinct(one, two, np.array([0, 0, 0, 0, 1]))
+    assert order[heads].tolist() == [0, 3, 2, 4]
+    later = _later(np.array([10, 11, 12, 13, 0])[order], heads)
+    assert [np.frombuffer(x, np.int32).tolist() if x else None for x in later] == [[11], None, None, None]
+
+
 def test_empty_table(spark):
     assert dedup_substrings(spark.createDataFrame([], SCHEMA)).collect() == []
