@@ -4,7 +4,8 @@
 ``vocab_size`` terms. Here both are tables keyed by term:
 
 * ``dictionary``: terms in at least ``min_df`` comments with an id by rank
-  (commonest first, ties by term), numbered without a global window;
+  (commonest first, ties by term), numbered without a global window; rarer
+  terms stay behind a count-min prefilter (``frequent``);
 * ``encode``: (comment, term id) pairs, by a join in which hot terms do not
   meet in one task;
 * ``fit``: logistic regressions of both sides at once by full-batch gradient
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from ..functions.flags import NEGATIVE_THRESHOLD, POSITIVE_THRESHOLD
 from ..functions.text import explode_terms
 from ..session import new_scratch_path
+from .frequent import frequent_terms
 from .ranking import rank_within
 from .skew import split_hot_join
 
@@ -49,8 +51,7 @@ def postings(features: DataFrame, id_col: str = "Input_id") -> DataFrame:
 
 def dictionary(pairs: DataFrame, min_df: float) -> DataFrame:
     """M1: (term_id from 0, term, df) of the terms in at least ``min_df`` comments."""
-    counted = (pairs.groupBy("term").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") >= min_df)
-               .withColumn("all", F.lit(0)))
+    counted = frequent_terms(pairs, min_df, pairs.count()).withColumn("all", F.lit(0))
     ranked = rank_within(counted, "all", [F.desc("df"), F.asc("term")], rank_col="term_id", num_groups=1)
     return ranked.select((F.col("term_id") - 1).alias("term_id"), "term", "df")
 

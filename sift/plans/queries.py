@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import blocks, index, quality, ranked, reports, sampling, search, segments, sentiment, term_fit
+from ..operators import blocks, frequent, index, quality, ranked, reports, sampling, search, segments, sentiment, term_fit
 from ..session import new_scratch_path
 from ..sources import tables
 
@@ -265,15 +265,21 @@ def q_ngram_features(spark, sf):
                            F.md5(F.array_join("features", " ")).alias("features_md5"))
 
 
-def q_ngram_vocabulary(spark, sf):
-    """Terms in at least 10 labelled comments (CountVectorizer's minDF=10)."""
+def _labelled_words(spark, sf):
     labeled = sentiment.labeled_comments(tables.labeled_data(spark, sf),
                                          tables.comments(spark, sf))
-    words = labeled.select("Input_id", T.clean_words(F.col("body")).alias("words"))
-    feats = words.select("Input_id", F.array_distinct(T.ngram_features(F.col("words"))).alias("f"))
-    df = T.explode_terms(feats, F.col("f"), "term").groupBy("term").agg(
-        F.count(F.lit(1)).alias("df"))
-    return df.where(F.col("df") >= 10)
+    return labeled.select(T.clean_words(F.col("body")).alias("words"))
+
+
+def q_ngram_vocabulary(spark, sf):
+    """Terms in at least 10 labelled comments (CountVectorizer's minDF=10)."""
+    # Cleaned once: the sketch and the exact count both read the words.
+    path = new_scratch_path(spark, "labelled-words")
+    _labelled_words(spark, sf).write.parquet(path)
+    words = spark.read.parquet(path)
+    feats = words.select(F.array_distinct(T.ngram_features(F.col("words"))).alias("f"))
+    n_words = words.agg(F.coalesce(F.sum(F.size("words")), F.lit(0))).first()[0]
+    return frequent.frequent_terms(T.explode_terms(feats, F.col("f"), "term"), 10, 3 * n_words)
 
 
 def q_strip_links(spark, sf):

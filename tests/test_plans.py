@@ -38,7 +38,7 @@ def test_building_text_plans_runs_no_shuffle(spark):
     from sift.plans import queries as Q
     from .conftest import SF_SMALL
     tracker = spark.sparkContext.statusTracker()
-    for build in (Q.q_ngram_vocabulary, Q._scoring_input, Q.q_clean_tokens, Q.q_comments_with_title):
+    for build in (Q._labelled_words, Q._scoring_input, Q.q_clean_tokens, Q.q_comments_with_title):
         spark.sparkContext.setJobGroup("plan-only", "")
         df = build(spark, SF_SMALL)
         stages = [len(tracker.getJobInfo(j).stageIds) for j in tracker.getJobIdsForGroup("plan-only")]
