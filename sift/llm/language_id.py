@@ -9,15 +9,19 @@ is predicted; the score is its posterior, from the mean log frequency of a
 word times the root of the number of words (words of a text are not
 independent, so the plain sum would be overconfident).
 
-Learning: counts come from labelled rows, at most about ``max_docs`` of them
-(rows are taken by a hash of the text, at the rate max_docs / rows; all rows
-if there are fewer). Counting is a distributed aggregate; the model is bounded
-by ``max_words`` words, ``max_grams`` n-grams per order and ``max_langs``
-languages, so it can travel with the tasks.
+Learning: every language counts for itself, so a small one is learned beside
+large ones. Counts come from at most about ``max_docs`` distinct texts of each
+language (texts are taken by their hash, at the rate max_docs / distinct texts
+of the language; all if there are fewer; copies count once). Counting is a
+distributed aggregate. The model holds the ``max_words`` / languages commonest
+words of each language, and as many n-grams of each order from ``max_grams``,
+so its size is bounded and it can travel with the tasks. Only beyond
+``max_langs`` labels are the rarest labels not learned.
 
 Defined results: null texts and texts without a letter give ``und`` and score
 0, as does every text if nothing was learned; rows with a null label are not
-learned from; repeated rows and ids are predicted row by row; ties go to the
+learned from, and equal texts of a language are learned from once; repeated
+rows and ids are predicted row by row; ties go to the
 language first in code-point order; other columns are not read.
 """
 
@@ -30,7 +34,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sift.llm.batches import bounded
@@ -143,34 +147,49 @@ def _count_parts(batches):
     yield flush()
 
 
+def _sampled(rows: DataFrame, max_docs: int, max_langs: int) -> tuple[DataFrame, list[str]]:
+    """Distinct (text, lang) of every language's sample, and the languages."""
+    sizes = (rows.groupBy("lang").agg(F.approx_count_distinct("text").alias("texts"))
+             .orderBy(F.desc("texts"), "lang").limit(max_langs).collect())
+    # The estimate of the number of texts is good to some percent.
+    rates = {r.lang: int(1e6 * max_docs / max(1, r.texts)) if r.texts > max_docs else 1_000_000 for r in sizes}
+    if not rates:
+        return rows.limit(0), []
+    rate = F.create_map(*[F.lit(x) for item in rates.items() for x in item])
+    taken = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.try_element_at(rate, "lang"))
+    return taken.distinct(), sorted(rates)
+
+
 def learn(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
-          max_docs: int = 20_000, max_words: int = 30_000, max_grams: int = 20_000,
+          max_docs: int = 5_000, max_words: int = 30_000, max_grams: int = 20_000,
           max_langs: int = 200, smoothing: float = 0.5) -> LanguageModel:
     """Learn from rows with a non-null label; see the module for the bounds."""
-    rows = bounded(labelled).where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    n = rows.count()
-    if n > max_docs:
-        rows = rows.where(F.pmod(F.xxhash64(text_col), F.lit(1_000_000)) < 1e6 * max_docs / n)
-    counts = (rows.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-              .mapInArrow(_count_parts, "n int, part string, lang string, count long")
+    rows = (bounded(labelled).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+            .where("lang is not null and text is not null"))
+    sample, labels = _sampled(rows, max_docs, max_langs)
+    counts = (sample.mapInArrow(_count_parts, "n int, part string, lang string, count long")
               .groupBy("n", "part", "lang").agg(F.sum("count").alias("count")).persist())
     try:
         totals = {(r.n, r.lang): r.total for r in counts.groupBy("n", "lang")
                   .agg(F.sum("count").alias("total")).collect()}
-        of_words = {lang: t for (n, lang), t in totals.items() if n == 0}
-        langs = sorted(sorted(of_words, key=lambda x: (-of_words[x], x))[:max_langs])
-        parts = counts.where(F.col("lang").isin(langs)).groupBy("n", "part").agg(
-            F.sum("count").alias("total"),
+        langs = [x for x in labels if (0, x) in totals]
+        share = F.when(F.col("n") == 0, -(-max_words // max(1, len(langs)))).otherwise(
+            -(-max_grams // max(1, len(langs))))
+        place = F.row_number().over(Window.partitionBy("n", "lang").orderBy(F.desc("count"), "part"))
+        chosen = counts.withColumn("place", place).where(F.col("place") <= share).select("n", "part").distinct()
+        parts = counts.join(chosen, ["n", "part"], "left_semi").groupBy("n", "part").agg(
             *[F.sum(F.when(F.col("lang") == x, F.col("count")).otherwise(0)).alias(f"l{k}")
-              for k, x in enumerate(langs)])
+              for k, x in enumerate(langs)], F.count("*").alias("held"))
+        known = parts.orderBy("n", "part").toArrow()  # at most max_words + 4 x max_grams, rounded up
+        order = known["n"].to_numpy()
+        names = known["part"].to_pylist()
+        seen = np.array([known[f"l{k}"].to_numpy() for k in range(len(langs))], float).T
         places, logs = {}, {}
         for n in (0, *ORDERS):
-            top = (parts.where(F.col("n") == n).orderBy(F.desc("total"), "part")
-                   .limit(max_grams if n else max_words).toArrow())
-            seen = np.array([top[f"l{k}"].to_numpy() for k in range(len(langs))], float).T
-            size = np.array([totals.get((n, x), 0) for x in langs]) + smoothing * (len(top) + 1)
-            places[n] = {p: k for k, p in enumerate(top["part"].to_pylist())}
-            logs[n] = np.log((seen + smoothing) / size) if langs else np.zeros((0, 0))
+            at = np.flatnonzero(order == n)
+            size = np.array([totals.get((n, x), 0) for x in langs]) + smoothing * (len(at) + 1)
+            places[n] = {names[i]: k for k, i in enumerate(at.tolist())}
+            logs[n] = np.log((seen[at] + smoothing) / size) if langs else np.zeros((0, 0))
     finally:
         counts.unpersist()
     return LanguageModel(langs, places, logs)
