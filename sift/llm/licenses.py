@@ -12,6 +12,10 @@ Line ends are sentence ends in the first reading and spaces (single line ends,
 as in wrapped texts) in the second; the reading with more known sentences
 counts, the first on a tie.
 
+A licence tag of several identifiers (``MIT OR Apache-2.0``) is one sentence
+for each; a ``+`` behind an identifier is not seen, and exceptions are no
+licences.
+
 Everything is DataFrame expressions on the row: nothing is shuffled, and only
 texts that hold an anchor word, which every known sentence has, are cut; with
 sentences of the caller all texts are.
@@ -47,8 +51,17 @@ NAMES = {
 REFERENCES = ("licensed under", "released under the terms of", "released under",
               "distributed under", "available under", "this work is licensed under",
               "this software is licensed under", "this program is licensed under",
-              "this file is licensed under", "this project is licensed under")
+              "this file is licensed under", "this project is licensed under",
+              "licensed under the terms of", "distributed under the terms of",
+              "available under the terms of", "made available under",
+              "this software is released under", "this project is released under")
+MARK = "SPDX-License-Identifier"
 TAG = "spdx license identifier"
+# Identifiers that tags use beside those of NAMES.
+TAGGED = ("GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "LGPL-2.1-only",
+          "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "AGPL-3.0-only", "AGPL-3.0-or-later",
+          "BSL-1.0", "CC0-1.0", "EPL-1.0", "MIT-0", "Python-2.0", "Unlicense", "Zlib", "0BSD")
+OPERATORS = r"\s(?:OR|AND|WITH)\s"  # between the identifiers of a tag
 
 def sentences_of(wording: str) -> list[str]:
     """The normalised sentences into which the scan cuts a text read by line."""
@@ -82,6 +95,11 @@ WORDINGS = (
     ("You may obtain a copy of the License at\n\nhttp://www.apache.org/licenses/LICENSE-2.0",
      ("apache-obtain", "apache-url")),
     ("You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0", ("apache-copy",)),
+    # Head of the licence text, centred on lines of their own, or on one.
+    ("Apache License\nVersion 2.0, January 2004\nhttp://www.apache.org/licenses/",
+     ("apache-name", "apache-version", "apache-site")),
+    ("Apache License Version 2.0, January 2004", ("apache-title",)),
+    ("Apache License Version 2.0, January 2004 http://www.apache.org/licenses/", ("apache-title",)),
     *((f"This program is free software{a} {_GPL_TERMS}{b} {_LATER.format(n)}", ids)
       for n in (2, 3) for a, b, ids in (
           (":", ",", (f"gpl{n}-later",)), (";", ",", (None, f"gpl{n}-later")),
@@ -118,19 +136,22 @@ RULES = (
     ("MIT", ("mit-grant", "mit-notice", "mit-warranty")),
     ("BSD-3-Clause", ("bsd-source", "bsd-binary", "bsd-endorse")),
     ("Apache-2.0", ("apache-header", "apache-compliance", "apache-copy")),
+    ("Apache-2.0", ("apache-name", "apache-version", "apache-site")),
     ("MIT", ("mit-grant", "mit-notice")),
     ("BSD-2-Clause", ("bsd-source", "bsd-binary")),
     ("Apache-2.0", ("apache-header", "apache-compliance")),
+    ("Apache-2.0", ("apache-name", "apache-version")),
     ("GPL-3.0-or-later", ("gpl3-later", "gpl-warranty")),
     ("GPL-2.0-or-later", ("gpl2-later", "gpl-warranty")),
     ("GPL-3.0-or-later", ("gpl-terms", "gpl3-version")),
     ("GPL-2.0-or-later", ("gpl-terms", "gpl2-version")),
     ("MIT", ("mit-grant",)), ("ISC", ("isc-grant",)), ("Apache-2.0", ("apache-header",)),
+    ("Apache-2.0", ("apache-title",)),
     ("GPL-3.0-or-later", ("gpl3-later",)), ("GPL-2.0-or-later", ("gpl2-later",)),
     ("MPL-2.0", ("mpl2-header",)), ("Unlicense", ("unlicense",)),
     ("All-Rights-Reserved", ("all-rights-reserved",)),
 )
-ANCHORS = ("licen", "reserved", "permission", "redistribut", "warrant", "unencumbered", "cc")
+ANCHORS = ("licen", "reserved", "permission", "redistribut", "warrant", "unencumbered", "cc", "january 2004")
 
 
 def known_sentences() -> dict[str, str]:
@@ -139,19 +160,30 @@ def known_sentences() -> dict[str, str]:
     known = dict(SENTENCES)
     for name, licence in NAMES.items():
         known |= {f"{start} {name}": f"ref-{licence}" for start in REFERENCES}
+    for licence in _referred():
         tag = "".join(c if c.isalnum() else " " for c in licence.lower())
         known[f"{TAG} {tag}"] = f"ref-{licence}"
     return known
 
 
+def _referred() -> list[str]:
+    return list(dict.fromkeys([*NAMES.values(), *TAGGED]))
+
+
 def licence_rules() -> list[tuple[str, tuple[str, ...]]]:
     """The ordered rules; references stand last, one sentence each."""
-    return [*RULES, *((licence, (f"ref-{licence}",)) for licence in dict.fromkeys(NAMES.values()))]
+    return [*RULES, *((licence, (f"ref-{licence}",)) for licence in _referred())]
 
 
 def _sentences(text: Column) -> Column:
     marked = F.regexp_replace(text, F.lit("([.!?;])[ \\t\\r\\x0B\\f]+"), F.lit("$1\n"))
-    return F.split(marked, F.lit("\n"))
+    sentences = F.split(marked, F.lit("\n"))
+
+    def tags(sentence: Column) -> Column:
+        each = F.split(F.regexp_replace(sentence, F.lit(OPERATORS), F.lit(f"\n{MARK}: ")), F.lit("\n"))
+        return F.when(F.contains(sentence, F.lit(MARK)), each).otherwise(F.array(sentence))
+
+    return F.when(F.contains(text, F.lit(MARK)), F.flatten(F.transform(sentences, tags))).otherwise(sentences)
 
 
 def _identify(text: Column, known: dict[str, str]) -> Column:

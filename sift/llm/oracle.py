@@ -174,8 +174,11 @@ readings AS (
   SELECT rid, 2, regexp_replace(text, '([^\n])\r?\n([^\r\n])', '\1 \2', 'g') FROM docs
 ), sentences AS (
   SELECT rid, reading, unnest(parts) AS sentence, generate_subscripts(parts, 1) AS n FROM (
-    SELECT rid, reading, string_split(regexp_replace(text, '([.!?;])[ \t\r\x0B\f]+', '\1' || chr(10), 'g'),
-                                      chr(10)) AS parts FROM readings)
+    SELECT rid, reading, flatten(list_transform(
+      string_split(regexp_replace(text, '([.!?;])[ \t\r\x0B\f]+', '\1' || chr(10), 'g'), chr(10)),
+      lambda s: CASE WHEN contains(s, 'SPDX-License-Identifier') THEN string_split(regexp_replace(s,
+        '\s(OR|AND|WITH)\s', chr(10) || 'SPDX-License-Identifier: ', 'g'), chr(10)) ELSE [s] END)) AS parts
+    FROM readings)
 ), identified AS (
   SELECT rid, reading, list(sid ORDER BY n) AS ids FROM sentences
   JOIN known ON plain = trim(regexp_replace(lower(sentence), '[^a-z0-9]+', ' ', 'g'))

@@ -124,6 +124,50 @@ def test_original_wordings_plain_on_one_line_and_as_comments(spark):
     assert [got[k] for k in range(len(rows))] == expected
 
 
+APACHE_HEAD = """
+                                 Apache License
+                           Version 2.0, January 2004
+                        http://www.apache.org/licenses/
+
+   TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION
+"""
+WRITTEN = [  # by hand: what a reader finds in each text
+    ("SPDX-License-Identifier: GPL-2.0-only", {"GPL-2.0-only"}),
+    ("// SPDX-License-Identifier: GPL-2.0-or-later\nint x;", {"GPL-2.0-or-later"}),
+    ("/* SPDX-License-Identifier: LGPL-2.1-or-later */", {"LGPL-2.1-or-later"}),
+    ("# SPDX-License-Identifier: MIT OR Apache-2.0\nimport x\n", {"MIT", "Apache-2.0"}),
+    ("SPDX-License-Identifier: (MIT AND BSD-3-Clause) OR ISC", {"MIT", "BSD-3-Clause", "ISC"}),
+    ("SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0", {"GPL-2.0-only"}),
+    ("SPDX-License-Identifier: CC0-1.0", {"CC0-1.0"}), ("SPDX-License-Identifier: Unknown-1.0 OR MIT", {"MIT"}),
+    ("This is prose. Licensed under the terms of the MIT license. More prose.", {"MIT"}),
+    ("Distributed under the terms of the Apache License, Version 2.0.", {"Apache-2.0"}),
+    (APACHE_HEAD, {"Apache-2.0"}), (" ".join(APACHE_HEAD.split()[:6]) + "\n\nTERMS", {"Apache-2.0"}),
+    ("Choose MIT OR Apache-2.0 as you like.", set()), ("SPDX-License-Identifier:", set()),
+    ("Version 2.0, January 2004 of our journal", set()),
+]
+
+
+def test_tags_expressions_and_references_as_written(spark):
+    rows = [(k, text, "x") for k, (text, _) in enumerate(WRITTEN)]
+    rows += [(100 + k, text.replace("\n", "\r\n"), "x") for k, (text, _) in enumerate(WRITTEN)]
+    got = {r.doc_id: r.licences for r in scan(spark.createDataFrame(rows, SCHEMA)).collect()}
+    for k, (text, want) in enumerate(WRITTEN):
+        assert set(got[k]) == want and len(got[k]) == len(want), text
+        assert got[100 + k] == got[k], text
+
+
+def test_the_sql_reads_tags_alike(spark):
+    import duckdb
+    from sift.llm.oracle import _licence_sql
+    texts = [text for text, _ in WRITTEN] + [t for t, _, _ in ORIGINALS]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts)))
+    sql = {r[0]: (r[2], r[3]) for r in con.execute(_licence_sql()).fetchall()}
+    got = scan(spark.createDataFrame([(k, t, "x") for k, t in enumerate(texts)], SCHEMA)).collect()
+    assert {r.doc_id: (",".join(r.sentence_ids), ",".join(r.licences)) for r in got} == sql
+
+
 def test_the_lesser_licence_is_not_taken_for_the_general_one(spark):
     lesser = GPL_2.replace("GNU General", "GNU Lesser General").replace("version 2", "version 3")
     assert [r.licences for r in scan(spark.createDataFrame([(1, lesser, "x")], SCHEMA)).collect()] == [[]]
