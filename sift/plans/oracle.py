@@ -21,7 +21,9 @@ from . import queries as Q
 _STATE_LIST = "[" + ", ".join("'" + s.replace("'", "''") + "'" for s in STATES) + "]"
 
 
+# Fixed value: the punctuation that cleaning keeps.
 _KEPT = "!?.-,';:"
+_KEPT_CLASS = _KEPT.replace("-", "\\-").replace("'", "''")  # in a character class of a SQL text
 _DELETED = "".join(c for c in string.punctuation if c not in _KEPT)
 
 
@@ -49,9 +51,9 @@ def words_cte(name: str, source: str, id_col: str, text_col: str) -> str:
     return f"""{name} AS (
   SELECT {id_col} AS id, list_filter(list_transform(
            string_split_regex(
-             regexp_replace(lower({text_col}), '[^\\sA-Za-z0-9!?.\\-,'';:]', '', 'g'),
+             regexp_replace(lower({text_col}), '[^\\sA-Za-z0-9{_KEPT_CLASS}]', '', 'g'),
              '\\s+'),
-           lambda x: regexp_replace(x, '[!?.\\-,'';:]+$', '')),
+           lambda x: regexp_replace(x, '[{_KEPT_CLASS}]+$', '')),
          lambda x: x <> '') AS words
   FROM {source})"""
 

@@ -52,8 +52,11 @@ def _batches(spark: SparkSession, output_path: str) -> list[int]:
 
 
 def read_shares(spark: SparkSession, output_path: str) -> DataFrame:
-    """The table of the latest complete batch."""
-    return spark.read.parquet(f"{output_path}/batch={_batches(spark, output_path)[-1]}")
+    """The table of the latest complete batch; no rows before the first."""
+    batches = _batches(spark, output_path)
+    if not batches:
+        return finish(spark.createDataFrame([], "date date, count long, pos_count long, neg_count long"))
+    return spark.read.parquet(f"{output_path}/batch={batches[-1]}")
 
 
 def run_share_by_day(spark: SparkSession, source_dir: str, schema: StructType,

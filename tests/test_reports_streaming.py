@@ -26,8 +26,10 @@ def test_streaming_shares_resume_from_checkpoint(spark):
     first = spark.createDataFrame([("a", 0, 1, 0), ("b", 10, 0, 1), ("c", day, 1, 1)],
                                   "id string, created_utc long, pos int, neg int")
     first.write.parquet(f"{src}/b=0")
+    before = read_shares(spark, out)
     run_share_by_day(spark, src, first.schema, out, ckpt).awaitTermination()
     assert {str(r["date"]) for r in read_shares(spark, out).collect()} == {"1970-01-01", "1970-01-02"}
+    assert before.count() == 0 and before.dtypes == read_shares(spark, out).dtypes
     second = spark.createDataFrame([("d", 20, 1, 0)], first.schema)
     second.write.parquet(f"{src}/b=1")
     run_share_by_day(spark, src, first.schema, out, ckpt).awaitTermination()
