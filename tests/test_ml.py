@@ -38,6 +38,26 @@ def test_train_score_save_load(spark):
     assert set(auc) == {"pos", "neg"}
 
 
+def test_a_reloaded_model_gives_equal_probabilities_on_all_rows(spark):
+    from pyspark.ml.functions import vector_to_array
+
+    from sift.functions.text import with_features
+    from sift.session import new_scratch_path
+    models, _ = Q.trained(spark, SF_SMALL)
+    path = new_scratch_path(spark, "reloaded")
+    models.save(path)
+    rows = with_features(Q._scoring_input(spark, SF_SMALL), "body").select("id", "features")
+
+    def probabilities(m):
+        both = m.neg.transform(m.pos.transform(m.vectorizer.transform(rows)))
+        return {r.id: (r.p, r.n) for r in both.select(
+            "id", vector_to_array("pos_probability").alias("p"), vector_to_array("neg_probability").alias("n")).collect()}
+
+    before = probabilities(models)
+    assert len(before) == rows.count() > 0
+    assert probabilities(ml.SentimentModels.load(path)) == before
+
+
 def test_vocabulary_matches_count_vectorizer(spark):
     models, _ = Q.trained(spark, SF_SMALL)
     ours = {r["term"] for r in Q.q_ngram_vocabulary(spark, SF_SMALL).collect()}
