@@ -2,8 +2,10 @@
 
 A text is a weighted set of shingles: ``shingle`` consecutive lower-case words
 (a shorter text is one shingle). A shingle weighs (1 + ln tf) times an idf
-between 1 and 2: 2 for shingles in at most the share ``rare`` of all documents,
-falling with ln(df) to 1 for a shingle in every document. The document
+between 1 and 1 + ``spread``: the most for shingles in at most the share
+``rare`` of all documents, falling with ln(df) to 1 for a shingle in every
+document. The spread is small, so that the shingles of a very large group of
+near copies, which are common, hardly weigh less than the edits. The document
 frequencies of all shingles are counted over all documents in a count-min table
 whose width follows from ``rare`` and the mean length of a text, so its size
 does not grow with the corpus and its error stays far below the share ``rare``.
@@ -12,20 +14,18 @@ Improved consistent weighted sampling draws bands x rows samples per text; two
 texts draw the same sample with a probability equal to their weighted Jaccard
 similarity. The samples of a band make a bucket; texts in one bucket are
 candidates and are verified with the exact weighted Jaccard similarity of
-their shingles. A pair also counts as similar if the plain Jaccard similarity
-of the shingle sets reaches the threshold: the shingles of a very large group
-of near copies are common, and would otherwise weigh less than the edits. Such
-a pair can have a far lower weighted similarity (0.67 by idf alone, less if
-one text repeats the other), so each text also draws bands x rows samples with
-all weights equal (min-hashing), which two texts share with a probability
-equal to their plain similarity. A pair at the threshold of either rule is
-missed by its own bands with a probability of (1 - threshold^rows)^bands.
+their shingles. A pair at the threshold is missed with a probability of
+(1 - threshold^rows)^bands. With ``plain`` a pair also counts as similar if the
+plain Jaccard similarity of the shingle sets reaches the threshold, and each
+text draws as many bands with all weights equal (min-hashing); this is off.
 
 Classes are the connected components of the verified pairs. Exact copies are
 one node (a digest of the text), so copies are never expanded into pairs. In a
 bucket, members are first compared with one hub, in ``hub_rounds`` rounds with
 another hub each (the text of the commonest shingles first: the original of a
-group of near copies), which is linear in the bucket. What is still apart then
+group of near copies), which is linear in the bucket. A bucket's rows are dealt
+over parts of about ``block`` members for every join, and what is found per
+bucket is repeated per part, so no bucket meets in one task. What is still apart then
 is compared exactly: the members outside the bucket's largest component, in
 blocks, with all members, in blocks. A block pair is one matrix product, and
 only links that join components are given out, so no pair is left out and no
@@ -44,12 +44,13 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sift.llm.batches import bounded
 from sift.llm.components import components, written
 from sift.llm.shingles import WordHashes, mix, whole_windows, window_hashes, word_runs
+from sift.operators.skew import salted_join, split_hot_join
 
 _GOLDEN = 0x9E3779B97F4A7C15
 _STEP = np.uint64(_GOLDEN)
@@ -71,9 +72,9 @@ class Weights:
     """Weighted shingles of texts; the document frequencies are a count-min
     table of two rows, or not there yet."""
 
-    def __init__(self, shingle: int, rare: float, width: int, docs: int = 0,
+    def __init__(self, shingle: int, rare: float, spread: float, width: int, docs: int = 0,
                  counts: np.ndarray | None = None):
-        self.shingle, self.rare, self.width = shingle, rare, width
+        self.shingle, self.rare, self.spread, self.width = shingle, rare, spread, width
         self.docs, self.counts = docs, counts
 
     def cells(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -104,7 +105,7 @@ class Weights:
         first, second = self.cells(shingles)
         df = np.maximum(np.minimum(self.counts[first], self.counts[second]), 1)
         share = np.clip(df / max(1, self.docs), self.rare, 1.0)
-        return 1 + np.log(share) / math.log(self.rare)
+        return 1 + self.spread * np.log(share) / math.log(self.rare)
 
     def of(self, shingles: np.ndarray, tf: np.ndarray) -> np.ndarray:
         return (1 + np.log(tf)) * self.idf(shingles)
@@ -133,17 +134,17 @@ def _frequencies(weights: Weights):
     return run
 
 
-def _count_frequencies(texts: DataFrame, shingle: int, rare: float) -> Weights:
+def _count_frequencies(texts: DataFrame, shingle: int, rare: float, spread: float) -> Weights:
     size = texts.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("size")).first()
     docs = size["n"]
     mean = max(1, (size["size"] or 0) // 6 // max(1, docs))  # about 6 bytes a word
     width = 1 << min(22, max(12, math.ceil(math.log2(4 * mean / rare))))
-    weights = Weights(shingle, rare, width)
+    weights = Weights(shingle, rare, spread, width)
     rows = (texts.select("text").mapInArrow(_frequencies(weights), "cell long, n long")
             .groupBy("cell").agg(F.sum("n").alias("n")).toArrow())
     counts = np.zeros(2 * width, np.int64)
     counts[rows["cell"].to_numpy()] = rows["n"].to_numpy()
-    return Weights(shingle, rare, width, docs, counts)
+    return Weights(shingle, rare, spread, width, docs, counts)
 
 
 def draw(text: np.ndarray, shingles: np.ndarray, weights: np.ndarray, samples: int,
@@ -178,10 +179,10 @@ def draw_plain(text: np.ndarray, shingles: np.ndarray, samples: int) -> np.ndarr
     return out
 
 
-def _signer(weights: Weights, bands: int, rows: int):
-    """Of each text its buckets, one per band of weighted and of plain samples,
-    and the mean idf of its shingles."""
-    table = _gamma_table()
+def _signer(weights: Weights, bands: int, rows: int, plain: bool):
+    """Of each text its buckets, one per band of weighted (and of plain)
+    samples, and the mean idf of its shingles."""
+    table, width = _gamma_table(), bands * (1 + plain)
 
     def run(batches):
         memo = WordHashes()
@@ -191,10 +192,11 @@ def _signer(weights: Weights, bands: int, rows: int):
                 text, shingles, tf = weights.sets(counts, hashes)
                 if not len(text):
                     continue
-                samples = np.hstack([draw(text, shingles, weights.of(shingles, tf), bands * rows, table),
-                                     draw_plain(text, shingles, bands * rows)])
-                buckets = np.empty((len(samples), 2 * bands), np.uint64)
-                for b in range(2 * bands):
+                samples = draw(text, shingles, weights.of(shingles, tf), bands * rows, table)
+                if plain:
+                    samples = np.hstack([samples, draw_plain(text, shingles, bands * rows)])
+                buckets = np.empty((len(samples), width), np.uint64)
+                for b in range(width):
                     value = np.full(len(samples), b + 1, np.uint64)
                     for r in range(rows):
                         value = mix(value * _STEP ^ samples[:, b * rows + r])
@@ -202,7 +204,7 @@ def _signer(weights: Weights, bands: int, rows: int):
                 starts = np.flatnonzero(np.concatenate(([True], text[1:] != text[:-1])))
                 share = np.add.reduceat(weights.idf(shingles), starts) / np.diff(np.append(starts, len(text)))
                 flat = pa.array(buckets.reshape(-1).view(np.int64))
-                offsets = pa.array(np.arange(0, buckets.size + 1, 2 * bands, dtype=np.int32))
+                offsets = pa.array(np.arange(0, buckets.size + 1, width, dtype=np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [keys.take(pa.array(first + text[starts])), pa.array(np.round(share, 6)),
                      pa.ListArray.from_arrays(offsets, flat)], names=["key", "rarity", "buckets"])
@@ -210,16 +212,16 @@ def _signer(weights: Weights, bands: int, rows: int):
     return run
 
 
-def similar(a: tuple, b: tuple, threshold: float) -> bool:
-    """Whether two weighted sets reach the threshold, weighted or plain."""
+def similar(a: tuple, b: tuple, threshold: float, plain: bool = False) -> bool:
+    """Whether two weighted sets reach the threshold (or their plain sets)."""
     (sa, wa), (sb, wb) = a, b
     _, at, bt = np.intersect1d(sa, sb, assume_unique=True, return_indices=True)
     shared = np.minimum(wa[at], wb[bt]).sum()
     return bool(shared >= threshold * (wa.sum() + wb.sum() - shared) - 1e-9
-                or len(at) >= threshold * (len(sa) + len(sb) - len(at)) - 1e-9)
+                or plain and len(at) >= threshold * (len(sa) + len(sb) - len(at)) - 1e-9)
 
 
-def _verifier(weights: Weights, threshold: float):
+def _verifier(weights: Weights, threshold: float, plain: bool):
     """Of candidate pairs with both texts, the similar ones."""
 
     def run(batches):
@@ -236,16 +238,16 @@ def _verifier(weights: Weights, threshold: float):
                 return cache[text]
 
             for k, (a, b) in enumerate(zip(left, right)):
-                if similar(weighted(a), weighted(b), threshold):
+                if similar(weighted(a), weighted(b), threshold, plain):
                     take.append(k)
             yield batch.select(["a", "b"]).take(pa.array(take, pa.int64()))
 
     return run
 
 
-def may_reach(left: list[tuple], right: list[tuple], threshold: float) -> np.ndarray:
-    """Mask (left, right) of the pairs that can be ``similar``. Shared counts are
-    exact; shared weights are bounded by the root of the product of the two.
+def may_reach(left: list[tuple], right: list[tuple], threshold: float, plain: bool = False) -> np.ndarray:
+    """Mask (left, right) of the pairs that can be ``similar``. Shared weights are
+    bounded by the root of the product of the two; shared counts are exact.
     Only shingles of both sides are columns, in slices, so memory is bounded."""
     both = np.intersect1d(np.concatenate([x for x, _ in left]), np.concatenate([x for x, _ in right]))
     count = np.zeros((len(left), len(right)), np.float32)
@@ -263,15 +265,16 @@ def may_reach(left: list[tuple], right: list[tuple], threshold: float) -> np.nda
 
         x, y = rows(left), rows(right)
         weight += x @ y.T
-        count += (x > 0).astype(np.float32) @ (y > 0).astype(np.float32).T
+        if plain:
+            count += (x > 0).astype(np.float32) @ (y > 0).astype(np.float32).T
     mask = np.zeros(count.shape, np.bool_)
-    for shared, size in ((count, lambda s: len(s[0])), (weight, lambda s: s[1].sum())):
+    for shared, size in ((weight, lambda s: s[1].sum()), (count, lambda s: len(s[0])))[:1 + plain]:
         total = np.array([size(s) for s in left])[:, None] + np.array([size(s) for s in right])[None, :]
         mask |= shared >= (threshold - 1e-4) * (total - shared)
     return mask
 
 
-def _rest_verifier(weights: Weights, threshold: float):
+def _rest_verifier(weights: Weights, threshold: float, plain: bool):
     """Links that join components, of block pairs whose rows follow each other."""
 
     def links(rows: list[tuple]) -> list[tuple]:
@@ -287,11 +290,11 @@ def _rest_verifier(weights: Weights, threshold: float):
         right = [k for k, row in enumerate(rows) if row[0] != "left"]
         if not left or not right:
             return []
-        mask = may_reach([sets[k] for k in left], [sets[k] for k in right], threshold)
+        mask = may_reach([sets[k] for k in left], [sets[k] for k in right], threshold, plain)
         out = []
         for i, j in np.argwhere(mask).tolist():
             (_, a, la, _), (_, b, lb, _) = rows[left[i]], rows[right[j]]
-            if root(la) != root(lb) and similar(sets[left[i]], sets[right[j]], threshold):
+            if root(la) != root(lb) and similar(sets[left[i]], sets[right[j]], threshold, plain):
                 memo_label[root(la)] = root(lb)
                 out.append((a, b))
         return out
@@ -324,16 +327,16 @@ def _rest_blocks(opened: DataFrame, block: int) -> DataFrame:
     """Rows (bucket, i, j, side, key, label): which members meet in which block
     pair. Buckets of two have met their hub; of buckets with equal members one
     is enough."""
-    by_label = opened.groupBy("bucket", "label").agg(
+    by_label = opened.groupBy("bucket", "parts", "label").agg(
         F.count("*").alias("n"), F.sum(F.xxhash64("key").cast("decimal(38,0)")).alias("digest"))
-    info = by_label.groupBy("bucket").agg(
+    info = by_label.groupBy("bucket", "parts").agg(
         F.sum("n").alias("total"), F.max(F.struct("n", "label")).alias("main"),
         F.sum("digest").alias("digest")).where("total > 2")
-    info = (info.groupBy("total", "digest").agg(F.min(F.struct("bucket", "main")).alias("one"))
-            .select("one.bucket", F.col("one.main.label").alias("main"),
+    info = (info.groupBy("total", "digest").agg(F.min(F.struct("bucket", "parts", "main")).alias("one"))
+            .select("one.bucket", "one.parts", F.col("one.main.label").alias("main"),
                     F.ceil((F.col("total") - F.col("one.main.n")) / block).cast("int").alias("lefts"),
                     F.ceil(F.col("total") / block).cast("int").alias("rights")))
-    met = opened.select("bucket", "key", "label").join(info, "bucket")
+    met = opened.select("bucket", "part", "key", "label").join(_per_part(info), ["bucket", "part"])
     one, minor = F.expr("lefts * rights = 1"), F.col("label") != F.col("main")
     right = met.select("bucket", F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)).alias("i"),
                        F.pmod(F.xxhash64("key"), "rights").cast("int").alias("j"),
@@ -350,6 +353,12 @@ def _distinct_pairs(pairs: DataFrame, tested: DataFrame | None) -> DataFrame:
     return pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
 
 
+def _with_text(rows: DataFrame, pairs: DataFrame, texts: DataFrame, side: str, other: str) -> DataFrame:
+    """``rows`` with the text of one side; hubs of many pairs are salted."""
+    return salted_join(rows, texts.select(F.col("key").alias(side), F.col("text").alias(f"text_{side}")), side,
+                       pairs.groupBy(side).agg(F.count("*").alias("n")), "n", other, max_hot=100, salts=32)
+
+
 def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     if labels is None:
         return members.withColumn("label", F.col("key"))
@@ -357,47 +366,53 @@ def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
             .withColumn("label", F.coalesce("label", "key")))
 
 
-def _open_buckets(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Members of buckets that hold more than one component."""
+def _per_part(per_bucket: DataFrame) -> DataFrame:
+    """A row for every part of a bucket, in place of one with ``parts``."""
+    return per_bucket.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+
+
+def _open_buckets(members: DataFrame, labels: DataFrame | None, order: Column | None = None) -> DataFrame:
+    """Members of buckets that hold more than one component, with the least by
+    ``order`` as ``hub``."""
     labelled = _labelled(members, labels)
-    mixed = (labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-             .where("low < high").select("bucket"))
-    return labelled.join(mixed, "bucket", "left_semi")
+    hub = F.min(order).alias("hub") if order is not None else F.lit(None).alias("hub")
+    mixed = (labelled.groupBy("bucket", "parts").agg(F.min("label").alias("low"), F.max("label").alias("high"), hub)
+             .where("low < high").select("bucket", "parts", "hub"))
+    return labelled.join(_per_part(mixed), ["bucket", "part"])
 
 
-def classes(docs: DataFrame, *, shingle: int = 5, threshold: float = 0.8, bands: int = 10,
-            rows: int = 3, rare: float = 0.01, hub_rounds: int = 2, block: int = 256, id_col: str = "doc_id",
-            text_col: str = "text") -> DataFrame:
+def classes(docs: DataFrame, *, shingle: int = 5, threshold: float = 0.8, bands: int = 12,
+            rows: int = 3, rare: float = 0.01, spread: float = 0.25, plain: bool = False, hub_rounds: int = 2,
+            block: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: ``doc_id``, ``key`` (digest of the text, null for
     null), ``class_id`` and ``class_key``, the key of the text with that id
     (the least key, if several texts have it)."""
     lowered = F.lower(F.col(text_col)).cast("binary").alias("text")
     named = bounded(docs).select(F.col(id_col).alias("doc_id"), F.unhex(F.md5(F.col(text_col))).alias("key"),
                         lowered)
-    weights = _count_frequencies(named.select("text"), shingle, rare)
+    weights = _count_frequencies(named.select("text"), shingle, rare, spread)
     signed = named.where("key is not null").select("key", "text").mapInArrow(
-        _signer(weights, bands, rows), "key binary, rarity double, buckets array<long>")
+        _signer(weights, bands, rows, plain), "key binary, rarity double, buckets array<long>")
     every = signed.select("key", "rarity", F.explode("buckets").alias("bucket")).distinct()
     shared = written(every, "buckets")
-    many = shared.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    members = written(shared.join(many, "bucket", "left_semi"), "members")
+    many = written(shared.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
+    members = split_hot_join(shared, many, "bucket", "n", max_hot=1000).withColumn(
+        "parts", F.ceil(F.col("n") / block).cast("int")).withColumn("part", F.pmod(F.xxhash64("key"), "parts").cast("int"))
+    members = written(members.drop("n"), "members")
     wanted = members.select("key").distinct()
     texts = written(named.select("key", "text").join(wanted, "key", "left_semi")
                     .groupBy("key").agg(F.first("text").alias("text")), "texts")
 
     edges, tested, labels = None, None, None
     for step in range(max(1, hub_rounds)):  # every member against one hub
-        opened = _open_buckets(members, labels)
         first = F.col("rarity") if step == 0 else F.lit(0.0)
         order = F.struct(first.alias("first"), F.xxhash64(F.lit(step), "key").alias("rank"), "key", "label")
-        hubs = opened.groupBy("bucket").agg(F.min(order).alias("hub"))
-        pairs = (opened.join(hubs, "bucket").where("label != hub.label")
+        pairs = (_open_buckets(members, labels, order).where("label != hub.label")
                  .select(F.col("hub.key").alias("a"), F.col("key").alias("b")))
         pairs = written(_distinct_pairs(pairs, tested), "pairs")
-        both = (pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("ta")), "a")
-                .join(texts.select(F.col("key").alias("b"), F.col("text").alias("tb")), "b")
-                .select("a", "b", "ta", "tb"))
-        linked = written(both.mapInArrow(_verifier(weights, threshold), "a binary, b binary"), "edges")
+        both = _with_text(_with_text(pairs, pairs, texts, "a", "b"), pairs, texts, "b", "a").select(
+            "a", "b", "text_a", "text_b")
+        linked = written(both.mapInArrow(_verifier(weights, threshold, plain), "a binary, b binary"), "edges")
         tested = pairs if tested is None else tested.unionByName(pairs)
         edges = linked if edges is None else edges.unionByName(linked)
         labels = components(edges)
@@ -405,7 +420,7 @@ def classes(docs: DataFrame, *, shingle: int = 5, threshold: float = 0.8, bands:
     met = _rest_blocks(opened, block).join(texts, "key").select(
         "bucket", "i", "j", "side", "key", "label", "text")
     linked = written(met.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-                     .mapInArrow(_rest_verifier(weights, threshold), "a binary, b binary"), "edges")
+                     .mapInArrow(_rest_verifier(weights, threshold, plain), "a binary, b binary"), "edges")
     if not linked.isEmpty():
         labels = components(linked if edges is None else edges.unionByName(linked))
 

@@ -1,6 +1,8 @@
 """Plain Python versions of the operators, over whole small tables."""
 
+import math
 import re
+from collections import Counter
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -36,3 +38,30 @@ def shingle_set(text, n=5):
 
 def jaccard(a, b):
     return len(a & b) / len(a | b) if a or b else 0.0
+
+
+def weighted_sets(texts, n=5, rare=0.01, spread=0.25):
+    """Of each text its shingles with their weights."""
+    sets = []
+    for text in texts:
+        w = text.lower().encode().split() if text else []
+        sets.append(Counter(tuple(w[i:i + n]) for i in range(max(1, len(w) - n + 1))) if w else Counter())
+    df = Counter(s for c in sets for s in c)
+    idf = {s: 1 + spread * math.log(min(1, max(rare, k / len(texts)))) / math.log(rare) for s, k in df.items()}
+    return [{s: (1 + math.log(tf)) * idf[s] for s, tf in c.items()} for c in sets]
+
+
+def weighted_jaccard(a, b):
+    shared = sum(min(w, b[s]) for s, w in a.items() if s in b)
+    return shared / (sum(a.values()) + sum(b.values()) - shared) if a or b else 0.0
+
+
+def linked(sets, similarity, threshold):
+    """Per set the least index reachable by links of at least the threshold."""
+    label = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if label[i] != label[j] and a and b and similarity(a, b) >= threshold:
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    return label

@@ -5,7 +5,7 @@ import pytest
 
 from sift.llm.components import components
 from sift.llm.near_dedup import _gamma_table, classes, draw, draw_plain, keep_one, may_reach, similar
-from tests.llm.brute import jaccard, shingle_set
+from tests.llm.brute import jaccard, linked, shingle_set, weighted_jaccard, weighted_sets
 
 SCHEMA = "doc_id long, text string, key string"  # key: a clashing extra column
 
@@ -49,11 +49,45 @@ def _components(rows, threshold):
     return [root(i) for i in range(len(rows))]
 
 
-def test_classes_match_brute_force(spark):
+def _between(got, texts):
+    """Whether the classes lie between those of thresholds a little higher and
+    lower (document frequencies are estimates)."""
+    sets = weighted_sets(texts)
+    high, low = (linked(sets, weighted_jaccard, t) for t in (0.805, 0.795))
+    assert all(got[k] == got[high[k]] for k in range(len(texts)))
+    assert all(low[k] == low[got[k]] for k in range(len(texts)))
+    return high
+
+
+def test_classes_match_weighted_brute_force(spark):
+    texts = [t for _, t, _ in _corpus() if t]
+    rnd = random.Random(8)
+    for k in range(60):  # copies around the threshold
+        words = texts[k % 45].split()
+        for _ in range(rnd.randint(0, 4)):
+            words[rnd.randrange(len(words))] = f"new{rnd.random()}"
+        texts.append(" ".join(words))
+    texts += [" ".join([w] * 300) for w in ("again", "again", "once")] + ["long " + "word text " * 60_000] * 2
+    df = spark.createDataFrame([(k, t, "x") for k, t in enumerate(texts)], SCHEMA).repartition(4)
+    for options in ({}, {"block": 4}):  # small blocks: buckets in many parts
+        got = {r.doc_id: r.class_id for r in classes(df, **options).collect()}
+        high = _between(got, texts)
+    assert 40 < len(set(high)) < len(texts) - 40
+
+
+def test_null_ids_share_classes(spark):
+    rows = [(None, "a b c d e f g", "x"), (None, "a b c d e f g", "x"), (7, "h i j k l m", "x"), (None, "h i j k l m", "x"),
+            (None, None, "x"), (3, None, None)]
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.class_id is None, r.class_id or 0)
+                 for r in classes(spark.createDataFrame(rows, SCHEMA)).collect())
+    assert got == [(False, 3, False, 3), (False, 7, False, 7), (True, 0, False, 7)] + [(True, 0, True, 0)] * 3
+
+
+def test_classes_match_plain_brute_force(spark):
     rows = _corpus()
     texts = [(i, t or "", x) for i, t, x in rows]
     df = spark.createDataFrame([(k, t, x) for k, (_, t, x) in enumerate(rows)], SCHEMA).repartition(4)
-    got = {r.doc_id: r.class_id for r in classes(df).collect()}
+    got = {r.doc_id: r.class_id for r in classes(df, plain=True).collect()}
     roots = _components(texts, 0.8)
     want = {}
     for k, r in enumerate(roots):
@@ -83,7 +117,9 @@ def test_rounds_and_blocks_do_not_change_the_classes(spark, options):
         for _ in range(rnd.randint(0, 2)):
             copy[rnd.randrange(len(copy))] = f"e{rnd.random()}"
         rows.append((k, " ".join(copy), "x"))
-    got = {r.doc_id: r.class_id for r in classes(spark.createDataFrame(rows, SCHEMA), **options).collect()}
+    df = spark.createDataFrame(rows, SCHEMA)
+    _between({r.doc_id: r.class_id for r in classes(df, **options).collect()}, [t for _, t, _ in rows])
+    got = {r.doc_id: r.class_id for r in classes(df, plain=True, **options).collect()}
     roots = _components(rows, 0.8)
     assert len(set(roots)) > 1
     assert all((got[i] == got[j]) == (roots[i] == roots[j]) for i in range(60) for j in range(i))
@@ -96,9 +132,10 @@ def test_block_mask_leaves_no_similar_pair_out():
     for _ in range(80):
         take = np.sort(rnd.choice(60, rnd.integers(1, 60), replace=False))
         sets.append((pool[take], rnd.uniform(1, 3, len(take))))
-    mask = may_reach(sets[:30], sets[30:], 0.6)
-    exact = np.array([[similar(a, b, 0.6) for b in sets[30:]] for a in sets[:30]])
-    assert exact.any() and not (exact & ~mask).any() and mask.mean() < 0.5
+    for plain in (False, True):
+        mask = may_reach(sets[:30], sets[30:], 0.6, plain)
+        exact = np.array([[similar(a, b, 0.6, plain) for b in sets[30:]] for a in sets[:30]])
+        assert exact.any() and not (exact & ~mask).any() and mask.mean() < 0.5
 
 
 def test_samples_agree_with_weighted_jaccard():
@@ -147,5 +184,5 @@ def test_texts_and_the_same_texts_repeated_are_one_class(spark):
     for k in range(200):
         words = _text(rnd, 100)
         rows += [(2 * k, " ".join(words), "x"), (2 * k + 1, " ".join(words * (2 + k % 2)), "x")]
-    got = {r.doc_id: r.class_id for r in classes(spark.createDataFrame(rows, SCHEMA)).collect()}
+    got = {r.doc_id: r.class_id for r in classes(spark.createDataFrame(rows, SCHEMA), plain=True).collect()}
     assert [k for k in range(200) if got[2 * k + 1] != 2 * k] == []
