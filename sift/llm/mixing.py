@@ -8,11 +8,16 @@ tokens x posterior, meet the targets:
     minimise over r >= 0   sum_j ((T_j(r) - target_j) / T)^2 / max(share_j, 0.01)
                            + ridge x sum_d tokens_d / T x (r_d - 1)^2
 
-by projected gradient descent. The gradient of a document depends only on its
-posterior and on one residual per domain, so a step is one aggregate over the
-data, and the driver keeps no more than the residuals of all steps. Posteriors
-are rounded to hundredths; documents with equal posteriors take equal steps, so
-the steps run on their sums of tokens. A document is emitted floor(rate + u)
+by projected gradient descent, each rate with a step that fits its own
+curvature and with momentum that starts anew when it points uphill, until the
+totals settle. Documents whose posteriors agree to about a
+third (an eighth of a power of ten, from 1e-6 on) share a cell and so a rate;
+the totals of a cell are sums of unrounded posteriors. The gradient of a cell
+depends only on its mean posterior and on one residual per domain, so a step is
+one aggregate over the cells, and the driver keeps no more than the residuals.
+The fit tells the share that every domain reaches; ``mix`` warns of targets
+missed by more than a hundredth of them (a domain may be too small for its
+target within the pull towards rate 1). A document is emitted floor(rate + u)
 times, u uniform from a hash of its id and text.
 
 The classifier is a softmax regression on the presence of the ``max_words``
@@ -28,6 +33,7 @@ row by row, and rows with equal id and text alike; other columns are kept.
 
 from __future__ import annotations
 
+import logging
 from collections import Counter
 from dataclasses import dataclass
 
@@ -41,8 +47,11 @@ from sift.llm.components import written
 from sift.llm.decontaminate import normal_words
 from sift.llm.learning import adam, labelled_texts
 from sift.llm.passages import FEATURES, passage_features
+from sift.operators.skew import split_hot_join
 
-STEP = 100  # posteriors are multiples of 1 / STEP
+_LOG = logging.getLogger(__name__)
+LEVELS = 8  # cells per power of ten of a posterior
+LEAST = 1e-6  # posteriors below share a level
 
 
 @dataclass
@@ -155,7 +164,7 @@ def learn(docs: DataFrame, labelled: DataFrame, *, max_docs: int = 6000, max_wor
 
 def posteriors(docs: DataFrame, model: DomainModel, *, text_col: str = "text") -> DataFrame:
     """All columns of ``docs`` in a struct ``doc``, with ``tokens`` (words) and
-    ``posterior``, an array of hundredths in the order of the domains."""
+    ``posterior``, an array in the order of the domains."""
 
     def run(batches):
         for batch in batches:
@@ -164,74 +173,148 @@ def posteriors(docs: DataFrame, model: DomainModel, *, text_col: str = "text") -
             if model.domains and texts:
                 present = [list({model.words[w] for w in set(normal_words(t)) if w in model.words})
                            for t in texts]
-                p = model.posteriors(np.stack([_shape(t) for t in texts]).astype(np.float64), present)
-                parts = np.rint(p * STEP).astype(np.int32).tolist()
+                parts = model.posteriors(np.stack([_shape(t) for t in texts]).astype(np.float64), present).tolist()
             else:
                 parts = [[] for _ in texts]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), pa.array(tokens, pa.int64()), pa.array(parts, pa.list_(pa.int32()))],
+                [batch.column("doc"), pa.array(tokens, pa.int64()), pa.array(parts, pa.list_(pa.float64()))],
                 names=["doc", "tokens", "posterior"])
 
     rows = bounded(docs).select(packed(docs))
     shaped = rows.select("doc", F.lit(0).cast("long").alias("tokens"),
-                           F.array().cast("array<int>").alias("posterior"))
+                           F.array().cast("array<double>").alias("posterior"))
     return rows.mapInArrow(run, shaped.schema)
 
 
-def _rate(history: list[list[float]], step: float, ridge: float) -> Column:
-    """The rate after all steps so far, from ``posterior``: every step moves
-    it against its gradient and back to zero at least."""
-    if not history:
-        return F.lit(1.0)
-    steps = F.array(*[F.array(*[F.lit(float(x)) for x in residual]) for residual in history])
+def cells_of(known: DataFrame, domains: int) -> DataFrame:
+    """Per ``cell`` of ``known`` (``cell``, ``posterior``, ``tokens``): its
+    rows ``n``, ``tokens``, tokens by domain ``mass`` and ``mean`` posterior,
+    weighted by tokens where it has any."""
+    at = [F.element_at("posterior", k + 1) for k in range(domains)]
+    sums = known.groupBy("cell").agg(
+        F.count("*").alias("n"), F.sum("tokens").cast("double").alias("tokens"),
+        F.array(*[F.sum(F.col("tokens") * p) for p in at]).alias("mass"), F.array(*[F.avg(p) for p in at]).alias("flat"))
+    return sums.select("cell", "n", "tokens", "mass", F.when(
+        F.col("tokens") > 0, F.transform("mass", lambda m: m / F.col("tokens"))).otherwise(F.col("flat")).alias("mean"))
 
-    def move(rate: Column, residual: Column) -> Column:
-        pull = F.aggregate(F.zip_with("posterior", residual, lambda p, x: p / F.lit(float(STEP)) * x),
-                           F.lit(0.0), lambda a, b: a + b)
-        return F.greatest(F.lit(0.0), rate - F.lit(step) * (pull + F.lit(ridge) * (rate - 1.0)))
 
-    return F.aggregate(steps, F.lit(1.0), move)
+def cell_of() -> Column:
+    """Levels of the posteriors."""
+    return F.transform("posterior", lambda p: F.round(
+        F.log10(F.greatest(p, F.lit(LEAST))) * LEVELS).cast("int"))
 
 
-def fit_rates(cells: DataFrame, targets: list[float], *, iterations: int = 40, ridge: float = 1e-3,
-              tolerance: float = 1e-6) -> Column:
-    """Rate of a row as an expression over ``posterior``. ``cells`` has the
-    columns ``posterior`` and ``tokens``; ``targets`` are shares of the tokens,
-    in the order of the domains."""
-    def totals(rate: Column) -> list[float]:
-        row = cells.agg(F.sum("tokens"), *[
-            F.sum(rate * F.col("tokens") * F.element_at("posterior", j + 1) / float(STEP))
-            for j in range(len(targets))]).first()
-        return [float(x or 0) for x in row]
+@dataclass
+class Fit:
+    """``rates`` has (cell, n, rate); ``reached`` is the share of the tokens of
+    each domain at these rates, against ``targets``."""
+
+    rates: DataFrame
+    targets: list[float]
+    reached: list[float]
+    steps: int
+    settled: bool
+
+    def unmet(self, within: float = 0.01) -> list[int]:
+        """Domains whose share is off by more than this part of the target."""
+        return [k for k, (x, t) in enumerate(zip(self.reached, self.targets)) if abs(x - t) > within * t]
+
+
+def _dot(left: Column, right: Column) -> Column:
+    return F.aggregate(F.zip_with(left, right, lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
+
+
+def _numbers(values: list[float]) -> Column:
+    return F.array(*[F.lit(float(x)) for x in values])
+
+
+def fit_rates(cells: DataFrame, targets: list[float], *, max_steps: int = 100, ridge: float = 1e-3,
+              tolerance: float = 1e-5, keep: int = 12) -> Fit:
+    """Rates of the cells (see ``cells_of``); ``targets`` are shares of the
+    tokens, in the order of the domains. Stops when no residual moves by more
+    than ``tolerance`` in a step, or after ``max_steps`` (``settled`` is false
+    then); every ``keep`` steps the rates are written.
 
-    all_tokens, *now = totals(F.lit(1.0))
+    A step goes from ``ahead``, the rate with its momentum, against the
+    gradient divided by the curvature ``bend`` of the cell (the sum of its row
+    of the normal matrix, whose entries are all positive), and back to zero at
+    least."""
+    k = len(targets)
+    shares = cells.agg(F.sum("tokens"), *[F.sum(F.col("mass")[j]) for j in range(k)]).first()
+    all_tokens, *now = [float(x or 0) for x in shares]
     if not all_tokens or not targets:
-        return F.lit(1.0)
-    scale = [max(x / all_tokens, 0.01) for x in now]
-    history: list[list[float]] = []
-    step = 1.0 / (1.0 + ridge)
-    for _ in range(iterations):
-        residual = [(x / all_tokens - t) / s for x, t, s in zip(now, targets, scale)]
-        if history and max(abs(a - b) for a, b in zip(residual, history[-1])) < tolerance:
+        return Fit(cells.select("cell", "n", F.lit(1.0).alias("rate")), list(targets), [0.0] * k, 0, True)
+    now = [x / all_tokens for x in now]
+    scale = [max(x, 0.01) for x in now]
+    current = cells.select("cell", "n", "tokens", "mass", "mean", F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead"),
+                           (_dot(F.col("mean"), _numbers([x / s for x, s in zip(now, scale)])) + ridge).alias("bend"))
+
+    def stepped(ahead: Column, residual: Column) -> Column:
+        down = (_dot(F.col("mean"), residual) + F.lit(ridge) * (ahead - 1.0)) / F.col("bend")
+        return F.greatest(F.lit(0.0), ahead - down)
+
+    def after(done: list[tuple[list[float], float]]) -> Column:
+        """(rate, ahead) after further steps with their momenta."""
+        state = F.struct("rate", "ahead")
+        if not done:
+            return state
+        steps = F.array(*[F.struct(_numbers(r).alias("residual"), F.lit(float(m)).alias("momentum")) for r, m in done])
+
+        def move(old: Column, step: Column) -> Column:
+            rate = stepped(old["ahead"], step["residual"])
+            return F.struct(rate.alias("rate"), (rate + step["momentum"] * (rate - old["rate"])).alias("ahead"))
+
+        return F.aggregate(steps, state, move)
+
+    reached, ahead = now, now  # shares at the rates, and ahead of them
+    done: list[tuple[list[float], float]] = []
+    before, steps, settled, pace = None, 0, False, 1.0
+    while steps < max_steps:
+        residual = [(x - t) / s for x, t, s in zip(ahead, targets, scale)]
+        if before is not None and max(abs(a - b) for a, b in zip(residual, before)) < tolerance:
+            settled = True
             break
-        history.append(residual)
-        _, *now = totals(_rate(history, step, ridge))
-    return _rate(history, step, ridge)
+        before, steps = residual, steps + 1
+        here = current.select("tokens", "mass", "bend", "mean", after(done).alias("old")).select(
+            "*", stepped(F.col("old.ahead"), _numbers(residual)).alias("new"))
+        uphill, *now = here.agg(
+            F.sum((F.col("old.ahead") - F.col("new")) * F.col("tokens") * F.col("bend")
+                  * (F.col("new") - F.col("old.rate"))),
+            *[F.sum(F.col("new") * F.col("mass")[j]) for j in range(k)]).first()
+        now = [x / all_tokens for x in now]
+        following = (1 + (1 + 4 * pace * pace) ** 0.5) / 2
+        momentum, pace = (0.0, 1.0) if uphill > 0 else ((pace - 1) / following, following)
+        # Shares are linear in the rates.
+        reached, ahead = now, [x + momentum * (x - y) for x, y in zip(now, reached)]
+        done.append((residual, momentum))
+        if len(done) == keep:
+            moved = current.withColumn("state", after(done))
+            current = written(moved.select(*[c for c in current.columns if c not in ("rate", "ahead")],
+                                           "state.rate", "state.ahead"), "rates")
+            done = []
+    return Fit(current.select("cell", "n", after(done)["rate"].alias("rate")), list(targets), reached, steps, settled)
 
 
 def mix(docs: DataFrame, model: DomainModel, targets: dict[str, float], *, id_col: str = "doc_id",
-        text_col: str = "text", **options) -> DataFrame:
+        text_col: str = "text", max_broadcast: int = 100_000, **options) -> DataFrame:
     """All columns of ``docs`` in a struct ``doc``, with ``tokens``,
-    ``posterior`` (hundredths), ``rate`` and ``copies``, for every row."""
+    ``posterior``, ``rate`` and ``copies``, for every row. Rates of more than
+    ``max_broadcast`` cells are joined by a shuffle, hot cells apart."""
     # Written once: the fit and the result read the same posteriors.
-    known = written(posteriors(docs, model, text_col=text_col), "posteriors")
-    cells = known.groupBy("posterior").agg(F.sum("tokens").alias("tokens")).persist()
-    try:
-        rate = fit_rates(cells, [targets.get(d, 0.0) for d in model.domains], **options)
-    finally:
-        cells.unpersist()
+    known = written(posteriors(docs, model, text_col=text_col).withColumn("cell", cell_of()), "posteriors")
+    if model.domains:
+        cells = written(cells_of(known, len(model.domains)), "cells")
+        fit = fit_rates(cells, [targets.get(d, 0.0) for d in model.domains], **options)
+        for k in fit.unmet():
+            _LOG.warning("target of %s missed: %.6f of the tokens, wanted %.6f (%d steps, settled: %s)",
+                         model.domains[k], fit.reached[k], fit.targets[k], fit.steps, fit.settled)
+        rates = written(fit.rates, "rates")
+        rated = (known.join(F.broadcast(rates), "cell") if rates.count() <= max_broadcast
+                 else split_hot_join(known, rates, "cell", "n")).drop("cell", "n")
+    else:
+        rated = known.drop("cell").withColumn("rate", F.lit(1.0))
     uniform = F.pmod(F.xxhash64(F.col("doc")[id_col], F.col("doc")[text_col]), F.lit(1 << 30)) / float(1 << 30)
-    return (known.withColumn("rate", F.round(rate, 6))
+    return (rated.withColumn("rate", F.round("rate", 6))
             .withColumn("copies", F.floor(F.col("rate") + uniform).cast("long")))
 
 

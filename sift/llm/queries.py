@@ -40,7 +40,7 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(docs, model, mixing.TARGETS)
     return mixed.select(
         F.col("doc.doc_id").alias("doc_id"), "tokens",
-        *[(F.element_at("posterior", k + 1) / float(mixing.STEP)).alias(f"p_{d}")
+        *[F.round(F.element_at("posterior", k + 1), 6).alias(f"p_{d}")
           for k, d in enumerate(model.domains)], "rate", "copies")
 
 

@@ -2,7 +2,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sift.llm.mixing import STEP, fit_rates, label_domains, learn, mix, mixed_documents
+from sift.llm.components import written
+from sift.llm.mixing import cells_of, fit_rates, label_domains, learn, mix, mixed_documents
 
 DOCS = "doc_id long, text string, rate string"  # rate: a clashing extra column
 LABELS = "doc_id long, quality int, toxic int"
@@ -19,21 +20,37 @@ def _solve(p, tokens, targets, ridge, iterations):
     return r
 
 
-def test_rates_match_a_plain_solver(spark):
+def _cells(spark, p, tokens):
+    rows = [([k], a.tolist(), int(t)) for k, (a, t) in enumerate(zip(p, tokens))]
+    df = spark.createDataFrame(rows, "cell array<int>, posterior array<double>, tokens long")
+    return written(cells_of(df.repartition(4), p.shape[1]), "cells")
+
+
+@pytest.mark.parametrize("targets, ridge, tolerance", [([0.6, 0.35, 0.05], 0.05, 1e-7), ([0.9, 0.05, 0.05], 0.01, 1e-9)])
+def test_rates_match_a_plain_solver(spark, targets, ridge, tolerance):
     rnd = np.random.default_rng(3)
-    parts = np.rint(rnd.dirichlet([0.3, 0.3, 0.3], 400) * STEP).astype(int)
-    tokens = rnd.integers(1, 500, 400)
-    targets = [0.6, 0.35, 0.05]
-    df = spark.createDataFrame([(a.tolist(), int(t)) for a, t in zip(parts, tokens)],
-                               "posterior array<int>, tokens long").repartition(4)
-    rate = fit_rates(df, targets, iterations=25, tolerance=0, ridge=0.05)
-    got = np.array([r.rate for r in df.select("posterior", "tokens", rate.alias("rate"))
-                    .orderBy("tokens", "posterior").collect()])
-    order = sorted(range(400), key=lambda k: (tokens[k], parts[k].tolist()))
-    want = _solve(parts[order] / STEP, tokens[order].astype(float), np.array(targets), 0.05, 25)
-    assert np.abs(got - want).max() < 1e-6 and (got >= 0).all()
-    done = _solve(parts[order] / STEP, tokens[order].astype(float), np.array(targets), 0.05, 5000)
-    assert np.abs(got - done).max() < 0.1
+    p, tokens = rnd.dirichlet([0.3, 0.3, 0.3], 400), rnd.integers(0, 500, 400)
+    fit = fit_rates(_cells(spark, p, tokens), targets, ridge=ridge, tolerance=tolerance)
+    got = {r.cell[0]: r.rate for r in fit.rates.collect()}
+    want = _solve(p, tokens.astype(float), np.array(targets), ridge, 20_000)
+    assert fit.settled and max(abs(got[k] - want[k]) for k in range(400)) < 1e-4
+    assert np.abs(p.T @ (want * tokens) / tokens.sum() - fit.reached).max() < 1e-5
+
+
+def test_a_tiny_domain_reaches_its_target_or_is_reported(spark):
+    rnd = np.random.default_rng(6)
+    p = rnd.dirichlet([0.02, 0.02, 1e-9], 3000)
+    p[:, 2] = rnd.uniform(0, 1e-5, 3000)
+    p[0] = [0, 0, 1]
+    p /= p.sum(axis=1, keepdims=True)
+    tokens = np.full(3000, 300)
+    tokens[0] = 90  # about a hundredth of a percent
+    targets = [0.6, 0.39, 0.01]
+    cells = _cells(spark, p, tokens)
+    fit = fit_rates(cells, targets, ridge=1e-6)
+    assert fit.settled and fit.unmet() == [] and abs(fit.reached[2] / 0.01 - 1) < 0.01
+    fit = fit_rates(cells, targets)  # the pull towards rate 1 stops it a little earlier
+    assert fit.settled and fit.unmet() == [2] and fit.reached[2] > 0.0088
 
 
 def test_targets_are_met(spark):
@@ -44,7 +61,7 @@ def test_targets_are_met(spark):
     rows = mix(docs, model, targets).persist()
     total = rows.agg(F.sum("tokens")).first()[0]
     for k, d in enumerate(model.domains):
-        share = rows.agg(F.sum(F.col("rate") * F.col("tokens") * F.col("posterior")[k] / STEP)).first()[0] / total
+        share = rows.agg(F.sum(F.col("rate") * F.col("tokens") * F.col("posterior")[k])).first()[0] / total
         assert abs(share - targets[d]) < 0.01
     drawn = rows.agg(F.sum(F.col("copies") * F.col("tokens"))).first()[0]
     assert abs(drawn / total - 1) < 0.1
@@ -56,12 +73,12 @@ def test_cases(spark):
             (None, "good words", None), (1, "good words here", "x"), (5, "good " * 100_000, "x")]
     df = spark.createDataFrame(rows, DOCS)
     domains = label_domains(spark.createDataFrame([(1, 1, 0), (2, 1, 1), (3, None, 1), (9, 0, 0)], LABELS))
-    got = mix(df, learn(df, domains), {"clean": 0.5, "toxic": 0.5}).collect()
+    got = mix(df, learn(df, domains), {"clean": 0.5, "toxic": 0.5}, max_steps=9).collect()
     assert len(got) == len(rows) and all(r.rate >= 0 and r.copies >= 0 for r in got)
     assert [r.tokens for r in got if r.doc.doc_id in (3, 4)] == [0, 0]
     ones = [(r.rate, r.copies) for r in got if r.doc.doc_id == 1]
     assert ones[0] == ones[1]
-    out = mixed_documents(df, learn(df, domains), {"clean": 1.0})
+    out = mixed_documents(df, learn(df, domains), {"clean": 1.0}, max_steps=9)
     assert out.columns == ["doc_id", "text", "rate", "copies"] and out.where("copies < 1").count() == 0
 
 
