@@ -81,3 +81,23 @@ def test_probability_is_the_sigmoid_of_the_margin(spark):
     for r in best.transform(vectors).limit(20).collect():
         margin = best.intercept + sum(weights[i] * v for i, v in zip(r["counts"].indices, r["counts"].values))
         assert abs(r["pos_probability"][1] - 1 / (1 + math.exp(-margin))) < 1e-9
+
+
+def test_a_vocabulary_beyond_two_to_the_18_is_fitted_whole(spark):
+    wide = spark.range(3).select(F.transform(F.sequence(F.lit(0), F.lit(299_999) + F.col("id") % 2),
+                                             lambda i: F.concat(F.lit("t"), i.cast("string"))).alias("features"))
+    model = ml.fit_vectorizer(wide, 2)
+    assert len(model.vocabulary) == 300_000 and model.getMinDF() == 2
+
+
+def test_vectorizer_orders_by_frequency_and_counts_a_term_once_a_text(spark):
+    texts = [["a", "a", "a", "a"], ["b", "c"], ["b", "c"], ["b", "d"], ["c", "e"], ["b"], []]
+    df = spark.createDataFrame([(t,) for t in texts], "features array<string>")
+    assert ml.fit_vectorizer(df, 2).vocabulary == ["b", "c"]
+    assert ml.fit_vectorizer(df, 0.5).vocabulary == ["b"]
+    assert ml.fit_vectorizer(df, 1).vocabulary[:2] == ["b", "c"]
+
+
+def test_fits_at_once_fall_with_the_vocabulary():
+    assert ml.concurrent_fits(0) == ml.concurrent_fits(1000) == ml.PARALLEL_FITS
+    assert ml.concurrent_fits(800_000) == 2 and ml.concurrent_fits(ml.VOCAB_SIZE) == 1
