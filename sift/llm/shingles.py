@@ -8,6 +8,7 @@ sequences hash alike in every task, partition and run.
 from __future__ import annotations
 
 import hashlib
+import re
 
 import numpy as np
 
@@ -55,6 +56,65 @@ def word_runs(texts: list[bytes | None], memo: WordHashes, limit: int = 200_000)
         yield first, np.array(counts, np.int64), np.concatenate(parts)
 
 
+_PLACES, _SLICE = 64, 1 << 18
+_GAP = re.compile(rb"[\t-\r ]")
+_IN_WORD = np.array([not _GAP.match(bytes([b])) for b in range(256)])
+
+
+def _place_values(keys: np.ndarray) -> np.ndarray:
+    return mix(mix(keys.astype(np.uint64) + _MIX1))
+
+
+def _hash_slice(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    inside = _IN_WORD[data]
+    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    starts, lengths = edges[::2], edges[1::2] - edges[::2]
+    at = np.flatnonzero(inside)
+    keys = ((at - np.repeat(starts, lengths)) << 8) | data[at]
+    far = np.flatnonzero(keys >= _PLACES << 8)
+    values = _VALUES[np.minimum(keys, (_PLACES << 8) - 1)]
+    values[far] = _place_values(keys[far])
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)])
+    ends = np.cumsum(lengths)
+    return starts, mix(sums[ends] - sums[ends - lengths])
+
+
+def hash_words(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Start and 64-bit hash of every word: a sum of one random value for each
+    byte at its place in the word, without a Python object per word. Long
+    texts are hashed in slices that end between words."""
+    data, starts, hashes, at = np.frombuffer(text, np.uint8), [], [], 0
+    while at < len(text):
+        gap = _GAP.search(text, at + _SLICE)
+        end = gap.start() if gap else len(text)
+        first, values = _hash_slice(data[at:end])
+        starts.append(first + at)
+        hashes.append(values)
+        at = end
+    return (np.concatenate([np.empty(0, np.int64), *starts]),
+            np.concatenate([np.empty(0, np.uint64), *hashes]))
+
+
+def hashed_runs(texts: list[bytes | None], limit: int = _SLICE):
+    """What ``word_runs`` yields, about ``limit`` bytes at a time, with the
+    hashes of ``hash_words``."""
+
+    def hashed(parts):
+        ends = np.cumsum([0] + [len(p) + 1 for p in parts])
+        starts, hashes = hash_words(b" ".join(parts))
+        return np.diff(np.searchsorted(starts, ends)), hashes
+
+    first, parts, size = 0, [], 0
+    for k, text in enumerate(texts):
+        parts.append(text or b"")
+        size += len(parts[-1])
+        if size >= limit:
+            yield first, *hashed(parts)
+            first, parts, size = k + 1, [], 0
+    if parts:
+        yield first, *hashed(parts)
+
+
 def whole_windows(counts: np.ndarray, n: int) -> np.ndarray:
     """Mask over the starts of windows of ``n`` words in a run of texts: those
     that end inside the text in which they start."""
@@ -70,6 +130,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _S31)
 
 
+_VALUES = _place_values(np.arange(_PLACES << 8))
+
+
 def _pair(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Order-sensitive hash of two hashes."""
     x = left * _MIX1 + ((right << _S17) | (right >> _S47))

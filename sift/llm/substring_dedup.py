@@ -37,8 +37,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sift.llm.batches import bounded
-from sift.llm.shingles import (WordHashes, covered_words, mix, sliding_min, whole_windows,
-                               window_hashes, word_runs, words_of)
+from sift.llm.shingles import (covered_words, hashed_runs, mix, sliding_min, whole_windows,
+                               window_hashes, words_of)
 
 _GRAM = 8  # words of the grams that key a window
 _SECOND = np.uint64(0xD6E8FEB86659FD93)
@@ -61,9 +61,9 @@ def _sketcher(window: int, width: int):
     """Counts of the cells, once per text and key, summed per task."""
 
     def run(batches):
-        memo, pending = WordHashes(), []
+        pending = []
         for batch in batches:
-            for _, counts, hashes in word_runs(batch.column(0).to_pylist(), memo):
+            for _, counts, hashes in hashed_runs(batch.column(0).to_pylist()):
                 whole = whole_windows(counts, window)
                 if not whole.any():
                     continue
@@ -163,10 +163,10 @@ def _emitter(sketch: _Sketch, hot: bool):
     hashes, id, first place and tag, later places."""
 
     def run(batches):
-        memo, window = WordHashes(), sketch.window
+        window = sketch.window
         for batch in batches:
             ids, tags = batch.column(0), batch.column(2).to_numpy(zero_copy_only=False)
-            for first, counts, hashes in word_runs(batch.column(1).to_pylist(), memo):
+            for first, counts, hashes in hashed_runs(batch.column(1).to_pylist()):
                 repeated, is_hot = sketch.flags(hashes)
                 take = np.flatnonzero(repeated & (is_hot == hot) & whole_windows(counts, window))
                 if not len(take):

@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 
+from sift.llm import shingles
 from sift.llm.substring_dedup import _distinct, _later, dedup_substrings
 from tests.llm.brute import substring_dedup
 
@@ -65,3 +66,22 @@ def test_repeated_windows_of_a_text_leave_a_task_once():
 
 def test_empty_table(spark):
     assert dedup_substrings(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_words_hashed_without_objects(monkeypatch):
+    monkeypatch.setattr(shingles, "_SLICE", 50)  # texts are cut into several slices
+    rnd = random.Random(4)
+    vocab = [b"ab", b"ba", b"a", b"\x1f", b"\xc2\x85x", "é".encode(), b"z" * 200, b"z" * 199 + b"y", b"z" * 199]
+    texts = [rnd.choice([b" ", b"\t\n"]).join(rnd.choices(vocab, k=rnd.randint(0, 40))) for _ in range(50)]
+    texts += [None, b"", b" \x0b\x0c\r ", b" a ab\n"]
+    of_word, texts_seen = {}, 0
+    for first, counts, hashes in shingles.hashed_runs(texts, 300):
+        assert first == texts_seen
+        texts_seen += len(counts)
+        ends = np.cumsum(counts)
+        for k, (end, n) in enumerate(zip(ends, counts)):
+            words = shingles.words_of(texts[first + k])
+            assert len(words) == n
+            for word, h in zip(words, hashes[end - n:end].tolist()):
+                assert of_word.setdefault(word, h) == h
+    assert texts_seen == len(texts) and len(set(of_word.values())) == len(of_word) == len(vocab)
