@@ -2,10 +2,10 @@
 
 Plan at scale:
 
-* ``token_counts``: explode cleaned words and count per (song, token). The
-  partial aggregate runs map-side inside the task that read the song, so the
-  shuffle carries one row per distinct (song, token), keyed on both columns:
-  no single hot token can gather its rows in one task here.
+* ``token_counts``: count cleaned words per (song, token) in the task that read
+  the song (``term_counts``), so the shuffle carries one row per distinct
+  (song, token), keyed on both columns: no single hot token can gather its rows
+  in one task here.
 * ``doc_frequency``: count songs per token; partial aggregation again, so a
   token present in every song costs one row per map task.
 * ``tfidf``: counts joined back to frequencies on ``token`` with
@@ -24,8 +24,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import clean_words, explode_terms
+from ..functions.text import clean_words
 from ..session import delete_path, partitions_for
+from . import term_counts
 from .search import name_table
 from .skew import split_hot_join
 
@@ -33,10 +34,8 @@ from .skew import split_hot_join
 def token_counts(texts: DataFrame, id_col: str = "song_id",
                  text_col: str = "text") -> DataFrame:
     """token(song_id, token, count) from raw texts."""
-    words = explode_terms(texts.select(F.col(id_col).alias("song_id"),
-                                       clean_words(F.col(text_col)).alias("w")),
-                          F.col("w"), "token", "song_id")
-    return words.groupBy("song_id", "token").agg(F.count(F.lit(1)).alias("count"))
+    words = texts.select(F.col(id_col).alias("id"), clean_words(F.col(text_col)).alias("words"))
+    return term_counts.per_text(words).select(F.col("id").alias("song_id"), F.col("term").alias("token"), "count")
 
 
 def doc_frequency(tokens: DataFrame) -> DataFrame:
