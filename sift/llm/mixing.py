@@ -8,13 +8,12 @@ tokens x posterior, meet the targets:
     minimise over r >= 0   sum_j ((T_j(r) - target_j) / T)^2 / max(share_j, 0.01)
                            + ridge x sum_d tokens_d / T x (r_d - 1)^2
 
-by projected gradient descent, each rate with a step that fits its own
-curvature and with momentum that starts anew when it points uphill, until the
-totals settle. Documents whose posteriors agree to about a
+Documents whose posteriors agree to about a
 third (an eighth of a power of ten, from 1e-6 on) share a cell and so a rate;
-the totals of a cell are sums of unrounded posteriors. The gradient of a cell
-depends only on its mean posterior and on one residual per domain, so a step is
-one aggregate over the cells, and the driver keeps no more than the residuals.
+the totals of a cell are sums of unrounded posteriors. At the minimum the rate
+of a cell follows from its mean posterior and from one residual per domain, so
+these few residuals are what Newton steps look for: a step is one aggregate
+over the cells, and the driver keeps the residuals and their curvature.
 The fit tells the share that every domain reaches; ``mix`` warns of targets
 missed by more than a hundredth of them (a domain may be too small for its
 target within the pull towards rate 1). A document is emitted floor(rate + u)
@@ -229,70 +228,62 @@ def _numbers(values: list[float]) -> Column:
 
 
 def fit_rates(cells: DataFrame, targets: list[float], *, max_steps: int = 100, ridge: float = 1e-3,
-              tolerance: float = 1e-5, keep: int = 12) -> Fit:
+              tolerance: float = 1e-5) -> Fit:
     """Rates of the cells (see ``cells_of``); ``targets`` are shares of the
-    tokens, in the order of the domains. Stops when no residual moves by more
-    than ``tolerance`` in a step, or after ``max_steps`` (``settled`` is false
-    then); every ``keep`` steps the rates are written.
-
-    A step goes from ``ahead``, the rate with its momentum, against the
-    gradient divided by the curvature ``bend`` of the cell (the sum of its row
-    of the normal matrix, whose entries are all positive), and back to zero at
-    least."""
+    tokens, in the order of the domains, ``ridge`` is above 0. Stops when the
+    residuals at the rates differ from those the rates are made of by less than
+    ``tolerance`` times ``ridge``, or after ``max_steps`` aggregates over the
+    cells (``settled`` is false then).
+
+    At the minimum a rate is 1 less its mean posterior times residual over
+    ``ridge``, or zero, so the residuals alone are sought. They minimise a
+    convex, piecewise quadratic function; a step is Newton's, halved while it
+    does not lower it."""
     k = len(targets)
     shares = cells.agg(F.sum("tokens"), *[F.sum(F.col("mass")[j]) for j in range(k)]).first()
     all_tokens, *now = [float(x or 0) for x in shares]
     if not all_tokens or not targets:
         return Fit(cells.select("cell", "n", F.lit(1.0).alias("rate")), list(targets), [0.0] * k, 0, True)
-    now = [x / all_tokens for x in now]
-    scale = [max(x, 0.01) for x in now]
-    current = cells.select("cell", "n", "tokens", "mass", "mean", F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead"),
-                           (_dot(F.col("mean"), _numbers([x / s for x, s in zip(now, scale)])) + ridge).alias("bend"))
-
-    def stepped(ahead: Column, residual: Column) -> Column:
-        down = (_dot(F.col("mean"), residual) + F.lit(ridge) * (ahead - 1.0)) / F.col("bend")
-        return F.greatest(F.lit(0.0), ahead - down)
-
-    def after(done: list[tuple[list[float], float]]) -> Column:
-        """(rate, ahead) after further steps with their momenta."""
-        state = F.struct("rate", "ahead")
-        if not done:
-            return state
-        steps = F.array(*[F.struct(_numbers(r).alias("residual"), F.lit(float(m)).alias("momentum")) for r, m in done])
-
-        def move(old: Column, step: Column) -> Column:
-            rate = stepped(old["ahead"], step["residual"])
-            return F.struct(rate.alias("rate"), (rate + step["momentum"] * (rate - old["rate"])).alias("ahead"))
-
-        return F.aggregate(steps, state, move)
-
-    reached, ahead = now, now  # shares at the rates, and ahead of them
-    done: list[tuple[list[float], float]] = []
-    before, steps, settled, pace = None, 0, False, 1.0
-    while steps < max_steps:
-        residual = [(x - t) / s for x, t, s in zip(ahead, targets, scale)]
-        if before is not None and max(abs(a - b) for a, b in zip(residual, before)) < tolerance:
-            settled = True
-            break
-        before, steps = residual, steps + 1
-        here = current.select("tokens", "mass", "bend", "mean", after(done).alias("old")).select(
-            "*", stepped(F.col("old.ahead"), _numbers(residual)).alias("new"))
-        uphill, *now = here.agg(
-            F.sum((F.col("old.ahead") - F.col("new")) * F.col("tokens") * F.col("bend")
-                  * (F.col("new") - F.col("old.rate"))),
-            *[F.sum(F.col("new") * F.col("mass")[j]) for j in range(k)]).first()
-        now = [x / all_tokens for x in now]
-        following = (1 + (1 + 4 * pace * pace) ** 0.5) / 2
-        momentum, pace = (0.0, 1.0) if uphill > 0 else ((pace - 1) / following, following)
-        # Shares are linear in the rates.
-        reached, ahead = now, [x + momentum * (x - y) for x, y in zip(now, reached)]
-        done.append((residual, momentum))
-        if len(done) == keep:
-            moved = current.withColumn("state", after(done))
-            current = written(moved.select(*[c for c in current.columns if c not in ("rate", "ahead")],
-                                           "state.rate", "state.ahead"), "rates")
-            done = []
-    return Fit(current.select("cell", "n", after(done)["rate"].alias("rate")), list(targets), reached, steps, settled)
+    if ridge <= 0:
+        raise ValueError("ridge must be above 0")
+    aim, scale = np.array(targets, float), np.maximum(np.array(now) / all_tokens, 0.01)
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+
+    def rate(residual: np.ndarray) -> Column:
+        return F.greatest(F.lit(0.0), 1.0 - _dot(F.col("mean"), _numbers(residual / ridge)))
+
+    def measured(residual: np.ndarray) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
+        """The function, its gradient and curvature, and the shares at the rates."""
+        here = cells.select("tokens", "mass", "mean", rate(residual).alias("rate"))
+        got = here.agg(F.sum(F.col("tokens") * F.col("rate") * F.col("rate")),
+                       *[F.sum(F.col("rate") * F.col("mass")[j]) for j in range(k)],
+                       *[F.sum(F.when(F.col("rate") > 0, F.col("mass")[i] * F.col("mean")[j])) for i, j in pairs]).first()
+        pull, *sums = [float(x or 0) / all_tokens for x in got]
+        reached, bend = np.array(sums[:k]), np.diag(scale)
+        for (i, j), x in zip(pairs, sums[k:]):
+            bend[i, j] += x / ridge
+            bend[j, i] = bend[i, j]
+        value = (scale * residual**2).sum() / 2 + aim @ residual + ridge * pull / 2
+        return value, scale * residual + aim - reached, bend, reached
+
+    def off(gradient: np.ndarray) -> float:
+        return float(np.abs(gradient / scale).max())
+
+    residual, steps = np.zeros(k), 1
+    value, gradient, bend, reached = measured(residual)
+    part, move = 1.0, None
+    while off(gradient) >= tolerance * min(1.0, ridge) and steps < max_steps:
+        if move is None:
+            part, move = 1.0, -np.linalg.solve(bend, gradient)
+        steps += 1
+        there = measured(residual + part * move)
+        if there[0] <= value + 1e-4 * part * (gradient @ move) or off(there[1]) <= off(gradient) / 2:
+            residual, move = residual + part * move, None
+            value, gradient, bend, reached = there
+        else:
+            part /= 2
+    return Fit(cells.select("cell", "n", rate(residual).alias("rate")), list(targets), reached.tolist(), steps,
+               off(gradient) < tolerance * min(1.0, ridge))
 
 
 def mix(docs: DataFrame, model: DomainModel, targets: dict[str, float], *, id_col: str = "doc_id",
